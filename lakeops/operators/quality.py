@@ -44,9 +44,9 @@ def rule_metrics(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     )
 
 
-def quarantine(bad: DataFrame, path: str, run_id: str) -> str:
-    """Append failed rows with the run that refused them."""
-    bad.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(path)
+def quarantine(bad: DataFrame, path: str, run_id: str, mode: str = "append") -> str:
+    """Write failed rows with the run that refused them; a folder per run may be overwritten."""
+    bad.withColumn("run_id", F.lit(run_id)).write.mode(mode).parquet(path)
     return path
 
 
