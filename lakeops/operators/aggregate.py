@@ -34,6 +34,33 @@ def sum_where(condition: Column, amount: str, scale: int = 2) -> Column:
     return from_minor(F.sum(F.when(condition, minor_units(amount, scale)).otherwise(F.lit(0))), scale)
 
 
+def _levels(grouped) -> DataFrame:
+    units = F.sum("units")
+    return grouped.agg(
+        F.grouping_id().alias("level"),
+        F.sum("txns").alias("txns"),
+        from_minor(units).alias("total_amount"),
+    )
+
+
+def _parts(df: DataFrame, keys: Sequence[str], amount: str) -> DataFrame:
+    """One row per finest group. Rollup and cube copy their input once per level, so they get this instead of raw rows."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("txns"), F.sum(minor_units(amount)).alias("units"))
+
+
+def rollup_kpi(df: DataFrame, keys: Sequence[str], amount: str) -> DataFrame:
+    """txns and total per rollup level; `level` is the grouping id, which tells a total from a null key."""
+    return _levels(_parts(df, keys, amount).rollup(*keys))
+
+
+def cube_kpi(df: DataFrame, keys: Sequence[str], amount: str) -> DataFrame:
+    return _levels(_parts(df, keys, amount).cube(*keys))
+
+
+def grouping_sets_kpi(df: DataFrame, sets: Sequence[Sequence[str]], keys: Sequence[str], amount: str) -> DataFrame:
+    return _levels(_parts(df, keys, amount).groupingSets([list(s) for s in sets], *keys))
+
+
 def pivot_sum(df: DataFrame, keys: Sequence[str], column: str, values: Sequence, amount: str) -> DataFrame:
     """One column per listed value. The list is given, so no pass to discover it."""
     wide = df.groupBy(*keys).pivot(column, list(values)).agg(F.sum(minor_units(amount)))

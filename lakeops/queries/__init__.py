@@ -4,7 +4,7 @@ from importlib import import_module
 
 from lakeops.queries.registry import ORACLES, QUERIES
 
-MODULES = ("scans", "sinks", "projections")
+MODULES = ("scans", "sinks", "projections", "joins", "aggregates")
 
 for _module in MODULES:
     import_module(f"lakeops.queries.{_module}")
