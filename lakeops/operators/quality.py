@@ -74,13 +74,17 @@ def reconcile(source: DataFrame, target: DataFrame, keys: Sequence[str], measure
         F.count_if(F.col("__t").isNull()).cast("double").alias("lost"),
         F.count_if(F.col("__s").isNull()).cast("double").alias("extra"),
     )
-    zero = F.lit(0.0)
+
+    def check(name: str, on_source: Column, on_target: Column) -> Column:
+        return F.struct(F.lit(name).alias("check"), on_source.alias("source_value"), on_target.alias("target_value"))
+
+    none = F.lit(0.0)
     keyed_rows = keyed.select(
         F.inline(
             F.array(
-                F.struct(F.lit("duplicate_keys").alias("check"), F.col("dup_s").alias("source_value"), F.col("dup_t").alias("target_value")),
-                F.struct(F.lit("missing_keys"), zero, F.col("lost")),
-                F.struct(F.lit("unexpected_keys"), zero, F.col("extra")),
+                check("duplicate_keys", F.col("dup_s"), F.col("dup_t")),
+                check("missing_keys", none, F.col("lost")),
+                check("unexpected_keys", none, F.col("extra")),
             )
         )
     )
