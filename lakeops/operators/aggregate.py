@@ -62,9 +62,14 @@ def grouping_sets_kpi(df: DataFrame, sets: Sequence[Sequence[str]], keys: Sequen
 
 
 def pivot_sum(df: DataFrame, keys: Sequence[str], column: str, values: Sequence, amount: str) -> DataFrame:
-    """One column per listed value. The list is given, so no pass to discover it."""
-    wide = df.groupBy(*keys).pivot(column, list(values)).agg(F.sum(minor_units(amount)))
-    return wide.select(*keys, *[from_minor(F.col(f"`{v}`")).alias(str(v)) for v in values])
+    """PIVOT: the sum per listed value as a column, null where a group has no such row.
+
+    The list is given, so nothing has to be discovered first; conditional sums need one
+    exchange where `pivot` needs two.
+    """
+    units = minor_units(amount)
+    sums = [from_minor(F.sum(F.when(F.col(column) == F.lit(v), units))).alias(str(v)) for v in values]
+    return df.groupBy(*keys).agg(*sums)
 
 
 def unpivot(df: DataFrame, keys: Sequence[str], columns: Sequence[str], name: str, value: str) -> DataFrame:

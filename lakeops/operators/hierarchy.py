@@ -23,7 +23,8 @@ def walk(
     hierarchy deeper than `max_depth` is an error, never a shortened result.
     """
     scratch_root(edges.sparkSession)
-    links = edges.select(F.col(parent).alias("__p"), F.col(child).alias("__c")).filter(F.col("__p").isNotNull())
+    # Read at every level, so the two columns are kept; what is returned does not need them.
+    links = edges.select(F.col(parent).alias("__p"), F.col(child).alias("__c")).filter(F.col("__p").isNotNull()).persist()
     node = roots.columns[0]
     frontier = roots.select(
         F.col(node).alias("root"),
@@ -47,8 +48,10 @@ def walk(
             .checkpoint()
         )
         if frontier.isEmpty():
+            links.unpersist()
             return found.drop("__seen")
         found = found.unionAll(frontier)
+    links.unpersist()
     raise ValueError(f"hierarchy deeper than {max_depth} levels")
 
 

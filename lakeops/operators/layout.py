@@ -91,32 +91,24 @@ def write_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int,
     return table
 
 
-def empty_partitions(spark: SparkSession, path: str, values: DataFrame) -> None:
-    """Make the given partitions hold no rows. `values` has one row per partition, few in all.
+def empty_partitions(spark: SparkSession, path: str, values: Sequence[dict]) -> None:
+    """Make the given partitions hold no rows.
 
     A dynamic overwrite leaves a partition alone when no row falls into it, so each is
     overwritten with an empty file of the table's schema.
     """
-    part_cols = values.columns
-    shape = spark.read.parquet(path)
-    where = shape.select(
-        *part_cols, F.regexp_extract("_metadata.file_path", r"^(.*)/[^/]*$", 1).alias("__dir")
-    ).join(F.broadcast(values.distinct()), part_cols, "left_semi")
-    body = spark.createDataFrame([], shape.drop(*part_cols).schema)
-    for row in where.select("__dir").distinct().collect():
-        body.write.mode("overwrite").parquet(row["__dir"])
-
-
-def _rewrite(spark: SparkSession, path: str, part_cols: Sequence[str], condition: Column, change) -> DataFrame:
-    """Rewrite the partitions that hold matching rows; returns the partition values touched."""
+    if not values:
+        return
     table = spark.read.parquet(path)
-    # Partition values only: bounded by the number of partitions of the table.
-    touched = [r.asDict() for r in table.filter(condition).select(*part_cols).distinct().collect()]
-    schema = table.select(*part_cols).schema
-    values = spark.createDataFrame([tuple(t[c] for c in part_cols) for t in touched], schema)
-    if touched:
-        overwrite_partitions(change(table.filter(in_partitions(touched))), path, part_cols)
-    return values
+    folder = F.regexp_extract("_metadata.file_path", r"^(.*)/[^/]*$", 1)
+    body = spark.createDataFrame([], table.drop(*values[0]).schema)
+    for row in table.filter(in_partitions(values)).select(folder.alias("d")).distinct().collect():
+        body.write.mode("overwrite").parquet(row["d"])
+
+
+def partition_values(df: DataFrame, part_cols: Sequence[str]) -> list[dict]:
+    """Distinct partition values: control data, bounded by the table's number of partitions."""
+    return [r.asDict() for r in df.select(*part_cols).distinct().collect()]
 
 
 def in_partitions(values: Sequence[dict]) -> Column:
@@ -153,18 +145,23 @@ def update_where(
 
     if set(assignments) & set(part_cols):
         raise ValueError("moving rows between partitions is a merge, not an update")
-    _rewrite(spark, path, part_cols, condition, change)
+    table = spark.read.parquet(path)
+    touched = partition_values(table.filter(condition), part_cols)
+    if touched:
+        overwrite_partitions(change(table.filter(in_partitions(touched))), path, part_cols)
 
 
 def delete_where(spark: SparkSession, path: str, part_cols: Sequence[str], condition: Column) -> None:
     """DELETE on a Parquet table; a partition that loses all its rows ends up empty."""
-    keep = ~F.coalesce(condition, F.lit(False))
     table = spark.read.parquet(path)
-    hit = table.groupBy(*part_cols).agg(F.bool_or(condition).alias("__hit"), F.bool_or(keep).alias("__keep"))
-    gone = [tuple(r)[: len(part_cols)] for r in hit.filter("__hit and not __keep").collect()]
-    _rewrite(spark, path, part_cols, condition, lambda df: df.filter(keep))
-    if gone:
-        empty_partitions(spark, path, spark.createDataFrame(gone, table.select(*part_cols).schema))
+    touched = partition_values(table.filter(condition), part_cols)
+    if not touched:
+        return
+    rest = table.filter(in_partitions(touched) & ~F.coalesce(condition, F.lit(False)))
+    alive = partition_values(rest, part_cols)
+    if alive:
+        overwrite_partitions(rest, path, part_cols)
+    empty_partitions(spark, path, [v for v in touched if v not in alive])
 
 
 def file_audit(df: DataFrame, part_cols: Sequence[str]) -> DataFrame:
@@ -181,12 +178,25 @@ def table_bytes(df: DataFrame) -> int:
     return sizes.agg(F.sum("b").alias("b")).first()["b"] or 0
 
 
-def compact(spark: SparkSession, source: str, target: str, target_bytes: int = 128 * 1024 * 1024) -> int:
-    """Rewrite a table into about ceil(bytes / target_bytes) files; returns that number."""
-    df = spark.read.parquet(source)
-    n = max(1, -(-table_bytes(df) // target_bytes))
-    df.repartition(n).write.mode("overwrite").parquet(target)
-    return n
+def compact(
+    spark: SparkSession, source: str, target: str, target_bytes: int = 128 * 1024 * 1024, partition_by: Sequence[str] = ()
+) -> int:
+    """Rewrite a table into files of about the target size; returns ceil(bytes / target_bytes).
+
+    Without partitions nothing is shuffled: the scan packs small files into read tasks of
+    the target size, and each task writes one file. The packing settings live in a sibling
+    session. A partitioned table is gathered by partition instead.
+    """
+    planned = max(1, -(-table_bytes(spark.read.parquet(source)) // target_bytes))
+    if partition_by:
+        write_table(spark.read.parquet(source), target, partition_by=partition_by)
+        return planned
+    packed = spark.newSession()
+    packed.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
+    packed.conf.set("spark.sql.files.openCostInBytes", "0")
+    packed.conf.set("spark.sql.files.minPartitionNum", "1")
+    packed.read.parquet(source).write.mode("overwrite").parquet(target)
+    return planned
 
 
 def partition_balance(df: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from lakeops.operators.joins import broadcast_checked
-from lakeops.operators.layout import empty_partitions, in_partitions, overwrite_partitions, reused
+from lakeops.operators.layout import empty_partitions, in_partitions, overwrite_partitions, partition_values, reused
 from lakeops.operators.windows import latest
 
 RANK = "__source_rank"
@@ -65,8 +65,9 @@ def merge_partitions(
 
     Rows of touched partitions whose key is not in the updates pass through an anti join
     against the updates' keys and are not shuffled when those keys are few. `deleted`
-    marks change rows that remove their key. The whole merge is one dynamic overwrite:
-    running it again with the same updates changes nothing.
+    marks change rows that remove their key (no trace of the key is kept, so an older
+    version that arrives after its delete counts as new). The whole merge is one dynamic
+    overwrite: running it again with the same updates changes nothing.
     """
     parts = list(table.part_cols)
     with reused(newest(updates, table)) as fresh:
@@ -74,18 +75,22 @@ def merge_partitions(
         if target is None:
             kept = fresh.filter(~F.coalesce(deleted, F.lit(False))) if deleted is not None else fresh
             overwrite_partitions(kept, table.path, parts)
-            return _values(fresh, parts)
+            return partition_values(fresh, parts)
         columns = target.columns + [c for c in fresh.columns if c not in target.columns]
         # Partition columns are read back as directory values; keep the type the data has.
         target = target.withColumns({c: F.col(c).cast(fresh.schema[c].dataType) for c in parts if c in fresh.columns})
         keys_side = broadcast_checked(fresh.select(*table.keys))
-        scope = target
         if key_stays_in_partition:
-            scope = target.filter(in_partitions(_values(fresh, parts)))
+            candidates = partition_values(fresh, parts)
+        else:
+            # Keys only, and only their range: whole rows are read from the partitions found.
+            probe = target.filter(_key_range(fresh, table.keys)).select(*table.keys, *parts)
+            candidates = partition_values(_same_key(probe, keys_side, table.keys, "left_semi"), parts)
+        scope = target.filter(in_partitions(candidates))
         with reused(_same_key(scope, keys_side, table.keys, "left_semi")) as held:
             with reused(merge_versions(held, fresh, table.keys, table.order)) as winners:
                 kept = winners.filter(~F.coalesce(deleted, F.lit(False))) if deleted is not None else winners
-                was, now = _values(held, parts), _values(kept, parts)
+                was, now = partition_values(held, parts), partition_values(kept, parts)
                 touched = now + [v for v in was if v not in now]
                 if not touched:
                     return []
@@ -94,19 +99,21 @@ def merge_partitions(
                 at_risk = [v for v in was if v not in now]
                 gone = []
                 if at_risk:
-                    alive = _values(rest.filter(in_partitions(at_risk)), parts)
+                    alive = partition_values(rest.filter(in_partitions(at_risk)), parts)
                     gone = [v for v in at_risk if v not in alive]
                 merged = rest.unionByName(kept, allowMissingColumns=True).select(*columns)
                 overwrite_partitions(merged, table.path, parts)
-    if gone:
-        schema = spark.read.parquet(table.path).select(*parts).schema
-        empty_partitions(spark, table.path, spark.createDataFrame([tuple(v[c] for c in parts) for v in gone], schema))
+    empty_partitions(spark, table.path, gone)
     return touched
 
 
-def _values(df: DataFrame, parts: Sequence[str]) -> list[dict]:
-    """Distinct partition values: control data, bounded by the table's number of partitions."""
-    return [r.asDict() for r in df.select(*parts).distinct().collect()]
+def _key_range(fresh: DataFrame, keys: Sequence[str]) -> Column:
+    """The span of the updates' keys as literals, which lets the scan skip row groups."""
+    ends = fresh.agg(*[f(k).alias(f"{f.__name__}_{k}") for k in keys for f in (F.min, F.max)]).first()
+    keep = F.lit(True)
+    for k in keys:
+        keep = keep & (F.col(k).between(F.lit(ends[f"min_{k}"]), F.lit(ends[f"max_{k}"])) | F.col(k).isNull())
+    return keep
 
 
 def merge_columns(old: DataFrame, new: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:

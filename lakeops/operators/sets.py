@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def union_all(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -31,10 +32,18 @@ def except_all(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.exceptAll(b)
 
 
+def _sides(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Each distinct row once, with the sides it occurs on: one exchange, copies combined before it."""
+    both = a.withColumns({"__a": F.lit(True), "__b": F.lit(False)}).unionByName(
+        b.select(*a.columns).withColumns({"__a": F.lit(False), "__b": F.lit(True)})
+    )
+    return both.groupBy(*a.columns).agg(F.bool_or("__a").alias("__a"), F.bool_or("__b").alias("__b"))
+
+
 def minus(a: DataFrame, b: DataFrame) -> DataFrame:
-    """MINUS: the distinct rows of a that are not in b at all. Copies go before the join."""
-    return a.distinct().subtract(b.distinct())
+    """MINUS: the distinct rows of a that are not in b at all."""
+    return _sides(a, b).filter("__a and not __b").drop("__a", "__b")
 
 
 def intersect(a: DataFrame, b: DataFrame) -> DataFrame:
-    return a.distinct().intersect(b.distinct())
+    return _sides(a, b).filter("__a and __b").drop("__a", "__b")

@@ -19,8 +19,11 @@ SALT = "__salt"
 def skew_profile(df: DataFrame, key: str, k: int = 20, hot_share: float = 0.05) -> DataFrame:
     """The k most frequent keys with row count, share of all rows and a hot flag."""
     total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    top = df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows")).orderBy(F.desc("n_rows"), F.asc_nulls_first(key)).limit(k)
-    return top.withColumn("share", F.col("n_rows") / total).withColumn("is_hot", F.col("share") > F.lit(hot_share))
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
+    shares = counts.select(
+        key, "n_rows", (F.col("n_rows") / total).alias("share"), (F.col("n_rows") > F.lit(hot_share) * total).alias("is_hot")
+    )
+    return shares.orderBy(F.desc("n_rows"), F.asc_nulls_first(key)).limit(k)
 
 
 def hot_keys(df: DataFrame, key: str, share: float = 0.05) -> DataFrame:
@@ -32,7 +35,7 @@ def hot_keys(df: DataFrame, key: str, share: float = 0.05) -> DataFrame:
     slim = df.select(key)
     found = slim.stat.freqItems([key], min(share, 0.25)).first()[0]
     candidates = [v for v in found if v is not None]
-    # A zone-less null test: null never equals a join key, so it is not a hot join key.
+    # Null never equals a join key, so it is not a hot join key.
     total = slim.agg(F.count(F.lit(1)).alias("n")).scalar()
     counted = slim.filter(F.col(key).isin(candidates)).groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
     return counted.filter(F.col("n_rows") > total * F.lit(share))

@@ -22,6 +22,36 @@ def _sorts(order: Sequence[str | Column]) -> list[Column]:
     return [c if isinstance(c, Column) else F.desc_nulls_last(c[1:]) if c[0] == "-" else F.col(c) for c in order]
 
 
+def _large_groups(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame | None:
+    """Groups with more than an n-th of all rows, n being the number of shuffle partitions.
+
+    There are fewer than n of them, so they come to the driver; None if there are none.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    large = counts.filter(F.col("__n") * F.lit(n) > total).drop("__n")
+    rows = large.collect()
+    return df.sparkSession.createDataFrame(rows, large.schema) if rows else None
+
+
+def _only(df: DataFrame, groups: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    side = F.broadcast(groups.select(*[F.col(k).alias(f"g_{k}") for k in keys]))
+    match = F.lit(True)
+    for k in keys:
+        match = match & F.col(k).eqNullSafe(F.col(f"g_{k}"))
+    return df.join(side, match, how)
+
+
+def _by_size(df: DataFrame, keys: Sequence[str], n: int, plain, spread) -> DataFrame:
+    """`plain` on the ordinary groups, `spread` on the large ones, one after the other."""
+    if not keys:
+        return spread(df)
+    large = _large_groups(df, keys, n)
+    if large is None:
+        return plain(df)
+    return plain(_only(df, large, keys, "left_anti")).unionByName(spread(_only(df, large, keys, "left_semi")))
+
+
 def ordered_numbers(
     df: DataFrame,
     keys: Sequence[str],
@@ -34,29 +64,45 @@ def ordered_numbers(
 ) -> DataFrame:
     """Row number, running sums and lag/lead by one, over groups of any size.
 
-    Rows are range-partitioned by (keys, order), so a hot group covers many partitions.
-    Each piece of a group is numbered on its own, and what precedes it comes from the
-    pieces' summary. Only groups in more than one piece need that summary, and there are
-    fewer of those than partitions, which bounds the broadcast.
+    Ordinary groups take one window. The rows of a group too large for a task are
+    range-partitioned by (keys, order), so that it covers many partitions; each piece is
+    numbered on its own, and what precedes it comes from the pieces' summary, which has
+    one row per piece.
 
     `order` must make rows of a group distinct. `running`, `lag`, `lead` map new column
-    names to source columns; `keys` may be empty.
+    names to source columns; `keys` may be empty, and then the whole table is one group.
     """
     running, lag, lead = running or {}, lag or {}, lead or {}
-    spark = df.sparkSession
-    scratch_root(spark)
+    n = partitions or shuffle_partitions(df.sparkSession)
+    out = [*df.columns, *([row_number] if row_number else []), *running, *lag, *lead]
+
+    def plain(rows: DataFrame) -> DataFrame:
+        w = Window.partitionBy(*keys).orderBy(*_sorts(order))
+        upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        numbers = {row_number: F.row_number().over(w).cast("long")} if row_number else {}
+        numbers |= {o: F.sum(src).over(upto) for o, src in running.items()}
+        numbers |= {o: F.lag(src).over(w) for o, src in lag.items()}
+        numbers |= {o: F.lead(src).over(w) for o, src in lead.items()}
+        return rows.withColumns(numbers).select(*out)
+
+    def spread(rows: DataFrame) -> DataFrame:
+        return _spread_numbers(rows, keys, order, row_number, running, lag, lead, n)
+
+    return _by_size(df, keys, n, plain, spread)
+
+
+def _spread_numbers(df, keys, order, row_number, running, lag, lead, n) -> DataFrame:
+    scratch_root(df.sparkSession)
     sorts = _sorts(order)
-    n = partitions or shuffle_partitions(spark)
     # Range bounds are sampled, so the cut is written down before it is read twice.
     cut = (
         df.repartitionByRange(n, *[F.col(k) for k in keys], *sorts)
         .withColumn(_PIECE, F.spark_partition_id())
         .checkpoint()
     )
-    group = [*keys, _PIECE]
-    w = Window.partitionBy(*group).orderBy(*sorts)
+    w = Window.partitionBy(*keys, _PIECE).orderBy(*sorts)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(*group).orderBy(*sorts).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     local = cut.withColumns(
         {
             "__rn": F.row_number().over(w).cast("long"),
@@ -70,6 +116,7 @@ def ordered_numbers(
     match = F.col(_PIECE) == F.col("o_piece")
     for k in keys:
         match = match & F.col(k).eqNullSafe(F.col(f"o_{k}"))
+    # One row per piece of a large group: at most twice the number of partitions.
     joined = local.join(F.broadcast(offsets), match, "left")
     out = [F.col(c) for c in df.columns]
     if row_number:
@@ -85,7 +132,7 @@ def ordered_numbers(
 
 
 def _offsets(cut, keys, order, running, lag, lead) -> DataFrame:
-    """Per piece of a divided group: rows and sums before it, last row before, first row after."""
+    """Per piece of a group: rows and sums before it, last row before, first row after."""
     ends = {}
     if lag or lead:
         if not all(isinstance(c, str) and c[0] != "-" for c in order):
@@ -99,20 +146,15 @@ def _offsets(cut, keys, order, running, lag, lead) -> DataFrame:
         *[c.alias(o) for o, c in ends.items()],
     )
     # At most as many rows per group as there are partitions.
-    group = Window.partitionBy(*keys)
-    seq = group.orderBy(_PIECE)
+    seq = Window.partitionBy(*keys).orderBy(_PIECE)
     before = seq.rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        pieces.withColumn("__pieces", F.count(F.lit(1)).over(group))
-        .filter(F.col("__pieces") > 1)
-        .select(
-            *[F.col(k).alias(f"o_{k}") for k in keys],
-            F.col(_PIECE).alias("o_piece"),
-            F.sum("__n").over(before).alias("o_rows"),
-            *[F.sum(f"__tot_{o}").over(before).alias(f"o_sum_{o}") for o in running],
-            *[F.lag(f"__tail_{o}").over(seq).alias(f"o_lag_{o}") for o in lag],
-            *[F.lead(f"__head_{o}").over(seq).alias(f"o_lead_{o}") for o in lead],
-        )
+    return pieces.select(
+        *[F.col(k).alias(f"o_{k}") for k in keys],
+        F.col(_PIECE).alias("o_piece"),
+        F.sum("__n").over(before).alias("o_rows"),
+        *[F.sum(f"__tot_{o}").over(before).alias(f"o_sum_{o}") for o in running],
+        *[F.lag(f"__tail_{o}").over(seq).alias(f"o_lag_{o}") for o in lag],
+        *[F.lead(f"__head_{o}").over(seq).alias(f"o_lead_{o}") for o in lead],
     )
 
 
@@ -121,26 +163,36 @@ def ranks(
 ) -> DataFrame:
     """rank and dense_rank of every row, groups and ties of any size.
 
-    Peers share both numbers, so it is enough to number the distinct order values: the
-    dense rank is their row number, the rank follows from the running count of rows.
+    In a large group the distinct order values are numbered instead of the rows, for
+    peers share both numbers: the dense rank is the value's row number, the rank follows
+    from the running count of rows.
     """
     marks = [c.lstrip("-") for c in order]
-    peers = df.groupBy(*keys, *marks).agg(F.count(F.lit(1)).alias("__peers"))
-    numbered = ordered_numbers(peers, keys, order, row_number="__dense", running={"__upto": "__peers"})
-    side = numbered.select(
-        *[F.col(c).alias(f"p_{c}") for c in (*keys, *marks)],
-        (F.col("__upto") - F.col("__peers") + 1).alias("__rank"),
-        "__dense",
-    )
-    match = F.lit(True)
-    for c in (*keys, *marks):
-        match = match & F.col(c).eqNullSafe(F.col(f"p_{c}"))
-    out = [F.col(c) for c in df.columns]
-    if rank:
-        out.append(F.col("__rank").alias(rank))
-    if dense_rank:
-        out.append(F.col("__dense").alias(dense_rank))
-    return df.join(side, match).select(*out)
+    out = [*df.columns, *([rank] if rank else []), *([dense_rank] if dense_rank else [])]
+
+    def plain(rows: DataFrame) -> DataFrame:
+        w = Window.partitionBy(*keys).orderBy(*_sorts(order))
+        numbers = {rank: F.rank().over(w).cast("long")} if rank else {}
+        numbers |= {dense_rank: F.dense_rank().over(w).cast("long")} if dense_rank else {}
+        return rows.withColumns(numbers).select(*out)
+
+    def spread(rows: DataFrame) -> DataFrame:
+        peers = rows.groupBy(*keys, *marks).agg(F.count(F.lit(1)).alias("__peers"))
+        n = shuffle_partitions(df.sparkSession)
+        numbered = _spread_numbers(peers, keys, order, "__dense", {"__upto": "__peers"}, {}, {}, n)
+        side = numbered.select(
+            *[F.col(c).alias(f"p_{c}") for c in (*keys, *marks)],
+            (F.col("__upto") - F.col("__peers") + 1).alias("__rank"),
+            "__dense",
+        )
+        match = F.lit(True)
+        for c in (*keys, *marks):
+            match = match & F.col(c).eqNullSafe(F.col(f"p_{c}"))
+        named = {rank: F.col("__rank")} if rank else {}
+        named |= {dense_rank: F.col("__dense")} if dense_rank else {}
+        return rows.join(side, match).withColumns(named).select(*out)
+
+    return _by_size(df, keys, shuffle_partitions(df.sparkSession), plain, spread)
 
 
 def latest(

@@ -119,10 +119,15 @@ def _(t):
 
 @query("str03_watermark", "SELECT event_id, ts FROM events")
 def _(t):
-    """Every event sent twice in one batch; the watermark bounds the state that drops the copy."""
+    """Every event sent twice in one batch, the copies told apart by an offset that spreads them over the state."""
     rows = t.events.select("event_id", "ts")
+    twice = rows.withColumn("offset", F.lit(1)).unionAll(rows.withColumn("offset", F.lit(2)))
     path = t.scratch("watermark")
-    feed(t, [rows.unionAll(rows)], lambda s, ck: append_stream(dedup.first_per_key(s, ["event_id"], "ts", "30 minutes"), path, ck))
+
+    def start(s, ck):
+        return append_stream(dedup.first_per_key(s, ["event_id"], "ts", "30 minutes", spread=F.pmod("offset", F.lit(16))), path, ck)
+
+    feed(t, [twice], start)
     return t.spark.read.parquet(path).select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
 
 
