@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.functions.money import exact_avg, exact_sum, from_minor, minor_units
+from lakeops.operators.layout import reused
 from lakeops.operators.skew import hot_keys
 from lakeops.operators.windows import ordered_numbers
 
@@ -149,43 +150,85 @@ def frequencies(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("n_rows")).orderBy(F.desc("n_rows"), F.asc_nulls_first(column))
 
 
+# Relative rank error of the quantile sketch is 1 / SKETCH.
+SKETCH = 2_000
+
+
 def numeric_profile(df: DataFrame, columns: Sequence[str], probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
     """One row per column: count, nulls, mean, stddev, min, max and exact quantiles.
 
-    Quantiles interpolate between neighbours. They come from distributed running counts
-    over the distinct values, since an exact percentile aggregate would hold every
-    distinct value in one task.
+    Quantiles interpolate between neighbours. A sketch, taken along with the other
+    numbers, brackets each one; only the values inside a bracket are then put in order,
+    spread over tasks. A bracket that turns out not to hold its quantile is widened to
+    the whole column, so the result is exact in any case.
     """
     names = list(columns)
-    long = df.select(
-        F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in names]))
-    )
-    basics = long.groupBy("column_name").agg(
-        F.count("v").alias("n"),
-        F.count_if(F.col("v").isNull()).alias("n_null"),
-        exact_avg("v", 4).alias("mean"),
-        F.round(F.stddev("v"), 4).alias("stddev"),
-        F.min("v").alias("min"),
-        F.max("v").alias("max"),
-    )
-    counts = long.filter(F.col("v").isNotNull()).groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("__c"))
-    running = ordered_numbers(counts, ["column_name"], ["v"], running={"__upto": "__c"})
-    at = F.array(
-        *[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)]
-    )
-    # Number of rows is one value per column, so this side is as small as `names`.
-    wanted = basics.select("column_name", "n", F.inline(at)).withColumn("pos", F.col("p") * (F.col("n") - 1))
-    held = running.join(F.broadcast(wanted), "column_name").filter(
-        (F.floor("pos") < F.col("__upto")) & (F.ceil("pos") >= F.col("__upto") - F.col("__c"))
+    values = df.select(*[F.col(c).cast("double").alias(c) for c in names])
+    margin = 2.0 / SKETCH
+    ends = [x for p in probs for x in (max(0.0, p - margin), min(1.0, p + margin))]
+    one_pass = [
+        expr.alias(f"{name}_{i}")
+        for i, c in enumerate(names)
+        for name, expr in {
+            "n": F.count(c),
+            "n_null": F.count_if(F.col(c).isNull()),
+            "mean": exact_avg(c, 4),
+            "stddev": F.round(F.stddev(c), 4),
+            "min": F.min(c),
+            "max": F.max(c),
+            "ends": F.percentile_approx(c, ends, SKETCH),
+        }.items()
+    ]
+    row = values.agg(*one_pass).first()
+    known = df.sparkSession.createDataFrame(
+        [(c, *[row[f"{f}_{i}"] for f in ("n", "n_null", "mean", "stddev", "min", "max")]) for i, c in enumerate(names)],
+        "column_name string, n long, n_null long, mean double, stddev double, min double, max double",
     )
-    before = F.col("__upto") - F.col("__c")
-    edges = held.groupBy("column_name", "i").agg(
-        F.max(F.when((F.floor("pos") >= before) & (F.floor("pos") < F.col("__upto")), F.col("v"))).alias("lo"),
-        F.max(F.when((F.ceil("pos") >= before) & (F.ceil("pos") < F.col("__upto")), F.col("v"))).alias("hi"),
-        F.first(F.col("pos") - F.floor("pos")).alias("frac"),
+    wanted = [
+        (c, j, p * (row[f"n_{i}"] - 1), row[f"ends_{i}"][2 * j], row[f"ends_{i}"][2 * j + 1])
+        for i, c in enumerate(names)
+        if row[f"n_{i}"]
+        for j, p in enumerate(probs)
+    ]
+    if not wanted:
+        return known.withColumns({_quantile(p): F.lit(None).cast("double") for p in probs})
+    below, inside = _bracket_counts(values, wanted)
+    brackets = [
+        (c, i, pos, lo, hi, float(b)) if b <= int(pos) and b + n > -(-pos // 1) else (c, i, pos, None, None, 0.0)
+        for (c, i, pos, lo, hi), b, n in zip(wanted, below, inside)
+    ]
+    side = F.broadcast(
+        df.sparkSession.createDataFrame(brackets, "column_name string, i int, pos double, lo double, hi double, below double")
     )
-    value = F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("frac")
-    quantiles = edges.groupBy("column_name").agg(
-        *[F.max(F.when(F.col("i") == i, value)).alias(f"p{round(p * 100)}") for i, p in enumerate(probs)]
+    within = F.col("v").isNotNull() & (F.col("lo").isNull() | F.col("v").between(F.col("lo"), F.col("hi")))
+    long = values.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("v")) for c in names])))
+    held = long.join(side, "column_name").filter(within)
+    counts = held.groupBy("column_name", "i", "pos", "below", "v").agg(F.count(F.lit(1)).alias("__c"))
+    with reused(counts) as kept:
+        running = ordered_numbers(kept, ["column_name", "i"], ["v"], running={"__upto": "__c"}, all_large=True)
+    upto = F.col("below") + F.col("__upto")
+    before = upto - F.col("__c")
+
+    def at(position: Column) -> Column:
+        return F.max(F.when((position >= before) & (position < upto), F.col("v")))
+
+    neighbours = running.groupBy("column_name", "i", "pos").agg(at(F.floor("pos")).alias("a"), at(F.ceil("pos")).alias("b"))
+    value = F.col("a") + (F.col("b") - F.col("a")) * (F.col("pos") - F.floor("pos"))
+    quantiles = neighbours.groupBy("column_name").agg(
+        *[F.max(F.when(F.col("i") == i, value)).alias(_quantile(p)) for i, p in enumerate(probs)]
     )
-    return basics.join(quantiles, "column_name", "left")
+    return known.join(quantiles, "column_name", "left")
+
+
+def _quantile(p: float) -> str:
+    return f"p{round(p * 100)}"
+
+
+def _bracket_counts(values: DataFrame, wanted: Sequence[tuple]) -> tuple[list[int], list[int]]:
+    """Rows below and inside each (column, i, pos, lo, hi), in one pass."""
+    exprs = []
+    for n, (c, _, _, lo, hi) in enumerate(wanted):
+        exprs.append(F.count_if(F.col(c) < F.lit(lo)).alias(f"b{n}"))
+        exprs.append(F.count_if(F.col(c).between(F.lit(lo), F.lit(hi))).alias(f"i{n}"))
+    row = values.agg(*exprs).first()
+    return [row[f"b{n}"] for n in range(len(wanted))], [row[f"i{n}"] for n in range(len(wanted))]

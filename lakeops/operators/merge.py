@@ -12,6 +12,7 @@ from pyspark.sql.utils import AnalysisException
 from lakeops.operators.joins import broadcast_checked
 from lakeops.operators.layout import empty_partitions, in_partitions, overwrite_partitions, partition_values, reused
 from lakeops.operators.windows import latest
+from lakeops.session import scratch_root
 
 RANK = "__source_rank"
 
@@ -87,22 +88,22 @@ def merge_partitions(
             probe = target.filter(_key_range(fresh, table.keys)).select(*table.keys, *parts)
             candidates = partition_values(_same_key(probe, keys_side, table.keys, "left_semi"), parts)
         scope = target.filter(in_partitions(candidates))
+        scratch_root(spark)
         with reused(_same_key(scope, keys_side, table.keys, "left_semi")) as held:
-            with reused(merge_versions(held, fresh, table.keys, table.order)) as winners:
-                kept = winners.filter(~F.coalesce(deleted, F.lit(False))) if deleted is not None else winners
-                was, now = partition_values(held, parts), partition_values(kept, parts)
-                touched = now + [v for v in was if v not in now]
-                if not touched:
-                    return []
-                rest = _same_key(target.filter(in_partitions(touched)), keys_side, table.keys, "left_anti")
-                # Partitions that lost a key and got none back may have nothing left.
-                at_risk = [v for v in was if v not in now]
-                gone = []
-                if at_risk:
-                    alive = partition_values(rest.filter(in_partitions(at_risk)), parts)
-                    gone = [v for v in at_risk if v not in alive]
-                merged = rest.unionByName(kept, allowMissingColumns=True).select(*columns)
-                overwrite_partitions(merged, table.path, parts)
+            was = partition_values(held, parts)
+            # Cut off from the table's files, which are about to be replaced.
+            winners = merge_versions(held, fresh, table.keys, table.order).checkpoint()
+        kept = winners.filter(~F.coalesce(deleted, F.lit(False))) if deleted is not None else winners
+        now = partition_values(kept, parts)
+        touched = now + [v for v in was if v not in now]
+        if not touched:
+            return []
+        rest = _same_key(target.filter(in_partitions(touched)), keys_side, table.keys, "left_anti")
+        # Partitions that lost a key and got none back may have nothing left.
+        at_risk = [v for v in was if v not in now]
+        alive = partition_values(rest.filter(in_partitions(at_risk)), parts) if at_risk else []
+        gone = [v for v in at_risk if v not in alive]
+        overwrite_partitions(rest.unionByName(kept, allowMissingColumns=True).select(*columns), table.path, parts)
     empty_partitions(spark, table.path, gone)
     return touched
 

@@ -61,6 +61,7 @@ def ordered_numbers(
     lag: dict[str, str] | None = None,
     lead: dict[str, str] | None = None,
     partitions: int | None = None,
+    all_large: bool = False,
 ) -> DataFrame:
     """Row number, running sums and lag/lead by one, over groups of any size.
 
@@ -69,6 +70,7 @@ def ordered_numbers(
     numbered on its own, and what precedes it comes from the pieces' summary, which has
     one row per piece.
 
+    `all_large` says that no group is ordinary, which saves looking for the large ones.
     `order` must make rows of a group distinct. `running`, `lag`, `lead` map new column
     names to source columns; `keys` may be empty, and then the whole table is one group.
     """
@@ -88,7 +90,7 @@ def ordered_numbers(
     def spread(rows: DataFrame) -> DataFrame:
         return _spread_numbers(rows, keys, order, row_number, running, lag, lead, n)
 
-    return _by_size(df, keys, n, plain, spread)
+    return spread(df) if all_large else _by_size(df, keys, n, plain, spread)
 
 
 def _spread_numbers(df, keys, order, row_number, running, lag, lead, n) -> DataFrame:

@@ -16,6 +16,8 @@ SPEED_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Checkpoint files go when their frame does.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Streaming state on local disk rather than on the heap.
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
@@ -47,7 +49,8 @@ def skew_session(spark: SparkSession, threshold: str = "256MB", factor: float =
     """
     sibling = apply_profile(spark.newSession())
     for key, value in SPEED_SETTINGS.items():
-        sibling.conf.set(key, value)
+        if key.startswith("spark.sql."):
+            sibling.conf.set(key, value)
     sibling.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", threshold)
     sibling.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionFactor", str(factor))
     sibling.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
