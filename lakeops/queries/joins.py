@@ -181,7 +181,7 @@ def _(t):
 @query("jon20_adaptive_skew_join", HOT_JOIN)
 def _(t):
     """Sort-merge join in a session whose skew threshold is low enough to act on small data."""
-    tuned = Tables(skew_session(t.spark, threshold="64KB", factor=2.0), t.directory)
+    tuned = Tables(skew_session(t.spark, threshold="64KB", factor=2.0, piece="32KB"), t.directory)
     return join_as(hot(tuned), segments(tuned, "custkey"), "custkey", "left", "merge")
 
 

@@ -41,9 +41,14 @@ def apply_profile(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def skew_session(spark: SparkSession, threshold: str = "256MB", factor: float = 5.0) -> SparkSession:
+def skew_session(
+    spark: SparkSession, threshold: str = "256MB", factor: float = 5.0, piece: str = "64MB"
+) -> SparkSession:
     """A sibling session (same context, own SQL settings) tuned for adaptive skew joins.
 
+    A partition above `threshold` and `factor` times the median is cut into pieces of
+    about `piece`.
+
     Settings are read when a query runs, so a lazily returned frame needs a session of
     its own rather than a setting that is put back afterwards.
     """
@@ -53,6 +58,7 @@ def skew_session(spark: SparkSession, threshold: str = "256MB", factor: float =
             sibling.conf.set(key, value)
     sibling.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", threshold)
     sibling.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionFactor", str(factor))
+    sibling.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", piece)
     sibling.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     return sibling
 
