@@ -99,7 +99,7 @@ def list_parts(
         order = ["__v"]
     order = [c.replace(value, "__v") if c.lstrip("-") == value else c for c in order]
     numbered = ordered_numbers(slim, keys, order, row_number="__rn")
-    parts = numbered.withColumn("part", F.floor((F.col("__rn") - 1) / F.lit(part_size)).cast("long"))
+    parts = numbered.withColumn("part", F.expr(f"(__rn - 1) div {int(part_size)}"))
     return (
         parts.groupBy(*keys, "part")
         .agg(F.sort_array(F.collect_list(F.struct("__rn", "__v"))).alias("__items"))

@@ -6,10 +6,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeops.operators.skew import hot_keys
+from lakeops.session import skew_session
+
 BROADCAST_LIMIT = 64 * 1024 * 1024
 
 _FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -60,6 +63,33 @@ def join_as(
     return left.join(right, on, how)
 
 
+def exists_in(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
+    """Rows of the left whose key occurs on the right; copies of a key go before the exchange."""
+    keys = [on] if isinstance(on, str) else list(on)
+    return left.join(right.select(*keys).distinct(), keys, "left_semi")
+
+
+def not_exists_in(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
+    """Rows of the left whose key does not occur on the right, null keys among them."""
+    keys = [on] if isinstance(on, str) else list(on)
+    return left.join(right.select(*keys).distinct(), keys, "left_anti")
+
+
+def bucketed_join(
+    spark: SparkSession, left: str, right: str, key: str, buckets: int, how: str = "left"
+) -> DataFrame:
+    """Join two catalog tables bucketed alike on `key`, without an exchange.
+
+    A bucket is read by one task. If a key of the left table alone exceeds an average
+    bucket, the join is planned without the buckets instead, in a session where adaptive
+    execution splits the skewed partitions.
+    """
+    if hot_keys(spark.table(left), key, 2.0 / buckets).take(1):
+        spark = skew_session(spark)
+        spark.conf.set("spark.sql.sources.bucketing.enabled", "false")
+    return join_as(spark.table(left), spark.table(right), key, how, "merge")
+
+
 def prefixed(df: DataFrame, prefix: str, columns: Sequence[str] | None = None) -> DataFrame:
     """The chosen columns (all by default), renamed with a prefix."""
     return df.select(*[F.col(c).alias(prefix + c) for c in columns or df.columns])

@@ -9,19 +9,30 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeops.operators.skew import hot_keys
+from lakeops.session import shuffle_partitions
 
-def clustered(df: DataFrame, partition_by: Sequence[str], files: int | None = None) -> DataFrame:
+
+def clustered(df: DataFrame, partition_by: Sequence[str], rows_per_file: int | None = None) -> DataFrame:
     """Rows gathered by partition key before a partitioned write, for few files per partition.
 
     By default Spark balances the pieces: small partitions share a task and a hot one is
-    split over several, each near the advisory size. With `files` every partition value
-    goes to exactly that many pieces at most.
+    split over several, each near the advisory size. With `rows_per_file` a partition of
+    n rows goes to at most ceil(n / rows_per_file) files, each by its own task.
     """
-    if files is None:
-        return df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
-    slot = F.pmod(F.xxhash64(*df.columns), F.lit(files))
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, *[F.col(c) for c in partition_by], *([slot] if files > 1 else []))
+    if not partition_by:
+        return df
+    if rows_per_file is None:
+        return df.hint("rebalance", *[F.col(c) for c in partition_by])
+    # One row per partition of the table to be written.
+    sizes = df.groupBy(*partition_by).agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_file)).alias("__slots"))
+    sizes = sizes.select(*[F.col(c).alias(f"__p_{c}") for c in partition_by], "__slots")
+    match = F.lit(True)
+    for c in partition_by:
+        match = match & F.col(c).eqNullSafe(F.col(f"__p_{c}"))
+    slot = F.pmod(F.xxhash64(*df.columns), F.col("__slots"))
+    slotted = df.join(F.broadcast(sizes), match, "left").select(*df.columns, slot.alias("__slot"))
+    return slotted.repartition(*[F.col(c) for c in partition_by], F.col("__slot")).drop("__slot")
 
 
 def write_table(
@@ -30,11 +41,11 @@ def write_table(
     mode: str = "overwrite",
     partition_by: Sequence[str] = (),
     gather: bool = True,
-    files: int | None = None,
+    rows_per_file: int | None = None,
     max_records: int | None = None,
 ) -> str:
     """Parquet write; partitioned writes gather rows by partition key first."""
-    out = clustered(df, partition_by, files) if gather and partition_by else df
+    out = clustered(df, partition_by, rows_per_file) if gather else df
     writer = out.write.mode(mode)
     if max_records:
         writer = writer.option("maxRecordsPerFile", max_records)
@@ -56,14 +67,14 @@ def catalog_append(df: DataFrame, table: str, path: str | None = None) -> None:
     writer.saveAsTable(table)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str], files: int | None = None) -> str:
+def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> str:
     """Replace only the partitions present in the data.
 
     The committer stages all files and moves them in when the job commits, so a failed
     job leaves the table as it was, and the data may come from the table itself.
     """
     (
-        clustered(df, partition_by, files)
+        clustered(df, partition_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
@@ -77,11 +88,30 @@ def publish_day(df: DataFrame, path: str, part_col: str, day) -> str:
     return overwrite_partitions(df.filter(F.col(part_col) == F.lit(day)), path, [part_col])
 
 
+def buckets_for(df: DataFrame, target_bytes: int = 256 * 1024 * 1024, least: int = 8) -> int:
+    """Number of buckets, a power of two, that makes a bucket of a scanned table about the target size."""
+    n = least
+    while n * target_bytes < table_bytes(df):
+        n *= 2
+    return n
+
+
 def write_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int, path: str) -> str:
-    """A table bucketed and sorted by key, rows gathered so each bucket is one file."""
+    """A table bucketed and sorted by key.
+
+    Rows are gathered so that a bucket is one file. Where a key exceeds an average bucket,
+    its rows are written by many tasks instead, as several files of the same bucket.
+    """
+    hot = [r[0] for r in hot_keys(df, keys[0], 2.0 / buckets).collect()]
+    if hot:
+        bucket = F.pmod(F.hash(*keys), F.lit(buckets))
+        n = max(buckets, shuffle_partitions(df.sparkSession))
+        slot = F.when(F.col(keys[0]).isin(hot), F.pmod(F.xxhash64(*df.columns), F.lit(n))).otherwise(F.lit(0))
+        gathered = df.repartition(n, bucket, slot)
+    else:
+        gathered = df.repartition(buckets, *keys)
     (
-        df.repartition(buckets, *keys)
-        .write.mode("overwrite")
+        gathered.write.mode("overwrite")
         .format("parquet")
         .option("path", path)
         .bucketBy(buckets, *keys)
@@ -204,6 +234,12 @@ def partition_balance(df: DataFrame) -> DataFrame:
     return df.groupBy(F.spark_partition_id().alias("partition_id")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def predicted_balance(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
+    """Rows per partition that repartitioning by the keys would give, without moving a row."""
+    slot = F.pmod(F.hash(*keys), F.lit(n))
+    return df.groupBy(slot.alias("partition_id")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @contextmanager
 def reused(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[DataFrame]:
     """A frame that several actions read, kept until the block ends.

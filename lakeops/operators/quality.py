@@ -53,33 +53,35 @@ def quarantine(bad: DataFrame, path: str, run_id: str, mode: str = "append") ->
 def reconcile(source: DataFrame, target: DataFrame, keys: Sequence[str], measures: dict[str, Column]) -> DataFrame:
     """One row per check with the value on both sides and whether they agree.
 
-    `measures` maps a name to an aggregate. Keys are reduced to one row per key before
-    the two sides meet, so a key with many copies costs no more than another.
+    `measures` maps a name to an aggregate.
     """
 
     def totals(df: DataFrame, side: str) -> DataFrame:
         row = df.agg(F.count(F.lit(1)).cast("double").alias("rows"), *[c.cast("double").alias(n) for n, c in measures.items()])
         return row.unpivot([], [F.col(c) for c in ("rows", *measures)], "check", side)
 
-    def per_key(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+    def keyed(df: DataFrame, in_source: bool) -> DataFrame:
+        return df.select(*keys, F.lit(in_source).alias("__s"))
 
-    s, t = per_key(source, "__s").alias("s"), per_key(target, "__t").alias("t")
-    match: Column = F.lit(True)
-    for k in keys:
-        match = match & F.col(f"s.{k}").eqNullSafe(F.col(f"t.{k}"))
-    keyed = s.join(t, match, "full").agg(
+    # Both sides in one aggregate: one exchange of key counts, null keys included.
+    per_key = (
+        keyed(source, True)
+        .unionByName(keyed(target, False))
+        .groupBy(*keys)
+        .agg(F.count_if("__s").alias("__s"), F.count_if(~F.col("__s")).alias("__t"))
+    )
+    totals_by_key = per_key.agg(
         F.count_if(F.col("__s") > 1).cast("double").alias("dup_s"),
         F.count_if(F.col("__t") > 1).cast("double").alias("dup_t"),
-        F.count_if(F.col("__t").isNull()).cast("double").alias("lost"),
-        F.count_if(F.col("__s").isNull()).cast("double").alias("extra"),
+        F.count_if(F.col("__t") == 0).cast("double").alias("lost"),
+        F.count_if(F.col("__s") == 0).cast("double").alias("extra"),
     )
 
     def check(name: str, on_source: Column, on_target: Column) -> Column:
         return F.struct(F.lit(name).alias("check"), on_source.alias("source_value"), on_target.alias("target_value"))
 
     none = F.lit(0.0)
-    keyed_rows = keyed.select(
+    keyed_rows = totals_by_key.select(
         F.inline(
             F.array(
                 check("duplicate_keys", F.col("dup_s"), F.col("dup_t")),

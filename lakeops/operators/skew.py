@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.functions.money import minor_units
+from lakeops.session import shuffle_partitions
 
 SALT = "__salt"
 
@@ -78,16 +79,19 @@ def partial_salted_join(
     key: str,
     row_key: Sequence[str],
     hot: DataFrame | None = None,
-    n: int = 16,
+    n: int | None = None,
     share: float = 0.05,
     how: str = "left",
 ) -> DataFrame:
     """Salt only the hot keys; the others keep salt 0 and one dimension row.
 
     Without `hot` the keys above `share` are found first; there are at most 1/share of
-    them, so they come to the driver and become literals of the plan.
+    them, so they come to the driver and become literals of the plan. Only their
+    dimension rows are copied, so a hot key may cover all shuffle partitions (the
+    default of `n`).
     """
     _check(how)
+    n = n or shuffle_partitions(fact.sparkSession)
     if hot is None:
         hot = hot_keys(fact, key, share)
     bound = int(1 / share) + 1

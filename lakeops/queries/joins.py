@@ -6,8 +6,8 @@ from lakeops.functions.money import exact_sum
 from lakeops.operators import skew
 from lakeops.operators.aggregate import kpi
 from lakeops.operators.hierarchy import walk
-from lakeops.operators.joins import Dim, fan_out, join_as, prefixed, star_join
-from lakeops.operators.layout import write_bucketed
+from lakeops.operators.joins import Dim, bucketed_join, exists_in, fan_out, join_as, not_exists_in, prefixed, star_join
+from lakeops.operators.layout import buckets_for, write_bucketed
 from lakeops.queries.registry import HOT_SQL, Tables, avg_sql, hot_orders, query, sum_sql
 from lakeops.session import skew_session
 
@@ -96,9 +96,10 @@ def _(t):
 @query("jon10_bucketed", "SELECT o_orderkey, o_custkey, c_mktsegment FROM orders LEFT JOIN customer ON o_custkey = c_custkey")
 def _(t):
     a, b = t.scratch("bucket-o"), t.scratch("bucket-c")
-    left = write_bucketed(t.orders.select("o_orderkey", "o_custkey"), "jon10o_" + a[-32:], ["o_custkey"], 8, a)
-    right = write_bucketed(segments(t), "jon10c_" + b[-32:], ["o_custkey"], 8, b)
-    return join_as(t.spark.table(left), t.spark.table(right), "o_custkey", "left", "merge")
+    n = buckets_for(t.orders)
+    left = write_bucketed(t.orders.select("o_orderkey", "o_custkey"), "jon10o_" + a[-32:], ["o_custkey"], n, a)
+    right = write_bucketed(segments(t), "jon10c_" + b[-32:], ["o_custkey"], n, b)
+    return bucketed_join(t.spark, left, right, "o_custkey", n)
 
 
 @query(
@@ -144,7 +145,7 @@ def _(t):
 )
 def _(t):
     big = t.orders.filter("o_totalprice > 450000").select(F.col("o_custkey").alias("c_custkey"))
-    return t.customer.select("c_custkey", "c_name").join(big, "c_custkey", "left_semi")
+    return exists_in(t.customer.select("c_custkey", "c_name"), big, "c_custkey")
 
 
 @query(
@@ -153,7 +154,7 @@ def _(t):
 )
 def _(t):
     big = t.orders.filter("o_totalprice > 450000").select(F.col("o_custkey").alias("c_custkey"))
-    return t.customer.select("c_custkey", "c_name").join(big, "c_custkey", "left_anti")
+    return not_exists_in(t.customer.select("c_custkey", "c_name"), big, "c_custkey")
 
 
 @query("jon16_salted", HOT_JOIN)
@@ -180,8 +181,8 @@ def _(t):
 
 @query("jon20_adaptive_skew_join", HOT_JOIN)
 def _(t):
-    """Sort-merge join in a session whose skew threshold is low enough to act on small data."""
-    tuned = Tables(skew_session(t.spark, threshold="64KB", factor=2.0, piece="32KB"), t.directory)
+    """Sort-merge join in a session where adaptive execution splits the skewed partitions."""
+    tuned = Tables(skew_session(t.spark), t.directory)
     return join_as(hot(tuned), segments(tuned, "custkey"), "custkey", "left", "merge")
 
 

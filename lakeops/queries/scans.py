@@ -4,18 +4,21 @@ from pyspark.sql import functions as F
 
 from lakeops.queries.registry import MONTH_SQL, Tables, by_month, query, sum_sql
 from lakeops.functions.money import exact_sum
-from lakeops.operators.layout import write_bucketed, write_table
+from lakeops.operators.layout import buckets_for, write_bucketed, write_table
+from lakeops.session import shuffle_partitions
 from lakeops.sources import streams, synthetic, tables
 from lakeops.streaming.envelope import to_envelope
 from lakeops.streaming.sinks import append_stream, drain
 
+# A micro-batch takes at most this much of the input.
+BATCH = 256 * 1024**3
 EVENT_FIELDS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
 
-def write_events(t: Tables, fmt: str = "parquet", files: int = 4) -> str:
+def write_events(t: Tables, fmt: str = "parquet", per_task: int = 1) -> str:
     """Events as a directory of several files, as a stream source wants them."""
     path = t.scratch(f"events-{fmt}")
-    writer = t.events.repartition(files, "event_id").write.format(fmt)
+    writer = t.events.repartition(per_task * shuffle_partitions(t.spark), "event_id").write.format(fmt)
     writer.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").save(path)
     return path
 
@@ -56,7 +59,7 @@ def _(t):
 @query("src05_catalog_table", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
 def _(t):
     path = t.scratch("orders-catalog")
-    name = write_bucketed(t.orders, "src05_" + path[-32:], ["o_custkey"], 8, path)
+    name = write_bucketed(t.orders, "src05_" + path[-32:], ["o_custkey"], buckets_for(t.orders), path)
     return tables.catalog(t.spark, name).select("o_orderkey", "o_custkey", "o_totalprice")
 
 
@@ -94,7 +97,7 @@ def _(t):
     from pyspark.sql.types import StructType
 
     schema = StructType.fromDDL(EVENT_FIELDS)
-    return drained(t, streams.files(t.spark, write_events(t), schema, files_per_batch=2), "parquet-stream")
+    return drained(t, streams.files(t.spark, write_events(t), schema, bytes_per_batch=BATCH), "parquet-stream")
 
 
 @query("src09_json_stream", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
@@ -102,7 +105,7 @@ def _(t):
     from pyspark.sql.types import StructType
 
     schema = StructType.fromDDL(EVENT_FIELDS)
-    return drained(t, streams.files(t.spark, write_events(t, "json"), schema, "json", 2), "json-stream")
+    return drained(t, streams.files(t.spark, write_events(t, "json"), schema, "json", bytes_per_batch=BATCH), "json-stream")
 
 
 @query("src10_stream_like_static", "SELECT event_id, user_id, value FROM events")

@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 from lakeops.functions.money import exact_sum
 from lakeops.operators import layout
 from lakeops.queries.registry import MONTH_SQL, Tables, by_month, query, sum_sql
-from lakeops.queries.scans import drained, write_events
+from lakeops.queries.scans import BATCH, drained, write_events
+from lakeops.session import shuffle_partitions
 from lakeops.sources import streams
 from lakeops.streaming.sinks import batch_stream, drain
 
+ROWS_PER_FILE = 5_000_000
+FILE_ROWS = 50_000_000
 MONTHLY = f"SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, {MONTH_SQL} AS month FROM orders"
 COUNTS = f"SELECT {MONTH_SQL} AS month, count(*) AS n_rows, {sum_sql('o_totalprice')} AS total FROM orders GROUP BY 1"
 
@@ -70,25 +73,26 @@ def _(t):
 
 
 @query(
-    "snk06_one_exchange_per_partition_key",
-    f"SELECT {MONTH_SQL} AS month, 1 AS n_files, count(*) AS n_rows FROM orders GROUP BY 1",
+    "snk06_rows_gathered_by_partition",
+    f"SELECT {MONTH_SQL} AS month, count(*) AS n_rows, true AS as_few_as_asked FROM orders GROUP BY 1",
 )
 def _(t):
-    """Files and rows per partition: rows gathered by key give one file per month."""
-    path = layout.write_table(by_month(t.orders), t.scratch("gathered"), partition_by=["month"], files=1)
+    """File count under control: a month of n rows has at most ceil(n / 5 million) files."""
+    path = layout.write_table(by_month(t.orders), t.scratch("gathered"), partition_by=["month"], rows_per_file=ROWS_PER_FILE)
     audit = layout.file_audit(t.spark.read.parquet(path), ["month"])
-    return audit.select("month", F.col("n_files").cast("int").alias("n_files"), "n_rows")
+    few = F.col("n_files") <= F.ceil(F.col("n_rows") / ROWS_PER_FILE)
+    return audit.select("month", "n_rows", few.alias("as_few_as_asked"))
 
 
 @query(
-    "snk07_files_per_partition",
-    f"SELECT {MONTH_SQL} AS month, count(*) AS n_rows, true AS few_files FROM orders GROUP BY 1",
+    "snk07_one_file_per_partition",
+    f"SELECT {MONTH_SQL} AS month, count(*) AS n_rows, true AS one_file FROM orders GROUP BY 1",
 )
 def _(t):
-    """At most four files per partition however large one of them is, spread by a row hash."""
-    path = layout.write_table(by_month(t.orders), t.scratch("few"), partition_by=["month"], files=4, max_records=50_000_000)
+    """One file per month as long as a file's worth of rows holds it; a larger month gets more files, each by its own task."""
+    path = layout.write_table(by_month(t.orders), t.scratch("single"), partition_by=["month"], rows_per_file=FILE_ROWS)
     audit = layout.file_audit(t.spark.read.parquet(path), ["month"])
-    return audit.select("month", "n_rows", (F.col("n_files") <= 4).alias("few_files"))
+    return audit.select("month", "n_rows", ((F.col("n_files") == 1) | (F.col("n_rows") > FILE_ROWS)).alias("one_file"))
 
 
 @query(
@@ -112,7 +116,7 @@ def _(t):
 )
 def _(t):
     """Many small files packed by target size; rows stay, files come near the planned number."""
-    small = write_events(t, files=16)
+    small = write_events(t, per_task=2)
     target = t.scratch("compacted")
     size = layout.table_bytes(t.spark.read.parquet(small))
     planned = layout.compact(t.spark, small, target, target_bytes=max(1, size // 3))
@@ -157,7 +161,7 @@ def _(t):
 @query("snk13_bucketed_table", f"SELECT o_custkey, count(*) AS n_rows, {sum_sql('o_totalprice')} AS total FROM orders GROUP BY o_custkey")
 def _(t):
     path = t.scratch("bucketed")
-    table = layout.write_bucketed(t.orders, "snk13_" + path[-32:], ["o_custkey"], 16, path)
+    table = layout.write_bucketed(t.orders, "snk13_" + path[-32:], ["o_custkey"], layout.buckets_for(t.orders), path)
     return t.spark.table(table).groupBy("o_custkey").agg(
         F.count(F.lit(1)).alias("n_rows"), exact_sum("o_totalprice").alias("total")
     )
@@ -180,7 +184,7 @@ def _(t):
 
 @query("snk15_stream_append_sink", "SELECT event_id, user_id, value, event_type FROM events")
 def _(t):
-    stream = streams.like_static(t.spark, write_events(t), 2).select("event_id", "user_id", "value", "event_type")
+    stream = streams.like_static(t.spark, write_events(t), bytes_per_batch=BATCH).select("event_id", "user_id", "value", "event_type")
     return drained(t, stream, "append-sink", ["event_type"]).select("event_id", "user_id", "value", "event_type")
 
 
@@ -195,30 +199,27 @@ def _(t):
     def write(batch, batch_id):
         layout.overwrite_partitions(batch.withColumn("batch_id", F.lit(batch_id).cast("long")), out, ["batch_id"])
 
-    stream = streams.like_static(t.spark, write_events(t), 1).select("event_id", "event_type")
+    stream = streams.like_static(t.spark, write_events(t), bytes_per_batch=BATCH).select("event_id", "event_type")
     drain(batch_stream(stream, write, t.scratch("foreach-ck")))
     return t.spark.read.parquet(out).groupBy("event_type").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @query(
     "snk17_partition_control",
-    """SELECT * FROM (SELECT count(*) AS n_rows FROM orders),
-       (VALUES ('coalesce', 2, true), ('repartition_n', 8, true), ('repartition_n_key', 8, true)) v(layout, at_most, within)""",
+    """SELECT * FROM (SELECT count(*) AS n_rows FROM orders), (VALUES ('coalesce', true), ('repartition_n', true), ('repartition_n_key', true)) v(layout, within)""",
 )
 def _(t):
-    """Partitions and rows after each kind of repartitioning."""
+    """Rows and partitions after each kind of repartitioning; by key the balance is computed before any row moves."""
+    n = shuffle_partitions(t.spark)
     rows = t.orders.select("o_orderkey", "o_custkey")
-    wide = rows.repartition(16)
     laid = {
-        "coalesce": (wide.coalesce(2), 2),
-        "repartition_n": (rows.repartition(8), 8),
-        "repartition_n_key": (rows.repartition(8, "o_custkey"), 8),
+        "coalesce": layout.partition_balance(rows.repartition(2 * n).coalesce(n)),
+        "repartition_n": layout.partition_balance(rows.repartition(n)),
+        "repartition_n_key": layout.predicted_balance(rows, ["o_custkey"], n),
     }
     reports = [
-        layout.partition_balance(df).agg(F.sum("n_rows").alias("n_rows"), F.count(F.lit(1)).alias("n")).select(
-            "n_rows", F.lit(name).alias("layout"), F.lit(most).alias("at_most"), (F.col("n") <= most).alias("within")
-        )
-        for name, (df, most) in laid.items()
+        balance.agg(F.sum("n_rows").alias("n_rows"), (F.count(F.lit(1)) <= n).alias("within")).withColumn("layout", F.lit(name))
+        for name, balance in laid.items()
     ]
     return reports[0].unionByName(reports[1]).unionByName(reports[2])
 

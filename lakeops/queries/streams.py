@@ -7,6 +7,7 @@ from lakeops.operators.aggregate import kpi
 from lakeops.operators.merge import Keyed, apply_changes
 from lakeops.operators.quality import not_null_rules, positive_rule
 from lakeops.queries.registry import Tables, avg_sql, query, sum_sql
+from lakeops.queries.scans import BATCH
 from lakeops.schemas import ORDER_EVENT
 from lakeops.sources import streams
 from lakeops.streaming import dedup
@@ -66,7 +67,7 @@ def feed(t: Tables, parts, start, fmt: str = "parquet") -> None:
     schema = parts[0].schema
     for part in parts:
         part.write.mode("append").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").format(fmt).save(source)
-        drain(start(streams.files(t.spark, source, schema, fmt), checkpoint))
+        drain(start(streams.files(t.spark, source, schema, fmt, bytes_per_batch=BATCH), checkpoint))
 
 
 def silver_table(t: Tables, name: str = "silver", order=("ts", "ingest_rank")) -> Keyed:

@@ -33,14 +33,20 @@ def files(
     schema: StructType,
     fmt: str = "parquet",
     files_per_batch: int | None = None,
+    bytes_per_batch: int | None = None,
 ) -> DataFrame:
-    """New files of a growing directory (Parquet or JSON lines), schema declared."""
+    """New files of a growing directory (Parquet or JSON lines), schema declared.
+
+    Limit a micro-batch by files or by bytes, not by both.
+    """
     reader = spark.readStream.schema(schema).format(fmt)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if bytes_per_batch:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
     return reader.load(directory)
 
 
-def like_static(spark: SparkSession, directory: str, files_per_batch: int | None = None) -> DataFrame:
+def like_static(spark: SparkSession, directory: str, **limits) -> DataFrame:
     """A Parquet file stream that takes its schema from what the directory holds now."""
-    return files(spark, directory, spark.read.parquet(directory).schema, "parquet", files_per_batch)
+    return files(spark, directory, spark.read.parquet(directory).schema, "parquet", **limits)

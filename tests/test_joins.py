@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from lakeops.operators import skew
 from lakeops.operators.hierarchy import closure, walk
-from lakeops.operators.joins import Dim, broadcast_checked, fan_out, join_as, measured_bytes, star_join
+from lakeops.operators.joins import Dim, broadcast_checked, bucketed_join, exists_in, fan_out, join_as, measured_bytes, not_exists_in, star_join
 from lakeops.operators.layout import write_bucketed
 from lakeops.session import skew_session
 from tests.conftest import plan, rows
@@ -72,7 +72,19 @@ def test_bucketed_join_has_no_exchange(spark, fact, dim, folder):
     left, right = write_bucketed(fact, "tb_" + a[-32:], ["k"], 4, a), write_bucketed(dim, "tb_" + b[-32:], ["k"], 4, b)
     joined = join_as(spark.table(left), spark.table(right), "k", "left", "merge")
     assert "Exchange" not in plan(joined)
-    assert joined.count() == 5000
+    guarded = bucketed_join(spark, left, right, "k", 8)
+    assert "Exchange" in plan(guarded)  # key 1 exceeds a bucket
+    even = fact.filter("k > 2")
+    c = folder()
+    calm = bucketed_join(spark, write_bucketed(even, "tb_" + c[-32:], ["k"], 4, c), right, "k", 4)
+    assert "Exchange" not in plan(calm)
+    assert rows(guarded) == rows(joined) and joined.count() == 5000 and calm.count() == even.count()
+
+
+def test_semi_and_anti_with_null_keys(fact, dim):
+    inside, outside = exists_in(fact, dim, "k"), not_exists_in(fact, dim, "k")
+    assert inside.count() + outside.count() == 5000
+    assert outside.filter("k is null").count() == fact.filter("k is null").count() and inside.filter("k >= 250").isEmpty()
 
 
 def test_fan_out_without_join(dim):

@@ -18,7 +18,7 @@ def base(spark):
 
 
 def test_one_file_per_partition(spark, base, folder):
-    path = layout.write_table(base.repartition(6), folder(), partition_by=["dt"], files=1)
+    path = layout.write_table(base.repartition(6), folder(), partition_by=["dt"], rows_per_file=1000)
     assert {r["n_files"] for r in layout.file_audit(spark.read.parquet(path), ["dt"]).collect()} == {1}
 
 
@@ -29,10 +29,35 @@ def test_rebalanced_write_keeps_rows_and_few_files(spark, base, folder):
 
 
 def test_max_records_splits_files(spark, base, folder):
-    path = layout.write_table(base, folder(), partition_by=["dt"], files=1, max_records=40)
+    path = layout.write_table(base, folder(), partition_by=["dt"], max_records=40)
     assert layout.file_audit(spark.read.parquet(path), ["dt"]).agg(F.max("max_rows_per_file")).first()[0] == 40
 
 
+def test_hot_partition_is_written_by_several_tasks(spark, base, folder):
+    one = layout.write_table(base, folder(), partition_by=["dt"])
+    spread = spark.newSession()
+    spread.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # such small pieces share a task otherwise
+    path = layout.write_table(spread.read.parquet(one), folder(), partition_by=["dt"], rows_per_file=50)
+    audit = {str(r["dt"]): r["n_files"] for r in layout.file_audit(spark.read.parquet(path), ["dt"]).collect()}
+    assert audit["2026-01-10"] <= 2 and 2 <= audit["2026-01-11"] <= 8
+    assert rows(spark.read.parquet(path).select("id")) == rows(base.select("id"))
+
+
+def test_predicted_balance_is_what_repartitioning_gives(base):
+    real = layout.partition_balance(base.repartition(5, "v"))
+    assert rows(layout.predicted_balance(base, ["v"], 5)) == rows(real)
+
+
+def test_hot_key_of_a_bucketed_table_is_spread(spark, folder):
+    """Half of the rows on one key: several files in its bucket, one file in the others, all rows there."""
+    df = spark.range(4000).select(F.when(F.col("id") % 2 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"), "id")
+    path = folder()
+    table = layout.write_bucketed(df.repartition(6), "hot_" + path[-32:], ["k"], 8, path)
+    files = spark.table(table).groupBy(F.col("_metadata.file_name").alias("f")).agg(F.count_if(F.col("k") == 7).alias("hot")).collect()
+    assert sum(r["hot"] > 0 for r in files) > 1
+    assert rows(spark.table(table)) == rows(df)
+
+
 def test_publish_again_changes_nothing(spark, base, folder):
     path = folder()
     for _ in range(2):
