@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,26 +22,32 @@ def positive_rule(column: str) -> dict[str, Column]:
     return {f"{column}_positive": c.isNotNull() & ~F.isnan(c) & (c > 0)}
 
 
-def check_rules(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
-    """Every row with the names of the rules it fails; a rule that is null counts as failed."""
-    names = [F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in rules.items()]
-    return df.withColumn(FAILED, F.array_compact(F.array(*names)))
+def _all_hold(rules: dict[str, Column]) -> Column:
+    return reduce(lambda a, b: a & b, rules.values())
+
+
+def _fails(rule: Column) -> Column:
+    return ~F.coalesce(rule, F.lit(False))
 
 
 def split_rules(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
-    """(good, bad). Both are filters on one projection, so exact copies of good rows stay."""
-    checked = check_rules(df, rules)
-    return checked.filter(F.size(FAILED) == 0).drop(FAILED), checked.filter(F.size(FAILED) > 0)
+    """(good, bad); a rule that is null counts as failed, and bad rows name the rules they fail.
+
+    Both are plain filters on the input: exact copies of good rows stay, and the rules on
+    raw columns reach the scan.
+    """
+    names = [F.when(_fails(ok), F.lit(name)) for name, ok in rules.items()]
+    bad = df.filter(_fails(_all_hold(rules))).withColumn(FAILED, F.array_compact(F.array(*names)))
+    return df.filter(_all_hold(rules)), bad
 
 
 def rule_metrics(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """One row: input, good and failed rows and the failures of each rule, in one pass."""
-    checked = check_rules(df, rules)
-    return checked.agg(
+    return df.agg(
         F.count(F.lit(1)).alias("input_rows"),
-        F.count_if(F.size(FAILED) == 0).alias("good_rows"),
-        F.count_if(F.size(FAILED) > 0).alias("dq_failed_rows"),
-        *[F.count_if(F.array_contains(FAILED, name)).alias(f"failed_{name}") for name in rules],
+        F.count_if(_all_hold(rules)).alias("good_rows"),
+        F.count_if(_fails(_all_hold(rules))).alias("dq_failed_rows"),
+        *[F.count_if(_fails(ok)).alias(f"failed_{name}") for name, ok in rules.items()],
     )
 
 

@@ -29,6 +29,11 @@ def test_split_keeps_copies_and_names_rules(dirty):
     assert "Exchange" not in plan(good)
 
 
+def test_rules_reach_the_scan(tables):
+    good, _ = dq.split_rules(tables.events, {**dq.not_null_rules(["user_id"]), **dq.positive_rule("value")})
+    assert "GreaterThan(value,0.0)" in plan(good) and "IsNotNull(user_id)" in plan(good)
+
+
 def test_metrics_in_one_pass(dirty):
     m = dq.rule_metrics(dirty, rules())
     assert m.first().asDict() == {
