@@ -2,7 +2,8 @@
 
 Amounts are doubles, and a sum of doubles depends on the order in which partitions
 merge. Summing whole minor units as longs gives the same answer for every plan, and
-unlike wide decimals it stays on primitive values in generated code.
+unlike wide decimals it stays on primitive values in generated code. Amounts have to be
+numbers: NaN would count as zero, and the quality rules refuse it before.
 """
 
 from __future__ import annotations

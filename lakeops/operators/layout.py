@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.operators.skew import hot_keys
-from lakeops.session import shuffle_partitions
+from lakeops.session import shuffle_partitions, sibling_session
 
 
 def clustered(df: DataFrame, partition_by: Sequence[str], rows_per_file: int | None = None) -> DataFrame:
@@ -102,7 +102,7 @@ def write_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int,
     Rows are gathered so that a bucket is one file. Where a key exceeds an average bucket,
     its rows are written by many tasks instead, as several files of the same bucket.
     """
-    hot = [r[0] for r in hot_keys(df, keys[0], 2.0 / buckets).collect()]
+    hot = [r[0] for r in hot_keys(df, keys[0], max(2.0 / buckets, 0.001)).collect()]
     if hot:
         bucket = F.pmod(F.hash(*keys), F.lit(buckets))
         n = max(buckets, shuffle_partitions(df.sparkSession))
@@ -221,10 +221,12 @@ def compact(
     if partition_by:
         write_table(spark.read.parquet(source), target, partition_by=partition_by)
         return planned
-    packed = spark.newSession()
-    packed.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
-    packed.conf.set("spark.sql.files.openCostInBytes", "0")
-    packed.conf.set("spark.sql.files.minPartitionNum", "1")
+    packed = sibling_session(
+        spark,
+        spark__sql__files__maxPartitionBytes=str(target_bytes),
+        spark__sql__files__openCostInBytes="0",
+        spark__sql__files__minPartitionNum="1",
+    )
     packed.read.parquet(source).write.mode("overwrite").parquet(target)
     return planned
 

@@ -32,12 +32,16 @@ def hot_keys(df: DataFrame, key: str, share: float = 0.05) -> DataFrame:
 
     The first pass keeps a fixed-size candidate list per task (a key above the share
     cannot drop out of it), so no shuffle by key; the second pass counts the candidates.
+    Shares too small for such a list are found by counting every key.
     """
     slim = df.select(key)
+    total = slim.agg(F.count(F.lit(1)).alias("n")).scalar()
+    if share < 0.001:
+        counts = slim.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
+        return counts.filter(F.col("n_rows") > total * F.lit(share))
     found = slim.stat.freqItems([key], min(share, 0.25)).first()[0]
-    candidates = [v for v in found if v is not None]
     # Null never equals a join key, so it is not a hot join key.
-    total = slim.agg(F.count(F.lit(1)).alias("n")).scalar()
+    candidates = [v for v in found if v is not None]
     counted = slim.filter(F.col(key).isin(candidates)).groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
     return counted.filter(F.col("n_rows") > total * F.lit(share))
 

@@ -12,7 +12,7 @@ from lakeops.functions.money import exact_sum
 from lakeops.operators.aggregate import kpi, sum_where
 from lakeops.operators.governance import job_run, snapshot_schema
 from lakeops.operators.joins import Dim, broadcast_checked, join_as, star_join
-from lakeops.operators.layout import publish_day
+from lakeops.operators.layout import in_partitions, overwrite_partitions, publish_day
 from lakeops.operators.merge import Keyed, merge_partitions
 from lakeops.operators.quality import reconcile
 from lakeops.operators.skew import salted_totals
@@ -72,8 +72,6 @@ def late_data(
     spark: SparkSession, silver: Keyed, updates: DataFrame, gold_path: str, dims: Sequence[Dim], keys: Sequence[str], amount: str
 ) -> list[dict]:
     """Merge a late batch into Silver and rebuild Gold for the partitions it touched."""
-    from lakeops.operators.layout import in_partitions, overwrite_partitions
-
     touched = merge_partitions(spark, silver, updates)
     if touched:
         changed = spark.read.parquet(silver.path).filter(in_partitions(touched))

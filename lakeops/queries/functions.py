@@ -25,9 +25,9 @@ def _(t):
     )
 
 
-@query("fun02_substring_instr", "SELECT doc_id, substring(text, 3, 10) AS piece, CAST(instr(text, 'on') AS INTEGER) AS at FROM documents")
+@query("fun02_substring_instr", "SELECT c_custkey, substring(c_name, 10, 9) AS number, CAST(instr(c_name, '#') AS INTEGER) AS at FROM customer")
 def _(t):
-    return t.documents.select("doc_id", F.substring("text", 3, 10).alias("piece"), F.instr("text", "on").alias("at"))
+    return t.customer.select("c_custkey", F.substring("c_name", 10, 9).alias("number"), F.instr("c_name", "#").alias("at"))
 
 
 @query("fun03_regexp_replace", "SELECT doc_id, regexp_replace(text, '[^0-9]', '', 'g') AS digits FROM documents")

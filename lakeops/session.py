@@ -41,26 +41,39 @@ def apply_profile(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def sibling_session(spark: SparkSession, **conf: str) -> SparkSession:
+    """A session on the same context and catalog with its own SQL settings (`__` for dots).
+
+    Settings are read when a query runs, so a lazily returned frame needs a session of
+    its own rather than a setting that is put back afterwards.
+    """
+    sibling = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            sibling.conf.set(key, value)
+    for key, value in conf.items():
+        sibling.conf.set(key.replace("__", "."), value)
+    return apply_profile(sibling)
+
+
 def skew_session(
-    spark: SparkSession, threshold: str = "256MB", factor: float = 5.0, piece: str = "64MB"
+    spark: SparkSession, threshold: str = "256MB", factor: float = 5.0, piece: str = "64MB", **conf: str
 ) -> SparkSession:
-    """A sibling session (same context, own SQL settings) tuned for adaptive skew joins.
+    """A sibling session tuned for adaptive skew joins.
 
     A partition above `threshold` and `factor` times the median is cut into pieces of
     about `piece`.
-
-    Settings are read when a query runs, so a lazily returned frame needs a session of
-    its own rather than a setting that is put back afterwards.
     """
-    sibling = apply_profile(spark.newSession())
-    for key, value in SPEED_SETTINGS.items():
-        if key.startswith("spark.sql."):
-            sibling.conf.set(key, value)
-    sibling.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", threshold)
-    sibling.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionFactor", str(factor))
-    sibling.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", piece)
-    sibling.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
-    return sibling
+    return sibling_session(
+        spark,
+        spark__sql__adaptive__enabled="true",
+        spark__sql__adaptive__skewJoin__enabled="true",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes=threshold,
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor=str(factor),
+        spark__sql__adaptive__advisoryPartitionSizeInBytes=piece,
+        spark__sql__adaptive__forceOptimizeSkewedJoin="true",
+        **conf,
+    )
 
 
 def scratch_root(spark: SparkSession) -> str:
