@@ -141,23 +141,35 @@ def partition_values(df: DataFrame, part_cols: Sequence[str]) -> list[dict]:
     return [r.asDict() for r in df.select(*part_cols).distinct().collect()]
 
 
+def refresh_partitions(df: DataFrame, path: str, partition_by: Sequence[str], touched: Sequence[dict]) -> None:
+    """Replace the touched partitions by what the frame holds for them, which may be nothing."""
+    with reused(df) as rows:
+        overwrite_partitions(rows, path, partition_by)
+        alive = partition_values(rows, partition_by)
+    empty_partitions(df.sparkSession, path, [v for v in touched if v not in alive])
+
+
 def in_partitions(values: Sequence[dict]) -> Column:
     """A predicate on partition columns as literals, so that the scan is pruned when planned."""
     if not values:
         return F.lit(False)
-    cols = list(values[0])
-    if len(cols) == 1:
-        c = cols[0]
-        known = [v[c] for v in values if v[c] is not None]
-        keep = F.col(c).isin(known) if known else F.lit(False)
-        return keep | F.col(c).isNull() if len(known) < len(values) else keep
-    keep = F.lit(False)
+    first, *rest = values[0]
+    if not rest:
+        known = [v[first] for v in values if v[first] is not None]
+        keep = F.col(first).isin(known) if known else F.lit(False)
+        return keep | F.col(first).isNull() if len(known) < len(values) else keep
+    groups: dict = {}
     for v in values:
-        one = F.lit(True)
-        for c in cols:
-            one = one & F.col(c).eqNullSafe(F.lit(v[c]))
-        keep = keep | one
-    return keep
+        groups.setdefault(v[first], []).append({c: v[c] for c in rest})
+    return _any([F.col(first).eqNullSafe(F.lit(v)) & in_partitions(sub) for v, sub in groups.items()])
+
+
+def _any(conditions: list[Column]) -> Column:
+    """OR as a balanced tree: a chain of thousands would be too deep for the analyser."""
+    if len(conditions) == 1:
+        return conditions[0]
+    half = len(conditions) // 2
+    return _any(conditions[:half]) | _any(conditions[half:])
 
 
 def update_where(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -55,7 +55,12 @@ def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str)
 
 
 def merge_partitions(
-    spark: SparkSession, table: Keyed, updates: DataFrame, key_stays_in_partition: bool = False, deleted: Column | None = None
+    spark: SparkSession,
+    table: Keyed,
+    updates: DataFrame,
+    key_stays_in_partition: bool = False,
+    deleted: Column | None = None,
+    before_commit: Callable[[list[dict]], None] | None = None,
 ) -> list[dict]:
     """Merge updates into the table by key, newest version first, and return the partitions touched.
 
@@ -68,15 +73,19 @@ def merge_partitions(
     against the updates' keys and are not shuffled when those keys are few. `deleted`
     marks change rows that remove their key (no trace of the key is kept, so an older
     version that arrives after its delete counts as new). The whole merge is one dynamic
-    overwrite: running it again with the same updates changes nothing.
+    overwrite: running it again with the same updates changes nothing. `before_commit` is
+    told the partitions that are about to be replaced.
     """
     parts = list(table.part_cols)
     with reused(newest(updates, table)) as fresh:
         target = read_if_any(spark, table.path)
         if target is None:
             kept = fresh.filter(~F.coalesce(deleted, F.lit(False))) if deleted is not None else fresh
+            touched = partition_values(kept, parts)
+            if before_commit:
+                before_commit(touched)
             overwrite_partitions(kept, table.path, parts)
-            return partition_values(fresh, parts)
+            return touched
         columns = target.columns + [c for c in fresh.columns if c not in target.columns]
         # Partition columns are read back as directory values; keep the type the data has.
         target = target.withColumns({c: F.col(c).cast(fresh.schema[c].dataType) for c in parts if c in fresh.columns})
@@ -98,6 +107,8 @@ def merge_partitions(
         touched = now + [v for v in was if v not in now]
         if not touched:
             return []
+        if before_commit:
+            before_commit(touched)
         rest = _same_key(target.filter(in_partitions(touched)), keys_side, table.keys, "left_anti")
         # Partitions that lost a key and got none back may have nothing left.
         at_risk = [v for v in was if v not in now]

@@ -12,7 +12,7 @@ from lakeops.functions.money import exact_sum
 from lakeops.operators.aggregate import kpi, sum_where
 from lakeops.operators.governance import job_run, snapshot_schema
 from lakeops.operators.joins import Dim, broadcast_checked, join_as, star_join
-from lakeops.operators.layout import in_partitions, overwrite_partitions, publish_day
+from lakeops.operators.layout import in_partitions, publish_day, refresh_partitions
 from lakeops.operators.merge import Keyed, merge_partitions
 from lakeops.operators.quality import reconcile
 from lakeops.operators.skew import salted_totals
@@ -75,7 +75,8 @@ def late_data(
     touched = merge_partitions(spark, silver, updates)
     if touched:
         changed = spark.read.parquet(silver.path).filter(in_partitions(touched))
-        overwrite_partitions(star_kpi(changed, dims, [*silver.part_cols, *keys], amount), gold_path, list(silver.part_cols))
+        result = star_kpi(changed, dims, [*silver.part_cols, *keys], amount)
+        refresh_partitions(result, gold_path, list(silver.part_cols), touched)
     return touched
 
 

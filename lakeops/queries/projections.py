@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lakeops.functions.nested import flatten_struct
 from lakeops.operators.joins import prefixed
-from lakeops.queries.registry import MONTH_SQL, by_month, query
+from lakeops.queries.registry import MONTH_SQL, query
 from lakeops.queries.sinks import monthly_table
 from lakeops.sources.tables import day_range, on_day
 

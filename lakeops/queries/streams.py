@@ -322,6 +322,6 @@ def _(t):
     """Gold is recomputed for the days a batch touched and for no others."""
     gold = t.scratch("gold")
     refresh = gold_refresh(gold, ["dt"], lambda silver: kpi(silver, ["dt", "event_type"], "value"))
-    sink = Upsert(silver_table(t), rules(), gold=refresh)
+    sink = Upsert(silver_table(t), rules(), run_log=t.scratch("runs"), gold=refresh)
     feed(t, [dirty(t), corrected(t)], lambda s, ck: batch_stream(s, sink, ck))
     return t.spark.read.parquet(gold)

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import partial
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lakeops.functions.nested import row_hash
 from lakeops.operators.governance import Run, batch_done, job_run, snapshot_schema
-from lakeops.operators.layout import in_partitions, overwrite_partitions, reused
+from lakeops.operators.layout import in_partitions, partition_values, refresh_partitions, reused
 from lakeops.operators.merge import Keyed, merge_partitions
 from lakeops.operators.quality import quarantine, rule_metrics, split_rules
 
@@ -20,7 +22,10 @@ class Upsert:
     """A Silver table kept up to date from micro-batches.
 
     `normalise` runs on each batch first. `gold` is called with the touched partition
-    values after the merge. `deleted` marks rows that remove their key.
+    values after the merge. `deleted` marks rows that remove their key. With a `run_log`,
+    the partitions a batch is about to touch are noted beside it: a batch that is run
+    again after a crash finds its keys already moved, and Gold has to be refreshed where
+    they came from as well.
     """
 
     table: Keyed
@@ -59,21 +64,34 @@ class Upsert:
             run.output_rows = counts["good_rows"]
             if not counts["good_rows"]:
                 return
-            touched = merge_partitions(spark, self.table, good, self.key_stays_in_partition, self.deleted)
+            note, notes = None, f"{self.run_log}_touched/job={self.job_name}/batch={batch_id}"
+            if self.gold and self.run_log:
+                parts = StructType([good.schema[c] for c in self.table.part_cols])
+                note = partial(_note_touched, spark, notes, parts)
+            touched = merge_partitions(spark, self.table, good, self.key_stays_in_partition, self.deleted, note)
+            if note:
+                noted = partition_values(spark.read.parquet(notes), self.table.part_cols)
+                touched += [v for v in noted if v not in touched]
             if self.registry:
                 snapshot_schema(spark, good.schema, self.job_name, self.table.path, self.registry)
         if self.gold and touched:
             self.gold(spark.read.parquet(self.table.path).filter(in_partitions(touched)), touched)
 
 
+def _note_touched(spark: SparkSession, path: str, schema: StructType, touched: list[dict]) -> None:
+    rows = spark.createDataFrame([tuple(v[c] for c in schema.fieldNames()) for v in touched], schema)
+    rows.coalesce(1).write.mode("append").parquet(path)
+
+
 def gold_refresh(path: str, partition_by: Sequence[str], aggregate: Callable[[DataFrame], DataFrame]):
     """Recompute Gold for the partitions a batch touched and replace just those.
 
-    The Silver frame arrives limited to those partitions, so the scan is pruned.
+    The Silver frame arrives limited to those partitions, so the scan is pruned. A
+    partition that Silver no longer has rows for ends up empty in Gold.
     """
 
     def refresh(silver: DataFrame, touched: Sequence[dict]) -> None:
-        overwrite_partitions(aggregate(silver), path, partition_by)
+        refresh_partitions(aggregate(silver), path, partition_by, touched)
 
     return refresh
 

@@ -9,7 +9,7 @@ from lakeops.schemas import ORDER_EVENT
 from lakeops.sources import streams
 from lakeops.streaming import dedup
 from lakeops.streaming.envelope import CORRUPT, parse_envelope
-from lakeops.streaming.silver import Upsert, raw_and_clean
+from lakeops.streaming.silver import Upsert, gold_refresh, raw_and_clean
 from lakeops.streaming.sinks import append_stream, batch_stream, drain, trigger_args
 
 
@@ -90,6 +90,34 @@ def test_failed_batch_is_retried_after_restart(spark, sink, folder):
     assert got == [(1, 3.0, "2026-01-02"), (2, 1.0, "2026-01-01")]
 
 
+def counts(spark, path):
+    return {str(r["dt"]): r["n"] for r in spark.read.parquet(path).collect()}
+
+
+def test_gold_follows_moved_keys_even_after_a_crash(spark, folder):
+    """The only row of a day moves on; the first try dies between the merge and Gold."""
+    gold = folder("gold")
+    refresh = gold_refresh(gold, ["dt"], lambda s: s.groupBy("dt").agg(F.count("*").alias("n")))
+    broken = {"on": False}
+
+    def maybe(silver, touched):
+        if broken["on"]:
+            raise RuntimeError("driver gone")
+        refresh(silver, touched)
+
+    table = Keyed(folder("silver"), ["id"], ["ts"], ["dt"])
+    sink = Upsert(table, rules(), run_log=folder("log"), gold=maybe)
+    sink(batch(spark, [(1, 1, 1.0, "2026-01-01 10:00:00"), (2, 1, 1.0, "2026-01-02 10:00:00")]), 0)
+    assert counts(spark, gold) == {"2026-01-01": 1, "2026-01-02": 1}
+    moved = batch(spark, [(1, 1, 1.0, "2026-01-02 11:00:00")])
+    broken["on"] = True
+    with pytest.raises(RuntimeError):
+        sink(moved, 1)
+    broken["on"] = False
+    sink(moved, 1)
+    assert counts(spark, gold) == {"2026-01-02": 2}
+
+
 def test_raw_layer_is_written_once_per_batch(spark, sink, folder):
     raw = folder("raw")
     both = raw_and_clean(raw, sink, ["id", "ts"])
