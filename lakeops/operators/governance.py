@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lakeops.operators.hierarchy import closure
-from lakeops.operators.merge import read_if_any
+from lakeops.operators.layout import read_if_any
 from lakeops.schemas import JOB_RUNS, SCHEMA_REGISTRY
 
 

@@ -8,11 +8,22 @@ from contextlib import contextmanager
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from lakeops.operators.skew import hot_keys
 from lakeops.session import shuffle_partitions, sibling_session
 
 
+def read_if_any(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet table at a path, or None before anything is written there."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 def clustered(df: DataFrame, partition_by: Sequence[str], rows_per_file: int | None = None) -> DataFrame:
     """Rows gathered by partition key before a partitioned write, for few files per partition.
 
@@ -84,8 +95,9 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
 
 
 def publish_day(df: DataFrame, path: str, part_col: str, day) -> str:
-    """Publish one day; running it again gives the same table."""
-    return overwrite_partitions(df.filter(F.col(part_col) == F.lit(day)), path, [part_col])
+    """Publish one day; running it again gives the same table, and a day without rows ends up empty."""
+    refresh_partitions(df.filter(F.col(part_col) == F.lit(day)), path, [part_col], [{part_col: day}])
+    return path
 
 
 def buckets_for(df: DataFrame, target_bytes: int = 256 * 1024 * 1024, least: int = 8) -> int:
@@ -145,8 +157,15 @@ def refresh_partitions(df: DataFrame, path: str, partition_by: Sequence[str], to
     """Replace the touched partitions by what the frame holds for them, which may be nothing."""
     with reused(df) as rows:
         overwrite_partitions(rows, path, partition_by)
-        alive = partition_values(rows, partition_by)
-    empty_partitions(df.sparkSession, path, [v for v in touched if v not in alive])
+        alive = {_as_text(v) for v in partition_values(rows, partition_by)}
+    gone = [v for v in touched if _as_text(v) not in alive]
+    if gone and read_if_any(df.sparkSession, path) is not None:
+        empty_partitions(df.sparkSession, path, gone)
+
+
+def _as_text(values: dict) -> tuple:
+    """Partition values as they stand in directory names: a date and its text are the same partition."""
+    return tuple(str(v) for v in values.values())
 
 
 def in_partitions(values: Sequence[dict]) -> Column:

@@ -7,10 +7,16 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from lakeops.operators.joins import broadcast_checked
-from lakeops.operators.layout import empty_partitions, in_partitions, overwrite_partitions, partition_values, reused
+from lakeops.operators.layout import (
+    empty_partitions,
+    in_partitions,
+    overwrite_partitions,
+    partition_values,
+    read_if_any,
+    reused,
+)
 from lakeops.operators.windows import latest
 from lakeops.session import scratch_root
 
@@ -27,15 +33,6 @@ class Keyed:
     part_cols: Sequence[str]
 
 
-def read_if_any(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-
-
 def newest(df: DataFrame, table: Keyed) -> DataFrame:
     return latest(df, table.keys, table.order)
 

@@ -66,6 +66,16 @@ def test_publish_again_changes_nothing(spark, base, folder):
     assert spark.read.parquet(path).count() == 500
 
 
+def test_publish_a_day_that_lost_its_rows(spark, base, folder):
+    path = folder()
+    layout.publish_day(base.limit(0), path, "dt", date(2026, 1, 10))
+    layout.publish_day(base, path, "dt", "2026-01-10")
+    layout.publish_day(base, path, "dt", date(2026, 1, 11))
+    assert spark.read.parquet(path).count() == 500
+    layout.publish_day(base.filter("dt > date'2026-01-10'"), path, "dt", date(2026, 1, 10))
+    assert spark.read.parquet(path).count() == 400
+
+
 def test_dynamic_overwrite_leaves_other_partitions(spark, base, folder):
     path = layout.write_table(base, folder(), partition_by=["dt"])
     one = spark.read.parquet(path).filter(F.col("dt") == date(2026, 1, 10)).withColumn("v", F.lit(-1).cast("long"))

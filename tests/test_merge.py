@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lakeops.operators.merge import Keyed, apply_changes, merge_columns, merge_partitions, read_if_any
+from lakeops.operators.layout import read_if_any
+from lakeops.operators.merge import Keyed, apply_changes, merge_columns, merge_partitions
 from tests.conftest import plan, rows
 
 SCHEMA = "id long, v string, event_ts string, ingest_ts int, dt string"
