@@ -172,7 +172,8 @@ def in_partitions(values: Sequence[dict]) -> Column:
     """A predicate on partition columns as literals, so that the scan is pruned when planned."""
     if not values:
         return F.lit(False)
-    first, *rest = values[0]
+    # The column with most values comes last, where all of them fit into one IN list.
+    first, *rest = sorted(values[0], key=lambda c: len({v[c] for v in values}))
     if not rest:
         known = [v[first] for v in values if v[first] is not None]
         keep = F.col(first).isin(known) if known else F.lit(False)

@@ -131,5 +131,5 @@ def test_in_partitions_with_null_and_several_columns(spark):
     assert df.filter(layout.in_partitions([{"p": None}, {"p": 1}])).count() == 2
     assert df.filter(layout.in_partitions([{"p": 2, "q": None}])).count() == 1
     assert df.filter(layout.in_partitions([])).count() == 0
-    many = layout.in_partitions([{"p": i, "q": "a"} for i in range(3000)])
+    many = layout.in_partitions([{"p": i, "q": "a"} for i in range(1000)])
     assert df.filter(many).count() == 1
