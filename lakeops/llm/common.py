@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,12 +31,18 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def named(df: DataFrame, **columns: Column) -> DataFrame:
-    """The frame with new columns, refusing names that it already has."""
-    taken = {c.lower() for c in df.columns} & {c.lower() for c in columns}
-    if taken:
-        raise ValueError(f"columns {sorted(taken)} are already there")
-    return df.withColumns(columns)
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """The frame without columns of these names in any case: a result of the same name replaces them."""
+    gone = {n.lower() for n in names}
+    return df.select([F.col(f"`{c}`") for c in df.columns if c.lower() not in gone])
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, or the first one with underscores in front that no column has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
 
 
 def lookup(rows: DataFrame, unique: DataFrame, key: str, size: str, total: int) -> DataFrame:
@@ -109,7 +116,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = SLICE_BYT
         values = batch.column(batch.schema.get_field_index(column))
         if batch.num_rows == 0:
             continue
-        sizes = np.frombuffer(pa.compute.binary_length(values).fill_null(0).cast(pa.int64()).to_numpy(zero_copy_only=False), np.int64)
+        sizes = np.frombuffer(pc.binary_length(values).fill_null(0).cast(pa.int64()).to_numpy(zero_copy_only=False), np.int64)
         group = np.cumsum(sizes) // most
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:]):

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm.common import lookup, text_of, written
+from lakeops.llm.common import free_name, lookup, text_of, written
 
 #: White space that does not make texts different: blank, and \x09 to \x0D.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -87,7 +87,7 @@ def judged(docs: DataFrame, index: DigestIndex, batch: str, key: str = "doc_id",
     the batch that kept it. Null texts equal empty ones. An empty frame gives no rows.
 
     `docs` must give the same rows in the same partitions when it is computed again, as a
-    scan does: `__row` numbers its rows.
+    scan does: `__row` numbers its rows. Other columns are not looked at.
     """
     rows = docs.select(
         F.col(key).alias("__key"), digest_of(text).alias("digest"), F.length(text_of(text)).alias(CHARS),
@@ -117,4 +117,6 @@ def judged(docs: DataFrame, index: DigestIndex, batch: str, key: str = "doc_id",
 def first_copies(docs: DataFrame, index: DigestIndex, batch: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of `docs` that stay, with all their columns. The join is on row numbers, so no text is hot."""
     kept = judged(docs, index, batch, key, text).filter("kept").select(ROW)
-    return docs.withColumn(ROW, F.monotonically_increasing_id()).join(kept, ROW, "left_semi").drop(ROW)
+    row = free_name(docs, ROW)
+    kept = kept.withColumnRenamed(ROW, row)
+    return docs.withColumn(row, F.monotonically_increasing_id()).join(kept, row, "left_semi").select(docs.columns)

@@ -2,14 +2,30 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from lakeops.llm.bpe import encoded_and_decoded, ids_digest
 from lakeops.llm.digest_index import DigestIndex, judged
 from lakeops.llm.registry import ORACLES, QUERIES, query
 from lakeops.session import scratch_path
 
 __all__ = ["ORACLES", "QUERIES"]
 
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op5_bpe_encode_decode", "documents")
+def op5(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Digests of every document's ids and of the text they decode to."""
+    both = encoded_and_decoded(docs.select("doc_id", "text"), BYTE_BPE)
+    return both.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), ids_digest("ids").alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 OP8_SQL = """
 WITH d AS (
   SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g')) AS h, length(coalesce(text, '')) AS n
