@@ -5,15 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeops.llm.digest_index import DigestIndex, first_copies
+from lakeops.llm.langid import accepted, learned
 from lakeops.session import apply_profile, scratch_path
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents mainly in one of the languages learned from the labelled ones."""
+    return accepted(docs, learned(docs))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts."""
     return first_copies(docs, DigestIndex(spark, scratch_path(spark, "index")), "documents")
 
 
-STAGES = [("exact dedup", exact_dedup)]
+STAGES = [("language ID", language_id), ("exact dedup", exact_dedup)]
 ORACLE_SQL = None
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lakeops.llm.bpe import encoded_and_decoded, ids_digest
 from lakeops.llm.digest_index import DigestIndex, judged
+from lakeops.llm.langid import held_out, identified, learned
 from lakeops.llm.registry import ORACLES, QUERIES, query
 from lakeops.session import scratch_path
 
@@ -40,3 +41,10 @@ def op8(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Every document against a new index, as its first batch."""
     index = DigestIndex(spark, scratch_path(spark, "index"))
     return judged(docs, index, "documents").drop("__row")
+
+
+@query("op9_language_mixtures", "documents")
+def op9(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The language of every document, learned from the documents that are not held out."""
+    found = identified(docs.select("doc_id", "text"), learned(docs))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "languages", "shares")
