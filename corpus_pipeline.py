@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakeops.llm.chosen_path import one_of_each
 from lakeops.llm.digest_index import DigestIndex, first_copies
 from lakeops.llm.langid import accepted, learned
 from lakeops.session import apply_profile, scratch_path
@@ -19,7 +20,12 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return first_copies(docs, DigestIndex(spark, scratch_path(spark, "index")), "documents")
 
 
-STAGES = [("language ID", language_id), ("exact dedup", exact_dedup)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return one_of_each(docs)
+
+
+STAGES = [("language ID", language_id), ("exact dedup", exact_dedup), ("n-gram Jaccard join", near_dedup)]
 ORACLE_SQL = None
 
 

@@ -7,14 +7,12 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.session import scratch_path, shuffle_partitions
 
-#: Words that a Python worker remembers, and bytes of text that a kernel takes at a time.
-MEMORY_WORDS = 400_000
+#: Bytes of text that a kernel takes at a time.
 SLICE_BYTES = 4 << 20
 
 
@@ -58,55 +56,35 @@ def lookup(rows: DataFrame, unique: DataFrame, key: str, size: str, total: int)
     return rows.join(hot, key).unionByName(cool.join(unique.filter(F.col(size) <= most), key))
 
 
-class WordNumbers:
-    """Words as 64-bit hashes, remembered for the words that a worker saw first."""
-
-    def __init__(self, most: int = MEMORY_WORDS):
-        self.most, self.known = most, {}
-
-    def __call__(self, words: list[str]) -> np.ndarray:
-        known, digest = self.known, xxhash.xxh3_64_intdigest
-        try:
-            return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        except KeyError:
-            pass
-        out = np.empty(len(words), np.uint64)
-        for i, w in enumerate(words):
-            h = known.get(w)
-            if h is None:
-                h = digest(w.encode("utf-8", "surrogatepass"))
-                if len(known) < self.most:
-                    known[w] = h
-            out[i] = h
-        return out
-
-
-_numbers = WordNumbers()
-
-
-def word_numbers(words: list[str]) -> np.ndarray:
-    return _numbers(words)
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective scramble of 64-bit numbers (xor-shift and multiply)."""
-    x = x ^ (x >> np.uint64(32))
-    x = x * np.uint64(0xD6E8FEB86659FD93)
-    x = x ^ (x >> np.uint64(32))
-    x = x * np.uint64(0xD6E8FEB86659FD93)
+    with np.errstate(over="ignore"):
+        for _ in range(2):
+            x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     return x ^ (x >> np.uint64(32))
 
 
-def runs_of(numbers: np.ndarray, k: int) -> np.ndarray:
-    """A 64-bit hash of every run of k consecutive numbers; of all of them if there are fewer."""
-    if len(numbers) == 0:
-        return numbers
-    k = min(k, len(numbers))
-    n = len(numbers) - k + 1
+def shingles(texts: list[str], k: int) -> list[np.ndarray]:
+    """Of each text the sorted distinct hashes of its runs of k words; of fewer words, of all together."""
+    words, counts = word_hashes([t.lower() for t in texts])
+    ends = np.cumsum(counts)
+    out = []
+    if len(words) >= k:
+        whole = _run_hashes(words, k)
+    for end, n in zip(ends.tolist(), counts.tolist()):
+        if n >= k:
+            out.append(np.unique(whole[end - n : end - k + 1]))
+        else:
+            out.append(_run_hashes(words[end - n : end], n) if n else np.empty(0, np.uint64))
+    return out
+
+
+def _run_hashes(words: np.ndarray, k: int) -> np.ndarray:
+    n = len(words) - k + 1
     out = np.full(n, np.uint64(k))
     with np.errstate(over="ignore"):
         for i in range(k):
-            out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + numbers[i : i + n])
+            out = mixed(out * _STEP + words[i : i + n])
     return out
 
 
@@ -144,3 +122,41 @@ def gather(pool: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarr
     return pool[np.repeat(starts - before, counts) + np.arange(total)]
 
 
+
+
+def _byte_tables() -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(20)
+    numbers = rng.integers(1, 1 << 63, 256, np.uint64)
+    blank = np.zeros(256, bool)
+    blank[[9, 10, 11, 12, 13, 32]] = True
+    return numbers, blank
+
+
+_BYTES, _BLANK = _byte_tables()
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
+def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts, and the number of words in each.
+
+    Words are what ASCII white space separates. The hash is a polynomial of the word's
+    bytes, taken from running sums over all bytes, so no word is looked at by itself.
+    """
+    raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+    data = np.frombuffer(b"\n".join([b"", *raw, b""]), np.uint8)
+    blank = _BLANK[data]
+    starts = np.flatnonzero(blank[:-1] & ~blank[1:]) + 1
+    ends = np.flatnonzero(~blank[:-1] & blank[1:]) + 1
+    with np.errstate(over="ignore"):
+        powers = np.full(len(data), _STEP)
+        powers[:1] = 1
+        powers = np.cumprod(powers, dtype=np.uint64)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[data] * powers, dtype=np.uint64)])
+        back = np.full(len(data), np.uint64(pow(int(_STEP), -1, 1 << 64)))
+        back[:1] = 1
+        back = np.cumprod(back, dtype=np.uint64)
+        hashes = mixed((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
+    sizes = np.fromiter(map(len, raw), np.int64, len(raw)) + 1
+    begins = 1 + np.cumsum(sizes) - sizes
+    counts = np.diff(np.searchsorted(starts, np.append(begins, len(data) + 1)))
+    return hashes, counts

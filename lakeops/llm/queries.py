@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.llm.bpe import encoded_and_decoded, ids_digest
+from lakeops.llm.chosen_path import linked
 from lakeops.llm.digest_index import DigestIndex, judged
 from lakeops.llm.langid import held_out, identified, learned
 from lakeops.llm.registry import ORACLES, QUERIES, query
@@ -17,6 +18,12 @@ __all__ = ["ORACLES", "QUERIES"]
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query("op4_chosen_path_join", "documents")
+def op4(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Every document with its near-duplicate class, the class of its word five-grams, and its links."""
+    return linked(docs).drop("__row", "__class")
+
+
 @query("op5_bpe_encode_decode", "documents")
 def op5(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Digests of every document's ids and of the text they decode to."""
