@@ -3,20 +3,23 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from lakeops.llm import langid, mixing
+from lakeops.llm.bpe import encoded_and_decoded, ids_digest
 from lakeops.llm.chosen_path import one_of_each
 from lakeops.llm.digest_index import DigestIndex, first_copies
-from lakeops.llm.langid import accepted, learned
+from lakeops.llm.queries import BYTE_BPE, DOMAIN, TARGETS
 from lakeops.session import apply_profile, scratch_path
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents mainly in one of the languages learned from the labelled ones."""
-    return accepted(docs, learned(docs))
+    """Documents with letters, of which a learned language makes up a part that counts."""
+    return langid.accepted(docs, langid.learned(docs))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of equal texts."""
+    """One row of each group of equal texts, against an index that is new for each run."""
     return first_copies(docs, DigestIndex(spark, scratch_path(spark, "index")), "documents")
 
 
@@ -25,7 +28,30 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return one_of_each(docs)
 
 
-STAGES = [("language ID", language_id), ("exact dedup", exact_dedup), ("n-gram Jaccard join", near_dedup)]
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the targets want them; rates near 1 keep a document once."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = mixing.learned(docs, labels, F.expr(DOMAIN))
+    return mixing.mixed(docs, model, TARGETS, keep="good", steady=0.1)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, with digests of them and of the text they decode to."""
+    both = encoded_and_decoded(docs.select("doc_id", "text", "lang", "source"), BYTE_BPE)
+    return both.select(
+        "doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"), ids_digest("ids").alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+STAGES = [
+    ("language ID", language_id),
+    ("exact dedup", exact_dedup),
+    ("n-gram Jaccard join", near_dedup),
+    ("mixing sources to target weights", mix),
+    ("BPE encoding and decoding", encode),
+]
+# Neither the language model, the join nor the encoding can be said in SQL.
 ORACLE_SQL = None
 
 

@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeops.llm import mixing
 from lakeops.llm.bpe import encoded_and_decoded, ids_digest
 from lakeops.llm.chosen_path import linked
 from lakeops.llm.digest_index import DigestIndex, judged
@@ -55,3 +56,18 @@ def op9(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The language of every document, learned from the documents that are not held out."""
     found = identified(docs.select("doc_id", "text"), learned(docs))
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "languages", "shares")
+
+
+#: What a label makes of a document, and the share of the tokens that each domain is to have.
+DOMAIN = "CASE WHEN toxic = 1 THEN 'toxic' WHEN quality = 0 THEN 'poor' WHEN quality = 1 THEN 'good' END"
+TARGETS = {"good": 0.90, "poor": 0.09, "toxic": 0.01}
+
+
+@query("op10_soft_mixing", "documents labels")
+def op10(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Domain probabilities, rate and copies of every document, the good documents' tokens staying as they are."""
+    model = mixing.learned(docs, labels, F.expr(DOMAIN))
+    rates = mixing.mixed_rates(docs, model, TARGETS, keep="good")
+    keys = docs.select("doc_id", F.monotonically_increasing_id().alias("row"))
+    shown = [F.col("p")[i].alias(f"p_{d}") for i, d in enumerate(model.domains)]
+    return keys.join(rates, "row").select("doc_id", F.col("tokens").alias("n_tokens"), *shown, "rate", "copies")

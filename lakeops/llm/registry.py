@@ -12,13 +12,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(name: str, table: str, sql: str | None = None):
-    """Register `fn(spark, frame of the table)` under a name."""
+def query(name: str, tables: str, sql: str | None = None):
+    """Register `fn(spark, *frames of the tables)` under a name."""
 
     def register(fn: Callable[[SparkSession, DataFrame], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             apply_profile(spark)
-            return fn(spark, spark.read.parquet(f"{sf_dir}/{table}.parquet"))
+            return fn(spark, *(spark.read.parquet(f"{sf_dir}/{table}.parquet") for table in tables.split()))
 
         run.__name__, run.__doc__ = name, fn.__doc__
         QUERIES[name] = run
