@@ -164,9 +164,9 @@ def posteriors(docs: DataFrame, model: Classifier, text: str = "text") -> DataFr
 
 
 def totals(rows: DataFrame, n: int, rate: Column | None = None) -> np.ndarray:
-    """Expected tokens by domain: sum(rate * tokens * p)."""
+    """Expected tokens by domain: sum(rate * tokens * p), the rate being 1 if there is none."""
     weight = F.col("tokens") if rate is None else rate * F.col("tokens")
-    sums = rows.agg(*[F.coalesce(F.sum(weight * F.col("p")[k]), F.lit(0.0)).alias(str(k)) for k in range(n)]).first()
+    sums = rows.agg(*[F.coalesce(F.sum(weight * F.col("p")[k]), F.lit(0.0)).alias(f"s{k}") for k in range(n)]).first()
     return np.array(sums, float)
 
 
@@ -174,29 +174,34 @@ def fitted(rows: DataFrame, target: np.ndarray) -> DataFrame:
     """`rows` with the column rate.
 
     Rates start at 1. A step moves them against the gradient of the distance from the
-    targets, measured by the domains' Gram matrix G = sum(tokens * p p'), in which the
-    step length is 1: r = max(0, r + p . G^-1 (target - totals)). Without the bound at zero one
-    step would match the targets with the least change of tokens; further steps make up
-    for what the bound cuts off.
+    targets, scaled by the Gram matrix G = sum(tokens * p p') of the documents whose rate is
+    above zero: r = max(0, r + p . G^-1 (target - totals)). Without the bound one step would
+    match the targets with the least change of tokens; further steps make up for what the
+    bound cuts off. Targets out of reach end with the last round, or before if five rounds
+    brought the totals no nearer.
     """
     n = len(target)
-    grown = [F.coalesce(F.sum(F.col("tokens") * F.col("p")[i] * F.col("p")[j]), F.lit(0.0)).alias(f"g{i}_{j}") for i in range(n) for j in range(i, n)]
-    gram = np.zeros((n, n))
-    if n:
-        gram[np.triu_indices(n)] = list(rows.agg(*grown).first())
-    inverse = np.linalg.pinv(gram + np.triu(gram, 1).T, rcond=1e-12, hermitian=True)
-    rate, since = F.lit(1.0), 0
-    for _ in range(ROUNDS):
-        miss = target - totals(rows, n, rate)
-        if n == 0 or np.abs(miss).max() <= MISS * max(1.0, np.abs(target).sum()):
+    above = [(i, j) for i in range(n) for j in range(i, n)]
+    rate, since, misses = F.lit(1.0), 0, []
+    for _ in range(ROUNDS if n else 0):
+        now = rows.withColumn("rate", rate)
+        weight, p = F.col("tokens"), [F.col("p")[k] for k in range(n)]
+        free = F.when(F.col("rate") > 0, weight)
+        sums = [F.sum(F.col("rate") * weight * x) for x in p] + [F.sum(free * p[i] * p[j]) for i, j in above]
+        found = np.array(now.agg(*[F.coalesce(x, F.lit(0.0)).alias(f"s{k}") for k, x in enumerate(sums)]).first(), float)
+        miss = target - found[:n]
+        misses.append(np.abs(miss).max())
+        if misses[-1] <= MISS * max(1.0, np.abs(target).sum()) or min(misses[-5:]) > 0.99 * min(misses[:-5], default=np.inf):
             break
-        step = inverse @ miss
-        move = sum((F.lit(float(s)) * F.col("p")[k] for k, s in enumerate(step)), F.lit(0.0))
+        gram = np.zeros((n, n))
+        gram[tuple(zip(*above))] = found[n:]
+        step = np.linalg.pinv(gram + np.triu(gram, 1).T, rcond=1e-12, hermitian=True) @ miss
+        move = sum((F.lit(float(s)) * x for s, x in zip(step, p)), F.lit(0.0))
         rate, since = F.greatest(F.lit(0.0), rate + move), since + 1
         if since == 8:  # keeps the plan short
-            rows = written(rows.drop("rate").withColumn("rate", rate), "rates")
+            rows = written(rows.withColumn("rate", rate), "rates")
             rate, since = F.col("rate"), 0
-    return rows.select(*[c for c in rows.columns if c != "rate"], rate.alias("rate"))
+    return rows.withColumn("rate", rate)
 
 
 def mixed_rates(
