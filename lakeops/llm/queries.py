@@ -10,6 +10,7 @@ from lakeops.llm import mixing
 from lakeops.llm.bpe import encoded_and_decoded, ids_digest
 from lakeops.llm.chosen_path import linked
 from lakeops.llm.digest_index import DigestIndex, judged
+from lakeops.llm.html_extract import extracted
 from lakeops.llm.langid import held_out, identified, learned
 from lakeops.llm.registry import ORACLES, QUERIES, query
 from lakeops.session import scratch_path
@@ -19,6 +20,12 @@ __all__ = ["ORACLES", "QUERIES"]
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query("op1_tag_path_ratios", "pages")
+def op1(spark: SparkSession, pages: DataFrame) -> DataFrame:
+    """The main text of every page."""
+    return extracted(pages.select("page_id", "url", "html")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @query("op4_chosen_path_join", "documents")
 def op4(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Every document with its near-duplicate class, the class of its word five-grams, and its links."""
