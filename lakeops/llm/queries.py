@@ -13,6 +13,7 @@ from lakeops.llm.digest_index import DigestIndex, judged
 from lakeops.llm.html_extract import extracted
 from lakeops.llm.langid import held_out, identified, learned
 from lakeops.llm.registry import ORACLES, QUERIES, query
+from lakeops.llm.topk import top_k
 from lakeops.session import scratch_path
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -26,6 +27,25 @@ def op1(spark: SparkSession, pages: DataFrame) -> DataFrame:
     return extracted(pages.select("page_id", "url", "html")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+OP3_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+SELECT * FROM r WHERE rank <= 10
+"""
+
+
+@query("op3_three_phase_top_k", "embeddings", OP3_SQL)
+def op3(spark: SparkSession, vectors: DataFrame) -> DataFrame:
+    """The ten nearest of all vectors for those whose number is divisible by 100."""
+    return top_k(vectors, F.col("vec_id") % 100 == 0, k=10)
+
+
 @query("op4_chosen_path_join", "documents")
 def op4(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Every document with its near-duplicate class, the class of its word five-grams, and its links."""
