@@ -9,6 +9,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -217,15 +218,17 @@ class Encoder:
         self.starts, self.counts = np.empty(0, np.int64), np.empty(0, np.int64)
         self.pool = np.empty(0, np.int32)
 
-    def _learn(self, known: dict[str, int], chunks: list[str], prefix: str) -> None:
+    def _encoded(self, chunks: list[str], prefix: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the chunks behind the prefix, and the number of them in each."""
         whole = [self.pattern.findall(prefix + c) if not c.isalpha() else (prefix + c,) for c in chunks]
-        pieces = [p.encode("utf-8", "surrogatepass") for w in whole for p in w]
         per = np.fromiter(map(len, whole), np.int64, len(whole))
-        ids, n = merge_all(self.v, pieces)
-        ends = np.concatenate([[0], np.cumsum(n)])[np.cumsum(per)]
-        counts = np.diff(ends, prepend=0)
+        ids, n = merge_all(self.v, [p.encode("utf-8", "surrogatepass") for w in whole for p in w])
+        return ids, np.diff(np.concatenate([[0], np.cumsum(n)])[np.cumsum(per)], prepend=0)
+
+    def _learn(self, known: dict[str, int], chunks: list[str], prefix: str) -> None:
+        ids, counts = self._encoded(chunks, prefix)
         known.update(zip(chunks, range(len(self.counts), len(self.counts) + len(chunks))))
-        self.starts = np.concatenate([self.starts, len(self.pool) + ends - counts])
+        self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(counts) - counts])
         self.counts = np.concatenate([self.counts, counts])
         self.pool = np.concatenate([self.pool, ids])
 
@@ -261,19 +264,20 @@ class Encoder:
             else:
                 self._chunks(text, runs)
             ends.append(len(runs))
-        for known, behind, prefix in ((self.blank, True, " "), (self.plain, False, "")):
-            met: set[str] = set()
-            for b, c in runs:
-                if b is behind:
-                    met.update(c)
-            if new := list(met - known.keys()):
-                self._learn(known, new, prefix)
         sizes = np.fromiter((len(c) for _, c in runs), np.int64, len(runs))
         found: list[int] = []
-        blank, plain = self.blank.__getitem__, self.plain.__getitem__
+        words: list[str] = []
         for b, c in runs:
-            found.extend(map(blank if b else plain, c))
+            words += c
+            found.extend(map((self.blank if b else self.plain).get, c, repeat(-1)))
         index = np.array(found, np.int64)
+        behind = np.repeat(np.fromiter((b for b, _ in runs), bool, len(runs)), sizes)
+        for known, kind, prefix in ((self.blank, True, " "), (self.plain, False, "")):
+            missing = np.flatnonzero((index < 0) & (behind == kind)).tolist()
+            if missing:
+                new = [words[i] for i in missing]
+                self._learn(known, list(dict.fromkeys(new)), prefix)
+                index[missing] = [known[w] for w in new]
         counts = self.counts[index]
         ids = gather(self.pool, self.starts[index], counts)
         upto = np.concatenate([[0], np.cumsum(counts)])[np.concatenate([[0], np.cumsum(sizes)])]

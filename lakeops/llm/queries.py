@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.llm import mixing
+from lakeops.llm.arrow_shards import read_documents, write_shards
 from lakeops.llm.bpe import encoded_and_decoded, ids_digest
 from lakeops.llm.chosen_path import linked
 from lakeops.llm.digest_index import DigestIndex, judged
@@ -62,6 +63,14 @@ def op5(spark: SparkSession, docs: DataFrame) -> DataFrame:
     )
 
 
+@query("op7_arrow_sequences", "documents")
+def op7(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Every document as it is read back from the shards that were written."""
+    folder = scratch_path(spark, "shards")
+    write_shards(docs, folder, BYTE_BPE, end=0)
+    return read_documents(spark, folder)
+
+
 OP8_SQL = """
 WITH d AS (
   SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g')) AS h, length(coalesce(text, '')) AS n
