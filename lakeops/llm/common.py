@@ -84,7 +84,7 @@ def _run_hashes(words: np.ndarray, k: int) -> np.ndarray:
     out = np.full(n, np.uint64(k))
     with np.errstate(over="ignore"):
         for i in range(k):
-            out = mixed(out * _STEP + words[i : i + n])
+            out = mixed(out * np.uint64(_STEP) + words[i : i + n])
     return out
 
 
@@ -133,30 +133,47 @@ def _byte_tables() -> tuple[np.ndarray, np.ndarray]:
 
 
 _BYTES, _BLANK = _byte_tables()
-_STEP = np.uint64(0x9E3779B97F4A7C15)
+_STEP = 0x9E3779B97F4A7C15
 
 
-def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words of all texts, and the number of words in each.
-
-    Words are what ASCII white space separates. The hash is a polynomial of the word's
-    bytes, taken from running sums over all bytes, so no word is looked at by itself.
-    """
-    raw = [t.encode("utf-8", "surrogatepass") for t in texts]
-    data = np.frombuffer(b"\n".join([b"", *raw, b""]), np.uint8)
-    blank = _BLANK[data]
-    starts = np.flatnonzero(blank[:-1] & ~blank[1:]) + 1
-    ends = np.flatnonzero(~blank[:-1] & blank[1:]) + 1
+def running(values: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sums and factors by which any run of the values has a polynomial hash: `run_hash`."""
     with np.errstate(over="ignore"):
-        powers = np.full(len(data), _STEP)
-        powers[:1] = 1
+        powers = np.full(len(values) + 1, np.uint64(step))
+        powers[0] = 1
         powers = np.cumprod(powers, dtype=np.uint64)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[data] * powers, dtype=np.uint64)])
-        back = np.full(len(data), np.uint64(pow(int(_STEP), -1, 1 << 64)))
-        back[:1] = 1
-        back = np.cumprod(back, dtype=np.uint64)
-        hashes = mixed((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
-    sizes = np.fromiter(map(len, raw), np.int64, len(raw)) + 1
-    begins = 1 + np.cumsum(sizes) - sizes
-    counts = np.diff(np.searchsorted(starts, np.append(begins, len(data) + 1)))
-    return hashes, counts
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * powers[:-1], dtype=np.uint64)])
+        back = np.full(len(values) + 1, np.uint64(pow(step, -1, 1 << 64)))
+        back[0] = 1
+        return sums, np.cumprod(back, dtype=np.uint64)
+
+
+def run_hash(sums: np.ndarray, back: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return mixed((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
+
+
+class Words:
+    """The words of texts: what ASCII white space separates.
+
+    data: bytes of all texts, a newline before each and behind the last; begins: of the
+    texts in it; starts, ends: of the words; counts: words in each text; hashes: 64 bits
+    each, a polynomial of the word's bytes by running sums, so no word is looked at by itself.
+    """
+
+    def __init__(self, texts: list[str]):
+        raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+        self.data = np.frombuffer(b"\n".join([b"", *raw, b""]), np.uint8)
+        blank = _BLANK[self.data]
+        self.starts = np.flatnonzero(blank[:-1] & ~blank[1:]) + 1
+        self.ends = np.flatnonzero(~blank[:-1] & blank[1:]) + 1
+        self.hashes = run_hash(*running(_BYTES[self.data], _STEP), self.starts, self.ends)
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw)) + 1
+        self.begins = 1 + np.cumsum(sizes) - sizes
+        self.counts = np.diff(np.searchsorted(self.starts, np.append(self.begins, len(self.data) + 1)))
+
+
+def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, and the number of words in each."""
+    words = Words(texts)
+    return words.hashes, words.counts

@@ -14,6 +14,7 @@ from lakeops.llm.digest_index import DigestIndex, judged
 from lakeops.llm.html_extract import extracted
 from lakeops.llm.langid import held_out, identified, learned
 from lakeops.llm.registry import ORACLES, QUERIES, query
+from lakeops.llm.sentence_spans import deduplicated
 from lakeops.llm.topk import top_k
 from lakeops.session import scratch_path
 
@@ -63,6 +64,12 @@ def op5(spark: SparkSession, docs: DataFrame) -> DataFrame:
     )
 
 
+@query("op6_sentence_span_dedup", "documents")
+def op6(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """What is left of every document, and how many sentences it had and lost."""
+    return deduplicated(docs.select("doc_id", "text"))
+
+
 @query("op7_arrow_sequences", "documents")
 def op7(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Every document as it is read back from the shards that were written."""
