@@ -15,6 +15,7 @@ from lakeops.llm.html_extract import extracted
 from lakeops.llm.langid import held_out, identified, learned
 from lakeops.llm.registry import ORACLES, QUERIES, query
 from lakeops.llm.sentence_spans import deduplicated
+from lakeops.llm.surrogates import replaced
 from lakeops.llm.topk import top_k
 from lakeops.session import scratch_path
 
@@ -29,6 +30,16 @@ def op1(spark: SparkSession, pages: DataFrame) -> DataFrame:
     return extracted(pages.select("page_id", "url", "html")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+#: For tests; a key of one's own comes from a secret store.
+KEY = "not a secret"
+
+
+@query("op2_keyed_surrogates", "documents")
+def op2(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Every document with surrogates for personal data and secrets."""
+    return replaced(docs.select("doc_id", "text"), KEY)
+
+
 OP3_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
