@@ -177,12 +177,12 @@ def fitted(rows: DataFrame, target: np.ndarray) -> DataFrame:
     targets, scaled by the Gram matrix G = sum(tokens * p p') of the documents whose rate is
     above zero: r = max(0, r + p . G^-1 (target - totals)). Without the bound one step would
     match the targets with the least change of tokens; further steps make up for what the
-    bound cuts off. Targets out of reach end with the last round, or before if five rounds
-    brought the totals no nearer.
+    bound cuts off. A step that comes no nearer is taken back for one by the inverse of G's
+    greatest eigenvalue, which always does. Targets out of reach end with the last round.
     """
     n = len(target)
     above = [(i, j) for i in range(n) for j in range(i, n)]
-    rate, since, misses = F.lit(1.0), 0, []
+    rate, kept, since, best, longest = F.lit(1.0), F.lit(1.0), 0, None, 0.0
     for _ in range(ROUNDS if n else 0):
         now = rows.withColumn("rate", rate)
         weight, p = F.col("tokens"), [F.col("p")[k] for k in range(n)]
@@ -190,18 +190,23 @@ def fitted(rows: DataFrame, target: np.ndarray) -> DataFrame:
         sums = [F.sum(F.col("rate") * weight * x) for x in p] + [F.sum(free * p[i] * p[j]) for i, j in above]
         found = np.array(now.agg(*[F.coalesce(x, F.lit(0.0)).alias(f"s{k}") for k, x in enumerate(sums)]).first(), float)
         miss = target - found[:n]
-        misses.append(np.abs(miss).max())
-        if misses[-1] <= MISS * max(1.0, np.abs(target).sum()) or min(misses[-5:]) > 0.99 * min(misses[:-5], default=np.inf):
-            break
-        gram = np.zeros((n, n))
-        gram[tuple(zip(*above))] = found[n:]
-        step = np.linalg.pinv(gram + np.triu(gram, 1).T, rcond=1e-12, hermitian=True) @ miss
-        move = sum((F.lit(float(s)) * x for s, x in zip(step, p)), F.lit(0.0))
-        rate, since = F.greatest(F.lit(0.0), rate + move), since + 1
+        if best is None or np.linalg.norm(miss) < np.linalg.norm(best):
+            best, kept = miss, rate
+            if np.abs(miss).max() <= MISS * max(1.0, np.abs(target).sum()):
+                break
+            gram = np.zeros((n, n))
+            gram[tuple(zip(*above))] = found[n:]
+            gram += np.triu(gram, 1).T
+            longest = longest or max(np.linalg.eigvalsh(gram)[-1], 1e-300)
+            step = np.linalg.pinv(gram, rcond=1e-12, hermitian=True) @ miss
+        else:
+            step = best / longest
         if since == 8:  # keeps the plan short
-            rows = written(rows.withColumn("rate", rate), "rates")
-            rate, since = F.col("rate"), 0
-    return rows.withColumn("rate", rate)
+            rows = written(rows.withColumn("rate", kept), "rates")
+            kept, since = F.col("rate"), 0
+        move = sum((F.lit(float(s)) * x for s, x in zip(step, p)), F.lit(0.0))
+        rate, since = F.greatest(F.lit(0.0), kept + move), since + 1
+    return rows.withColumn("rate", kept)
 
 
 def mixed_rates(
