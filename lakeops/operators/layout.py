@@ -4,24 +4,70 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from datetime import date, datetime
+from urllib.parse import unquote
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    BooleanType,
+    DataType,
+    DateType,
+    IntegralType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
 from pyspark.sql.utils import AnalysisException
 
 from lakeops.operators.skew import hot_keys
 from lakeops.session import shuffle_partitions, sibling_session
 
 
-def read_if_any(spark: SparkSession, path: str) -> DataFrame | None:
-    """The Parquet table at a path, or None before anything is written there."""
+def read_if_any(
+    spark: SparkSession, path: str, part_cols: Sequence[str] = (), types: StructType | None = None
+) -> DataFrame | None:
+    """The Parquet table at a path, or None before anything is written there.
+
+    With `part_cols` it has every column that any of its files has, and the partition columns
+    have their type in `types` or are text, as in the folders' names: Spark would make
+    the number 1 of a folder "01", and write it back to another.
+    """
     try:
-        return spark.read.parquet(path)
+        table = spark.read.option("mergeSchema", bool(part_cols)).parquet(path)
     except AnalysisException as e:
         if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
+    if not part_cols:
+        return table
+    known = {f.name: f.dataType for f in types or [] if f.name in part_cols}
+    fields = [
+        StructField(f.name, known.get(f.name, StringType()) if f.name in part_cols else f.dataType) for f in table.schema
+    ]
+    return spark.read.schema(StructType(fields)).parquet(path)
+
+
+def as_type(value, kind: DataType):
+    """A partition value as the column's type: a day may come as a date or as its text."""
+    if value is None:
+        return None
+    if isinstance(kind, StringType):
+        if isinstance(value, bool):
+            return str(value).lower()
+        return value if isinstance(value, str) else str(value)
+    if isinstance(kind, DateType):
+        return value.date() if isinstance(value, datetime) else date.fromisoformat(str(value))
+    if isinstance(kind, (TimestampType, TimestampNTZType)):
+        return value if isinstance(value, datetime) else datetime.fromisoformat(str(value))
+    if isinstance(kind, BooleanType):
+        return value if isinstance(value, bool) else str(value).lower() == "true"
+    if isinstance(kind, IntegralType):
+        return int(value)
+    return value
 
 
 def clustered(df: DataFrame, partition_by: Sequence[str], rows_per_file: int | None = None) -> DataFrame:
@@ -78,14 +124,15 @@ def catalog_append(df: DataFrame, table: str, path: str | None = None) -> None:
     writer.saveAsTable(table)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> str:
+def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str], gather: bool = True) -> str:
     """Replace only the partitions present in the data.
 
     The committer stages all files and moves them in when the job commits, so a failed
-    job leaves the table as it was, and the data may come from the table itself.
+    job leaves the table as it was, and the data may come from the table itself. Without
+    `gather` rows are written by the tasks that hold them.
     """
     (
-        clustered(df, partition_by)
+        (clustered(df, partition_by) if gather else df)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
@@ -133,19 +180,26 @@ def write_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int,
     return table
 
 
-def empty_partitions(spark: SparkSession, path: str, values: Sequence[dict]) -> None:
-    """Make the given partitions hold no rows.
+def empty_partitions(table: DataFrame, path: str, values: Sequence[dict]) -> None:
+    """Remove the folders of the given partitions of a table, as `read_if_any` gave it.
 
-    A dynamic overwrite leaves a partition alone when no row falls into it, so each is
-    overwritten with an empty file of the table's schema.
+    A dynamic overwrite leaves a partition alone when no row falls into it. The folders are
+    those that the partitions' files are in, found in one job, whatever signs the values
+    hold. A table that would have no file left keeps an empty one in the last folder.
     """
     if not values:
         return
-    table = spark.read.parquet(path)
+    spark = table.sparkSession
     folder = F.regexp_extract("_metadata.file_path", r"^(.*)/[^/]*$", 1)
-    body = spark.createDataFrame([], table.drop(*values[0]).schema)
-    for row in table.filter(in_partitions(values)).select(folder.alias("d")).distinct().collect():
-        body.write.mode("overwrite").parquet(row["d"])
+    # One row per emptied partition.
+    gone = [unquote(r["d"]) for r in table.filter(in_partitions(values)).select(folder.alias("d")).distinct().collect()]
+    jvm = spark._jvm.org.apache.hadoop.fs
+    files = jvm.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for d in gone:
+        files.delete(jvm.Path(d), True)
+    if gone and read_if_any(spark, path) is None:
+        body = spark.createDataFrame([], table.drop(*values[0]).schema)
+        body.write.mode("overwrite").parquet(gone[-1])
 
 
 def partition_values(df: DataFrame, part_cols: Sequence[str]) -> list[dict]:
@@ -157,15 +211,12 @@ def refresh_partitions(df: DataFrame, path: str, partition_by: Sequence[str], to
     """Replace the touched partitions by what the frame holds for them, which may be nothing."""
     with reused(df) as rows:
         overwrite_partitions(rows, path, partition_by)
-        alive = {_as_text(v) for v in partition_values(rows, partition_by)}
-    gone = [v for v in touched if _as_text(v) not in alive]
-    if gone and read_if_any(df.sparkSession, path) is not None:
-        empty_partitions(df.sparkSession, path, gone)
-
-
-def _as_text(values: dict) -> tuple:
-    """Partition values as they stand in directory names: a date and its text are the same partition."""
-    return tuple(str(v) for v in values.values())
+        alive = partition_values(rows, partition_by)
+    wanted = [{c: as_type(v[c], df.schema[c].dataType) for c in partition_by} for v in touched]
+    gone = [v for v in wanted if v not in alive]
+    table = read_if_any(df.sparkSession, path, partition_by, df.schema) if gone else None
+    if table is not None:
+        empty_partitions(table, path, gone)
 
 
 def in_partitions(values: Sequence[dict]) -> Column:
@@ -193,9 +244,17 @@ def _any(conditions: list[Column]) -> Column:
 
 
 def update_where(
-    spark: SparkSession, path: str, part_cols: Sequence[str], condition: Column, assignments: dict[str, Column]
+    spark: SparkSession,
+    path: str,
+    part_cols: Sequence[str],
+    condition: Column,
+    assignments: dict[str, Column],
+    types: StructType | None = None,
 ) -> None:
-    """UPDATE on a Parquet table: rows that match get the new values, types kept."""
+    """UPDATE on a Parquet table: rows that match get the new values, types kept.
+
+    Partition columns are text in `condition` unless `types` has others for them.
+    """
 
     def change(df: DataFrame) -> DataFrame:
         return df.withColumns(
@@ -207,15 +266,20 @@ def update_where(
 
     if set(assignments) & set(part_cols):
         raise ValueError("moving rows between partitions is a merge, not an update")
-    table = spark.read.parquet(path)
+    table = read_if_any(spark, path, part_cols, types)
     touched = partition_values(table.filter(condition), part_cols)
     if touched:
         overwrite_partitions(change(table.filter(in_partitions(touched))), path, part_cols)
 
 
-def delete_where(spark: SparkSession, path: str, part_cols: Sequence[str], condition: Column) -> None:
-    """DELETE on a Parquet table; a partition that loses all its rows ends up empty."""
-    table = spark.read.parquet(path)
+def delete_where(
+    spark: SparkSession, path: str, part_cols: Sequence[str], condition: Column, types: StructType | None = None
+) -> None:
+    """DELETE on a Parquet table; a partition that loses all its rows goes.
+
+    Partition columns are text in `condition` unless `types` has others for them.
+    """
+    table = read_if_any(spark, path, part_cols, types)
     touched = partition_values(table.filter(condition), part_cols)
     if not touched:
         return
@@ -223,7 +287,7 @@ def delete_where(spark: SparkSession, path: str, part_cols: Sequence[str], condi
     alive = partition_values(rest, part_cols)
     if alive:
         overwrite_partitions(rest, path, part_cols)
-    empty_partitions(spark, path, [v for v in touched if v not in alive])
+    empty_partitions(table, path, [v for v in touched if v not in alive])
 
 
 def file_audit(df: DataFrame, part_cols: Sequence[str]) -> DataFrame:

@@ -7,9 +7,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lakeops.operators.joins import broadcast_checked
 from lakeops.operators.layout import (
+    clustered,
     empty_partitions,
     in_partitions,
     overwrite_partitions,
@@ -32,6 +34,10 @@ class Keyed:
     order: Sequence[str]
     part_cols: Sequence[str]
 
+    def read(self, spark: SparkSession, types: StructType) -> DataFrame | None:
+        """The table with all columns it ever had, and partition columns as in `types`."""
+        return read_if_any(spark, self.path, self.part_cols, types)
+
 
 def newest(df: DataFrame, table: Keyed) -> DataFrame:
     return latest(df, table.keys, table.order)
@@ -67,15 +73,17 @@ def merge_partitions(
     partitions of the new rows are read.
 
     Rows of touched partitions whose key is not in the updates pass through an anti join
-    against the updates' keys and are not shuffled when those keys are few. `deleted`
-    marks change rows that remove their key (no trace of the key is kept, so an older
-    version that arrives after its delete counts as new). The whole merge is one dynamic
-    overwrite: running it again with the same updates changes nothing. `before_commit` is
-    told the partitions that are about to be replaced.
+    against the updates' keys and are not shuffled when those keys are few: the tasks that
+    scan them write them. Columns that either side lacks are null there, and none is
+    dropped. `deleted` marks change rows that remove their key (no trace of the key is
+    kept, so an older version that arrives after its delete counts as new). Touched
+    partitions are replaced by one dynamic overwrite, then those with nothing left are
+    removed; running it again with the same updates, after a crash in between as well, gives
+    the same table. `before_commit` is told the partitions that are about to be replaced.
     """
     parts = list(table.part_cols)
     with reused(newest(updates, table)) as fresh:
-        target = read_if_any(spark, table.path)
+        target = table.read(spark, fresh.schema)
         if target is None:
             kept = fresh.filter(~F.coalesce(deleted, F.lit(False))) if deleted is not None else fresh
             touched = partition_values(kept, parts)
@@ -84,8 +92,6 @@ def merge_partitions(
             overwrite_partitions(kept, table.path, parts)
             return touched
         columns = target.columns + [c for c in fresh.columns if c not in target.columns]
-        # Partition columns are read back as directory values; keep the type the data has.
-        target = target.withColumns({c: F.col(c).cast(fresh.schema[c].dataType) for c in parts if c in fresh.columns})
         keys_side = broadcast_checked(fresh.select(*table.keys))
         if key_stays_in_partition:
             candidates = partition_values(fresh, parts)
@@ -111,8 +117,9 @@ def merge_partitions(
         at_risk = [v for v in was if v not in now]
         alive = partition_values(rest.filter(in_partitions(at_risk)), parts) if at_risk else []
         gone = [v for v in at_risk if v not in alive]
-        overwrite_partitions(rest.unionByName(kept, allowMissingColumns=True).select(*columns), table.path, parts)
-    empty_partitions(spark, table.path, gone)
+        merged = rest.unionByName(clustered(kept, parts), allowMissingColumns=True).select(*columns)
+        overwrite_partitions(merged, table.path, parts, gather=False)
+    empty_partitions(target, table.path, gone)
     return touched
 
 

@@ -12,7 +12,7 @@ from lakeops.functions.money import exact_sum
 from lakeops.operators.aggregate import kpi, sum_where
 from lakeops.operators.governance import job_run, snapshot_schema
 from lakeops.operators.joins import Dim, broadcast_checked, join_as, star_join
-from lakeops.operators.layout import in_partitions, publish_day, refresh_partitions
+from lakeops.operators.layout import in_partitions, publish_day, read_if_any, refresh_partitions
 from lakeops.operators.merge import Keyed, merge_partitions
 from lakeops.operators.quality import reconcile
 from lakeops.operators.skew import salted_totals
@@ -52,11 +52,13 @@ def governed_day(
 
     Returns the reconciliation; a disagreement fails the run and is logged as such.
     """
+    # The partition column is of the day's own type, whatever the folders' names look like.
+    types = spark.range(1).select(F.lit(day).alias(part_col)).schema
     with job_run(spark, log_path, "gold_kpi_daily", silver_path, gold_path) as run:
-        fact = spark.read.parquet(silver_path).filter(F.col(part_col) == F.lit(day))
+        fact = read_if_any(spark, silver_path, [part_col], types).filter(F.col(part_col) == F.lit(day))
         result = star_kpi(fact, dims, [part_col, *keys], amount)
         publish_day(result, gold_path, part_col, day)
-        published = spark.read.parquet(gold_path).filter(F.col(part_col) == F.lit(day))
+        published = read_if_any(spark, gold_path, [part_col], types).filter(F.col(part_col) == F.lit(day))
         snapshot_schema(spark, published.schema, "gold.kpi_daily", gold_path, registry)
         counts = published.agg(F.count(F.lit(1)).alias("n"), F.sum("txns").alias("t"), exact_sum("total_amount").alias("a")).first()
         source = fact.agg(F.count(F.lit(1)).alias("t"), exact_sum(amount).alias("a")).first()
@@ -74,7 +76,7 @@ def late_data(
     """Merge a late batch into Silver and rebuild Gold for the partitions it touched."""
     touched = merge_partitions(spark, silver, updates)
     if touched:
-        changed = spark.read.parquet(silver.path).filter(in_partitions(touched))
+        changed = silver.read(spark, updates.schema).filter(in_partitions(touched))
         result = star_kpi(changed, dims, [*silver.part_cols, *keys], amount)
         refresh_partitions(result, gold_path, list(silver.part_cols), touched)
     return touched

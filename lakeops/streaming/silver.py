@@ -75,7 +75,7 @@ class Upsert:
             if self.registry:
                 snapshot_schema(spark, good.schema, self.job_name, self.table.path, self.registry)
         if self.gold and touched:
-            self.gold(spark.read.parquet(self.table.path).filter(in_partitions(touched)), touched)
+            self.gold(self.table.read(spark, df.schema).filter(in_partitions(touched)), touched)
 
 
 def _note_touched(spark: SparkSession, path: str, schema: StructType, touched: list[dict]) -> None:

@@ -1,5 +1,6 @@
 """Writers, overwrites, deletes and what the scans of the result look like."""
 
+import os
 from datetime import date
 
 import pytest
@@ -133,3 +134,25 @@ def test_in_partitions_with_null_and_several_columns(spark):
     assert df.filter(layout.in_partitions([])).count() == 0
     many = layout.in_partitions([{"p": i, "q": "a"} for i in range(1000)])
     assert df.filter(many).count() == 1
+
+
+@pytest.mark.parametrize("value", ["01", "4-NOT SPECIFIED", "a:b/c%d", "true"])
+def test_update_and_delete_in_partitions_of_any_name(spark, folder, value):
+    df = spark.createDataFrame([(1, 1, value), (2, 2, value), (3, 3, "02")], "id int, v int, p string")
+    path = layout.write_table(df, folder(), partition_by=["p"])
+    layout.update_where(spark, path, ["p"], F.col("p") == value, {"v": F.col("v") * 10})
+    back = layout.read_if_any(spark, path, ["p"])
+    assert rows(back.select("id", "v", "p")) == [(1, 10, value), (2, 20, value), (3, 3, "02")]
+    layout.delete_where(spark, path, ["p"], F.col("id") < 3)
+    assert rows(layout.read_if_any(spark, path, ["p"]).select("id", "v", "p")) == [(3, 3, "02")]
+    assert [d for d in os.listdir(path) if d.startswith("p=")] == ["p=02"]
+    layout.delete_where(spark, path, ["p"], F.lit(True))
+    assert layout.read_if_any(spark, path, ["p"]).count() == 0
+
+
+def test_delete_timestamp_partition(spark, folder):
+    df = spark.sql("SELECT 1 id, timestamp'2026-01-01 10:00:00' p UNION ALL SELECT 2, timestamp'2026-01-02 00:00:00'")
+    path = layout.write_table(df, folder(), partition_by=["p"])
+    layout.delete_where(spark, path, ["p"], F.col("p") < "2026-01-02", df.schema)
+    assert [r["id"] for r in layout.read_if_any(spark, path, ["p"], df.schema).collect()] == [2]
+    assert len([d for d in os.listdir(path) if d.startswith("p=")]) == 1

@@ -1,5 +1,8 @@
 """Latest-wins merge: ties, moved keys, deletes, replays, schema growth."""
 
+import os
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -97,3 +100,40 @@ def test_merge_columns_keeps_old_values(spark):
     old = spark.createDataFrame([(1, "a", 1), (2, "b", 2)], "id int, s string, n int")
     new = spark.createDataFrame([(2, None, 9), (3, "z", None)], "id int, s string, n int")
     assert rows(merge_columns(old, new, ["id"], ["s", "n"])) == [(1, "a", 1), (2, "b", 9), (3, "z", None)]
+
+
+PARTED = "id long, v double, seq int, mm string"
+
+
+@pytest.mark.parametrize("stays", [True, False])
+@pytest.mark.parametrize("kind", ["text", "boolean", "blanks", "timestamp"])
+def test_partition_values_keep_their_type(spark, folder, kind, stays):
+    a, b = {
+        "text": ("01", "02"), "boolean": (True, False), "blanks": ("4-NOT SPECIFIED", "a:b/c%d"),
+        "timestamp": (datetime(2026, 1, 1, 10, 30), datetime(2026, 1, 2)),
+    }[kind]
+    types = PARTED.replace("mm string", f"mm {'string' if kind == 'blanks' or kind == 'text' else kind}")
+    frame = lambda rows: spark.createDataFrame(rows, types)
+    t = Keyed(folder("parted"), ["id"], ["seq"], ["mm"])
+    first = frame([(1, 1.0, 1, a), (2, 2.0, 1, a), (3, 3.0, 1, b)])
+    merge_partitions(spark, t, first)
+    merge_partitions(spark, t, frame([(2, 20.0, 2, a), (4, 4.0, 1, b)]), key_stays_in_partition=stays)
+    got = t.read(spark, first.schema)
+    assert got.schema["mm"].dataType == first.schema["mm"].dataType
+    assert rows(got.select("id", "v", "mm")) == rows(frame([(1, 1.0, 0, a), (2, 20.0, 0, a), (3, 3.0, 0, b), (4, 4.0, 0, b)]).select("id", "v", "mm"))
+    if not stays:
+        # Both keys of b move to a: b goes, and no folder of another name appears.
+        merge_partitions(spark, t, frame([(3, 30.0, 3, a), (4, 40.0, 3, a)]))
+        got = t.read(spark, first.schema)
+        assert rows(got.select("id", "mm")) == rows(frame([(i, 0.0, 0, a) for i in (1, 2, 3, 4)]).select("id", "mm"))
+        assert len([d for d in os.listdir(t.path) if d.startswith("mm=")]) == 1
+
+
+def test_columns_once_added_stay(spark, folder):
+    t = Keyed(folder("grown"), ["id"], ["seq"], ["p"])
+    plain = "id long, seq int, p string"
+    merge_partitions(spark, t, spark.createDataFrame([(1, 1, "01"), (2, 1, "01"), (3, 1, "02")], plain))
+    merge_partitions(spark, t, spark.createDataFrame([(2, 2, "01", "new")], plain + ", extra string"))
+    merge_partitions(spark, t, spark.createDataFrame([(1, 3, "01"), (3, 2, "02")], plain))
+    got = t.read(spark, spark.createDataFrame([], plain).schema)
+    assert rows(got.select("id", "seq", "p", "extra")) == [(1, 3, "01", None), (2, 2, "01", "new"), (3, 2, "02", None)]
