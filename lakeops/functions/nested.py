@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def json_rows(df: DataFrame, json_col: str, element_schema: str, outer: bool = False) -> DataFrame:
@@ -35,3 +36,16 @@ def row_hash(columns: list[str | Column], sep: str = "||", null_marker: str = "\
     """
     texts = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit(null_marker)) for c in columns]
     return F.sha2(F.concat_ws(sep, *texts), 256)
+
+
+def stable_hash(df: DataFrame) -> Column:
+    """A 64-bit hash of the row. Maps, which have no hash of their own, go by their sorted entries' text."""
+
+    def part(field: T.StructField) -> Column:
+        c = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, T.MapType):
+            entries = F.transform(F.map_entries(c), lambda e: F.to_json(F.struct(e.alias("e"))))
+            return F.array_join(F.array_sort(entries), ",")
+        return F.to_json(F.struct(c)) if "map<" in field.dataType.simpleString() else c
+
+    return F.xxhash64(*[part(f) for f in df.schema])

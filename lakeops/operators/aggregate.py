@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeops.functions.combine import partials, wholes
 from lakeops.functions.money import exact_avg, exact_sum, from_minor, minor_units
 from lakeops.operators.layout import reused
 from lakeops.operators.skew import hot_keys
 from lakeops.operators.windows import ordered_numbers
+from lakeops.session import shuffle_partitions
 
 
 def kpi(df: DataFrame, keys: Sequence[str], amount: str, scale: int = 2) -> DataFrame:
@@ -22,8 +24,8 @@ def kpi(df: DataFrame, keys: Sequence[str], amount: str, scale: int = 2) -> Data
     )
 
 
-def daily_kpi(df: DataFrame, ts: str, keys: Sequence[str], amount: str) -> DataFrame:
-    return kpi(df.withColumn("dt", F.to_date(ts)), ["dt", *keys], amount)
+def daily_kpi(df: DataFrame, ts: str, keys: Sequence[str], amount: str, scale: int = 2) -> DataFrame:
+    return kpi(df.withColumn("dt", F.to_date(ts)), ["dt", *keys], amount, scale)
 
 
 def count_where(condition: Column) -> Column:
@@ -35,41 +37,63 @@ def sum_where(condition: Column, amount: str, scale: int = 2) -> Column:
     return from_minor(F.sum(F.when(condition, minor_units(amount, scale)).otherwise(F.lit(0))), scale)
 
 
-def _levels(grouped) -> DataFrame:
-    units = F.sum("units")
+def _levels(grouped, scale: int) -> DataFrame:
     return grouped.agg(
         F.grouping_id().alias("level"),
         F.sum("txns").alias("txns"),
-        from_minor(units).alias("total_amount"),
+        from_minor(F.sum("units"), scale).alias("total_amount"),
     )
 
 
-def _parts(df: DataFrame, keys: Sequence[str], amount: str) -> DataFrame:
+def _parts(df: DataFrame, keys: Sequence[str], amount: str, scale: int) -> DataFrame:
     """One row per finest group. Rollup and cube copy their input once per level, so they get this instead of raw rows."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("txns"), F.sum(minor_units(amount)).alias("units"))
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("txns"), F.sum(minor_units(amount, scale)).alias("units"))
 
 
-def rollup_kpi(df: DataFrame, keys: Sequence[str], amount: str) -> DataFrame:
+def rollup_kpi(df: DataFrame, keys: Sequence[str], amount: str, scale: int = 2) -> DataFrame:
     """txns and total per rollup level; `level` is the grouping id, which tells a total from a null key."""
-    return _levels(_parts(df, keys, amount).rollup(*keys))
+    return _levels(_parts(df, keys, amount, scale).rollup(*keys), scale)
 
 
-def cube_kpi(df: DataFrame, keys: Sequence[str], amount: str) -> DataFrame:
-    return _levels(_parts(df, keys, amount).cube(*keys))
+def cube_kpi(df: DataFrame, keys: Sequence[str], amount: str, scale: int = 2) -> DataFrame:
+    return _levels(_parts(df, keys, amount, scale).cube(*keys), scale)
 
 
-def grouping_sets_kpi(df: DataFrame, sets: Sequence[Sequence[str]], keys: Sequence[str], amount: str) -> DataFrame:
-    return _levels(_parts(df, keys, amount).groupingSets([list(s) for s in sets], *keys))
+def grouping_sets_kpi(
+    df: DataFrame, sets: Sequence[Sequence[str]], keys: Sequence[str], amount: str, scale: int = 2
+) -> DataFrame:
+    return _levels(_parts(df, keys, amount, scale).groupingSets([list(s) for s in sets], *keys), scale)
+
+
+def levels_agg(
+    df: DataFrame,
+    keys: Sequence[str],
+    aggs: Mapping[str, tuple[str, str]],
+    sets: Sequence[Sequence[str]] | str = "rollup",
+) -> DataFrame:
+    """Any of count, sum, min, max and avg over a "rollup", a "cube" or the given grouping sets.
+
+    `aggs` maps result names to (function, column). The finest groups are aggregated first,
+    and the levels put their partial results together; `level` is the grouping id.
+    """
+    finest = df.groupBy(*keys).agg(*partials(aggs))
+    if isinstance(sets, str):
+        grouped = {"rollup": finest.rollup, "cube": finest.cube}[sets](*keys)
+    else:
+        grouped = finest.groupingSets([list(s) for s in sets], *keys)
+    return grouped.agg(F.grouping_id().alias("level"), *wholes(aggs))
 
 
-def pivot_sum(df: DataFrame, keys: Sequence[str], column: str, values: Sequence, amount: str) -> DataFrame:
+def pivot_sum(
+    df: DataFrame, keys: Sequence[str], column: str, values: Sequence, amount: str, scale: int = 2
+) -> DataFrame:
     """PIVOT: the sum per listed value as a column, null where a group has no such row.
 
     The list is given, so nothing has to be discovered first; conditional sums need one
     exchange where `pivot` needs two.
     """
-    units = minor_units(amount)
-    sums = [from_minor(F.sum(F.when(F.col(column) == F.lit(v), units))).alias(str(v)) for v in values]
+    units = minor_units(amount, scale)
+    sums = [from_minor(F.sum(F.when(F.col(column) == F.lit(v), units)), scale).alias(str(v)) for v in values]
     return df.groupBy(*keys).agg(*sums)
 
 
@@ -112,37 +136,40 @@ def list_text(df: DataFrame, keys: Sequence[str], value: str, order: Sequence, s
     return list_parts(df, keys, value, order, **kw).withColumn("items", F.array_join("items", sep))
 
 
-def from_daily(daily: DataFrame, keys: Sequence[str]) -> DataFrame:
+def from_daily(daily: DataFrame, keys: Sequence[str], scale: int = 2) -> DataFrame:
     """Re-aggregate a daily table (txns, units, lo, hi) to coarser keys; the average comes from its parts."""
+    units = F.sum("units").cast("double")
     return daily.groupBy(*keys).agg(
         F.sum("txns").alias("txns"),
-        from_minor(F.sum("units")).alias("total_amount"),
+        from_minor(F.sum("units"), scale).alias("total_amount"),
         F.min("lo").alias("min_amount"),
         F.max("hi").alias("max_amount"),
-        (F.sum("units").cast("double") / (F.sum("txns") * F.lit(100.0))).alias("avg_amount"),
+        F.try_divide(units, F.sum("txns") * F.lit(float(10**scale))).alias("avg_amount"),
     )
 
 
-def daily_parts(df: DataFrame, ts: str, keys: Sequence[str], amount: str) -> DataFrame:
-    """The daily table that `from_daily` re-aggregates."""
+def daily_parts(df: DataFrame, ts: str, keys: Sequence[str], amount: str, scale: int = 2) -> DataFrame:
+    """The daily table that `from_daily` re-aggregates, in units of the same scale."""
     return (
         df.withColumn("dt", F.to_date(ts))
         .groupBy(*keys, "dt")
         .agg(
             F.count(amount).alias("txns"),
-            F.sum(minor_units(amount)).alias("units"),
+            F.sum(minor_units(amount, scale)).alias("units"),
             F.min(amount).alias("lo"),
             F.max(amount).alias("hi"),
         )
     )
 
 
-def one_exchange(df: DataFrame, key: str, share: float = 0.05) -> DataFrame:
+def one_exchange(df: DataFrame, key: str, share: float | None = None) -> DataFrame:
     """Rows laid out by key so that several aggregates on (key, ...) need no further exchange.
 
-    Laying out raw rows puts a hot key into one task. With a hot key the frame comes back
-    as it is, and each aggregate does its own map-side combine and small exchange.
+    Laying out raw rows puts a hot key into one task. If a key holds more than `share` of the
+    rows, by default as many as an average task, the frame comes back as it is, and
+    each aggregate does its own map-side combine and small exchange.
     """
+    share = share or 1.0 / shuffle_partitions(df.sparkSession)
     return df if hot_keys(df, key, share).take(1) else df.repartition(key)
 
 
@@ -172,7 +199,7 @@ def numeric_profile(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         for name, expr in {
             "n": F.count(c),
             "n_null": F.count_if(F.col(c).isNull()),
-            "mean": exact_avg(c, 4),
+            "mean": F.avg(c),
             "stddev": F.round(F.stddev(c), 4),
             "min": F.min(c),
             "max": F.max(c),
@@ -197,12 +224,14 @@ def numeric_profile(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         (c, i, pos, lo, hi, float(b)) if b <= int(pos) and b + n > -(-pos // 1) else (c, i, pos, None, None, 0.0)
         for (c, i, pos, lo, hi), b, n in zip(wanted, below, inside)
     ]
-    side = F.broadcast(
-        df.sparkSession.createDataFrame(brackets, "column_name string, i int, pos double, lo double, hi double, below double")
-    )
-    within = F.col("v").isNotNull() & (F.col("lo").isNull() | F.col("v").between(F.col("lo"), F.col("hi")))
-    long = values.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("v")) for c in names])))
-    held = long.join(side, "column_name").filter(within)
+    # The brackets are few and known: each value is tested against its column's, and only what is inside becomes a row.
+    def inside_bracket(c: str, i: int, pos: float, lo, hi, before: float) -> Column:
+        keep = F.col(c).isNotNull() if lo is None else F.col(c).between(F.lit(lo), F.lit(hi))
+        fields = [F.lit(c).alias("column_name"), F.lit(i).alias("i"), F.lit(float(pos)).alias("pos"), F.lit(before).alias("below")]
+        return F.when(keep, F.struct(*fields, F.col(c).alias("v")))
+
+    rows = F.array(*[inside_bracket(*bracket) for bracket in brackets])
+    held = values.select(F.explode(F.filter(rows, lambda x: x.isNotNull())).alias("x")).select("x.*")
     counts = held.groupBy("column_name", "i", "pos", "below", "v").agg(F.count(F.lit(1)).alias("__c"))
     with reused(counts) as kept:
         running = ordered_numbers(kept, ["column_name", "i"], ["v"], running={"__upto": "__c"}, all_large=True)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import subprocess
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,9 @@ from lakeops.operators.layout import read_if_any
 from lakeops.schemas import JOB_RUNS, SCHEMA_REGISTRY
 
 
+@cache
 def git_commit() -> str:
+    """Of the working copy that the driver runs in; asked for once."""
     try:
         run = subprocess.run(["git", "rev-parse", "--short", "HEAD"], capture_output=True, text=True, timeout=5)
         return run.stdout.strip() or "unknown"
@@ -45,7 +48,13 @@ def log_run(spark: SparkSession, path: str, run: Run, status: str, error: str =
         run.run_id, run.job_name, run.batch_id, git_commit(), run.source_path, run.target_path,
         run.input_rows, run.output_rows, run.dq_failed_rows, status, error, now or datetime.now(timezone.utc),
     )
-    spark.createDataFrame([row], JOB_RUNS).coalesce(1).write.mode("append").parquet(path)
+    rows = spark.createDataFrame([row], JOB_RUNS).coalesce(1)
+    rows.write.mode("append").partitionBy("job_name", "batch_id").parquet(path)
+
+
+def runs(spark: SparkSession, path: str) -> DataFrame:
+    """The whole log."""
+    return spark.read.schema(JOB_RUNS).parquet(path)
 
 
 @contextmanager
@@ -57,17 +66,16 @@ def job_run(
     try:
         yield run
     except BaseException as e:
-        log_run(spark, log_path, run, "FAILED", f"{type(e).__name__}: {e}"[:2000])
+        log_run(spark, log_path, run, "FAILED", f"{type(e).__name__}: {e}")
         raise
     log_run(spark, log_path, run, "SUCCESS")
 
 
 def batch_done(spark: SparkSession, log_path: str, job_name: str, batch_id: int) -> bool:
-    """Whether a stream's batch is already logged as successful."""
-    log = read_if_any(spark, log_path)
-    if log is None:
-        return False
-    return bool(log.filter((F.col("job_name") == job_name) & (F.col("batch_id") == batch_id) & (F.col("status") == "SUCCESS")).take(1))
+    """Whether a stream's batch is already logged as successful; only the batch's folder of the log is read."""
+    name = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(job_name)
+    log = read_if_any(spark, f"{log_path}/job_name={name}/batch_id={batch_id}")
+    return log is not None and bool(log.filter(F.col("status") == "SUCCESS").take(1))
 
 
 def snapshot_schema(spark: SparkSession, schema: StructType, name: str, dataset_path: str, registry: str) -> bool:
@@ -84,7 +92,10 @@ def snapshot_schema(spark: SparkSession, schema: StructType, name: str, dataset_
     return True
 
 
-def lineage(runs: DataFrame) -> DataFrame:
-    """(source, target, hops): every table reachable from a table, by the successful runs."""
+def lineage(runs: DataFrame, tables: Sequence[str] | None = None) -> DataFrame:
+    """(source, target, hops): every table reachable from the named tables, by the successful runs.
+
+    Without names from every table, which is a row for each pair: for small graphs.
+    """
     edges = runs.filter(F.col("status") == "SUCCESS").select("source_path", "target_path")
-    return closure(edges, "source_path", "target_path")
+    return closure(edges, "source_path", "target_path", tables)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,14 +15,13 @@ def walk(
     roots: DataFrame,
     child: str = "id",
     parent: str = "parent_id",
-    max_depth: int = 100,
     sep: str = "/",
 ) -> DataFrame:
     """(root, node, level, path) for every path from the roots down.
 
     A step that would revisit a node of its own path is not taken, so cycles end. Each
-    level is checkpointed: the plan stays flat and a lost executor repeats one level. A
-    hierarchy deeper than `max_depth` is an error, never a shortened result.
+    level is checkpointed: the plan stays flat and a lost executor repeats one level. The
+    walk ends when a level is empty, however deep that is.
     """
     scratch_root(edges.sparkSession)
     # Read at every level, so the two columns are kept; what is returned does not need them.
@@ -34,7 +35,7 @@ def walk(
         F.array(F.col(node)).alias("__seen"),
     ).checkpoint()
     found = frontier
-    for _ in range(max_depth):
+    while True:
         frontier = (
             frontier.join(links, F.col("node") == F.col("__p"))
             .filter(~F.array_contains("__seen", F.col("__c")))
@@ -51,18 +52,22 @@ def walk(
             links.unpersist()
             return found.drop("__seen")
         found = found.unionAll(frontier)
-    links.unpersist()
-    raise ValueError(f"hierarchy deeper than {max_depth} levels")
 
 
-def closure(edges: DataFrame, source: str, target: str, max_rounds: int = 60) -> DataFrame:
-    """All (source, target, hops) reachable pairs of a graph of tables, with the fewest hops."""
+def closure(edges: DataFrame, source: str, target: str, sources: Sequence[str] | None = None) -> DataFrame:
+    """(source, target, hops) reachable pairs of a graph of tables, with the fewest hops.
+
+    From all sources, or those given. A round adds the pairs that are new, and the walk
+    ends when there are none.
+    """
     scratch_root(edges.sparkSession)
     step = edges.select(F.col(source).alias("source"), F.col(target).alias("target")).distinct().checkpoint()
     hop = step.select(F.col("source").alias("__s"), F.col("target").alias("__t"))
-    known = step.withColumn("hops", F.lit(1).cast("long"))
-    frontier = known
-    for _ in range(max_rounds):
+    frontier = step.withColumn("hops", F.lit(1).cast("long"))
+    if sources is not None:
+        frontier = frontier.filter(F.col("source").isin(list(sources)))
+    known = frontier
+    while True:
         reached = (
             frontier.join(hop, F.col("target") == F.col("__s"))
             .select("source", F.col("__t").alias("target"), (F.col("hops") + 1).alias("hops"))
@@ -71,5 +76,4 @@ def closure(edges: DataFrame, source: str, target: str, max_rounds: int = 60) ->
         frontier = reached.join(known, ["source", "target"], "left_anti").checkpoint()
         if frontier.isEmpty():
             return known
-        known = known.unionAll(frontier).checkpoint()
-    raise ValueError(f"closure not reached in {max_rounds} rounds")
+        known = known.unionAll(frontier)

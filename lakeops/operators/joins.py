@@ -84,7 +84,7 @@ def bucketed_join(
     bucket, the join is planned without the buckets instead, in a session where adaptive
     execution splits the skewed partitions.
     """
-    if hot_keys(spark.table(left), key, max(2.0 / buckets, 0.001)).take(1):
+    if hot_keys(spark.table(left), key, 1.0 / buckets).take(1):
         spark = skew_session(spark, spark__sql__sources__bucketing__enabled="false")
     return join_as(spark.table(left), spark.table(right), key, how, "merge")
 

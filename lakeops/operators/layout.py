@@ -23,6 +23,7 @@ from pyspark.sql.types import (
 )
 from pyspark.sql.utils import AnalysisException
 
+from lakeops.functions.nested import stable_hash
 from lakeops.operators.skew import hot_keys
 from lakeops.session import shuffle_partitions, sibling_session
 
@@ -87,7 +88,7 @@ def clustered(df: DataFrame, partition_by: Sequence[str], rows_per_file: int | N
     match = F.lit(True)
     for c in partition_by:
         match = match & F.col(c).eqNullSafe(F.col(f"__p_{c}"))
-    slot = F.pmod(F.xxhash64(*df.columns), F.col("__slots"))
+    slot = F.pmod(stable_hash(df), F.col("__slots"))
     slotted = df.join(F.broadcast(sizes), match, "left").select(*df.columns, slot.alias("__slot"))
     return slotted.repartition(*[F.col(c) for c in partition_by], F.col("__slot")).drop("__slot")
 
@@ -161,12 +162,14 @@ def write_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int,
     Rows are gathered so that a bucket is one file. Where a key exceeds an average bucket,
     its rows are written by many tasks instead, as several files of the same bucket.
     """
-    hot = [r[0] for r in hot_keys(df, keys[0], max(2.0 / buckets, 0.001)).collect()]
-    if hot:
+    # Fewer keys than buckets can hold more than an average bucket.
+    hot = hot_keys(df, keys[0], 1.0 / buckets).select(F.col(keys[0]).alias("__hot"))
+    if hot.take(1):
         bucket = F.pmod(F.hash(*keys), F.lit(buckets))
         n = max(buckets, shuffle_partitions(df.sparkSession))
-        slot = F.when(F.col(keys[0]).isin(hot), F.pmod(F.xxhash64(*df.columns), F.lit(n))).otherwise(F.lit(0))
-        gathered = df.repartition(n, bucket, slot)
+        slot = F.when(F.col("__hot").isNotNull(), F.pmod(stable_hash(df), F.lit(n))).otherwise(F.lit(0))
+        marked = df.join(F.broadcast(hot), F.col(keys[0]) == F.col("__hot"), "left")
+        gathered = marked.repartition(n, bucket, slot).drop("__hot")
     else:
         gathered = df.repartition(buckets, *keys)
     (

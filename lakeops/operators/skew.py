@@ -6,15 +6,19 @@ after a lost executor must send each row to the same place.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeops.functions.combine import partials, wholes
 from lakeops.functions.money import minor_units
 from lakeops.session import shuffle_partitions
 
-SALT = "__salt"
+SALT, HOT = "__salt", "__is_hot"
+#: So many hot keys are broadcast; more are joined by a shuffle.
+HOT_KEYS = 100_000
 
 
 def skew_profile(df: DataFrame, key: str, k: int = 20, hot_share: float = 0.05) -> DataFrame:
@@ -50,24 +54,35 @@ def salt_of(row_key: Sequence[str], n: int) -> Column:
     return F.pmod(F.xxhash64(*row_key), F.lit(n)).cast("int")
 
 
+def salts_for(df: DataFrame, key: str) -> int:
+    """Salts after which no key has more than an average task's rows: the hottest key's share of them."""
+    tasks = shuffle_partitions(df.sparkSession)
+    total = df.count()
+    most = hot_keys(df, key, 1.0 / tasks).agg(F.max("n_rows").alias("n")).first()["n"] or 0
+    return max(1, math.ceil(most * tasks / max(1, total)))
+
+
 def salted_join(
-    fact: DataFrame, dim: DataFrame, key: str, row_key: Sequence[str], n: int = 16, how: str = "left"
+    fact: DataFrame, dim: DataFrame, key: str, row_key: Sequence[str], n: int | None = None, how: str = "left"
 ) -> DataFrame:
     """Join on (key, salt): each key of the fact is spread over n tasks, the dimension is copied n times.
 
-    `how` is "inner" or "left"; with other types a copied row could come out n times.
+    n follows from the hottest key's share if it is not given. `how` is "inner" or
+    "left"; with other types a copied row could come out n times.
     """
     _check(how)
+    n = n or salts_for(fact, key)
     left = fact.withColumn(SALT, salt_of(row_key, n))
     right = dim.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
     return left.join(right, [key, SALT], how).drop(SALT)
 
 
 def concat_salted_join(
-    fact: DataFrame, dim: DataFrame, key: str, row_key: Sequence[str], n: int = 16, how: str = "left"
+    fact: DataFrame, dim: DataFrame, key: str, row_key: Sequence[str], n: int | None = None, how: str = "left"
 ) -> DataFrame:
     """The same with one text key "<key>_<salt>", for callers that need a single join column."""
     _check(how)
+    n = n or salts_for(fact, key)
     salted = "__salted_key"
     left = fact.withColumn(salted, F.concat(F.col(key).cast("string"), F.lit("_"), salt_of(row_key, n).cast("string")))
     copies = dim.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
@@ -77,6 +92,15 @@ def concat_salted_join(
     return left.join(right, salted, how).drop(salted)
 
 
+def _marked(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """The frame with a column that is true for the hot keys; broadcast if there are few of them."""
+    flags = hot.select(F.col(key).alias("__hot_key")).filter(F.col("__hot_key").isNotNull()).distinct()
+    few = len(flags.limit(HOT_KEYS + 1).select(F.lit(1)).collect()) <= HOT_KEYS
+    side = F.broadcast(flags) if few else flags
+    joined = df.join(side, F.col(key) == F.col("__hot_key"), "left")
+    return joined.withColumn(HOT, F.col("__hot_key").isNotNull()).drop("__hot_key")
+
+
 def partial_salted_join(
     fact: DataFrame,
     dim: DataFrame,
@@ -84,30 +108,25 @@ def partial_salted_join(
     row_key: Sequence[str],
     hot: DataFrame | None = None,
     n: int | None = None,
-    share: float = 0.05,
+    share: float | None = None,
     how: str = "left",
 ) -> DataFrame:
     """Salt only the hot keys; the others keep salt 0 and one dimension row.
 
-    Without `hot` the keys above `share` are found first; there are at most 1/share of
-    them, so they come to the driver and become literals of the plan. Only their
-    dimension rows are copied, so a hot key may cover all shuffle partitions (the
-    default of `n`).
+    Without `hot` the keys above `share` are found first, by default those with more rows
+    than an average task. Only hot keys' dimension rows are copied, so such a key may cover
+    all shuffle partitions (the default of `n`).
     """
     _check(how)
-    n = n or shuffle_partitions(fact.sparkSession)
+    tasks = shuffle_partitions(fact.sparkSession)
+    n = n or tasks
     if hot is None:
-        hot = hot_keys(fact, key, share)
-    bound = int(1 / share) + 1
-    values = [r[0] for r in hot.select(key).filter(F.col(key).isNotNull()).distinct().limit(bound + 1).collect()]
-    if len(values) > bound:
-        raise ValueError(f"more than {bound} hot keys: salt every key with salted_join instead")
-    is_hot = F.col(key).isin(values) if values else F.lit(False)
+        hot = hot_keys(fact, key, share or 1.0 / tasks)
     # A null key meets no dimension row; spread such rows as well.
-    spread = is_hot | F.col(key).isNull()
-    left = fact.withColumn(SALT, F.when(spread, salt_of(row_key, n)).otherwise(F.lit(0)))
-    salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))
-    right = dim.withColumn(SALT, F.explode(salts))
+    spread = F.col(HOT) | F.col(key).isNull()
+    left = _marked(fact, key, hot).withColumn(SALT, F.when(spread, salt_of(row_key, n)).otherwise(F.lit(0))).drop(HOT)
+    salts = F.when(F.col(HOT), F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))
+    right = _marked(dim, key, hot).withColumn(SALT, F.explode(salts)).drop(HOT)
     return left.join(right, [key, SALT], how).drop(SALT)
 
 
@@ -121,34 +140,47 @@ def salted_totals(
     keys: Sequence[str],
     amount: str,
     row_key: Sequence[str],
-    n: int = 16,
+    n: int | None = None,
     hot: DataFrame | None = None,
+    scale: int = 2,
 ) -> DataFrame:
     """n_rows, total and average per key in two stages: by (key, salt), then by key.
 
     The average is put together from sum and count. With `hot` (rows of the first key
     column) only those keys are salted.
     """
+    n = n or salts_for(df, keys[0])
     salt = salt_of(row_key, n)
     if hot is not None:
-        values = [r[0] for r in hot.select(keys[0]).collect()]
-        salt = F.when(F.col(keys[0]).isin(values), salt).otherwise(F.lit(0)) if values else F.lit(0)
+        df = _marked(df, keys[0], hot)
+        salt = F.when(F.col(HOT), salt).otherwise(F.lit(0))
     parts = (
         df.withColumn(SALT, salt)
         .groupBy(*keys, SALT)
         .agg(
             F.count(F.lit(1)).alias("__rows"),
             F.count(amount).alias("__n"),
-            F.sum(minor_units(amount)).alias("__units"),
+            F.sum(minor_units(amount, scale)).alias("__units"),
         )
     )
     whole = parts.groupBy(*keys).agg(
         F.sum("__rows").alias("n_rows"), F.sum("__n").alias("__n"), F.sum("__units").alias("__units")
     )
+    one = F.lit(float(10**scale))
     units = F.col("__units").cast("double")
     return whole.select(
-        *keys,
-        "n_rows",
-        (units / F.lit(100.0)).alias("total"),
-        F.try_divide(units, F.col("__n") * F.lit(100.0)).alias("average"),
+        *keys, "n_rows", (units / one).alias("total"), F.try_divide(units, F.col("__n") * one).alias("average")
     )
+
+
+def salted_agg(
+    df: DataFrame, keys: Sequence[str], aggs: Mapping[str, tuple[str, str]], row_key: Sequence[str], n: int | None = None
+) -> DataFrame:
+    """Any of count, sum, min, max and avg per key in two stages, the first by (key, salt).
+
+    `aggs` maps result names to (function, column), the column of a count being "*" for
+    all rows. n follows from the hottest key's share if it is not given.
+    """
+    salted = df.withColumn(SALT, salt_of(row_key, n or salts_for(df, keys[0])))
+    parts = salted.groupBy(*keys, SALT).agg(*partials(aggs))
+    return parts.groupBy(*keys).agg(*wholes(aggs))

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeops.functions.nested import stable_hash
 from lakeops.session import scratch_root, shuffle_partitions
 
 _PIECE = "__piece"
@@ -206,7 +207,7 @@ def latest(
     same row. Spark keeps one row per key and task before the exchange.
     """
     by = [F.col(c).desc_nulls_last() for c in order]
-    w = Window.partitionBy(*keys).orderBy(*by, *extra, F.xxhash64(*df.columns).desc())
+    w = Window.partitionBy(*keys).orderBy(*by, *extra, stable_hash(df).desc())
     return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
 
 
@@ -232,4 +233,5 @@ def keep_last_max(order: str, value: str) -> Column:
 
 def keep_first_min(order: str, value: str) -> Column:
     """MIN(value) KEEP (DENSE_RANK FIRST ORDER BY order), all ties considered."""
-    return F.min(F.when(F.col(order).isNotNull(), F.struct(order, value)))[value]
+    known = F.struct(F.col(order).alias("o"), F.col(value).isNull().alias("n"), F.col(value).alias("v"))
+    return F.min(F.when(F.col(order).isNotNull(), known))["v"]

@@ -83,7 +83,7 @@ def late_data(
 
 
 def skewed_segment_kpi(
-    fact: DataFrame, dim: DataFrame, key: str, segment: str, amount: str, row_key: Sequence[str], n: int = 16
+    fact: DataFrame, dim: DataFrame, key: str, segment: str, amount: str, row_key: Sequence[str], n: int | None = None
 ) -> DataFrame:
     """Salted total per customer, then the dimension joined to one row per customer, then totals per segment."""
     totals = salted_totals(fact, [key], amount, row_key, n)

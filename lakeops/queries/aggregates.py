@@ -86,6 +86,62 @@ def _(t):
     return agg.grouping_sets_kpi(t.orders, [["o_orderstatus"], ["o_orderpriority"], []], KEYS, "o_totalprice")
 
 
+GENERAL = {"n": ("count", "*"), "quantity": ("sum", "q"), "least": ("min", "l_extendedprice"), "most": ("max", "l_extendedprice"), "mean": ("avg", "q")}
+GENERAL_SQL = (
+    "count(*) AS n, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity, min(l_extendedprice) AS least, max(l_extendedprice) AS most, "
+    "avg(CAST(l_quantity AS BIGINT)) AS mean"
+)
+LINE_KEYS = ["l_returnflag", "l_linestatus"]
+
+
+def lines(t):
+    return t.lineitem.withColumn("q", F.col("l_quantity").cast("long"))
+
+
+def _levels_sql(sets: str) -> str:
+    return f"SELECT l_returnflag, l_linestatus, CAST(grouping_id(l_returnflag, l_linestatus) AS BIGINT) AS level, {GENERAL_SQL} FROM lineitem GROUP BY {sets}"
+
+
+@query("agg07_rollup_any", _levels_sql("ROLLUP (l_returnflag, l_linestatus)"))
+def _(t):
+    return agg.levels_agg(lines(t), LINE_KEYS, GENERAL)
+
+
+@query("agg08_cube_any", _levels_sql("CUBE (l_returnflag, l_linestatus)"))
+def _(t):
+    return agg.levels_agg(lines(t), LINE_KEYS, GENERAL, "cube")
+
+
+@query("agg09_grouping_sets_any", _levels_sql("GROUPING SETS ((l_returnflag), (l_linestatus), ())"))
+def _(t):
+    return agg.levels_agg(lines(t), LINE_KEYS, GENERAL, [["l_returnflag"], ["l_linestatus"], []])
+
+
+@query("agg15_salted_any", f"SELECT l_returnflag, {GENERAL_SQL} FROM lineitem GROUP BY l_returnflag")
+def _(t):
+    """Three keys, each with a third of the rows."""
+    return skew.salted_agg(lines(t), ["l_returnflag"], GENERAL, ["l_orderkey", "l_linenumber"])
+
+
+# Amounts of three decimals, summed by DuckDB's decimals.
+THIN_SQL = "CAST(sum(CAST(round(l_quantity * 1.125, 3) AS DECIMAL(18, 3))) AS DOUBLE)"
+
+
+@query(
+    "agg07_rollup_thousandths",
+    f"SELECT l_returnflag, l_linestatus, CAST(grouping_id(l_returnflag, l_linestatus) AS BIGINT) AS level, count(*) AS txns, {THIN_SQL} AS total_amount "
+    "FROM lineitem GROUP BY ROLLUP (l_returnflag, l_linestatus)",
+)
+def _(t):
+    return agg.rollup_kpi(t.lineitem.withColumn("a", F.col("l_quantity") * 1.125), LINE_KEYS, "a", scale=3)
+
+
+@query("agg15_salted_thousandths", f"SELECT l_returnflag, count(*) AS n_rows, {THIN_SQL} AS total FROM lineitem GROUP BY l_returnflag")
+def _(t):
+    rows = t.lineitem.withColumn("a", F.col("l_quantity") * 1.125)
+    return skew.salted_totals(rows, ["l_returnflag"], "a", ["l_orderkey", "l_linenumber"], scale=3).drop("average")
+
+
 @query(
     "agg10_pivot",
     "SELECT user_id, "
@@ -204,7 +260,7 @@ def _profile_sql(table: str, columns: list[str]) -> str:
         )
         return (
             f"SELECT '{c}' AS column_name, n, n_null, mean, stddev, \"min\", \"max\", {at} FROM (SELECT count({c}) AS n, count(*) - count({c}) AS n_null, "
-            f"{avg_sql(c, 4)} AS mean, round(stddev_samp({c}), 4) AS stddev, CAST(min({c}) AS DOUBLE) AS \"min\", CAST(max({c}) AS DOUBLE) AS \"max\", list_sort(list(CAST({c} AS DOUBLE))) AS a FROM {table})"
+            f"round(avg({c}), 6) AS mean, round(stddev_samp({c}), 4) AS stddev, CAST(min({c}) AS DOUBLE) AS \"min\", CAST(max({c}) AS DOUBLE) AS \"max\", list_sort(list(CAST({c} AS DOUBLE))) AS a FROM {table})"
         )
 
     return " UNION ALL ".join(one(c) for c in columns).replace("0.25 *", "CAST(0.25 AS DOUBLE) *").replace("0.5 *", "CAST(0.5 AS DOUBLE) *").replace("0.75 *", "CAST(0.75 AS DOUBLE) *")
@@ -212,7 +268,8 @@ def _profile_sql(table: str, columns: list[str]) -> str:
 
 @query("agg21_numeric_profile", _profile_sql("lineitem", ["l_quantity", "l_extendedprice", "l_discount"]))
 def _(t):
-    return agg.numeric_profile(t.lineitem, ["l_quantity", "l_extendedprice", "l_discount"])
+    profile = agg.numeric_profile(t.lineitem, ["l_quantity", "l_extendedprice", "l_discount"])
+    return profile.withColumn("mean", F.round("mean", 6))
 
 
 @query("agg22_value_frequencies", "SELECT l_quantity, count(*) AS n_rows FROM lineitem GROUP BY l_quantity")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lakeops.functions.conditional import banded
 from lakeops.operators.aggregate import kpi
+from lakeops.operators.governance import runs
 from lakeops.operators.joins import Dim
 from lakeops.operators.layout import overwrite_partitions
 from lakeops.plans import kpi as jobs
@@ -101,7 +102,7 @@ def _(t):
     checks = jobs.governed_day(
         t.spark, silver.path, gold, DAY, [customer_dim(t)], ["c_mktsegment", "o_orderstatus"], "o_totalprice", log, t.scratch("registry"), "month"
     )
-    status = t.spark.read.parquet(log).agg(F.max("status").alias("s")).scalar()
+    status = runs(t.spark, log).agg(F.max("status").alias("s")).scalar()
     return checks.withColumn("status", status)
 
 

@@ -159,12 +159,12 @@ def _(t):
 
 @query("jon16_salted", HOT_JOIN)
 def _(t):
-    return skew.salted_join(hot(t), segments(t, "custkey"), "custkey", ["o_orderkey"], 16)
+    return skew.salted_join(hot(t), segments(t, "custkey"), "custkey", ["o_orderkey"])
 
 
 @query("jon17_concat_salted", HOT_JOIN)
 def _(t):
-    return skew.concat_salted_join(hot(t), segments(t, "custkey"), "custkey", ["o_orderkey"], 16)
+    return skew.concat_salted_join(hot(t), segments(t, "custkey"), "custkey", ["o_orderkey"])
 
 
 @query("jon18_partial_salted", HOT_JOIN)
@@ -207,16 +207,11 @@ def _(t):
        SELECT level, count(*) AS n_nodes FROM w GROUP BY level""",
 )
 def _(t):
-    """Region, nation, customer as a recursive query: the form for a hierarchy of few levels."""
+    """Region, nation, customer, level by level."""
     region, nation = t.region, t.nation
     named = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     edges = named.select(F.col("n_name").alias("id"), F.col("r_name").alias("parent_id")).unionAll(
         t.customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_name", "n_name")
     )
-    return t.spark.sql(
-        """WITH RECURSIVE w(node, level) AS (SELECT r_name, 1 FROM {r}
-           UNION ALL SELECT e.id, level + 1 FROM w JOIN {e} e ON e.parent_id = w.node)
-           SELECT level, count(*) AS n_nodes FROM w GROUP BY level""",
-        r=region,
-        e=edges,
-    )
+    found = walk(edges, region.select("r_name"))
+    return found.groupBy(F.col("level").cast("int").alias("level")).agg(F.count(F.lit(1)).alias("n_nodes"))

@@ -112,6 +112,16 @@ def _(t):
     return on_day(table, date(1998, 2, 1), "month", "o_orderdate").select("o_orderkey", "o_orderdate", "month")
 
 
+@query(
+    "flt06_day_within_month",
+    f"SELECT o_orderkey, o_orderdate, {MONTH_SQL} AS month FROM orders WHERE CAST(o_orderdate AS DATE) = DATE '1998-02-17'",
+)
+def _(t):
+    """A day in the middle of a partition's month."""
+    table = t.spark.read.parquet(monthly_table(t))
+    return on_day(table, date(1998, 2, 17), "month", "o_orderdate", "month").select("o_orderkey", "o_orderdate", "month")
+
+
 @query("flt07_raw_column_predicate", "SELECT c_custkey, c_mktsegment FROM customer WHERE c_mktsegment = 'BUILDING' AND c_acctbal > 0")
 def _(t):
     return t.customer.filter((F.col("c_mktsegment") == "BUILDING") & (F.col("c_acctbal") > 0)).select("c_custkey", "c_mktsegment")

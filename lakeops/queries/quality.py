@@ -111,7 +111,7 @@ def _(t):
         with gov.job_run(t.spark, log, "load_events", "events", "silver", batch_id) as run:
             m = dq.rule_metrics(part, rules()).first()
             run.input_rows, run.output_rows, run.dq_failed_rows = m["input_rows"], m["good_rows"], m["dq_failed_rows"]
-    return t.spark.read.parquet(log).select(*RUN_COLUMNS)
+    return gov.runs(t.spark, log).select(*RUN_COLUMNS)
 
 
 @query(
@@ -130,7 +130,7 @@ def _(t):
             raise ValueError("amounts do not add up")
     except ValueError:
         raised = True
-    out = t.spark.read.parquet(log).select("job_name", "input_rows", "status", F.col("error_message").alias("error"))
+    out = gov.runs(t.spark, log).select("job_name", "input_rows", "status", F.col("error_message").alias("error"))
     return out.withColumn("raised", (F.col("job_name") == "bad_job") & F.lit(raised))
 
 

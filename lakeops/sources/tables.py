@@ -34,13 +34,20 @@ def empty_like(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def on_day(df: DataFrame, day: date, part_col: str = "dt", ts_col: str | None = None) -> DataFrame:
+def on_day(
+    df: DataFrame, day: date, part_col: str = "dt", ts_col: str | None = None, period: str = "day"
+) -> DataFrame:
     """Rows of one day, keeping partition pruning.
 
     With `ts_col` the day is meant on the timestamp; the predicate on the partition
     column that follows from it is added, since Spark cannot know the link between them.
+    `period` says what a partition holds: a day, or the month or year that begins on
+    the partition column's date.
     """
-    keep: Column = F.col(part_col) == F.lit(day)
+    start = {"day": day, "month": day.replace(day=1), "year": day.replace(month=1, day=1)}[period]
+    if start != day and not ts_col:
+        raise ValueError("a day within a longer partition needs the timestamp column")
+    keep: Column = F.col(part_col) == F.lit(start)
     if ts_col:
         keep = keep & (F.to_date(ts_col) == F.lit(day))
     return df.filter(keep)

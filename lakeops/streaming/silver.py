@@ -51,6 +51,12 @@ class Upsert:
             return
         with job_run(spark, self.run_log, self.job_name, self.source, self.table.path, batch_id) as run:
             self._apply(batch, batch_id, run)
+        # The log says from now on that nothing is left to do for the batch.
+        notes = spark._jvm.org.apache.hadoop.fs.Path(self._notes(batch_id))
+        notes.getFileSystem(spark._jsc.hadoopConfiguration()).delete(notes, True)
+
+    def _notes(self, batch_id: int) -> str:
+        return f"{self.run_log}_touched/job={self.job_name}/batch={batch_id}"
 
     def _apply(self, batch: DataFrame, batch_id: int, run: Run) -> None:
         spark = batch.sparkSession
@@ -64,7 +70,7 @@ class Upsert:
             run.output_rows = counts["good_rows"]
             if not counts["good_rows"]:
                 return
-            note, notes = None, f"{self.run_log}_touched/job={self.job_name}/batch={batch_id}"
+            note, notes = None, self._notes(batch_id)
             if self.gold and self.run_log:
                 parts = StructType([good.schema[c] for c in self.table.part_cols])
                 note = partial(_note_touched, spark, notes, parts)
