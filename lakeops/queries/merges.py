@@ -86,3 +86,50 @@ def _(t):
 @query("inc03_late_batch", LATE_SQL)
 def _(t):
     return late_batch(t)
+
+
+def _parted(kind: str) -> str:
+    return "lpad(CAST(month(o_orderdate) AS VARCHAR), 2, '0')" if kind == "text" else "o_orderkey % 3 = 0"
+
+
+def _part(kind: str):
+    return F.lpad(F.month("o_orderdate").cast("string"), 2, "0") if kind == "text" else F.col("o_orderkey") % 3 == 0
+
+
+def _typed_merge(kind: str, stays: bool):
+    """The late batch into a table by a zero-padded month or by a flag: its values keep their type."""
+
+    def run(t: Tables):
+        rows = base(t).withColumn("month", _part(kind))
+        table = Keyed(t.scratch(f"orders-{kind}"), ["o_orderkey"], ["o_orderdate", "ingest_rank"], ["month"])
+        overwrite_partitions(rows, table.path, table.part_cols)
+        late = late_batch(t).withColumn("month", _part(kind))
+        merge_partitions(t.spark, table, late, key_stays_in_partition=stays)
+        return table.read(t.spark, rows.schema).select(*rows.columns)
+
+    return run
+
+
+for _kind in ("text", "flag"):
+    _sql = f"SELECT * REPLACE ({_parted(_kind)} AS month) FROM ({MERGED_SQL})"
+    query(f"inc01_late_data_by_{_kind}", _sql)(_typed_merge(_kind, True))
+    query(f"inc02_merge_by_{_kind}", _sql)(_typed_merge(_kind, False))
+
+
+@query(
+    "inc02_merge_added_column",
+    "SELECT c_custkey, c_acctbal + CASE WHEN c_custkey % 5 = 0 THEN 2 WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END AS c_acctbal, c_mktsegment, "
+    "CASE WHEN c_custkey % 5 <> 0 AND c_custkey % 3 = 0 THEN 'checked' END AS note FROM customer",
+)
+def _(t):
+    """A batch brings a column, the next one lacks it: the column and its values stay."""
+    rows = t.customer.select("c_custkey", "c_acctbal", "c_mktsegment", F.lit(1).alias("seq"))
+    table = Keyed(t.scratch("customers"), ["c_custkey"], ["seq"], ["c_mktsegment"])
+    overwrite_partitions(rows, table.path, table.part_cols)
+
+    def batch(by: int, seq: int):
+        return rows.filter(F.col("c_custkey") % by == 0).withColumns({"c_acctbal": F.col("c_acctbal") + (seq - 1), "seq": F.lit(seq)})
+
+    merge_partitions(t.spark, table, batch(3, 2).withColumn("note", F.lit("checked")))
+    merge_partitions(t.spark, table, batch(5, 3))
+    return table.read(t.spark, rows.schema).select("c_custkey", "c_acctbal", "c_mktsegment", "note")

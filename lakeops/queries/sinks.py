@@ -183,6 +183,16 @@ def _(t):
     return t.spark.read.parquet(path).select("o_orderkey", "month", "o_totalprice")
 
 
+@query("snk14_delete_blank_partition", "SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderpriority <> '4-NOT SPECIFIED' AND o_orderkey % 7 <> 0")
+def _(t):
+    """All rows of a partition whose name holds a blank, and some of the others."""
+    rows = t.orders.select("o_orderkey", "o_orderpriority")
+    path = layout.write_table(rows, t.scratch("priorities"), partition_by=["o_orderpriority"])
+    gone = (F.col("o_orderpriority") == "4-NOT SPECIFIED") | (F.col("o_orderkey") % 7 == 0)
+    layout.delete_where(t.spark, path, ["o_orderpriority"], gone)
+    return layout.read_if_any(t.spark, path, ["o_orderpriority"]).select("o_orderkey", "o_orderpriority")
+
+
 @query("snk15_stream_append_sink", "SELECT event_id, user_id, value, event_type FROM events")
 def _(t):
     stream = streams.like_static(t.spark, write_events(t), bytes_per_batch=BATCH).select("event_id", "user_id", "value", "event_type")

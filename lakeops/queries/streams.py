@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from lakeops.functions.nested import row_hash
 from lakeops.operators.aggregate import kpi
+from lakeops.operators.layout import read_if_any
 from lakeops.operators.merge import Keyed, apply_changes
 from lakeops.operators.quality import not_null_rules, positive_rule
 from lakeops.queries.registry import Tables, avg_sql, query, sum_sql
@@ -61,6 +62,10 @@ def corrected(t: Tables):
     )
 
 
+# Longer than the events' span: no row is late, so the rows that stay do not depend on the micro-batches.
+SPAN = "60 days"
+
+
 def feed(t: Tables, parts, start, fmt: str = "parquet") -> None:
     """Append each part to one directory and drain the stream after each: a stop and a restart every time."""
     source, checkpoint = t.scratch("feed"), t.scratch("feed-ck")
@@ -118,6 +123,15 @@ def _(t):
     return t.spark.read.parquet(path).withColumn("channel", F.col("channel").cast("string"))
 
 
+@query("str02_bronze_two_levels", "SELECT event_id, event_type, CAST(ts AS DATE) AS dt, value FROM events")
+def _(t):
+    """Bronze by day and type."""
+    path = t.scratch("bronze-two")
+    rows = t.events.select("event_id", "event_type", F.to_date("ts").alias("dt"), "value")
+    feed(t, [rows], lambda s, ck: append_stream(s, path, ck, ["dt", "event_type"]))
+    return read_if_any(t.spark, path, ["dt", "event_type"], rows.schema)
+
+
 @query("str03_watermark", "SELECT event_id, ts FROM events")
 def _(t):
     """Every event sent twice in one batch, the copies told apart by an offset that spreads them over the state."""
@@ -126,7 +140,7 @@ def _(t):
     path = t.scratch("watermark")
 
     def start(s, ck):
-        return append_stream(dedup.first_per_key(s, ["event_id"], "ts", "30 minutes", spread=F.pmod("offset", F.lit(16))), path, ck)
+        return append_stream(dedup.first_per_key(s, ["event_id"], "ts", SPAN, spread=F.pmod("offset", F.lit(16))), path, ck)
 
     feed(t, [twice], start)
     return t.spark.read.parquet(path).select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
@@ -137,7 +151,7 @@ def _(t):
     """The first arrival stays: later corrections of the same key do not get through."""
     keep = ["event_id", "value", "ts"]
     path = t.scratch("dedup-key")
-    feed(t, [t.events.select(*keep), corrected(t).select(*keep)], lambda s, ck: append_stream(dedup.first_per_key(s, ["event_id"], "ts"), path, ck))
+    feed(t, [t.events.select(*keep), corrected(t).select(*keep)], lambda s, ck: append_stream(dedup.first_per_key(s, ["event_id"], "ts", SPAN), path, ck))
     return t.spark.read.parquet(path).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
@@ -150,7 +164,7 @@ def _(t):
     rows, fixes = t.events.select("event_id", "ts"), corrected(t).select("event_id", "ts")
     path = t.scratch("dedup-event")
     again = fixes.unionAll(rows.filter("event_id % 5 = 0"))
-    feed(t, [rows, again], lambda s, ck: append_stream(dedup.distinct_events(s, ["event_id"], "ts", "60 days"), path, ck))
+    feed(t, [rows, again], lambda s, ck: append_stream(dedup.distinct_events(s, ["event_id"], "ts", SPAN), path, ck))
     return t.spark.read.parquet(path).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
@@ -160,15 +174,22 @@ def _(t):
        WHERE event_id % 6 <> 0 OR ts > mark""",
 )
 def _(t):
-    """Every sixth event comes last. Rows behind the watermark are dropped, the others land in their own day."""
+    """Every sixth event comes last. Rows behind the watermark are dropped, the others land in their own day.
+
+    The others come in order of their time, in parts no longer than the delay: so none of
+    them is late, however many micro-batches a part is cut into.
+    """
     rows = t.events.select("event_id", "ts")
+    first, last = rows.agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+    days = F.datediff(F.to_date("ts"), F.lit(first))
+    parts = [rows.filter((F.col("event_id") % 6 != 0) & (F.floor(days / 3) == i)) for i in range((last - first).days // 3 + 1)]
     path = t.scratch("late")
 
     def start(s, ck):
         kept = dedup.first_per_key(s, ["event_id"], "ts", "3 days")
         return append_stream(kept.withColumn("dt", F.to_date("ts")), path, ck, ["dt"])
 
-    feed(t, [rows.filter("event_id % 6 <> 0"), rows.filter("event_id % 6 = 0")], start)
+    feed(t, [*parts, rows.filter("event_id % 6 = 0")], start)
     return t.spark.read.parquet(path).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
