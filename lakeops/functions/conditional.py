@@ -28,11 +28,3 @@ def amount_bucket(amount: str | Column) -> Column:
 
 def age_band(age: str | Column) -> Column:
     return banded(age, AGE_BANDS, "Boomers")
-
-
-def pick(words: Sequence[str], index: Column) -> Column:
-    """The word at `index` modulo the list length."""
-    return F.element_at(
-        F.array(*[F.lit(w) for w in words]),
-        (F.pmod(index, F.lit(len(words))) + F.lit(1)).cast("int"),
-    )

@@ -6,7 +6,7 @@ from lakeops.queries.registry import MONTH_SQL, Tables, by_month, query, sum_sql
 from lakeops.functions.money import exact_sum
 from lakeops.operators.layout import buckets_for, write_bucketed, write_table
 from lakeops.session import shuffle_partitions
-from lakeops.sources import streams, synthetic, tables
+from lakeops.sources import derived, streams, tables
 from lakeops.streaming.envelope import to_envelope
 from lakeops.streaming.sinks import append_stream, drain
 
@@ -124,7 +124,7 @@ def _(t):
 def _(t):
     """In-line rows as a dimension of the orders, and a range as long as the table."""
     names = t.spark.createDataFrame([("F", "finished"), ("O", "open"), ("P", "partial")], "o_orderstatus string, meaning string")
-    id_sum = synthetic.ids(t.spark, t.orders.count()).agg(F.sum("id").alias("s")).scalar()
+    id_sum = t.spark.range(t.orders.count()).agg(F.sum("id").alias("s")).scalar()
     counts = t.orders.join(F.broadcast(names), "o_orderstatus").groupBy("meaning").agg(F.count(F.lit(1)).alias("n_rows"))
     return counts.withColumn("id_sum", id_sum)
 
@@ -141,48 +141,30 @@ def _(t):
 @query(
     "src13_skewed_star",
     f"""
-    WITH ids AS (SELECT row_number() OVER () - 1 AS id FROM orders),
-    n AS (SELECT (SELECT count(*) FROM customer) AS c, (SELECT count(*) FROM supplier) AS m),
-    o AS (
-      SELECT CASE WHEN (id * 37) % 100 < 30 THEN '1' ELSE CAST((id * 17) % (c - 1) + 2 AS VARCHAR) END AS customer_id,
-        ((id * 7919) % 500000) / 100.0 AS amount,
-        CAST(TIMESTAMP '2026-01-12 10:00:00' - to_days(CAST(id % 30 AS INTEGER)) AS DATE) AS dt,
-        ['POS','ECOM','ATM'][CAST(id % 3 AS INTEGER) + 1] AS channel
-      FROM ids, n),
-    cu AS (SELECT CAST(i + 1 AS VARCHAR) AS customer_id, ['MASS','AFFLUENT','SME','CORP'][CAST(i % 4 AS INTEGER) + 1] AS segment
-      FROM (SELECT row_number() OVER () - 1 AS i FROM customer))
-    SELECT dt, channel, segment, count(*) AS txns, {sum_sql('amount')} AS total_amount
-    FROM o JOIN cu USING (customer_id) GROUP BY dt, channel, segment
+    WITH o AS (SELECT o_orderkey * 3 + c AS id, o_custkey, o_orderstatus, o_totalprice, {MONTH_SQL} AS month FROM orders, (VALUES (0), (1), (2)) v(c)),
+    f AS (SELECT * REPLACE (CASE WHEN id % 100 < 30 THEN 1 ELSE o_custkey END AS o_custkey) FROM o)
+    SELECT month, o_orderstatus, c_mktsegment, count(*) AS txns, {sum_sql('o_totalprice')} AS total_amount
+    FROM f JOIN customer ON o_custkey = c_custkey GROUP BY ALL
     """,
 )
 def _(t):
-    """The generated skewed star, as large as the given tables, summed up by day, channel and segment."""
-    n_customers, n_merchants = t.customer.count(), t.supplier.count()
-    fact = synthetic.skewed_orders(synthetic.ids(t.spark, t.orders.count()), n_customers, n_merchants)
-    dim = synthetic.customers(synthetic.ids(t.spark, n_customers))
-    joined = fact.join(dim.select("customer_id", "segment"), "customer_id")
-    return joined.groupBy("dt", "channel", "segment").agg(
-        F.count(F.lit(1)).alias("txns"), exact_sum("amount").alias("total_amount")
+    """The orders three times, thirty per cent of them on one customer, summed up by month, status and segment."""
+    rows = by_month(t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"))
+    fact = derived.skewed(derived.enlarged(rows, "o_orderkey", 3), "o_custkey", "o_orderkey", 30, 1)
+    joined = fact.join(t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment"), "o_custkey")
+    return joined.groupBy("month", "o_orderstatus", "c_mktsegment").agg(
+        F.count(F.lit(1)).alias("txns"), exact_sum("o_totalprice").alias("total_amount")
     )
 
 
 @query(
     "src14_customer_profiles",
     """
-    WITH b AS (SELECT c_custkey AS id FROM customer),
-    w AS (SELECT id + 1 AS customer_id, CAST(id + 10000001 AS VARCHAR) AS cif_number, '001' || lpad(CAST(id AS VARCHAR), 9, '0') AS id_number,
-      DATE '2026-01-01' - CAST((id * 31) % 15330 + 6570 AS INTEGER) AS birth_date,
-      ['090','091','098','035','086'][CAST(id % 5 AS INTEGER) + 1] || lpad(CAST((id * 7919) % 10000000 AS VARCHAR), 7, '0') AS phone,
-      ['Hà Nội','TP.HCM','Đà Nẵng'][CAST(id % 3 AS INTEGER) + 1] AS city, CAST((id * 13) % 100 AS INTEGER) AS customer_score FROM b),
-    a AS (SELECT *, CAST(2026 - year(birth_date) AS INTEGER) AS age FROM w)
-    SELECT *, CASE city WHEN 'Hà Nội' THEN ['Hoàn Kiếm','Ba Đình','Cầu Giấy','Đống Đa'][CAST(customer_id % 4 AS INTEGER) + 1]
-        WHEN 'TP.HCM' THEN ['Quận 1','Quận 3','Quận 7','Thủ Đức'][CAST(customer_id % 4 AS INTEGER) + 1]
-        ELSE ['Hải Châu','Thanh Khê','Sơn Trà'][CAST(customer_id % 3 AS INTEGER) + 1] END AS district,
-      CASE WHEN age < 25 THEN 'Gen Z' WHEN age < 41 THEN 'Millennials' WHEN age < 56 THEN 'Gen X' ELSE 'Boomers' END AS age_segment,
-      CASE WHEN customer_score < 20 THEN 'VERY BAD' WHEN customer_score < 30 THEN 'BAD' WHEN customer_score < 40 THEN 'NOT BAD'
-        WHEN customer_score < 50 THEN 'MEDIUM' WHEN customer_score < 60 THEN 'GOOD' ELSE 'VERY GOOD' END AS customer_score_desc
-    FROM a
+    SELECT c_custkey AS customer_id, upper(substr(n_name, 1, 3)) || '-' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS reference,
+      lower(replace(c_name, '#', '.')) || '@' || lower(replace(n_name, ' ', '-')) || '.example' AS mailbox, n_name AS country, c_mktsegment AS segment,
+      CASE WHEN c_acctbal < 0 THEN 'IN DEBT' WHEN c_acctbal < 2500 THEN 'LOW' WHEN c_acctbal < 7500 THEN 'FAIR' ELSE 'HIGH' END AS standing, c_acctbal < 0 AS owes
+    FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
     """,
 )
 def _(t):
-    return synthetic.customer_profiles(t.customer.select(F.col("c_custkey").alias("id")))
+    return derived.profiles(t.customer, t.nation)
