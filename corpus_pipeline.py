@@ -29,10 +29,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the targets want them; rates near 1 keep a document once."""
+    """Documents as often as the targets want them, good ones at least once; rates near 1 keep a document once."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = mixing.learned(docs, labels, F.expr(DOMAIN))
-    return mixing.mixed(docs, model, TARGETS, keep="good", steady=0.1)
+    return mixing.mixed(docs, model, TARGETS, keep="good", steady=0.1, spare="good")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

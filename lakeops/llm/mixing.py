@@ -170,23 +170,24 @@ def totals(rows: DataFrame, n: int, rate: Column | None = None) -> np.ndarray:
     return np.array(sums, float)
 
 
-def fitted(rows: DataFrame, target: np.ndarray) -> DataFrame:
-    """`rows` with the column rate.
+def fitted(rows: DataFrame, target: np.ndarray, lower: Column | None = None) -> DataFrame:
+    """`rows` with the column rate, which is not below `lower` (from 0 to 1; 0 if there is none).
 
     Rates start at 1. A step moves them against the gradient of the distance from the
     targets, scaled by the Gram matrix G = sum(tokens * p p') of the documents whose rate is
-    above zero: r = max(0, r + p . G^-1 (target - totals)). Without the bound one step would
+    above its bound: r = max(lower, r + p . G^-1 (target - totals)). Without the bound one step would
     match the targets with the least change of tokens; further steps make up for what the
     bound cuts off. A step that comes no nearer is taken back for one by the inverse of G's
     greatest eigenvalue, which always does. Targets out of reach end with the last round.
     """
     n = len(target)
+    lower = F.lit(0.0) if lower is None else lower
     above = [(i, j) for i in range(n) for j in range(i, n)]
     rate, kept, since, best, longest = F.lit(1.0), F.lit(1.0), 0, None, 0.0
     for _ in range(ROUNDS if n else 0):
         now = rows.withColumn("rate", rate)
         weight, p = F.col("tokens"), [F.col("p")[k] for k in range(n)]
-        free = F.when(F.col("rate") > 0, weight)
+        free = F.when(F.col("rate") > lower, weight)
         sums = [F.sum(F.col("rate") * weight * x) for x in p] + [F.sum(free * p[i] * p[j]) for i, j in above]
         found = np.array(now.agg(*[F.coalesce(x, F.lit(0.0)).alias(f"s{k}") for k, x in enumerate(sums)]).first(), float)
         miss = target - found[:n]
@@ -205,13 +206,13 @@ def fitted(rows: DataFrame, target: np.ndarray) -> DataFrame:
             rows = written(rows.withColumn("rate", kept), "rates")
             kept, since = F.col("rate"), 0
         move = sum((F.lit(float(s)) * x for s, x in zip(step, p)), F.lit(0.0))
-        rate, since = F.greatest(F.lit(0.0), kept + move), since + 1
+        rate, since = F.greatest(lower, kept + move), since + 1
     return rows.withColumn("rate", kept)
 
 
 def mixed_rates(
     docs: DataFrame, model: Classifier, weights: Mapping[str, float], text: str = "text", tokens: float | None = None, keep: str | None = None,
-    steady: float = 0.0,
+    steady: float = 0.0, spare: str | None = None,
 ) -> DataFrame:
     """(row, tokens, p, rate, copies) for every row of `docs`.
 
@@ -219,7 +220,8 @@ def mixed_rates(
     are not named get none. The total is `tokens`, or what leaves the expected tokens of the
     domain `keep` as they are, or the tokens there are. copies is the rate rounded up or
     down by a hash of the row's place, up as often as its fraction says; a rate within `steady`
-    of a whole number is rounded to it. Texts without
+    of a whole number is rounded to it. Documents that most likely belong to the domain
+    `spare` have a rate of 1 at least, should the targets be missed for that. Texts without
     words weigh nothing and follow their probabilities; without domains all rates are 1.
     Null texts count as empty. `docs` must be a scan or another frame whose partitions are the
     same when computed again.
@@ -234,7 +236,11 @@ def mixed_rates(
         now = totals(rows, n)
         if tokens is None and keep in model.domains and shares[model.domains.index(keep)] > 0:
             tokens = now[model.domains.index(keep)] / shares[model.domains.index(keep)]
-        out = fitted(rows, shares * (now.sum() if tokens is None else tokens))
+        lower = None
+        if spare in model.domains:
+            likely = F.array_position("p", F.array_max("p")) == model.domains.index(spare) + 1
+            lower = F.when(likely, 1.0).otherwise(0.0)
+        out = fitted(rows, shares * (now.sum() if tokens is None else tokens), lower)
     chance = (F.xxhash64("row", F.lit(11)) % 1_000_000 + 1_000_000) / 2_000_000
     whole = F.round(F.col("rate"))
     copies = F.when(F.abs(F.col("rate") - whole) <= steady, whole).otherwise(F.floor(F.col("rate") + chance))

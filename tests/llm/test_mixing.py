@@ -78,3 +78,12 @@ def test_steady_rates_are_not_drawn(spark, tables):
     model = mixing.learned(docs, labels, F.expr(DOMAIN))
     rows = mixing.mixed_rates(docs, model, TARGETS, keep="good", steady=0.2).filter("abs(rate - 1) <= 0.2")
     assert rows.count() > 400 and rows.filter("copies != 1").count() == 0
+
+
+def test_spared_documents_stay(spark, tables):
+    docs, labels = tables
+    model = mixing.learned(docs, labels, F.expr(DOMAIN))
+    rows = mixing.mixed_rates(docs, model, {"good": 0.2, "toxic": 0.8}, spare="good").collect()
+    good = [r for r in rows if model.domains[int(np.argmax(r.p))] == "good"]
+    assert len(good) > 500 and all(r.rate >= 1 and r.copies >= 1 for r in good)
+    assert any(r.rate < 0.5 for r in rows)
