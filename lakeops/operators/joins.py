@@ -30,6 +30,12 @@ def _row_bytes(schema: T.StructType) -> Column:
     return total
 
 
+#: Times the limit: estimates count columns at their widest and joins at their most.
+FAR_ABOVE = 1000
+#: From here on the planner knows no size.
+UNKNOWN = 2**62
+
+
 def measured_bytes(df: DataFrame) -> int:
     """The frame's size in memory: one aggregate, one number back to the driver."""
     size = df.agg(F.sum(_row_bytes(df.schema).cast("long")).alias("b")).first()["b"]
@@ -40,8 +46,12 @@ def broadcast_checked(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
     """The frame with a broadcast hint if its measured size is within the limit.
 
     A larger frame comes back without a hint: Spark then shuffles both sides and adaptive
-    execution splits the skewed partitions.
+    execution splits the skewed partitions. A frame that the planner takes for far larger
+    than the limit, by the sizes of its files, is not read to be measured.
     """
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if FAR_ABOVE * limit < estimate < UNKNOWN:
+        return df
     return F.broadcast(df) if measured_bytes(df) <= limit else df
 
 

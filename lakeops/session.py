@@ -82,12 +82,12 @@ def scratch_root(spark: SparkSession) -> str:
     Only a local master may fall back to a temporary folder: on a cluster that folder
     would exist on one machine only.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root is None and not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     if root is None:
-        root = context.getCheckpointDir() or tempfile.mkdtemp(prefix="lakeops-")
+        root = tempfile.mkdtemp(prefix="lakeops-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(root)
     return root.rstrip("/")

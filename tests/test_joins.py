@@ -125,12 +125,53 @@ def test_walk_ends_on_a_cycle(spark):
 def test_walk_never_shortens(spark):
     edges = spark.range(1, 8).select((F.col("id") + 1).alias("id"), F.col("id").alias("parent_id"))
     roots = spark.createDataFrame([(1,)], "id long")
-    assert walk(edges, roots, max_depth=8).count() == 8
-    with pytest.raises(ValueError):
-        walk(edges, roots, max_depth=3)
+    assert walk(edges, roots).count() == 8
 
 
 def test_closure_of_a_cycle(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("c", "d")], "s string, t string")
     out = {(r["source"], r["target"]): r["hops"] for r in closure(edges, "s", "t").collect()}
+    named = {(r["source"], r["target"]) for r in closure(edges, "s", "t", ["b"]).collect()}
+    assert named == {("b", x) for x in "abcd"}
     assert out[("a", "d")] == 3 and out[("a", "a")] == 3 and ("d", "a") not in out and len(out) == 12
+
+
+def test_salts_follow_from_the_share(spark):
+    df = spark.range(1000).select(F.col("id"), F.when(F.col("id") % 2 == 0, -1).otherwise(F.col("id")).alias("k"))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert skew.salts_for(df, "k") == tasks // 2
+    assert skew.salts_for(df.filter("k > 0"), "k") == 1
+
+
+def test_any_aggregate_in_two_stages(spark, fact):
+    aggs = {"n": ("count", "*"), "a": ("count", "amount"), "s": ("sum", "id"), "lo": ("min", "amount"), "hi": ("max", "amount"), "m": ("avg", "id")}
+    plain = fact.groupBy("k").agg(F.count(F.lit(1)), F.count("amount"), F.sum("id"), F.min("amount"), F.max("amount"), F.avg("id"))
+    assert rows(skew.salted_agg(fact, ["k"], aggs, ["id"], 8)) == rows(plain)
+    with pytest.raises(ValueError):
+        skew.salted_agg(fact, ["k"], {"x": ("median", "id")}, ["id"])
+
+
+def test_many_hot_keys_given_by_the_caller(spark, monkeypatch):
+    monkeypatch.setattr(skew, "HOT_KEYS", 10)
+    fact = spark.range(500).select("id", (F.col("id") % 50).alias("k"))
+    dim = spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 2).alias("d"))
+    hot = dim.select("k").filter("k < 40")
+    assert rows(skew.partial_salted_join(fact, dim, "k", ["id"], hot, 4)) == rows(fact.join(dim, "k", "left"))
+
+
+def test_one_exchange_spares_keys_above_an_average_task(spark):
+    from lakeops.operators.aggregate import one_exchange
+
+    small = spark.range(1000).select((F.col("id") % 500).alias("k"))
+    hot = spark.range(1000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
+    assert "Exchange" in plan(one_exchange(small, "k")) and "Exchange" not in plan(one_exchange(hot, "k"))
+    four_percent = spark.range(1000).select(F.when(F.col("id") < 45, 0).otherwise(F.col("id")).alias("k"))
+    assert "Exchange" not in plan(one_exchange(four_percent, "k", 0.04))
+
+
+def test_walk_without_a_depth_cap(spark):
+    from lakeops.operators.hierarchy import walk
+
+    chain = spark.range(1, 105).select("id", (F.col("id") - 1).alias("parent_id")).coalesce(1)
+    got = walk(chain, spark.range(1).select(F.col("id").alias("root")))
+    assert got.agg(F.max("level")).first()[0] == 105 and got.count() == 105

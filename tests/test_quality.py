@@ -65,7 +65,7 @@ def test_run_log_has_one_schema(spark, folder):
         run.input_rows = 1
     with pytest.raises(KeyError), gov.job_run(spark, log, "stream", "a", "b", 7):
         raise KeyError("x")
-    back = spark.read.parquet(log)
+    back = gov.runs(spark, log)
     assert back.columns == JOB_RUNS.fieldNames() and back.count() == 2
     assert not gov.batch_done(spark, log, "stream", 7) and gov.batch_done(spark, log, "batch", 0) is False
     with gov.job_run(spark, log, "stream", "a", "b", 7):
@@ -122,3 +122,22 @@ def test_exact_quantiles(spark, n):
     for p, name in ((0, "p0"), (0.1, "p10"), (0.5, "p50"), (0.99, "p99"), (1.0, "p100")):
         assert out["a"][name] == pytest.approx(pdf.a.quantile(p), abs=1e-9)
     assert out["b"]["p50"] == 5 and out["c"]["p50"] is None and out["c"]["n_null"] == n
+
+
+def test_profile_of_tiny_and_huge_values(spark):
+    df = spark.createDataFrame([(0.0004995, 1e16), (0.0004995, 3e16)], "a double, b double")
+    out = {r["column_name"]: r for r in numeric_profile(df, ["a", "b"], (0.5,)).collect()}
+    assert out["a"]["mean"] == pytest.approx(4.995e-4, rel=1e-12) and out["b"]["mean"] == 2e16 and out["b"]["p50"] == 2e16
+
+
+def test_error_text_is_logged_whole(spark, folder):
+    from lakeops.operators import governance as gov
+
+    log = folder("log")
+    with pytest.raises(ValueError):
+        with gov.job_run(spark, log, "a b/c", "s", "t", 7):
+            raise ValueError("x" * 5000)
+    assert len(gov.runs(spark, log).first()["error_message"]) > 5000 and not gov.batch_done(spark, log, "a b/c", 7)
+    with gov.job_run(spark, log, "a b/c", "s", "t", 7):
+        pass
+    assert gov.batch_done(spark, log, "a b/c", 7) and not gov.batch_done(spark, log, "a b/c", 8)

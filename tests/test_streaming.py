@@ -165,3 +165,15 @@ def test_triggers():
 def test_kafka_source_needs_its_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         streams.kafka(spark, "localhost:1", "orders", "earliest")
+
+
+@pytest.mark.parametrize("name", ["str03_watermark", "str04_dedup_by_key", "str06_late_data"])
+def test_rows_do_not_depend_on_micro_batches(spark, monkeypatch, name):
+    from check import compare, duck
+
+    from lakeops.queries import ORACLES, QUERIES, streams
+    from tests.conftest import SF
+
+    monkeypatch.setattr(streams, "BATCH", 1)  # a file a batch
+    verdict = compare(QUERIES[name](spark, SF).toArrow(), duck(SF).sql(ORACLES[name]).to_arrow_table())
+    assert verdict.startswith("ok"), verdict

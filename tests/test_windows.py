@@ -92,3 +92,15 @@ def test_keep_takes_all_ties(spark):
     df = spark.createDataFrame([(1, 5, 10), (1, 5, 30), (1, 4, 99), (2, None, 8), (2, 1, 7)], "k int, o int, v int")
     out = df.groupBy("k").agg(win.keep_last_max("o", "v").alias("hi"), win.keep_first_min("o", "v").alias("lo"))
     assert rows(out) == [(1, 30, 99), (2, 7, 7)]
+
+
+def test_keep_with_null_among_ties(spark):
+    df = spark.createDataFrame([("a", 1, None), ("a", 1, 5.0), ("a", 2, 1.0), ("b", 1, None), ("c", None, 3.0)], "k string, o int, v double")
+    got = df.groupBy("k").agg(win.keep_first_min("o", "v").alias("lo"), win.keep_last_max("o", "v").alias("hi"))
+    assert rows(got) == [("a", 5.0, 1.0), ("b", None, None), ("c", None, None)]
+
+
+def test_latest_with_maps(spark):
+    df = spark.createDataFrame([(1, 1, {"a": 1, "b": 2}), (1, 1, {"a": 1, "b": 3}), (2, 1, None)], "k int, o int, m map<string, int>")
+    first = rows(win.latest(df, ["k"], ["o"]))
+    assert len(first) == 2 and first == rows(win.latest(df.orderBy("m.b"), ["k"], ["o"]))
