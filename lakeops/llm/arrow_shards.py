@@ -58,7 +58,8 @@ class LibraryEncoder(Encoder):
 
     def _encoded(self, chunks: list[str], prefix: str) -> tuple[np.ndarray, np.ndarray]:
         if prefix == " ":
-            ids = np.array(self.library.encode(" " + " ".join(chunks), add_special_tokens=False).ids, np.int32)
+            joined = self.library.encode_batch_fast([" " + " ".join(chunks)], add_special_tokens=False)
+            ids = np.array(joined[0].ids, np.int32)
             begins = np.flatnonzero(self.blank_head[ids])
             if len(begins) == len(chunks):
                 return ids, np.diff(begins, append=len(ids))

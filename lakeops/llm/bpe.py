@@ -28,6 +28,10 @@ VOCABULARY_BYTES = 64 << 20
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+#: Signs that the pattern never parts from each other.
+SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
 def byte_letters() -> dict[str, int]:
     """The letter that stands for each byte in a vocabulary file: printable bytes stand for
     themselves, the others follow from 256 on, in order."""
@@ -200,7 +204,8 @@ def _merge_block(v: Vocabulary, flat: np.ndarray, starts: np.ndarray, lengths: n
 
 
 class Encoder:
-    """Encodes texts; remembers the ids of the words it has met, up to `most` of them.
+    """Encodes texts; remembers the ids of the words it has met. With more than `most` it
+    forgets those that came only once since it last did so.
 
     A single blank or newline between two words always begins a new piece, so the words
     between them can be encoded one by one. Texts with other white space are cut by the
@@ -217,6 +222,22 @@ class Encoder:
         self.plain: dict[str, int] = {}  # words without, and whatever else
         self.starts, self.counts = np.empty(0, np.int64), np.empty(0, np.int64)
         self.pool = np.empty(0, np.int32)
+        self.hits = np.empty(0, np.int64)
+
+    def _thin(self) -> None:
+        keep = self.hits > 1
+        if keep.sum() > self.most // 2:
+            self._forget()
+            return
+        number = np.cumsum(keep) - 1
+        for known in (self.blank, self.plain):
+            left = {w: int(number[i]) for w, i in known.items() if keep[i]}
+            known.clear()
+            known.update(left)
+        self.pool = gather(self.pool, self.starts[keep], self.counts[keep])
+        self.counts = self.counts[keep]
+        self.starts = np.cumsum(self.counts) - self.counts
+        self.hits = np.zeros(len(self.counts), np.int64)
 
     def _encoded(self, chunks: list[str], prefix: str) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the chunks behind the prefix, and the number of them in each."""
@@ -225,8 +246,30 @@ class Encoder:
         ids, n = merge_all(self.v, [p.encode("utf-8", "surrogatepass") for w in whole for p in w])
         return ids, np.diff(np.concatenate([[0], np.cumsum(n)])[np.cumsum(per)], prepend=0)
 
+    def _learn_words(self, chunks: list[str]) -> None:
+        """Words behind blanks. Letters with signs behind them are the letters' ids, then the signs'."""
+        whole, cores, tails = [], [], []
+        for c in chunks:
+            core = c.rstrip(SIGNS)
+            if len(core) < len(c) and core.isalpha():
+                whole.append(c)
+                cores.append(core)
+                tails.append(c[len(core) :])
+        composed = set(whole)
+        new = dict.fromkeys(c for c in chunks if c not in composed) | dict.fromkeys(c for c in cores if c not in self.blank)
+        if new:
+            self._learn(self.blank, list(new), " ")
+        if signs := [t for t in dict.fromkeys(tails) if t not in self.plain]:
+            self._learn(self.plain, signs, "")
+        if whole:
+            parts = np.stack([[self.blank[c] for c in cores], [self.plain[t] for t in tails]], 1).ravel()
+            counts = self.counts[parts]
+            self._put(self.blank, whole, gather(self.pool, self.starts[parts], counts), counts.reshape(-1, 2).sum(1))
+
     def _learn(self, known: dict[str, int], chunks: list[str], prefix: str) -> None:
-        ids, counts = self._encoded(chunks, prefix)
+        self._put(known, chunks, *self._encoded(chunks, prefix))
+
+    def _put(self, known: dict[str, int], chunks: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
         known.update(zip(chunks, range(len(self.counts), len(self.counts) + len(chunks))))
         self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(counts) - counts])
         self.counts = np.concatenate([self.counts, counts])
@@ -249,7 +292,7 @@ class Encoder:
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in order, and how many each has."""
         if len(self.counts) > self.most:
-            self._forget()
+            self._thin()
         runs: list[tuple[bool, list[str]]] = []
         ends, specials = [], {}
         for text in texts:
@@ -276,8 +319,15 @@ class Encoder:
             missing = np.flatnonzero((index < 0) & (behind == kind)).tolist()
             if missing:
                 new = [words[i] for i in missing]
-                self._learn(known, list(dict.fromkeys(new)), prefix)
+                distinct = list(dict.fromkeys(new))
+                if prefix:
+                    self._learn_words(distinct)
+                else:
+                    self._learn(known, distinct, prefix)
                 index[missing] = [known[w] for w in new]
+        hits = np.bincount(index, minlength=len(self.counts))
+        hits[: len(self.hits)] += self.hits
+        self.hits = hits
         counts = self.counts[index]
         ids = gather(self.pool, self.starts[index], counts)
         upto = np.concatenate([[0], np.cumsum(counts)])[np.concatenate([[0], np.cumsum(sizes)])]
