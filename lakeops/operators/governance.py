@@ -54,7 +54,7 @@ def log_run(spark: SparkSession, path: str, run: Run, status: str, error: str =
 
 def runs(spark: SparkSession, path: str) -> DataFrame:
     """The whole log."""
-    return spark.read.schema(JOB_RUNS).parquet(path)
+    return spark.read.schema(JOB_RUNS).parquet(path).select(*JOB_RUNS.fieldNames())
 
 
 @contextmanager
