@@ -6,6 +6,11 @@ their hash picks, so that the cuts depend on the words alone and a passage is cu
 wherever it stands. A span begins at every sentence: the shortest run of two sentences or
 more that has MIN_WORDS words. Spans with the same words are one; all but the first by key,
 row and place are repeated, and the sentences they cover are removed.
+
+With `ends` a span also ends at every sentence, the shortest such run backwards, so that the
+tail of a repeated passage is covered like its head; and long sentences are cut behind the
+least hash of every PICK words in a row, so that no PICK words of them are without a cut. A
+repeated passage then keeps at most what is in front of its first and behind its last common cut.
 """
 
 from __future__ import annotations
@@ -27,6 +32,16 @@ _END = np.isin(np.arange(256), [0x21, 0x2E, 0x3F])
 _STEPS = (0xD1342543DE82EF95, 0xAF251AF3B0F025B5)
 
 
+def _least(hashes: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """Which words have the least hash (the last among equals) of some PICK words in a row of one group."""
+    out = np.zeros(len(hashes), bool)
+    if len(hashes) >= PICK:
+        rows = np.lib.stride_tricks.sliding_window_view(hashes, PICK)[:, ::-1]
+        whole = np.flatnonzero(group[PICK - 1 :] == group[: 1 - PICK])
+        out[whole + PICK - 1 - rows[whole].argmin(1)] = True
+    return out
+
+
 class Sentences:
     """The sentences of texts, as runs of words.
 
@@ -35,8 +50,9 @@ class Sentences:
     between texts' beginnings and their first words.
     """
 
-    def __init__(self, texts: list[str]):
+    def __init__(self, texts: list[str], ends_too: bool = False):
         w = self.words = Words(texts)
+        self.ends_too = ends_too
         n = len(w.starts)
         doc = np.repeat(np.arange(len(texts)), w.counts)
         newlines = np.concatenate([[0], np.cumsum(w.data == 0x0A)])
@@ -46,7 +62,7 @@ class Sentences:
         ends = _END[w.data[w.ends - 1]] | (newlines[following] > newlines[w.ends]) | last
         number = np.cumsum(ends) - ends
         long = np.bincount(number, minlength=1)[number] > LONG if n else np.zeros(0, bool)
-        ends |= long & (w.hashes % np.uint64(PICK) == 0)
+        ends |= long & (_least(w.hashes, number) if ends_too else w.hashes % np.uint64(PICK) == 0)
         self.first = np.concatenate([[0], np.flatnonzero(ends) + 1])
         self.counts = np.bincount(doc[ends], minlength=len(texts))
         self.upto = np.cumsum(self.counts)
@@ -59,15 +75,24 @@ class Sentences:
         stop = np.maximum(np.searchsorted(first, first[:-1] + MIN_WORDS), start + MIN_SENTENCES)
         limit = np.repeat(self.upto, self.counts)
         keep = stop <= limit
-        start, stop = start[keep], stop[keep]
+        if self.ends_too:
+            behind = start + 1
+            back = np.minimum(np.searchsorted(first, first[1:] - MIN_WORDS, "right") - 1, behind - MIN_SENTENCES)
+            # Not those that a span from their first sentence on already is.
+            more = (back >= limit - np.repeat(self.counts, self.counts)) & (stop[np.maximum(back, 0)] != behind)
+            start, stop = np.concatenate([start[keep], back[more]]), np.concatenate([stop[keep], behind[more]])
+            order = np.argsort(start, kind="stable")
+            start, stop = start[order], stop[order]
+        else:
+            start, stop = start[keep], stop[keep]
         a, b = first[start], first[stop]
         return start, stop, [run_hash(*running(self.words.hashes, s), a, b) for s in _STEPS]
 
 
-def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _spans(batches: Iterator[pa.RecordBatch], ends: bool) -> Iterator[pa.RecordBatch]:
     """Kernel (row, key, text) -> (row, key, a, b, h1, h2): lists of the spans of each text."""
     for batch in slices(batches, "text"):
-        s = Sentences(strings(batch.column(2)))
+        s = Sentences(strings(batch.column(2)), ends)
         start, stop, (h1, h2) = s.spans()
         doc = np.searchsorted(s.upto, start, "right")
         begin = (s.upto - s.counts)[doc]
@@ -76,14 +101,14 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:2], *(list_array(x, n, t) for x, t in lists)], ["row", "key", "a", "b", "h1", "h2"])
 
 
-def _cleaned(row_text: str, schema: T.StructType, names: tuple[str, str, str]):
+def _cleaned(row_text: str, schema: T.StructType, names: tuple[str, str, str], ends: bool):
     """Kernel (columns, __a, __b) -> columns with the text that is left, and sentence counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, row_text):
             column = batch.column(row_text)
             texts = strings(column)
-            s = Sentences(texts)
+            s = Sentences(texts, ends)
             data = s.words.data.tobytes()
             removed = np.zeros(batch.num_rows, np.int64)
             left = column.to_pylist()
@@ -108,7 +133,7 @@ def _cleaned(row_text: str, schema: T.StructType, names: tuple[str, str, str]):
     return run
 
 
-def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", ends: bool = False) -> DataFrame:
     """The frame with the text that is left, n_sentences (before) and n_removed.
 
     Of equal spans the one of the least key stays (null last), then of the first row, then of
@@ -117,12 +142,13 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     the text of a whole copy becomes empty. Texts with fewer words than a span have none.
     Words are what ASCII white space separates, and compared as they are written. Columns
     named n_sentences or n_removed are replaced. `docs` must be a scan or another frame
-    whose partitions are the same when computed again.
+    whose partitions are the same when computed again. `ends` adds the spans that end at every
+    sentence, and cuts in every PICK words of long sentences: repeated passages go whole.
     """
     docs = without(docs, "n_sentences", "n_removed")
     texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.col(text).alias("text"))
     kind = docs.select(key).schema[0].dataType.simpleString()
-    lists = texts.mapInArrow(_spans, f"row long, key {kind}, a array<int>, b array<int>, h1 array<long>, h2 array<int>")
+    lists = texts.mapInArrow(lambda batches: _spans(batches, ends), f"row long, key {kind}, a array<int>, b array<int>, h1 array<long>, h2 array<int>")
     spans = written(lists.select("row", "key", F.inline(F.arrays_zip("a", "b", "h1", "h2"))), "spans")
     order = F.struct(F.col("key").isNull().alias("n"), F.col("key").alias("k"), F.col("row").alias("r"), F.col("a").alias("a"))
     repeated = spans.groupBy("h1", "h2").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -134,4 +160,4 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     gone = gone.select(F.col("row").alias(row), F.col("g.a").alias(a), F.col("g.b").alias(b))
     whole = docs.withColumn(row, F.monotonically_increasing_id()).join(gone, row, "left")
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema]).add("n_sentences", "long").add("n_removed", "long")
-    return whole.mapInArrow(_cleaned(text, schema, (row, a, b)), schema)
+    return whole.mapInArrow(_cleaned(text, schema, (row, a, b), ends), schema)

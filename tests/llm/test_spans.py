@@ -93,3 +93,75 @@ def test_a_passage_is_found_wherever_it_stands(spark):
                 # Up to a sentence's rest at each end may stay.
                 assert sum(w in left for w in passage.split()) <= 35 and removed > 0
                 assert sum(w in left for w in rows[i][1].split()[:25]) == 25
+
+
+def _ending_too(text):
+    """Bounds of all spans with `ends`, by the definition."""
+    p = cut(text)
+    out = set()
+    for a in range(len(p)):
+        for step in (1, -1):
+            i, words, n = a, 0, 0
+            while 0 <= i < len(p) and (words < ss.MIN_WORDS or n < ss.MIN_SENTENCES):
+                words, n, i = words + len(p[i]), n + 1, i + step
+            if words >= ss.MIN_WORDS and n >= ss.MIN_SENTENCES:
+                out.add((a, i) if step > 0 else (i + 1, a + 1))
+    return p, sorted(out)
+
+
+def cut(text):
+    """Sentences with `ends`: those of more than LONG words end behind the least hash of every PICK words in a row."""
+    out, now = [], []
+    words = re.findall(f"[^{BLANK}]+", text)
+    for i, w in enumerate(words):
+        now.append(w)
+        if w[-1] in ".!?" or i + 1 == len(words):
+            if len(now) > ss.LONG:
+                h = Words([" ".join(now)]).hashes.tolist()
+                at = {max(range(i, i + ss.PICK), key=lambda j: (-h[j], j)) for i in range(len(h) - ss.PICK + 1)} | {len(h) - 1}
+                bounds = [0, *sorted(j + 1 for j in at)]
+                out += [now[a:b] for a, b in zip(bounds, bounds[1:])]
+            else:
+                out.append(now)
+            now = []
+    return out
+
+
+def test_spans_with_ends_by_the_definition():
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(60)}" + rng.choice(["", "", "", "", ".", ""]) for _ in range(n)) for n in (0, 1, 7, 25, 60, 300)]
+    texts += [" ".join(f"v{rng.randrange(9)}" for _ in range(200)), "again " * 70]
+    s = ss.Sentences(texts, True)
+    start, stop, _ = s.spans()
+    base = s.upto - s.counts
+    for i, t in enumerate(texts):
+        p, spans = _ending_too(t)
+        mine = (start >= base[i]) & (start < s.upto[i])
+        assert s.counts[i] == len(p)
+        assert sorted(zip((start[mine] - base[i]).tolist(), (stop[mine] - base[i]).tolist())) == spans
+
+
+def test_the_tail_of_a_repeated_passage_goes(spark):
+    """Sentences of 10, 10 and 5 words: the span from the second one runs on into what is not shared."""
+    rng = random.Random(4)
+    sentence = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n)) + "."
+    passage = " ".join(sentence(n) for n in (10, 10, 5))
+    rows = [(i, f"{sentence(12)} {passage} {sentence(12)}") for i in range(4)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    for r in ss.deduplicated(frame, ends=True).collect():
+        assert (passage in r.text) == (r.doc_id == 0) and len(r.text.split()) == (49 if r.doc_id == 0 else 24)
+
+
+def test_a_passage_in_mid_sentence_keeps_its_ends_only(spark):
+    """Without stops, 200 passages of 51 words: less than two windows stay at each end, and no passage whole."""
+    rng = random.Random(5)
+    words = lambda n: " ".join(f"w{rng.randrange(10**9)}" for _ in range(n))
+    passages = [words(51) for _ in range(200)]
+    rows = [(2 * i + j, f"{words(30)} {p} {words(30)}.") for i, p in enumerate(passages) for j in range(2)]
+    out = {r.doc_id: r.text for r in ss.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"), ends=True).collect()}
+    for i, p in enumerate(passages):
+        left, at = set(out[2 * i + 1].split()), p.split()
+        assert out[2 * i] == rows[2 * i][1]
+        assert not any(w in left for w in at[2 * ss.PICK - 1 : 1 - 2 * ss.PICK])
+        own = [w for w in rows[2 * i + 1][1].split() if w not in set(at)]
+        assert [w for w in out[2 * i + 1].split() if w not in set(at)] == own
