@@ -14,7 +14,7 @@ from lakeops.session import apply_profile, scratch_path
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with letters, of which a learned language makes up a part that counts."""
+    """Documents of which learned languages, all together, explain a part that counts."""
     return langid.accepted(docs, langid.learned(docs))
 
 

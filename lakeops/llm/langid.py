@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeops.llm.common import free_name, list_array, slices, strings, without
+from lakeops.llm.common import list_array, slices, strings, without
 
 #: Trigrams are counted in so many slots, and learned from about so many documents of a language.
 SLOTS = 1 << 16
@@ -41,10 +41,12 @@ def letter_kinds() -> np.ndarray:
 
 @dataclass(frozen=True)
 class Languages:
-    """What is learned: names in order, and for each slot the log-probability in each language."""
+    """What is learned: names in order, for each slot the log-probability in each language,
+    and the mean of that over each language's own training trigrams."""
 
     names: list[str]
     logs: np.ndarray
+    usual: np.ndarray
 
 
 def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -84,7 +86,7 @@ def learned(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str
     rows = docs.filter(in_training(key, lang) & F.col(text).isNotNull())
     counts = {r[0]: r[1] for r in rows.groupBy(lang).count().collect()}  # one row per language
     if not counts:
-        return Languages([], np.empty((SLOTS, 0), np.float32))
+        return Languages([], np.empty((SLOTS, 0), np.float32), np.empty(0))
     names = sorted(counts)
     cut = F.lit(None).cast("double")
     for name in names:
@@ -109,7 +111,9 @@ def learned(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str
     table = np.full((SLOTS, len(names)), SMOOTHING)
     for row in picked.mapInArrow(count, "lang string, counts binary").toLocalIterator():
         table[:, names.index(row.lang)] += np.frombuffer(row.counts, np.int64)
-    return Languages(names, np.log(table / table.sum(0)).astype(np.float32))
+    logs = np.log(table / table.sum(0))
+    counted = table - SMOOTHING
+    return Languages(names, logs.astype(np.float32), (counted * logs).sum(0) / np.maximum(1, counted.sum(0)))
 
 
 def _fitted(odds: np.ndarray, starts: np.ndarray, sizes: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -215,8 +219,31 @@ def identified(docs: DataFrame, languages: Languages, text: str = "text", result
     return docs.mapInArrow(run, schema)
 
 
+def evidence(texts: list[str], languages: Languages) -> np.ndarray:
+    """The part of each text's letters in words that one of its selected languages explains; 0 without letters.
+
+    A language explains a word whose mean log-likelihood by trigram is nearer to what is
+    usual in its training text than to that of a background where all trigrams are alike.
+    """
+    out = np.zeros(len(texts))
+    chosen = mixtures(texts, languages) > 0
+    slots, starts, doc, _ = trigrams(texts)
+    if not chosen.any():
+        return out
+    size = np.diff(starts, append=len(slots))
+    means = np.add.reduceat(languages.logs[slots], starts, axis=0) / size[:, None]
+    explained = ((means >= (languages.usual - np.log(SLOTS)) / 2) & chosen[doc]).any(1)
+    total = np.bincount(doc, size, len(texts))
+    return np.bincount(doc, size * explained, len(texts)) / np.maximum(1, total) * chosen.any(1)
+
+
 def accepted(docs: DataFrame, languages: Languages, text: str = "text", least: float = 0.3) -> DataFrame:
-    """The rows with a language that makes up `least` of the text; their columns are unchanged."""
-    result = tuple(free_name(docs, f"__{n}") for n in RESULT)
-    found = identified(docs, languages, text, result)
-    return found.filter((F.col(result[0]) != UNKNOWN) & (F.col(result[1]) >= least)).select(docs.columns)
+    """The rows of which learned languages, all together, explain `least` of the text (`evidence`); columns are unchanged."""
+    sent = docs.sparkSession.sparkContext.broadcast(languages)  # SLOTS numbers a language
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, text):
+            keep = evidence(strings(batch.column(text)), sent.value) >= least
+            yield batch.filter(pa.array(keep))
+
+    return docs.mapInArrow(run, T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema]))

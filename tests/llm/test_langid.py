@@ -70,3 +70,21 @@ def test_prediction_looks_at_the_text_only(spark, languages, docs):
     plain = {r.doc_id: r.lang_pred for r in langid.identified(some, languages).collect()}
     other = some.selectExpr("doc_id + 7 AS doc_id", "text", "'xx' AS lang")
     assert {r.doc_id - 7: r.lang_pred for r in langid.identified(other, languages).collect()} == plain
+
+
+def test_texts_in_no_learned_language_are_rejected(spark, docs, languages):
+    """Other languages, other scripts and gibberish go; several learned languages in equal parts stay."""
+    words = {r.lang: r.text.split()[:150] for r in docs.filter("n_chars > 3000").collect()}
+    others = [
+        "To jest zupełnie inny język, którego model nie zna, a mimo to zostaje przyjęty bez żadnego powodu.",
+        "Tämä on suomenkielinen teksti, jota malli ei ole koskaan nähnyt, ja siksi se pitäisi hylätä heti.",
+        "Bu metin Türkçe yazılmış ve model bu dili hiç öğrenmedi, bu yüzden reddedilmesi gerekir.",
+        "Это русский текст, который модель никогда не видела.", "xqzv kjwpt zzqx vbnmk qwrtp lkjhg xcvbz pqowi",
+    ]
+    stay = [" ".join(sum(words.values(), [])), " ".join(words["de"]), " ".join(words["fr"] + others[0].split() * 5)]
+    assert len(words) == 4
+    rows = list(enumerate(stay + others + [None, "", "42 !"]))
+    kept = langid.accepted(spark.createDataFrame(rows, "doc_id long, text string"), languages).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == rows[:3]
+    found = langid.identified(spark.createDataFrame(rows[:1], "doc_id long, text string"), languages).first()
+    assert len(found.languages) == 4 and found.score < 0.31
