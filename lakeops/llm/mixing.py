@@ -220,7 +220,7 @@ def mixed_rates(
     are not named get none. The total is `tokens`, or what leaves the expected tokens of the
     domain `keep` as they are, or the tokens there are. copies is the rate rounded up or
     down by a hash of the row's place, up as often as its fraction says; a rate within `steady`
-    of a whole number is rounded to it. Documents that most likely belong to the domain
+    of 1 is 1 copy. Documents that most likely belong to the domain
     `spare` have a rate of 1 at least, should the targets be missed for that. Texts without
     words weigh nothing and follow their probabilities; without domains all rates are 1.
     Null texts count as empty. `docs` must be a scan or another frame whose partitions are the
@@ -242,8 +242,7 @@ def mixed_rates(
             lower = F.when(likely, 1.0).otherwise(0.0)
         out = fitted(rows, shares * (now.sum() if tokens is None else tokens), lower)
     chance = (F.xxhash64("row", F.lit(11)) % 1_000_000 + 1_000_000) / 2_000_000
-    whole = F.round(F.col("rate"))
-    copies = F.when(F.abs(F.col("rate") - whole) <= steady, whole).otherwise(F.floor(F.col("rate") + chance))
+    copies = F.when(F.abs(F.col("rate") - 1) <= steady, 1).otherwise(F.floor(F.col("rate") + chance))
     return out.withColumn("copies", copies.cast("int"))
 
 

@@ -87,3 +87,23 @@ def test_spared_documents_stay(spark, tables):
     good = [r for r in rows if model.domains[int(np.argmax(r.p))] == "good"]
     assert len(good) > 500 and all(r.rate >= 1 and r.copies >= 1 for r in good)
     assert any(r.rate < 0.5 for r in rows)
+
+
+def test_small_rates_are_drawn_not_dropped(spark, folder):
+    """The stage's options, with a domain whose rates are below `steady`: the kept tokens match the targets."""
+    rng = np.random.default_rng(6)
+    parts = [("good", 6000), ("toxic", 3000), ("poor", 1000)]
+    domains = rng.permutation([d for d, n in parts for _ in range(n)])
+    rows = [(i, " ".join(f"{d}{w}" for w in rng.integers(0, 40, 20)), str(d)) for i, d in enumerate(domains)]
+    path = folder("domains")
+    spark.createDataFrame(rows, "doc_id long, text string, d string").coalesce(2).write.parquet(path)
+    docs = spark.read.parquet(path)
+    labels = docs.filter("doc_id < 600").selectExpr("doc_id", "int(d != 'poor') AS quality", "int(d = 'toxic') AS toxic")
+    model = mixing.learned(docs, labels, F.expr(DOMAIN))
+    options = {"keep": "good", "steady": 0.1, "spare": "good"}
+    rates = mixing.mixed_rates(docs, model, TARGETS, **options).toPandas()
+    toxic = np.array(rates.p.tolist()).argmax(1) == model.domains.index("toxic")
+    assert toxic.sum() == 3000 and rates.rate[toxic].max() < 0.1
+    kept = {r.d: r.n for r in mixing.mixed(docs, model, TARGETS, **options).groupBy("d").agg(F.count("*").alias("n")).collect()}
+    for d, w in TARGETS.items():
+        assert kept.get(d, 0) / sum(kept.values()) == pytest.approx(w, abs=0.004)
