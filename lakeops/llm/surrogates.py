@@ -45,18 +45,18 @@ ENDINGS = {
 _WORD = r"\p{Lu}[\p{L}'’-]+"
 _TITLE = "|".join(t for titles in TITLES.values() for t in titles)
 _NAME = "|".join(n for names in GIVEN.values() for n in names)
-SECRET = r"(?:password|passwd|token|secret|api[_-]?key)\s{0,2}[=:]\s{0,2}\"?"
+SECRET = r"(?i:password|passwd|token|secret|api[_-]?key)[\"']?\s{0,2}[=:]\s{0,2}[\"']?"
 PATTERN = "|".join(
     [
         r"[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
         r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\.?\w)",
         r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
         r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\w)",
-        r"(?<![\w(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\w)",
-        r"(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])",
-        r"(?<![\w.-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?![\w-])",
+        r"(?<![\w(])(?:(?<![.-])1[ .-]?)?\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\w)",
+        r"(?<![\w.-])(?:1[ .-])?(?:\d{3}[.-]\d{3}[.-]\d{4}|\d{3} \d{3}[ .-]\d{4})(?![\w-])",
+        r"(?<![\w.-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5})(?![\w-])",
         r"(?<!\w)AKIA[0-9A-Z]{16}(?!\w)",
-        rf"(?<!\w){SECRET}[A-Za-z0-9_-]{{8,}}",
+        rf"(?<![\p{{L}}\d]){SECRET}[A-Za-z0-9_-]{{8,}}",
         rf"(?<![\p{{L}}\d])(?:(?:{_TITLE})\.? (?:{_WORD})(?: {_WORD}){{0,2}}|(?:{_NAME}) {_WORD})",
     ]
 )
@@ -72,7 +72,7 @@ def kind_of(entity: Column) -> Column:
         .when(entity.rlike(r"^AKIA|[=:]"), "secret")
         .when(entity.rlike(r"^\d{1,3}(\.\d{1,3}){3}$"), "address")
         .when(entity.rlike(r"^\d{3}-\d{2}-\d{4}$"), "number")
-        .when(entity.rlike(r"^[+(]|^\d{3}[.-]\d{3}[.-]"), "phone")
+        .when(entity.rlike(r"^[+(]|^1[ .-]?\(|^(1[ .-])?\d{3}[ .-]\d{3}[ .-]\d{4}$"), "phone")
         .when(entity.rlike(r"^\d"), "card")
         .otherwise("name")
     )

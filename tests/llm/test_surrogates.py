@@ -83,3 +83,20 @@ def test_only_functions_of_dataframes(spark):
     frame = spark.range(1).select(F.col("id").alias("doc_id"), F.lit(ROWS[0]).alias("text"))
     text = plan(s.replaced(frame, "key"))
     assert not re.search("Python|Pandas|Arrow", text)
+
+
+def test_common_forms_are_found(spark):
+    """Key words in any case and quotes, phones with a leading 1 or blanks, cards of 15 digits; each stays in its form."""
+    forms = {
+        "Password: hunter2hunter2": r"Password: [a-z]{6}\d[a-z]{6}\d", "API_KEY=abcd1234efgh": r"API_KEY=[a-z]{4}\d{4}[a-z]{4}",
+        "SECRET='abcd-1234-efgh'": r"SECRET='[a-z]{4}-\d{4}-[a-z]{4}'", "DB_PASSWORD=abcd1234": r"DB_PASSWORD=[a-z]{4}\d{4}",
+        '"token": "abcd1234"': r'"token": "[a-z]{4}\d{4}"', "1-800-555-0199": r"1-\d{3}-\d{3}-\d{4}", "555 123 4567": r"\d{3} \d{3} \d{4}",
+        "1 (800) 555-0199": r"1 \(\d{3}\) \d{3}-\d{4}", "3782 822463 10005": r"3\d{3} \d{6} \d{5}", "3782-822463-10005": r"3\d{3}-\d{6}-\d{5}",
+    }
+    rows = [(i, f"see {x} now") for i, x in enumerate(forms)]
+    out = s.replaced(spark.createDataFrame(rows, "doc_id long, text string"), "key").sort("doc_id").collect()
+    for r, (x, form) in zip(out, forms.items()):
+        assert r.n_entities == 1 and re.fullmatch(f"see {form} now", r.text) and x not in r.text, r
+    assert out[5].text[-12:] == out[7].text[-12:]  # the same number
+    digits = [re.sub(r"\D", "", out[i].text) for i in (8, 9)]
+    assert digits[0] == digits[1] and luhn(digits[0]) == luhn("378282246310005") == 0
