@@ -47,6 +47,11 @@ NAMES = frozenset(
     "related recommended recommendations widget widgets pagination pager toolbar search searchbox skip copyright legal disclaimer "
     "contentinfo complementary dialog alert toc".split()
 )
+#: Of these, what a part of an article may be about: inside an article they leave nothing out.
+TOPICS = frozenset(
+    "discussion related legal notice notices reactions replies respond search disclaimer copyright alert consent cookie cookies "
+    "recommended recommendations advertising promotion navigation social menu comment skip".split()
+)
 #: The same, but for those in front of an article only.
 HEAD_NAMES = frozenset(["header"])
 ARTICLE = frozenset("article main".split())
@@ -65,6 +70,8 @@ PUNCTUATION = re.compile(r"[.,;:!?…。、，；：！？؟।]")
 #: Weights of a block and its neighbours, and the standard deviations that content is above.
 SMOOTH = (0.25, 0.5, 0.25)
 LAMBDA = 0.5
+#: The factor of blocks outside an article element that holds most of the text.
+OUTSIDE = 0.1
 
 
 def _role(tag: str, attributes: str, in_article: bool) -> int:
@@ -83,7 +90,12 @@ def _role(tag: str, attributes: str, in_article: bool) -> int:
         return -1
     names = " ".join(found.get(k, "") for k in ("class", "id", "role")).split()
     words = {w for n in names if not re.match(r"(no|has|with|without|is|not)[-_]", n) for w in WORD.findall(n)}
-    if words & NAMES or "hidden" in names:
+    plain = NAMES
+    if tag in HEADINGS or in_article and tag == "section":
+        plain = frozenset()
+    elif in_article:
+        plain = NAMES - TOPICS
+    if words & plain or "hidden" in names:
         return -1
     if words & HEAD_NAMES and not (in_article or tag in HEADINGS or words & ARTICLE_NAMES):
         return -1
@@ -192,9 +204,10 @@ def main_text(page: str) -> str:
     By path: characters a block and punctuation marks a block, each as a logarithm, smoothed over
     neighbouring blocks and multiplied; links take their part of the characters away. A
     path is content if the mean over its blocks is above LAMBDA standard deviations of the
-    page's blocks. In an article element that holds half of these characters or more the
-    other blocks are left out, and of its own those that consist of links. A heading goes
-    with the block behind it.
+    page's blocks. If an article element holds half of these characters or more, membership
+    is a factor of the score: blocks outside weigh OUTSIDE, and links inside take only half
+    of their part away, so that lists of references may stay. The threshold is the same,
+    inside too. A heading goes with the block behind it.
     """
     blocks = _Page(page).blocks
     if not blocks:
@@ -206,13 +219,19 @@ def main_text(page: str) -> str:
     article = np.array([b[3] for b in blocks])
     heading = np.array([b[4] for b in blocks])
     _, at, n = np.unique(path, return_inverse=True, return_counts=True)
-    length, points = (np.log1p(np.bincount(at, x) / n)[at] for x in (chars - linked, marks))
     link_share = (np.bincount(at, linked) / np.maximum(1, np.bincount(at, chars)))[at]
-    fused = _smoothed(length) * (0.5 + _smoothed(points)) * (1 - link_share)
-    mean = (np.bincount(at, fused) / n)[at]
-    content = mean >= min(LAMBDA * fused.std(), fused.max())
+
+    def scores(taken: np.ndarray, factor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        length, points = (np.log1p(np.bincount(at, x) / n)[at] for x in (chars - taken * linked, marks))
+        fused = _smoothed(length) * (0.5 + _smoothed(points)) * (1 - taken * link_share) * factor
+        return fused, (np.bincount(at, fused) / n)[at]
+
+    fused, mean = scores(np.ones(len(blocks)), np.ones(len(blocks)))
+    limit = min(LAMBDA * fused.std(), fused.max())
+    content = mean >= limit
     if chars[article].sum() >= 0.5 * chars[content].sum() and article.any():
-        content = article & (link_share < 0.8)
+        fused, mean = scores(np.where(article, 0.5, 1.0), np.where(article, 1.0, OUTSIDE))
+        content = mean >= min(limit, fused.max())
     for i in np.flatnonzero(heading[:-1])[::-1].tolist():
         content[i] = content[i] or content[i + 1] and link_share[i] < 0.8
     return "\n".join(b[0] for b, c in zip(blocks, content) if c)

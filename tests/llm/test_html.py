@@ -54,3 +54,22 @@ def test_edge_cases(spark):
     frame = spark.createDataFrame(rows, "page_id long, html string, text string")
     assert {(r.page_id, r.text) for r in extracted(frame).collect()} == {(1, ""), (2, ""), (None, "a, b."), (3, "")}
     assert extracted(frame.limit(0)).collect() == []
+
+
+LONG = "<p>A paragraph of the story, which is long enough to be one. It goes on, and on; then it ends, at last.</p>"
+SOURCES = "".join(f"<li><a href='{i}'>Author {i}, A title of some length, in a journal, 2001.</a></li>" for i in range(4))
+
+
+def test_the_threshold_decides_inside_an_article():
+    """Teasers below it go; lists of sources, and parts with names that elsewhere surround an article, stay."""
+    parts = f"<h2 id='related-work'>Related work</h2>{LONG}<section id='discussion'>{LONG}</section><div class='legal'>{LONG}</div>"
+    page = AROUND.format(f"<article>{LONG * 5}{parts}<ol>{SOURCES}</ol><div class='teaser'><span>More</span></div></article>")
+    text = main_text(page)
+    assert text.count("A paragraph of the story") == 8 and "Related work" in text
+    assert text.count("A title of some length") == 4
+    assert "More" not in text.split("\n") and "side bar" not in text and "I like it" not in text
+
+
+def test_headings_with_such_names_without_an_article_element():
+    text = main_text(AROUND.format(f"<div>{LONG * 4}<h2 id='related-work'>Related work</h2>{LONG}<h2 class='notice'>Notice</h2>{LONG}</div>"))
+    assert text.count("A paragraph") == 6 and "Related work" in text and "Notice" in text and "side bar" not in text
