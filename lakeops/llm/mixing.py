@@ -119,15 +119,18 @@ def _trained(domains: list[str], slots: np.ndarray, counts: np.ndarray, domain:
 def learned(docs: DataFrame, labels: DataFrame, domain: Column, key: str = "doc_id", text: str = "text", most: int = TRAIN_DOCS) -> Classifier:
     """A classifier of the labels' domains from about `most` labelled documents, picked by a hash of the key.
 
-    `domain` is a text expression over `labels`; rows where it is null teach nothing. The
+    `domain` is a text expression over `labels`; rows where it is null teach nothing. A key
+    counts once, with the first of its domains and of its texts in order. The
     picked labels are broadcast and their features come to the driver: `most` rows of at
     most FEATURES numbers. No labelled documents give a classifier without domains.
     """
     known = labels.select(F.col(key).alias("__key"), domain.alias("__domain")).filter("__key IS NOT NULL AND __domain IS NOT NULL")
+    known = known.groupBy("__key").agg(F.min("__domain").alias("__domain"))
     total = known.count()
     share = (F.xxhash64("__key", F.lit(10)) % 1_000_000 + 1_000_000) / 2_000_000
     picked = F.broadcast(known.filter(share < F.lit(min(1.0, most / max(1, total)))))
-    rows = docs.select(F.col(key).alias("__key"), F.col(text).alias("text")).join(picked, "__key").select(F.col("__domain").alias("domain"), "text")
+    rows = docs.select(F.col(key).alias("__key"), F.col(text).alias("text")).join(picked, "__key")
+    rows = rows.groupBy("__key").agg(F.min("__domain").alias("domain"), F.min("text").alias("text")).select("domain", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):

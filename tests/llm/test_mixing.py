@@ -107,3 +107,14 @@ def test_small_rates_are_drawn_not_dropped(spark, folder):
     kept = {r.d: r.n for r in mixing.mixed(docs, model, TARGETS, **options).groupBy("d").agg(F.count("*").alias("n")).collect()}
     for d, w in TARGETS.items():
         assert kept.get(d, 0) / sum(kept.values()) == pytest.approx(w, abs=0.004)
+
+
+def test_a_repeated_key_teaches_once(spark, monkeypatch):
+    """Keys repeated in documents and labels: one row of features for each key comes to the driver."""
+    seen = []
+    real = mixing._trained
+    monkeypatch.setattr(mixing, "_trained", lambda names, slots, counts, domain: seen.append(len(counts)) or real(names, slots, counts, domain))
+    docs = spark.range(600).selectExpr("IF(id < 200, 0, id) AS doc_id", "concat('some words ', id) AS text")
+    labels = spark.range(600).selectExpr("IF(id < 50, 0, id) AS doc_id", "IF(id % 2 = 0, 'a', 'b') AS d")
+    mixing.learned(docs, labels, F.col("d"))
+    assert seen == [401]
