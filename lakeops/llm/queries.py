@@ -10,6 +10,8 @@ from lakeops.llm import mixing
 from lakeops.llm.arrow_shards import read_documents, write_shards
 from lakeops.llm.bpe import encoded_and_decoded, ids_digest
 from lakeops.llm.chosen_path import linked
+from lakeops.llm.conversations import damaged
+from lakeops.llm.conversations import judged as repaired_conversations
 from lakeops.llm.digest_index import DigestIndex, judged
 from lakeops.llm.html_extract import extracted
 from lakeops.llm.langid import held_out, identified, learned
@@ -125,3 +127,9 @@ def op10(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
     keys = docs.select("doc_id", F.monotonically_increasing_id().alias("row"))
     shown = [F.col("p")[i].alias(f"p_{d}") for i, d in enumerate(model.domains)]
     return keys.join(rates, "row").select("doc_id", F.col("tokens").alias("n_tokens"), *shown, "rate", "copies")
+
+
+@query("op11_auction_repair", "conversations")
+def op11(spark: SparkSession, conversations: DataFrame) -> DataFrame:
+    """Faults, cheapest edits and repaired text of every conversation after it was damaged."""
+    return repaired_conversations(damaged(conversations)).withColumnRenamed("conv", "conv_id")
