@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from lakeops.llm import mixing
 from lakeops.llm.arrow_shards import read_documents, write_shards
 from lakeops.llm.bpe import encoded_and_decoded, ids_digest
+from lakeops.llm.centroids import clustered
 from lakeops.llm.chosen_path import linked
 from lakeops.llm.conversations import damaged
 from lakeops.llm.conversations import judged as repaired_conversations
@@ -133,3 +134,48 @@ def op10(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
 def op11(spark: SparkSession, conversations: DataFrame) -> DataFrame:
     """Faults, cheapest edits and repaired text of every conversation after it was damaged."""
     return repaired_conversations(damaged(conversations)).withColumnRenamed("conv", "conv_id")
+
+
+def _op12_sql(rounds: int = 3, k: int = 16) -> str:
+    squared = "CAST(list_sum(list_transform(list_zip(v.e, c.e), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT)"
+    parts = [
+        f"""v AS (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"""c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || CAST(vec_id AS VARCHAR)), e) - 1 AS cluster, e
+  FROM v ORDER BY cluster LIMIT {k})""",
+    ]
+    for r in range(rounds + 1):
+        parts.append(
+            f"""a{r} AS (
+  SELECT row, any_value(v.vec_id) AS vec_id, any_value(v.e) AS e, arg_min(cluster, ({squared}, cluster)) AS cluster,
+    min({squared}) AS distance
+  FROM v, c{r} AS c GROUP BY row)"""
+        )
+        if r < rounds:
+            parts.append(
+                f"""m{r} AS (
+  SELECT cluster, list(m ORDER BY pos) AS e
+  FROM (
+    SELECT cluster, pos, CAST((s - ((s % n) + n) % n) // n AS BIGINT) AS m
+    FROM (
+      SELECT cluster, pos, sum(x) AS s, count(*) AS n
+      FROM (SELECT cluster, unnest(e) AS x, generate_subscripts(e, 1) AS pos FROM a{r}) GROUP BY cluster, pos))
+  GROUP BY cluster),
+c{r + 1} AS (SELECT c.cluster, coalesce(m.e, c.e) AS e FROM c{r} AS c LEFT JOIN m{r} AS m USING (cluster))"""
+            )
+    return f"""
+WITH {", ".join(parts)}
+SELECT vec_id, CAST(a.cluster AS INTEGER) AS cluster, distance,
+  CAST(sum(distance) OVER (PARTITION BY a.cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.e, ',')) AS centroid_sha256
+FROM a{rounds} AS a JOIN c{rounds} AS c USING (cluster)
+"""
+
+
+@query("op12_vantage_tree_clusters", "embeddings", _op12_sql())
+def op12(spark: SparkSession, vectors: DataFrame) -> DataFrame:
+    """Cluster, distance and inertias of every vector after three rounds."""
+    return clustered(vectors)
