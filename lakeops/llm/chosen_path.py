@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.common import free_name, gather, list_array, lookup, mixed, shingles, slices, strings, written
+from lakeops.llm.common import free_name, gather, intersections, list_array, lookup, mixed, shingles, slices, strings, written
 from lakeops.llm.components import components
 
 NGRAM = 5
@@ -277,32 +277,6 @@ def _grams(ngram: int):
     return run
 
 
-def _common(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Sizes of the intersections of the pairs of sets (a, b).
-
-    Many pairs among few sets go through a matrix of sets by those tokens that two sets or
-    more have, some columns at a time; few pairs are intersected one by one.
-    """
-    if len(a) < 2 * len(sets):
-        return np.array([len(np.intersect1d(sets[x], sets[y], assume_unique=True)) for x, y in zip(a.tolist(), b.tolist())], np.int64)
-    flat = np.concatenate(sets)
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    _, column, n = np.unique(flat, return_inverse=True, return_counts=True)
-    shared = n[column] > 1
-    number = np.cumsum(n > 1) - 1
-    column, owner = number[column[shared]], owner[shared]
-    order = np.argsort(column, kind="stable")
-    column, owner = column[order], owner[order]
-    out = np.zeros((len(sets), len(sets)), np.float32)
-    width = 4096
-    for start in range(0, int((n > 1).sum()), width):
-        lo, hi = np.searchsorted(column, [start, start + width])
-        has = np.zeros((len(sets), width), np.float32)
-        has[owner[lo:hi], column[lo:hi] - start] = 1
-        out += has @ has.T
-    return np.rint(out[a, b]).astype(np.int64)
-
-
 def _verified(least: int, similarity: Fraction):
     """Kernel over units -> (rep, texts, docs, root): links found in the unit, and the least
     set that is linked to this one within the unit."""
@@ -324,7 +298,7 @@ def _verified(least: int, similarity: Fraction):
                 if lo == hi:
                     continue
                 a, b = a_all[lo:hi], b_all[lo:hi]
-                both = _common(sets[start:end], a - start, b - start)
+                both = intersections(sets[start:end], a - start, b - start)
                 # |x & y| / |x | y| >= p / q in whole numbers.
                 alike = both * (p + q) >= p * (sizes[a] + sizes[b])
                 a, b = a[alike], b[alike]

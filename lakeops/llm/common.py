@@ -64,9 +64,9 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def shingles(texts: list[str], k: int) -> list[np.ndarray]:
+def shingles(texts: list[str], k: int, lower: bool = True) -> list[np.ndarray]:
     """Of each text the sorted distinct hashes of its runs of k words; of fewer words, of all together."""
-    words, counts = word_hashes([t.lower() for t in texts])
+    words, counts = word_hashes([t.lower() for t in texts] if lower else texts)
     ends = np.cumsum(counts)
     out = []
     if len(words) >= k:
@@ -122,6 +122,30 @@ def gather(pool: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarr
     return pool[np.repeat(starts - before, counts) + np.arange(total)]
 
 
+def intersections(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the pairs of sets (a, b).
+
+    Many pairs among few sets go through a matrix of sets by those tokens that two sets or
+    more have, some columns at a time; few pairs are intersected one by one.
+    """
+    if len(a) < 2 * len(sets):
+        return np.array([len(np.intersect1d(sets[x], sets[y], assume_unique=True)) for x, y in zip(a.tolist(), b.tolist())], np.int64)
+    flat = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, column, n = np.unique(flat, return_inverse=True, return_counts=True)
+    shared = n[column] > 1
+    number = np.cumsum(n > 1) - 1
+    column, owner = number[column[shared]], owner[shared]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    width = 4096
+    for start in range(0, int((n > 1).sum()), width):
+        lo, hi = np.searchsorted(column, [start, start + width])
+        has = np.zeros((len(sets), width), np.float32)
+        has[owner[lo:hi], column[lo:hi] - start] = 1
+        out += has @ has.T
+    return np.rint(out[a, b]).astype(np.int64)
 
 
 def _byte_tables() -> tuple[np.ndarray, np.ndarray]:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lakeops.llm import mixing
 from lakeops.llm.arrow_shards import read_documents, write_shards
+from lakeops.llm.bayes_pairs import near_components
 from lakeops.llm.bpe import encoded_and_decoded, ids_digest
 from lakeops.llm.centroids import clustered
 from lakeops.llm.chosen_path import linked
@@ -179,3 +180,9 @@ FROM a{rounds} AS a JOIN c{rounds} AS c USING (cluster)
 def op12(spark: SparkSession, vectors: DataFrame) -> DataFrame:
     """Cluster, distance and inertias of every vector after three rounds."""
     return clustered(vectors)
+
+
+@query("op13_bayes_near_dedup", "documents")
+def op13(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Near-duplicate component of every document."""
+    return near_components(docs)
