@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lakeops.operators.joins import broadcast_checked
+from lakeops.operators.key_index import AT, GONE, KeyIndex, same_key
 from lakeops.operators.layout import (
     clustered,
     empty_partitions,
@@ -27,12 +28,23 @@ RANK = "__source_rank"
 
 @dataclass(frozen=True)
 class Keyed:
-    """A partitioned table with one row per key; `order` says which version is newer."""
+    """A partitioned table with one row per key; `order` says which version is newer.
+
+    `indexed` names a folder for an index of its keys, which merges then use and keep.
+    """
 
     path: str
     keys: Sequence[str]
     order: Sequence[str]
     part_cols: Sequence[str]
+    indexed: str | None = None
+    index_options: dict = field(default_factory=dict)
+
+    @property
+    def index(self) -> KeyIndex | None:
+        if self.indexed is None:
+            return None
+        return KeyIndex(self.indexed, tuple(self.keys), tuple(self.part_cols), tuple(self.order), **self.index_options)
 
     def read(self, spark: SparkSession, types: StructType) -> DataFrame | None:
         """The table with all columns it ever had, and partition columns as in `types`."""
@@ -49,14 +61,6 @@ def merge_versions(old: DataFrame, new: DataFrame, keys: Sequence[str], order: S
     return latest(both, keys, order, extra=[F.col(RANK).desc()]).drop(RANK)
 
 
-def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    side = right.select(*[F.col(k).alias(f"__k_{k}") for k in keys])
-    match: Column = F.lit(True)
-    for k in keys:
-        match = match & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
-    return left.join(side, match, how)
-
-
 def merge_partitions(
     spark: SparkSession,
     table: Keyed,
@@ -80,9 +84,14 @@ def merge_partitions(
     partitions are replaced by one dynamic overwrite, then those with nothing left are
     removed; running it again with the same updates, after a crash in between as well, gives
     the same table. `before_commit` is told the partitions that are about to be replaced.
+
+    A table with an index looks its updates' keys up in their buckets instead, and deletes
+    leave tombstones: an older version that arrives after its delete stays out.
     """
     parts = list(table.part_cols)
     with reused(newest(updates, table)) as fresh:
+        if table.index:
+            return _merge_indexed(spark, table, fresh, deleted, before_commit)
         target = table.read(spark, fresh.schema)
         if target is None:
             kept = fresh.filter(~F.coalesce(deleted, F.lit(False))) if deleted is not None else fresh
@@ -98,10 +107,10 @@ def merge_partitions(
         else:
             # Keys only, and only their range: whole rows are read from the partitions found.
             probe = target.filter(_key_range(fresh, table.keys)).select(*table.keys, *parts)
-            candidates = partition_values(_same_key(probe, keys_side, table.keys, "left_semi"), parts)
+            candidates = partition_values(same_key(probe, keys_side, table.keys, "left_semi"), parts)
         scope = target.filter(in_partitions(candidates))
         scratch_root(spark)
-        with reused(_same_key(scope, keys_side, table.keys, "left_semi")) as held:
+        with reused(same_key(scope, keys_side, table.keys, "left_semi")) as held:
             was = partition_values(held, parts)
             # Cut off from the table's files, which are about to be replaced.
             winners = merge_versions(held, fresh, table.keys, table.order).checkpoint()
@@ -112,7 +121,7 @@ def merge_partitions(
             return []
         if before_commit:
             before_commit(touched)
-        rest = _same_key(target.filter(in_partitions(touched)), keys_side, table.keys, "left_anti")
+        rest = same_key(target.filter(in_partitions(touched)), keys_side, table.keys, "left_anti")
         # Partitions that lost a key and got none back may have nothing left.
         at_risk = [v for v in was if v not in now]
         alive = partition_values(rest.filter(in_partitions(at_risk)), parts) if at_risk else []
@@ -123,6 +132,53 @@ def merge_partitions(
     return touched
 
 
+def _merge_indexed(
+    spark: SparkSession, table: Keyed, fresh: DataFrame, deleted: Column | None, before_commit: Callable[[list[dict]], None] | None
+) -> list[dict]:
+    """`merge_partitions` by the index: reads the buckets of the updates' keys and the partitions
+    that these name, with the table's schema from the index and so without looking into its files."""
+    index, parts, keys = table.index, list(table.part_cols), list(table.keys)
+    state = index.state(spark)
+    if state is None:
+        known = table.read(spark, fresh.schema)
+        state = index.build(spark, known, fresh.schema if known is None else known.schema)
+    there = spark._jvm.org.apache.hadoop.fs.Path(table.path)
+    empty = not there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there)
+    target = spark.createDataFrame([], state.schema) if empty else spark.read.schema(state.schema).parquet(table.path)
+    schema = StructType(list(state.schema.fields))
+    for f in fresh.schema:
+        if f.name not in schema.names:
+            schema.add(f.name, f.dataType, True)
+    marked = fresh.withColumn(GONE, F.coalesce(deleted, F.lit(False)) if deleted is not None else F.lit(False))
+    keys_side = broadcast_checked(fresh.select(*keys))
+    scratch_root(spark)
+    entries = index.lookup(spark, state, fresh) if state.versions else None
+    with reused(entries if entries is not None else spark.createDataFrame([], index._schema(state.schema))) as found:
+        candidates = partition_values(found.filter(~F.col(GONE)), parts)
+        held = same_key(target.filter(in_partitions(candidates)), keys_side, keys, "left_semi").withColumn(GONE, F.lit(False))
+        tombs = found.filter(GONE).select(*dict.fromkeys([*keys, *table.order]), GONE)
+        with reused(held) as was_held:
+            was = partition_values(was_held, parts)
+            # Cut off from the table's and the index's files, which are about to be replaced.
+            winners = merge_versions(was_held.unionByName(tombs, allowMissingColumns=True), marked, keys, table.order).checkpoint()
+    kept, dead = winners.filter(~F.col(GONE)).drop(GONE), winners.filter(GONE)
+    now = partition_values(kept, parts)
+    touched = now + [v for v in was if v not in now]
+    noted = index.note(spark, state, kept, dead.drop(AT), schema)
+    if touched:
+        if before_commit:
+            before_commit(touched)
+        rest = same_key(target.filter(in_partitions(touched)), keys_side, keys, "left_anti")
+        at_risk = [v for v in was if v not in now]
+        alive = partition_values(rest.filter(in_partitions(at_risk)), parts) if at_risk else []
+        merged = rest.unionByName(clustered(kept, parts), allowMissingColumns=True).select(*schema.names)
+        overwrite_partitions(merged, table.path, parts, gather=False)
+        if not empty:
+            empty_partitions(target, table.path, [v for v in at_risk if v not in alive])
+    index.commit(spark, noted)
+    return touched
+
+
 def _key_range(fresh: DataFrame, keys: Sequence[str]) -> Column:
     """The span of the updates' keys as literals, which lets the scan skip row groups."""
     ends = fresh.agg(*[f(k).alias(f"{f.__name__}_{k}") for k in keys for f in (F.min, F.max)]).first()
@@ -149,6 +205,6 @@ def apply_changes(
 ) -> DataFrame:
     """The target after a log of I/U/D changes: the latest change per key counts, D removes the key."""
     last = latest(changes, keys, order)
-    untouched = _same_key(target, last, keys, "left_anti")
+    untouched = same_key(target, last, keys, "left_anti")
     alive = last.filter(~F.col(op).eqNullSafe(F.lit("D"))).select(*target.columns)
     return untouched.unionByName(alive)

@@ -30,8 +30,9 @@ def late_batch(t: Tables):
     return updates.unionByName(fresh)
 
 
-def silver_orders(t: Tables, name: str = "orders-silver") -> Keyed:
-    table = Keyed(t.scratch(name), ["o_orderkey"], ["o_orderdate", "ingest_rank"], ["month"])
+def silver_orders(t: Tables, name: str = "orders-silver", indexed: bool = False) -> Keyed:
+    index = t.scratch(f"{name}-index") if indexed else None
+    table = Keyed(t.scratch(name), ["o_orderkey"], ["o_orderdate", "ingest_rank"], ["month"], index)
     overwrite_partitions(base(t), table.path, table.part_cols)
     return table
 
@@ -49,13 +50,8 @@ MOVED_SQL = (
 )
 
 
-@query(
-    "inc02_merge",
-    f"SELECT * FROM ({BASE_SQL} UNION ALL {LATE_SQL} UNION ALL {MOVED_SQL}) QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY o_orderdate DESC, ingest_rank DESC) = 1",
-)
-def _(t):
-    """Matched rows updated, others inserted; keys that move to the next month leave their old one. Run twice."""
-    table = silver_orders(t)
+def _moving(t: Tables, indexed: bool):
+    table = silver_orders(t, indexed=indexed)
     moved = by_month(
         base(t).filter("o_orderkey % 25 = 1").withColumns(
             {"o_orderdate": F.col("o_orderdate") + F.expr("INTERVAL 31 DAYS"), "ingest_rank": F.lit(3)}
@@ -66,6 +62,24 @@ def _(t):
     return t.spark.read.parquet(table.path).select(*base(t).columns)
 
 
+_MOVING_SQL = (
+    f"SELECT * FROM ({BASE_SQL} UNION ALL {LATE_SQL} UNION ALL {MOVED_SQL}) "
+    "QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY o_orderdate DESC, ingest_rank DESC) = 1"
+)
+
+
+@query("inc02_merge", _MOVING_SQL)
+def _(t):
+    """Matched rows updated, others inserted; keys that move to the next month leave their old one. Run twice."""
+    return _moving(t, False)
+
+
+@query("inc02_indexed_merge", _MOVING_SQL)
+def _(t):
+    """The same by an index of the keys, made from the table as it is and kept by the merges."""
+    return _moving(t, True)
+
+
 @query(
     "inc02_merge_columns",
     "SELECT c.c_custkey, coalesce(n.c_mktsegment, c.c_mktsegment) AS c_mktsegment, coalesce(n.c_acctbal, c.c_acctbal) AS c_acctbal FROM customer c "

@@ -75,8 +75,8 @@ def feed(t: Tables, parts, start, fmt: str = "parquet") -> None:
         drain(start(streams.files(t.spark, source, schema, fmt, bytes_per_batch=BATCH), checkpoint))
 
 
-def silver_table(t: Tables, name: str = "silver", order=("ts", "ingest_rank")) -> Keyed:
-    return Keyed(t.scratch(name), ["event_id"], list(order), ["dt"])
+def silver_table(t: Tables, name: str = "silver", order=("ts", "ingest_rank"), indexed: bool = False) -> Keyed:
+    return Keyed(t.scratch(name), ["event_id"], list(order), ["dt"], t.scratch(f"{name}-index") if indexed else None)
 
 
 def wire(t: Tables):
@@ -202,6 +202,15 @@ def _(t):
     return t.spark.read.parquet(table.path).select(*SILVER_COLUMNS)
 
 
+@query("str07_indexed_upsert", SILVER_SQL)
+def _(t):
+    """The same by an index of the keys: a micro-batch reads its keys' buckets and the days that these name."""
+    table = silver_table(t, indexed=True)
+    sink = Upsert(table, rules(), run_log=t.scratch("runs"), registry=t.scratch("registry"), quarantine_path=t.scratch("quarantine"))
+    feed(t, [dirty(t), corrected(t)], lambda s, ck: batch_stream(s, sink, ck))
+    return t.spark.read.parquet(table.path).select(*SILVER_COLUMNS)
+
+
 @query("str08_silver_upsert_json", SILVER_SQL)
 def _(t):
     """JSON Bronze with times as text; types are set inside the batch, ingest order comes first."""
@@ -270,7 +279,7 @@ def _(t):
 @query("str13_restart", SILVER_SQL)
 def _(t):
     """Five parts, the query stopped after each; the checkpoint and the idempotent merge give the same table."""
-    table = silver_table(t)
+    table = silver_table(t, indexed=True)
     rows = dirty(t)
     parts = [rows.filter(F.pmod("event_id", F.lit(4)) == i) for i in range(4)] + [corrected(t)]
     feed(t, parts, lambda s, ck: batch_stream(s, Upsert(table, rules(), run_log=t.scratch("runs")), ck))
@@ -335,6 +344,24 @@ def _(t):
     return t.spark.read.parquet(table.path).select("event_id", "user_id", "value", "dt")
 
 
+@query(
+    "str15_late_after_delete",
+    "SELECT event_id, user_id, CASE WHEN event_id % 22 = 0 THEN value + 9 ELSE value END AS value, CAST(ts AS DATE) AS dt FROM events WHERE event_id % 11 <> 0 OR event_id % 22 = 0",
+)
+def _(t):
+    """Deletes come before the rows that they delete: tombstones keep these out over several batches, newer versions come back."""
+    e = F.col("event_id")
+    rows = t.events.select("event_id", "user_id", "value", F.to_date("ts").alias("dt"))
+    deletes = rows.filter(e % 11 == 0).withColumns({"op": F.lit("D"), "seq": F.lit(5)})
+    inserts = rows.withColumns({"op": F.lit("I"), "seq": F.lit(1)})
+    updates = rows.filter(e % 33 == 0).withColumns({"value": F.col("value") + 1, "op": F.lit("U"), "seq": F.lit(3)})
+    back = rows.filter(e % 22 == 0).withColumns({"value": F.col("value") + 9, "op": F.lit("I"), "seq": F.lit(6)})
+    table = Keyed(t.scratch("cdc"), ["event_id"], ["seq"], ["dt"], t.scratch("cdc-index"))
+    sink = Upsert(table, not_null_rules(["event_id", "dt"]), deleted=F.col("op") == "D")
+    feed(t, [deletes, inserts, back, updates], lambda s, ck: batch_stream(s, sink, ck))
+    return t.spark.read.parquet(table.path).select("event_id", "user_id", "value", "dt")
+
+
 @query(
     "str16_gold_refresh",
     f"SELECT dt, event_type, count(*) AS txns, {sum_sql('value')} AS total_amount, {avg_sql('value')} AS avg_amount FROM ({SILVER_SQL}) GROUP BY dt, event_type",
