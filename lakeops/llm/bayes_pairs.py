@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from lakeops.llm.common import gather, intersections, lookup, mixed, shingles, slices, strings, written
 from lakeops.llm.components import components
+from lakeops.operators.joins import broadcast_checked
 
 NGRAM = 5
 SIMILARITY = Fraction(85, 100)
@@ -35,10 +36,10 @@ MISS = 1e-7
 #: band with a chance of (1 - 0.85 ** 5) ** 24, about one in a million.
 HASHES, BAND, STEP = 120, 5, 15
 #: Sets of a bucket that meet at once, and sets of a block in larger buckets.
-SMALL, BLOCK = 512, 256
+SMALL, BLOCK = 256, 128
 _MIX = np.random.default_rng(13).integers(1, 1 << 63, HASHES, np.uint64) * np.uint64(2) + np.uint64(1)
-_LOWER = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-_UNIT = "rep long, unit long, i int, j int, block int, part long"
+_UNIT = "rep long, unit long, band int, i int, j int, block int, part long"
+_PLACE = ["unit", "band", "i", "j", "block", "part"]
 
 
 def least_matches(similarity: float, miss: float = MISS) -> list[int]:
@@ -73,7 +74,7 @@ def _drawn(ngram: int, schema: pa.Schema):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            sets = shingles(strings(batch.column(2)), ngram, lower=False)
+            sets = shingles(strings(batch.column(2)), ngram, ascii_only=True)
             some = [s for s in sets if len(s)]
             drawn = iter(signatures(some) if some else ())
             both = [(xxhash.xxh3_128_digest(s.tobytes()), next(drawn).tobytes()) if len(s) else (None, None) for s in sets]
@@ -108,8 +109,11 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def _pairs(table: pa.Table, least: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of a unit that are of different parts (and blocks, if it has two) and survive the posterior."""
-    unit, i, j, block, part = (table.column(c).to_numpy() for c in ("unit", "i", "j", "block", "part"))
+    """Pairs of a unit that are of different parts (and blocks, if it has two) and survive the posterior.
+
+    A pair may meet in several bands' buckets, all of them open if one is: the first band counts it.
+    """
+    unit, band, i, j, block, part = (table.column(c).to_numpy() for c in _PLACE)
     drawn = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint16).reshape(-1, HASHES)
     cuts = np.flatnonzero((unit[1:] != unit[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
     ends = np.repeat(np.append(cuts, len(unit)), np.diff(np.concatenate([[0], cuts, [len(unit)]])))
@@ -128,8 +132,10 @@ def _pairs(table: pa.Table, least: list[int]) -> Iterator[tuple[np.ndarray, np.n
             equal += (drawn[a, at] == drawn[b, at]).sum(1)
             keep = equal >= m
             a, b, equal = a[keep], b[keep], equal[keep]
-        if len(a):
-            yield a, b
+        first = (drawn[a] == drawn[b]).reshape(-1, HASHES // BAND, BAND).all(2).argmax(1)
+        keep = (band[a] < 0) | (band[a] == first)
+        if keep.any():
+            yield a[keep], b[keep]
 
 
 def _survivors(least: list[int]):
@@ -142,22 +148,18 @@ def _survivors(least: list[int]):
             for a, b in _pairs(table, least):
                 some[a] = some[b] = True
             if some.any():
-                yield from table.select(["rep", "unit", "i", "j", "block", "part"]).filter(pa.array(some)).combine_chunks().to_batches()
+                yield from table.select(["rep", *_PLACE]).filter(pa.array(some)).combine_chunks().to_batches()
 
     return run
 
 
 def _sets(ngram: int):
-    """Kernel (rep, units, text) -> the same with signature and set in place of the text."""
+    """Kernel (rep, text) -> (rep, grams)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            sets = shingles(strings(batch.column(2)), ngram, lower=False)
-            drawn = signatures(sets)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([d.tobytes() for d in drawn], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
-                ["rep", "units", "signature", "grams"],
-            )
+            sets = shingles(strings(batch.column(1)), ngram, ascii_only=True)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], ["rep", "grams"])
 
     return run
 
@@ -210,19 +212,13 @@ def _join(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             root[:] = root[root]
 
 
-def _links(units: DataFrame, reps: DataFrame, rows: DataFrame, least: list[int], similarity: Fraction, ngram: int, name: str) -> DataFrame:
-    """(u, v): confirmed links of units (rep, unit, i, j, block, part)."""
+def _links(units: DataFrame, drawn: DataFrame, sets: DataFrame, least: list[int], similarity: Fraction, name: str) -> DataFrame:
+    """(u, v): confirmed links of units (rep, unit, band, i, j, block, part)."""
     by_unit = lambda df: df.repartition("unit", "i", "j").sortWithinPartitions("unit", "i", "j", "rep")
-    drawn = by_unit(units.join(reps.select("rep", "signature"), "rep")).select("rep", "unit", "i", "j", "block", "part", "signature")
-    close = written(drawn.mapInArrow(_survivors(least), _UNIT), f"{name}-survivors")
-    # The sets are made again from the texts of the rows left: cheaper than to keep all. A head's
-    # units come in lists of bounded length.
-    wanted = close.groupBy("rep", F.expr("i div 1024").alias("some")).agg(F.collect_list(F.struct("unit", "i", "j", "block", "part")).alias("units"))
-    again = wanted.join(rows.select(F.col("row").alias("rep"), "text"), "rep").select("rep", "units", "text")
-    inner = "array<struct<unit:long,i:int,j:int,block:int,part:long>>"
-    sets = again.mapInArrow(_sets(ngram), f"rep long, units {inner}, signature binary, grams binary")
-    sets = by_unit(sets.select("rep", "signature", "grams", F.inline("units")))
-    return written(sets.mapInArrow(_confirmed(least, similarity), "u long, v long"), f"{name}-links")
+    met = by_unit(units.join(drawn, "rep")).select("rep", *_PLACE, "signature")
+    close = written(met.mapInArrow(_survivors(least), _UNIT), f"{name}-survivors")
+    whole = by_unit(close.join(drawn, "rep").join(sets, "rep")).select("rep", *_PLACE, "signature", "grams")
+    return written(whole.mapInArrow(_confirmed(least, similarity), "u long, v long"), f"{name}-links")
 
 
 def _star_units(members: DataFrame) -> DataFrame:
@@ -236,29 +232,29 @@ def _star_units(members: DataFrame) -> DataFrame:
     counts = written(counts.withColumn("units", F.ceil(F.col("size") / BLOCK).cast("int")), "head-sizes")
     dealt = lookup(pairs, counts, "unit", "size", max(1, pairs.count()))
     own = F.pmod(F.xxhash64("rep", F.lit(13)), F.col("units")).cast("int")
-    mine = dealt.select("rep", "unit", (2 * own).alias("i"), (2 * own + 1).alias("j"), (2 * own + 1).alias("block"), F.col("rep").alias("part"))
+    mine = dealt.select("rep", "unit", F.lit(-1).alias("band"), (2 * own).alias("i"), (2 * own + 1).alias("j"), (2 * own + 1).alias("block"), F.col("rep").alias("part"))
     theirs = counts.select(F.col("unit").alias("rep"), "unit", F.explode(F.sequence(F.lit(0), 2 * F.col("units") - 2, F.lit(2))).alias("i"))
-    theirs = theirs.select("rep", "unit", "i", (F.col("i") + 1).alias("j"), F.col("i").alias("block"), F.col("rep").alias("part"))
+    theirs = theirs.select("rep", "unit", F.lit(-1).alias("band"), "i", (F.col("i") + 1).alias("j"), F.col("i").alias("block"), F.col("rep").alias("part"))
     return mine.unionByName(theirs)
 
 
 def _open_units(members: DataFrame, joined: DataFrame) -> DataFrame:
     """Buckets with several components: those outside the largest one meet each other and it, block by block."""
     parts = members.join(joined.withColumnRenamed("u", "rep"), "rep", "left")
-    parts = written(parts.select("key", "rep", F.coalesce("root", "rep").alias("part")), "bucket-parts")
+    parts = written(parts.select("key", "band", "rep", F.coalesce("root", "rep").alias("part")), "bucket-parts")
     each = parts.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"))
     open_ = each.groupBy("key").agg(F.sum("n").alias("size"), F.max(F.struct("n", "part")).alias("most")).filter("size > most.n")
     rows = lookup(parts, written(open_, "open-buckets"), "key", "size", max(1, parts.count()))
     large, largest = F.col("size") > SMALL, F.col("part") == F.col("most.part")
     rest = F.when(large, F.ceil((F.col("size") - F.col("most.n")) / BLOCK)).otherwise(1).cast("int")
     main = F.when(large, F.ceil(F.col("most.n") / BLOCK)).otherwise(0).cast("int")
-    rows = rows.select("key", "rep", "part", largest.alias("largest"), rest.alias("rest"), main.alias("main"))
+    rows = rows.select("key", "band", "rep", "part", largest.alias("largest"), rest.alias("rest"), main.alias("main"))
     spread = F.xxhash64("rep", F.lit(17))
     inside = F.col("largest") & (F.col("main") > 0)
     block = F.when(inside, F.col("rest") + F.pmod(spread, F.greatest("main", F.lit(1)))).otherwise(F.pmod(spread, F.col("rest"))).cast("int")
     others = F.when(inside, F.col("rest")).otherwise(F.col("rest") + F.col("main"))
     rows = rows.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), others - 1)))
-    return rows.select("rep", F.col("key").alias("unit"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "part")
+    return rows.select("rep", F.col("key").alias("unit"), "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "part")
 
 
 def near_components(
@@ -278,8 +274,7 @@ def near_components(
     made; one at it is lost with a chance of about 1e-6 by the bands, and `miss` by each batch.
     """
     least = least_matches(float(similarity), miss)
-    lower = F.translate(F.coalesce(F.col(text).cast("string"), F.lit("")), *_LOWER)
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), lower.alias("text"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     kind = docs.schema[key].dataType
     out = rows.select("row", "key").schema.add("n", "long").add("digest", "binary").add("signature", "binary")
     arrow = pa.schema([("row", pa.int64()), ("key", _arrow(kind)), ("n", pa.int64()), ("digest", pa.binary()), ("signature", pa.binary())])
@@ -291,12 +286,17 @@ def near_components(
     count = max(1, reps.count())
     bands = HASHES // BAND
     keys = F.array(*[F.xxhash64(F.lit(b), F.substring("signature", 2 * BAND * b + 1, 2 * BAND)) for b in range(bands)])
-    keyed = reps.select("rep", F.explode(keys).alias("key"))
+    keyed = reps.select("rep", F.posexplode(keys).alias("band", "key"))
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = written(lookup(keyed, written(shared, "shared-buckets"), "key", "n", bands * count), "buckets")
-    links = _links(_star_units(members), reps, rows, least, similarity, ngram, "head")
+    # The sets of those in buckets are made again from their texts: cheaper than to keep all.
+    some = broadcast_checked(written(members.select("rep").distinct(), "in-buckets"))
+    texts = rows.select(F.col("row").alias("rep"), "text").join(some, "rep", "left_semi")
+    sets = written(texts.mapInArrow(_sets(ngram), "rep long, grams binary"), "grams")
+    drawn_reps = written(reps.select("rep", "signature").join(some, "rep", "left_semi"), "drawn")
+    links = _links(_star_units(members), drawn_reps, sets, least, similarity, "head")
     joined = written(components(links), "head-components")
-    more = _links(_open_units(members, joined), reps, rows, least, similarity, ngram, "open")
+    more = _links(_open_units(members, joined), drawn_reps, sets, least, similarity, "open")
     if not more.isEmpty():
         joined = components(joined.select("u", F.col("root").alias("v")).unionByName(more))
     stands = written(reps.join(joined.withColumnRenamed("u", "rep"), "rep", "left").select("digest", "size", "key", F.coalesce("root", "rep").alias("root")), "roots")

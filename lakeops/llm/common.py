@@ -64,9 +64,10 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def shingles(texts: list[str], k: int, lower: bool = True) -> list[np.ndarray]:
-    """Of each text the sorted distinct hashes of its runs of k words; of fewer words, of all together."""
-    words, counts = word_hashes([t.lower() for t in texts] if lower else texts)
+def shingles(texts: list[str], k: int, ascii_only: bool = False) -> list[np.ndarray]:
+    """Of each text in lower case (or with A to Z only in it) the sorted distinct hashes of its
+    runs of k words; of fewer words, of all together."""
+    words, counts = word_hashes(texts if ascii_only else [t.lower() for t in texts], ascii_only)
     ends = np.cumsum(counts)
     out = []
     if len(words) >= k:
@@ -123,29 +124,24 @@ def gather(pool: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarr
 
 
 def intersections(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Sizes of the intersections of the pairs of sets (a, b).
-
-    Many pairs among few sets go through a matrix of sets by those tokens that two sets or
-    more have, some columns at a time; few pairs are intersected one by one.
-    """
-    if len(a) < 2 * len(sets):
-        return np.array([len(np.intersect1d(sets[x], sets[y], assume_unique=True)) for x, y in zip(a.tolist(), b.tolist())], np.int64)
-    flat = np.concatenate(sets)
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    _, column, n = np.unique(flat, return_inverse=True, return_counts=True)
-    shared = n[column] > 1
-    number = np.cumsum(n > 1) - 1
-    column, owner = number[column[shared]], owner[shared]
-    order = np.argsort(column, kind="stable")
-    column, owner = column[order], owner[order]
-    out = np.zeros((len(sets), len(sets)), np.float32)
-    width = 4096
-    for start in range(0, int((n > 1).sum()), width):
-        lo, hi = np.searchsorted(column, [start, start + width])
-        has = np.zeros((len(sets), width), np.float32)
-        has[owner[lo:hi], column[lo:hi] - start] = 1
-        out += has @ has.T
-    return np.rint(out[a, b]).astype(np.int64)
+    """Sizes of the intersections of the pairs of sets (a, b): a set's tokens are marked, and
+    counted in all the sets that it is paired with."""
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    tokens, flat = np.unique(np.concatenate(sets), return_inverse=True) if sets else (np.empty(0), np.empty(0, np.int64))
+    starts = np.cumsum(sizes) - sizes
+    out = np.zeros(len(a), np.int64)
+    marked = np.zeros(len(tokens), bool)
+    order = np.argsort(a, kind="stable")
+    cuts = np.flatnonzero(np.diff(a[order])) + 1
+    for rows in np.split(order, cuts) if len(order) else []:
+        own = flat[starts[a[rows[0]]] :][: sizes[a[rows[0]]]]
+        marked[own] = True
+        others = b[rows]
+        found = np.concatenate([[0], np.cumsum(marked[gather(flat, starts[others], sizes[others])])])
+        upto = np.cumsum(sizes[others])
+        out[rows] = found[upto] - found[upto - sizes[others]]
+        marked[own] = False
+    return out
 
 
 def _byte_tables() -> tuple[np.ndarray, np.ndarray]:
@@ -185,8 +181,10 @@ class Words:
     each, a polynomial of the word's bytes by running sums, so no word is looked at by itself.
     """
 
-    def __init__(self, texts: list[str]):
+    def __init__(self, texts: list[str], ascii_lower: bool = False):
         raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+        if ascii_lower:
+            raw = [t.lower() for t in raw]
         self.data = np.frombuffer(b"\n".join([b"", *raw, b""]), np.uint8)
         blank = _BLANK[self.data]
         self.starts = np.flatnonzero(blank[:-1] & ~blank[1:]) + 1
@@ -197,7 +195,7 @@ class Words:
         self.counts = np.diff(np.searchsorted(self.starts, np.append(self.begins, len(self.data) + 1)))
 
 
-def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: list[str], ascii_lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all texts, and the number of words in each."""
-    words = Words(texts)
+    words = Words(texts, ascii_lower)
     return words.hashes, words.counts
