@@ -15,8 +15,8 @@ from lakeops.operators.windows import ordered_numbers
 from lakeops.session import shuffle_partitions
 
 
-def kpi(df: DataFrame, keys: Sequence[str], amount: str, scale: int = 2) -> DataFrame:
-    """txns, total_amount and avg_amount per group."""
+def kpi(df: DataFrame, keys: Sequence[str], amount: str, scale: int | None = 2) -> DataFrame:
+    """txns, total_amount and avg_amount per group; a scale of None sums doubles of any kind exactly."""
     return df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("txns"),
         exact_sum(amount, scale).alias("total_amount"),
@@ -24,7 +24,7 @@ def kpi(df: DataFrame, keys: Sequence[str], amount: str, scale: int = 2) -> Data
     )
 
 
-def daily_kpi(df: DataFrame, ts: str, keys: Sequence[str], amount: str, scale: int = 2) -> DataFrame:
+def daily_kpi(df: DataFrame, ts: str, keys: Sequence[str], amount: str, scale: int | None = 2) -> DataFrame:
     return kpi(df.withColumn("dt", F.to_date(ts)), ["dt", *keys], amount, scale)
 
 
@@ -33,7 +33,9 @@ def count_where(condition: Column) -> Column:
     return F.count_if(condition)
 
 
-def sum_where(condition: Column, amount: str, scale: int = 2) -> Column:
+def sum_where(condition: Column, amount: str, scale: int | None = 2) -> Column:
+    if scale is None:
+        return exact_sum(F.when(condition, F.col(amount)).otherwise(F.lit(0.0)), None)
     return from_minor(F.sum(F.when(condition, minor_units(amount, scale)).otherwise(F.lit(0))), scale)
 
 
@@ -85,15 +87,14 @@ def levels_agg(
 
 
 def pivot_sum(
-    df: DataFrame, keys: Sequence[str], column: str, values: Sequence, amount: str, scale: int = 2
+    df: DataFrame, keys: Sequence[str], column: str, values: Sequence, amount: str, scale: int | None = 2
 ) -> DataFrame:
     """PIVOT: the sum per listed value as a column, null where a group has no such row.
 
     The list is given, so nothing has to be discovered first; conditional sums need one
     exchange where `pivot` needs two.
     """
-    units = minor_units(amount, scale)
-    sums = [from_minor(F.sum(F.when(F.col(column) == F.lit(v), units)), scale).alias(str(v)) for v in values]
+    sums = [exact_sum(F.when(F.col(column) == F.lit(v), F.col(amount)), scale).alias(str(v)) for v in values]
     return df.groupBy(*keys).agg(*sums)
 
 

@@ -25,11 +25,11 @@ def enrich(fact: DataFrame, dims: Sequence[Dim], ts: str, amount: str) -> DataFr
 
 
 def period_kpi(
-    fact: DataFrame, dim: Dim, period: Column, keys: Sequence[str], amount: str, strategy: str = "broadcast"
+    fact: DataFrame, dim: Dim, period: Column, keys: Sequence[str], amount: str, strategy: str = "broadcast", scale: int | None = 2
 ) -> DataFrame:
     """Prune the fact to the period, join one dimension, then KPI per group, sorted by group."""
     slim = fact.filter(period)
-    return kpi(star_join(slim, [dim], strategy), keys, amount).orderBy(*keys)
+    return kpi(star_join(slim, [dim], strategy), keys, amount, scale).orderBy(*keys)
 
 
 def star_kpi(fact: DataFrame, dims: Sequence[Dim], keys: Sequence[str], amount: str, strategy: str = "broadcast") -> DataFrame:

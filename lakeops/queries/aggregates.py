@@ -6,7 +6,7 @@ from lakeops.functions.money import exact_avg, exact_sum
 from lakeops.operators import aggregate as agg
 from lakeops.operators import skew
 from lakeops.operators.joins import join_as
-from lakeops.queries.registry import HOT_SQL, avg_sql, hot_orders, query, sum_sql, units_sql
+from lakeops.queries.registry import HOT_SQL, avg_sql, decimal_sum_sql, hot_orders, query, sum_sql, thousandths, thousandths_sql, units_sql
 
 TOTALS = f"SELECT {HOT_SQL} AS custkey, count(*) AS n_rows, {sum_sql('o_totalprice')} AS total, {avg_sql('o_totalprice')} AS average FROM orders GROUP BY 1"
 
@@ -47,6 +47,44 @@ def _(t):
     return agg.daily_kpi(t.events, "ts", ["event_type"], "value")
 
 
+_FINE = thousandths_sql("l_extendedprice", "l_orderkey")
+
+
+@query(
+    "agg03_kpi_exact",
+    f"SELECT l_returnflag, l_linestatus, l_linenumber, count(*) AS txns, {decimal_sum_sql(_FINE)} AS total_amount FROM lineitem GROUP BY ALL",
+)
+def _(t):
+    """Amounts in thousandths, as doubles: exact totals, rounded for show only."""
+    rows = t.lineitem.withColumn("amount", thousandths("l_extendedprice", "l_orderkey"))
+    out = agg.kpi(rows, ["l_returnflag", "l_linestatus", "l_linenumber"], "amount", None)
+    return out.select("l_returnflag", "l_linestatus", "l_linenumber", "txns", F.round("total_amount", 3).alias("total_amount"))
+
+
+@query(
+    "agg04_daily_kpi_exact",
+    f"SELECT CAST(ts AS DATE) AS dt, event_type, count(*) AS txns, {decimal_sum_sql(thousandths_sql('value', 'event_id'))} AS total_amount FROM events GROUP BY 1, 2",
+)
+def _(t):
+    out = agg.daily_kpi(t.events.withColumn("amount", thousandths("value", "event_id")), "ts", ["event_type"], "amount", None)
+    return out.select("dt", "event_type", "txns", F.round("total_amount", 3).alias("total_amount"))
+
+
+_FINAL = f"CASE WHEN o_orderstatus = 'F' THEN {thousandths_sql('o_totalprice', 'o_orderkey')} ELSE 0 END"
+
+
+@query(
+    "agg05_conditional_sum_exact",
+    f"SELECT o_custkey, count(*) FILTER (WHERE o_orderstatus = 'F') AS final_rows, {decimal_sum_sql(_FINAL)} AS final_amount FROM orders GROUP BY o_custkey",
+)
+def _(t):
+    final = F.col("o_orderstatus") == "F"
+    rows = t.orders.withColumn("amount", thousandths("o_totalprice", "o_orderkey"))
+    return rows.groupBy("o_custkey").agg(
+        agg.count_where(final).alias("final_rows"), F.round(agg.sum_where(final, "amount", None), 3).alias("final_amount")
+    )
+
+
 @query(
     "agg05_conditional_sum",
     "SELECT o_custkey, count(*) FILTER (WHERE o_orderstatus = 'F') AS final_rows, "

@@ -11,7 +11,7 @@ from lakeops.operators.joins import Dim
 from lakeops.operators.layout import overwrite_partitions
 from lakeops.plans import kpi as jobs
 from lakeops.queries.merges import MERGED_SQL, late_batch, silver_orders
-from lakeops.queries.registry import HOT_SQL, Tables, avg_sql, hot_orders, query, sum_sql
+from lakeops.queries.registry import HOT_SQL, Tables, avg_sql, decimal_sum_sql, hot_orders, query, sum_sql, thousandths, thousandths_sql
 from lakeops.queries.streams import WIRE_SQL, feed, opened, wire
 from lakeops.operators.merge import Keyed
 from lakeops.operators.quality import not_null_rules, positive_rule
@@ -66,6 +66,18 @@ def _(t):
     return period_kpi(t, "auto")
 
 
+@query(
+    "pip02_exact_kpi",
+    f"SELECT CAST(o_orderdate AS DATE) AS dt, o_orderstatus, c_mktsegment, count(*) AS txns, {decimal_sum_sql(thousandths_sql('o_totalprice', 'o_orderkey'))} AS total_amount "
+    f"FROM orders LEFT JOIN customer ON o_custkey = c_custkey WHERE {PERIOD_SQL} GROUP BY 1, 2, 3",
+)
+def _(t):
+    """Amounts of three digits behind the point, summed exactly as doubles."""
+    orders = t.orders.withColumns({"dt": F.to_date("o_orderdate"), "amount": thousandths("o_totalprice", "o_orderkey")})
+    out = jobs.period_kpi(orders, customer_dim(t), period(), ["dt", "o_orderstatus", "c_mktsegment"], "amount", scale=None)
+    return out.select("dt", "o_orderstatus", "c_mktsegment", "txns", F.round("total_amount", 3).alias("total_amount"))
+
+
 TIERS = [(0, "TIER_3"), (5000, "TIER_2")]
 TIER_SQL = "CASE WHEN s_acctbal IS NULL THEN NULL WHEN s_acctbal < 0 THEN 'TIER_3' WHEN s_acctbal < 5000 THEN 'TIER_2' ELSE 'TIER_1' END"
 

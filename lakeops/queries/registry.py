@@ -67,6 +67,20 @@ def avg_sql(x: str, scale: int = 2) -> str:
     return f"(CAST(sum({units_sql(x, scale)}) AS DOUBLE) / (CAST(count({x}) AS DOUBLE) * CAST({10**scale} AS DOUBLE)))"
 
 
+def thousandths(amount: str, more: str):
+    """An amount with a third digit behind the point: cents and a whole number of thousandths."""
+    return (F.floor(F.col(amount) * 100.0 + 0.5) * 10 + F.col(more) % 10).cast("double") / 1000.0
+
+
+def thousandths_sql(amount: str, more: str) -> str:
+    return f"(CAST(CAST(floor({amount} * 100.0 + 0.5) AS BIGINT) * 10 + {more} % 10 AS DOUBLE) / 1000.0)"
+
+
+def decimal_sum_sql(x: str) -> str:
+    """The sum in plain decimals, which knows nothing of doubles' bits."""
+    return f"CAST(sum(CAST({x} AS DECIMAL(38, 6))) AS DOUBLE)"
+
+
 def by_month(orders: DataFrame) -> DataFrame:
     """Orders with the first day of their month, the partition key of the layout queries."""
     return orders.withColumn("month", F.trunc("o_orderdate", "month"))
