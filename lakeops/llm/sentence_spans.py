@@ -3,9 +3,10 @@
 A text is cut into sentences: after words that end with a full stop, exclamation or question
 mark, and at newlines. Sentences of more than LONG words are cut further, after words that
 their hash picks, so that the cuts depend on the words alone and a passage is cut alike
-wherever it stands. A span begins at every sentence: the shortest run of two sentences or
-more that has MIN_WORDS words. Spans with the same words are one; all but the first by key,
-row and place are repeated, and the sentences they cover are removed.
+wherever it stands. A span is every run of two sentences, however short; only where pieces of
+long sentences are among them does it go on to MIN_WORDS words, as pieces may be single words.
+Spans with the same words are one; all but the first by key, row and place are repeated, and the
+sentences they cover are removed.
 
 With `ends` a span also ends at every sentence, the shortest such run backwards, so that the
 tail of a repeated passage is covered like its head; and long sentences are cut behind the
@@ -29,7 +30,7 @@ MIN_WORDS, MIN_SENTENCES = 20, 2
 LONG, PICK = 16, 8
 
 _END = np.isin(np.arange(256), [0x21, 0x2E, 0x3F])
-_STEPS = (0xD1342543DE82EF95, 0xAF251AF3B0F025B5)
+_STEP = 0xD1342543DE82EF95
 
 
 def _least(hashes: np.ndarray, group: np.ndarray) -> np.ndarray:
@@ -67,17 +68,26 @@ class Sentences:
         self.counts = np.bincount(doc[ends], minlength=len(texts))
         self.upto = np.cumsum(self.counts)
         self.at = w.starts[self.first[:-1]]
+        self.cut = long[self.first[:-1]]
 
-    def spans(self) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-        """First sentence, sentence behind the last, and two hashes of every span, by sentence over all texts."""
+    def spans(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First sentence, sentence behind the last, and hash of every span, by sentence over all texts.
+
+        A span is a run of MIN_SENTENCES; with a piece of a long sentence in it, it goes on to MIN_WORDS.
+        """
         first = self.first
         start = np.arange(len(first) - 1)
-        stop = np.maximum(np.searchsorted(first, first[:-1] + MIN_WORDS), start + MIN_SENTENCES)
+        cuts = np.concatenate([[0], np.cumsum(self.cut)])
+        near = start + MIN_SENTENCES
+        pieces = cuts[np.minimum(near, len(start))] > cuts[start]
+        stop = np.where(pieces, np.maximum(np.searchsorted(first, first[:-1] + MIN_WORDS), near), near)
         limit = np.repeat(self.upto, self.counts)
         keep = stop <= limit
         if self.ends_too:
             behind = start + 1
-            back = np.minimum(np.searchsorted(first, first[1:] - MIN_WORDS, "right") - 1, behind - MIN_SENTENCES)
+            near = behind - MIN_SENTENCES
+            pieces = cuts[behind] > cuts[np.maximum(near, 0)]
+            back = np.where(pieces, np.minimum(np.searchsorted(first, first[1:] - MIN_WORDS, "right") - 1, near), near)
             # Not those that a span from their first sentence on already is.
             more = (back >= limit - np.repeat(self.counts, self.counts)) & (stop[np.maximum(back, 0)] != behind)
             start, stop = np.concatenate([start[keep], back[more]]), np.concatenate([stop[keep], behind[more]])
@@ -85,24 +95,20 @@ class Sentences:
             start, stop = start[order], stop[order]
         else:
             start, stop = start[keep], stop[keep]
-        a, b = first[start], first[stop]
-        return start, stop, [run_hash(*running(self.words.hashes, s), a, b) for s in _STEPS]
+        return start, stop, run_hash(*running(self.words.hashes, _STEP), first[start], first[stop])
 
 
 def _spans(batches: Iterator[pa.RecordBatch], ends: bool) -> Iterator[pa.RecordBatch]:
-    """Kernel (row, key, text) -> (row, key, a, b, h1, h2): lists of the spans of each text."""
+    """Kernel (row, key, text) -> (row, key, h): hashes of the spans of each text, in order."""
     for batch in slices(batches, "text"):
         s = Sentences(strings(batch.column(2)), ends)
-        start, stop, (h1, h2) = s.spans()
-        doc = np.searchsorted(s.upto, start, "right")
-        begin = (s.upto - s.counts)[doc]
-        n = np.bincount(doc, minlength=batch.num_rows)
-        lists = ((start - begin, pa.int32()), (stop - begin, pa.int32()), (h1.view(np.int64), pa.int64()), ((h2 >> np.uint64(33)).astype(np.int32), pa.int32()))
-        yield pa.RecordBatch.from_arrays([*batch.columns[:2], *(list_array(x, n, t) for x, t in lists)], ["row", "key", "a", "b", "h1", "h2"])
+        start, _, h = s.spans()
+        n = np.bincount(np.searchsorted(s.upto, start, "right"), minlength=batch.num_rows)
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], list_array(h.view(np.int64), n, pa.int64())], ["row", "key", "h"])
 
 
-def _cleaned(row_text: str, schema: T.StructType, names: tuple[str, str, str], ends: bool):
-    """Kernel (columns, __a, __b) -> columns with the text that is left, and sentence counts."""
+def _cleaned(row_text: str, schema: T.StructType, places: str, ends: bool):
+    """Kernel (columns, places of spans to go) -> columns with the text that is left, and sentence counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, row_text):
@@ -112,12 +118,14 @@ def _cleaned(row_text: str, schema: T.StructType, names: tuple[str, str, str], e
             data = s.words.data.tobytes()
             removed = np.zeros(batch.num_rows, np.int64)
             left = column.to_pylist()
-            starts, stops = batch.column(names[1]).to_pylist(), batch.column(names[2]).to_pylist()
-            for i, (a, b) in enumerate(zip(starts, stops)):
-                if not a:
+            start, stop, _ = s.spans()
+            begins = np.searchsorted(start, s.upto - s.counts)
+            for i, gone in enumerate(batch.column(places).to_pylist()):
+                if not gone:
                     continue
                 n = int(s.counts[i])
                 base = int(s.upto[i]) - n
+                a, b = (x[begins[i] + np.array(gone)] - base for x in (start, stop))
                 change = np.zeros(n + 1, np.int64)
                 np.add.at(change, a, 1)
                 np.add.at(change, b, -1)
@@ -136,28 +144,37 @@ def _cleaned(row_text: str, schema: T.StructType, names: tuple[str, str, str], e
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", ends: bool = False) -> DataFrame:
     """The frame with the text that is left, n_sentences (before) and n_removed.
 
-    Of equal spans the one of the least key stays (null last), then of the first row, then of
-    the first place; also within a text. Sentences that are left stand as they stood, with
-    the white space behind them; a text without repeated spans stays as it is, null too, and
-    the text of a whole copy becomes empty. Texts with fewer words than a span have none.
-    Words are what ASCII white space separates, and compared as they are written. Columns
-    named n_sentences or n_removed are replaced. `docs` must be a scan or another frame
-    whose partitions are the same when computed again. `ends` adds the spans that end at every
-    sentence, and cuts in every PICK words of long sentences: repeated passages go whole.
+    A span is every run of MIN_SENTENCES sentences. Sentences of more than LONG words are cut into
+    pieces, and a span with such a piece has MIN_WORDS words at least. Of equal spans the one of
+    the least key stays (null last), then of the first row, then of the first place; also within a
+    text. Sentences that are left stand as they stood, with the white space behind them; a text
+    without repeated spans stays as it is, null too, and the text of a whole copy becomes empty.
+    Texts of one sentence have no span. Words are what ASCII white space separates, and compared as
+    they are written. Columns named n_sentences or n_removed are replaced. `docs` must be a scan or
+    another frame whose partitions are the same when computed again. `ends` adds the spans that
+    end at every sentence, and cuts in every PICK words of long sentences: repeated passages go whole.
+
+    Spans are compared as 64-bit hashes. Only the hashes are grouped; a span's place travels once
+    more, with those that occur twice.
     """
     docs = without(docs, "n_sentences", "n_removed")
     texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.col(text).alias("text"))
     kind = docs.select(key).schema[0].dataType.simpleString()
-    lists = texts.mapInArrow(lambda batches: _spans(batches, ends), f"row long, key {kind}, a array<int>, b array<int>, h1 array<long>, h2 array<int>")
-    spans = written(lists.select("row", "key", F.inline(F.arrays_zip("a", "b", "h1", "h2"))), "spans")
-    order = F.struct(F.col("key").isNull().alias("n"), F.col("key").alias("k"), F.col("row").alias("r"), F.col("a").alias("a"))
-    repeated = spans.groupBy("h1", "h2").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    repeated = written(repeated.select(F.struct("h1", "h2").alias("h"), "n", F.col("first.r").alias("r"), F.col("first.a").alias("s")), "repeated-spans")
-    rows = spans.select("row", "a", "b", F.struct("h1", "h2").alias("h"))
-    found = lookup(rows, repeated, "h", "n", max(1, spans.count())).filter("NOT (row = r AND a = s)")
-    gone = found.groupBy("row").agg(F.collect_list(F.struct("a", "b")).alias("g"))
-    row, a, b = (free_name(docs, n) for n in ("__row", "__a", "__b"))
-    gone = gone.select(F.col("row").alias(row), F.col("g.a").alias(a), F.col("g.b").alias(b))
-    whole = docs.withColumn(row, F.monotonically_increasing_id()).join(gone, row, "left")
+    lists = texts.mapInArrow(lambda batches: _spans(batches, ends), f"row long, key {kind}, h array<long>")
+    lists = written(lists, "span-lists")
+    spans = lists.select("row", "key", F.posexplode("h").alias("k", "h"))
+    repeated = spans.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("first")).filter("n > 1")
+    total = lists.agg(F.sum(F.size("h"))).first()[0] or 1
+    found = lookup(spans, written(repeated, "repeated-spans"), "h", "n", total)
+    # Spans of another key than the least go; of those of the least key, all but the first.
+    leads = F.when(F.col("key").eqNullSafe(F.col("first")), F.col("h"))
+    found = written(found.select("row", "k", leads.alias("h")), "found-spans")
+    leading = found.filter("h is not null")
+    several = leading.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "k")).alias("at")).filter("n > 1")
+    again = lookup(leading, written(several, "leading-spans"), "h", "n", total).filter(F.struct("row", "k") != F.col("at"))
+    gone = found.filter("h is null").select("row", "k").unionByName(again.select("row", "k"))
+    row, places = (free_name(docs, n) for n in ("__row", "__places"))
+    gone = gone.groupBy("row").agg(F.collect_list("k").alias(places)).withColumnRenamed("row", row)
+    whole = docs.withColumn(row, F.monotonically_increasing_id()).join(gone, row, "left").drop(row)
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema]).add("n_sentences", "long").add("n_removed", "long")
-    return whole.mapInArrow(_cleaned(text, schema, (row, a, b), ends), schema)
+    return whole.mapInArrow(_cleaned(text, schema, places, ends), schema)

@@ -18,10 +18,11 @@ def pieces(text):
         if m[0][-1] in ".!?" or "\n" in gap or m.end() + len(gap) >= len(text):
             out.append(now)
             now = []
-    parts = []
+    parts, cuts = [], []
     for s in out:
         if len(s) <= ss.LONG:
             parts.append(s)
+            cuts.append(False)
             continue
         now = []
         for m, h in zip(s, Words([" ".join(m[0] for m in s)]).hashes):
@@ -31,7 +32,8 @@ def pieces(text):
                 now = []
         if now:
             parts.append(now)
-    return parts
+        cuts += [True] * (len(parts) - len(cuts))
+    return parts, cuts
 
 
 def brute(rows):
@@ -39,20 +41,20 @@ def brute(rows):
     order = sorted(range(len(rows)), key=lambda n: (rows[n][0] is None, rows[n][0] or 0, n))
     for n in order:
         text = rows[n][1] or ""
-        p = pieces(text)
+        p, cuts = pieces(text)
         gone = [False] * len(p)
         for a in range(len(p)):
-            b = words = 0
-            b = a
-            while b < len(p) and (words < ss.MIN_WORDS or b - a < ss.MIN_SENTENCES):
+            words, b = 0, a
+            floor = ss.MIN_WORDS if any(cuts[a : a + ss.MIN_SENTENCES]) else 0
+            while b < len(p) and (words < floor or b - a < ss.MIN_SENTENCES):
                 words += len(p[b])
                 b += 1
-            if words >= ss.MIN_WORDS and b - a >= ss.MIN_SENTENCES:
+            if words >= floor and b - a >= ss.MIN_SENTENCES:
                 span = tuple(m[0] for s in p[a:b] for m in s)
                 if first.setdefault(span, (n, a)) != (n, a):
                     gone[a:b] = [True] * (b - a)
-        cuts = [0, *(s[0].start() for s in p[1:]), len(text)]
-        left = "".join(text[cuts[i] : cuts[i + 1]] for i in range(len(p)) if not gone[i]) if any(gone) else rows[n][1]
+        at = [0, *(s[0].start() for s in p[1:]), len(text)]
+        left = "".join(text[at[i] : at[i + 1]] for i in range(len(p)) if not gone[i]) if any(gone) else rows[n][1]
         out.append((rows[n][0], left, len(p), sum(gone)))
     return sorted(out, key=repr)
 
@@ -97,21 +99,23 @@ def test_a_passage_is_found_wherever_it_stands(spark):
 
 def _ending_too(text):
     """Bounds of all spans with `ends`, by the definition."""
-    p = cut(text)
+    p, cuts = cut(text)
     out = set()
     for a in range(len(p)):
         for step in (1, -1):
             i, words, n = a, 0, 0
-            while 0 <= i < len(p) and (words < ss.MIN_WORDS or n < ss.MIN_SENTENCES):
+            near = cuts[a : a + ss.MIN_SENTENCES] if step > 0 else cuts[max(0, a + 1 - ss.MIN_SENTENCES) : a + 1]
+            floor = ss.MIN_WORDS if any(near) else 0
+            while 0 <= i < len(p) and (words < floor or n < ss.MIN_SENTENCES):
                 words, n, i = words + len(p[i]), n + 1, i + step
-            if words >= ss.MIN_WORDS and n >= ss.MIN_SENTENCES:
+            if words >= floor and n >= ss.MIN_SENTENCES:
                 out.add((a, i) if step > 0 else (i + 1, a + 1))
     return p, sorted(out)
 
 
 def cut(text):
     """Sentences with `ends`: those of more than LONG words end behind the least hash of every PICK words in a row."""
-    out, now = [], []
+    out, cuts, now = [], [], []
     words = re.findall(f"[^{BLANK}]+", text)
     for i, w in enumerate(words):
         now.append(w)
@@ -123,8 +127,9 @@ def cut(text):
                 out += [now[a:b] for a, b in zip(bounds, bounds[1:])]
             else:
                 out.append(now)
+            cuts += [len(now) > ss.LONG] * (len(out) - len(cuts))
             now = []
-    return out
+    return out, cuts
 
 
 def test_spans_with_ends_by_the_definition():
@@ -165,3 +170,18 @@ def test_a_passage_in_mid_sentence_keeps_its_ends_only(spark):
         assert not any(w in left for w in at[2 * ss.PICK - 1 : 1 - 2 * ss.PICK])
         own = [w for w in rows[2 * i + 1][1].split() if w not in set(at)]
         assert [w for w in out[2 * i + 1].split() if w not in set(at)] == own
+
+
+def test_short_sentences_in_a_row_are_a_span(spark):
+    """Three whole sentences of fifteen words, and two of four; a single one stays."""
+    rows = [
+        (1, "One two three four five. Six seven eight nine ten! And some more of them? Alone here."),
+        (2, "First. One two three four five. Six seven eight nine ten! And some more of them? Other there."),
+        (3, "Alone here. Something else. Not again. So it is."),
+        (4, "Nobody. Not again. So it is. Somebody."),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for ends in (False, True):
+        out = {r.doc_id: (r.text, r.n_removed) for r in ss.deduplicated(frame, ends=ends).collect()}
+        assert out[1] == (rows[0][1], 0) and out[3] == (rows[2][1], 0)
+        assert out[2] == ("First. Other there.", 3) and out[4] == ("Nobody. Somebody.", 2)
