@@ -8,9 +8,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructType
 
 from lakeops.functions.combine import partials, wholes
 from lakeops.functions.money import minor_units
@@ -62,16 +64,73 @@ def salts_for(df: DataFrame, key: str) -> int:
     return max(1, math.ceil(most * tasks / max(1, total)))
 
 
+@dataclass(frozen=True)
+class SaltPlan:
+    """How many salts each hot key of a fact gets; every other key has one.
+
+    `counts` are a hot key's rows, from a sketch: at most a little more than there are.
+    """
+
+    key: str
+    kind: DataType
+    total: int
+    tasks: int
+    counts: tuple[tuple[object, int], ...]
+
+    @property
+    def salts(self) -> dict:
+        """As many as it takes for a salt's rows to be those of an average task."""
+        return {k: math.ceil(n * self.tasks / self.total) for k, n in self.counts}
+
+    def frame(self, spark: SparkSession) -> DataFrame:
+        """(__hot_key, __salts), fewer rows than `tasks`."""
+        kind = StructType().add("__hot_key", self.kind).add("__salts", "integer")
+        return spark.createDataFrame(list(self.salts.items()), kind)
+
+    def spread(self, fact: DataFrame, row_key: Sequence[str]) -> DataFrame:
+        """The fact with a salt; rows without a key meet nothing, and are spread over all tasks."""
+        if not self.counts:
+            return fact.withColumn(SALT, F.when(F.col(self.key).isNull(), salt_of(row_key, self.tasks)).otherwise(F.lit(0)))
+        joined = fact.join(F.broadcast(self.frame(fact.sparkSession)), F.col(self.key) == F.col("__hot_key"), "left")
+        n = F.coalesce("__salts", F.when(F.col(self.key).isNull(), F.lit(self.tasks)).otherwise(F.lit(1)))
+        return joined.withColumn(SALT, F.pmod(F.xxhash64(*row_key), n).cast("int")).drop("__hot_key", "__salts")
+
+    def copied(self, dim: DataFrame) -> DataFrame:
+        """The dimension with a copy of each hot key's rows for each of its salts; no other row is copied."""
+        if not self.counts:
+            return dim.withColumn(SALT, F.lit(0))
+        joined = dim.join(F.broadcast(self.frame(dim.sparkSession)), F.col(self.key) == F.col("__hot_key"), "left")
+        return joined.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1))).drop("__hot_key", "__salts")
+
+
+def salt_plan(fact: DataFrame, key: str, share: float | None = None) -> SaltPlan:
+    """Keys with more than `share` of the rows (by default an average task's), in one pass.
+
+    Every task keeps a sketch of a fixed size and nothing is shuffled by key. Such a sketch
+    of frequent items loses no key whose share is above its resolution, which is an eighth of `share`.
+    """
+    tasks = shuffle_partitions(fact.sparkSession)
+    share = share or 1.0 / tasks
+    tracked = min(1_000_000, max(64, 2 ** math.ceil(math.log2(12 / share))))
+    most = min(tracked, math.ceil(1 / share) + 1)
+    row = fact.agg(F.count(F.lit(1)).alias("total"), F.expr(f"approx_top_k(`{key}`, {most}, {tracked})").alias("top")).first()
+    counts = tuple((r["item"], r["count"]) for r in row["top"] or [] if r["item"] is not None and r["count"] > share * row["total"])
+    return SaltPlan(key, fact.schema[key].dataType, max(1, row["total"]), tasks, counts)
+
+
 def salted_join(
     fact: DataFrame, dim: DataFrame, key: str, row_key: Sequence[str], n: int | None = None, how: str = "left"
 ) -> DataFrame:
-    """Join on (key, salt): each key of the fact is spread over n tasks, the dimension is copied n times.
+    """Join on (key, salt): each hot key of the fact is spread over tasks, its dimension rows are copied.
 
-    n follows from the hottest key's share if it is not given. `how` is "inner" or
-    "left"; with other types a copied row could come out n times.
+    A plan measured in one pass gives every hot key its own number of salts. With `n` all keys are
+    spread over n tasks instead, and the whole dimension is copied n times. `how` is "inner" or
+    "left"; with other types a copied row could come out several times.
     """
     _check(how)
-    n = n or salts_for(fact, key)
+    if n is None:
+        plan = salt_plan(fact, key)
+        return plan.spread(fact, row_key).join(plan.copied(dim), [key, SALT], how).drop(SALT)
     left = fact.withColumn(SALT, salt_of(row_key, n))
     right = dim.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
     return left.join(right, [key, SALT], how).drop(SALT)
@@ -82,20 +141,22 @@ def concat_salted_join(
 ) -> DataFrame:
     """The same with one text key "<key>_<salt>", for callers that need a single join column."""
     _check(how)
-    n = n or salts_for(fact, key)
     salted = "__salted_key"
-    left = fact.withColumn(salted, F.concat(F.col(key).cast("string"), F.lit("_"), salt_of(row_key, n).cast("string")))
-    copies = dim.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    right = copies.withColumn(
-        salted, F.concat(F.col(key).cast("string"), F.lit("_"), F.col(SALT).cast("string"))
-    ).drop(key, SALT)
-    return left.join(right, salted, how).drop(salted)
+    text = F.concat(F.col(key).cast("string"), F.lit("_"), F.col(SALT).cast("string"))
+    if n is None:
+        plan = salt_plan(fact, key)
+        left, copies = plan.spread(fact, row_key), plan.copied(dim)
+    else:
+        left = fact.withColumn(SALT, salt_of(row_key, n))
+        copies = dim.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    left = left.withColumn(salted, text).drop(SALT)
+    return left.join(copies.withColumn(salted, text).drop(key, SALT), salted, how).drop(salted)
 
 
 def _marked(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     """The frame with a column that is true for the hot keys; broadcast if there are few of them."""
     flags = hot.select(F.col(key).alias("__hot_key")).filter(F.col("__hot_key").isNotNull()).distinct()
-    few = len(flags.limit(HOT_KEYS + 1).select(F.lit(1)).collect()) <= HOT_KEYS
+    few = flags.limit(HOT_KEYS + 1).count() <= HOT_KEYS
     side = F.broadcast(flags) if few else flags
     joined = df.join(side, F.col(key) == F.col("__hot_key"), "left")
     return joined.withColumn(HOT, F.col("__hot_key").isNotNull()).drop("__hot_key")
@@ -114,10 +175,13 @@ def partial_salted_join(
     """Salt only the hot keys; the others keep salt 0 and one dimension row.
 
     Without `hot` the keys above `share` are found first, by default those with more rows
-    than an average task. Only hot keys' dimension rows are copied, so such a key may cover
-    all shuffle partitions (the default of `n`).
+    than an average task, each with the number of salts that its share asks for. With `hot` or `n`
+    every hot key has n of them, by default as many as there are shuffle partitions.
     """
     _check(how)
+    if hot is None and n is None:
+        plan = salt_plan(fact, key, share)
+        return plan.spread(fact, row_key).join(plan.copied(dim), [key, SALT], how).drop(SALT)
     tasks = shuffle_partitions(fact.sparkSession)
     n = n or tasks
     if hot is None:
@@ -146,17 +210,18 @@ def salted_totals(
 ) -> DataFrame:
     """n_rows, total and average per key in two stages: by (key, salt), then by key.
 
-    The average is put together from sum and count. With `hot` (rows of the first key
-    column) only those keys are salted.
+    The average is put together from sum and count. Without `n` and `hot` there is one salt: each
+    task's partial aggregation already leaves one row of a hot key. With `hot` (rows of the
+    first key column) only those keys are salted, n times or as often as there are tasks.
     """
-    n = n or salts_for(df, keys[0])
-    salt = salt_of(row_key, n)
+    if hot is not None and n is None:
+        n = shuffle_partitions(df.sparkSession)
+    salt = salt_of(row_key, n or 1)
     if hot is not None:
         df = _marked(df, keys[0], hot)
         salt = F.when(F.col(HOT), salt).otherwise(F.lit(0))
     parts = (
-        df.withColumn(SALT, salt)
-        .groupBy(*keys, SALT)
+        (df.withColumn(SALT, salt).groupBy(*keys, SALT) if n else df.groupBy(*keys))
         .agg(
             F.count(F.lit(1)).alias("__rows"),
             F.count(amount).alias("__n"),
@@ -179,8 +244,9 @@ def salted_agg(
     """Any of count, sum, min, max and avg per key in two stages, the first by (key, salt).
 
     `aggs` maps result names to (function, column), the column of a count being "*" for
-    all rows. n follows from the hottest key's share if it is not given.
+    all rows. Without n there is one salt, as each task sends one row of a key anyway.
     """
-    salted = df.withColumn(SALT, salt_of(row_key, n or salts_for(df, keys[0])))
-    parts = salted.groupBy(*keys, SALT).agg(*partials(aggs))
+    if n is None:
+        return df.groupBy(*keys).agg(*partials(aggs)).groupBy(*keys).agg(*wholes(aggs))
+    parts = df.withColumn(SALT, salt_of(row_key, n)).groupBy(*keys, SALT).agg(*partials(aggs))
     return parts.groupBy(*keys).agg(*wholes(aggs))

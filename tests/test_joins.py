@@ -1,5 +1,7 @@
 """One result under every strategy, and the physical plan each strategy promises."""
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -175,3 +177,47 @@ def test_walk_without_a_depth_cap(spark):
     chain = spark.range(1, 105).select("id", (F.col("id") - 1).alias("parent_id")).coalesce(1)
     got = walk(chain, spark.range(1).select(F.col("id").alias("root")))
     assert got.agg(F.max("level")).first()[0] == 105 and got.count() == 105
+
+
+def test_salt_plan_gives_each_hot_key_its_own_salts(spark):
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = 1000 * tasks
+    # Half of the rows on key 0, three tenths on key 1, some without a key, the rest apart.
+    key = F.when(F.col("id") % 10 < 5, 0).when(F.col("id") % 10 < 8, 1).when(F.col("id") % 100 == 99, None).otherwise(F.col("id"))
+    fact = spark.range(n).withColumn("k", key.cast("long"))
+    dim = spark.range(-5, n).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    plan_ = skew.salt_plan(fact, "k")
+    assert plan_.salts == {0: math.ceil(tasks / 2), 1: math.ceil(tasks * 0.3)} and plan_.total == n
+    # The dimension grows by the hot keys' rows only.
+    assert plan_.copied(dim).count() == dim.count() + sum(s - 1 for s in plan_.salts.values())
+    spread = {r["k"]: r["n"] for r in plan_.spread(fact, ["id"]).groupBy("k").agg(F.countDistinct(skew.SALT).alias("n")).filter("n > 1").collect()}
+    assert spread == {**{k: s for k, s in plan_.salts.items() if s > 1}, None: tasks}
+    for how in ("left", "inner"):
+        want = rows(fact.join(dim, "k", how).select("id", "k", "v"))
+        assert rows(skew.salted_join(fact, dim, "k", ["id"], how=how).select("id", "k", "v")) == want
+        assert rows(skew.concat_salted_join(fact, dim, "k", ["id"], how=how).select("id", "v")) == sorted(((i, v) for i, _, v in want), key=repr)
+        assert rows(skew.partial_salted_join(fact, dim, "k", ["id"], how=how).select("id", "k", "v")) == want
+
+
+def test_salt_plan_reads_the_fact_once_and_the_join_once_more(spark, folder):
+    path = folder("fact")
+    spark.range(8000).select("id", (F.col("id") % 2 * F.col("id")).alias("k")).write.parquet(path)
+    fact, dim = spark.read.parquet(path), spark.range(8000).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    assert plan(skew.salted_join(fact, dim, "k", ["id"])).count("Location: InMemoryFileIndex") == 1
+
+
+def test_salt_plan_without_hot_keys_or_rows(spark):
+    dim = spark.range(5).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    apart = spark.range(4000).withColumn("k", F.col("id"))
+    assert skew.salt_plan(apart, "k").salts == {}
+    assert skew.salted_join(apart, dim, "k", ["id"], how="inner").count() == 5
+    none = apart.limit(0)
+    assert skew.salt_plan(none, "k").salts == {} and skew.salted_join(none, dim, "k", ["id"]).count() == 0
+    text = apart.select("id", F.concat(F.lit("é"), F.col("id") % 2).alias("k"))
+    assert skew.salt_plan(text, "k").salts.keys() == {"é0", "é1"}
+
+
+def test_totals_without_salts_need_one_exchange(spark):
+    df = spark.range(1000).select("id", (F.col("id") % 3).alias("k"), F.lit(0.25).alias("x"))
+    text = plan(skew.salted_totals(df, ["k"], "x", ["id"]))
+    assert text.count("hashpartitioning") == 1
