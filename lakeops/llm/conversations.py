@@ -65,6 +65,12 @@ def _arcs(step: tuple[int, int], state: int, here: int) -> list[tuple[str, int,
     return out
 
 
+@lru_cache(maxsize=1024)
+def _place(kind: int, n: int) -> list[list[tuple[str, int, int]]]:
+    """The arcs of a place's four nodes, to these and the next place's."""
+    return [_arcs((kind, n), s, 0) for s in range(4)]
+
+
 def auction(origin: int, arcs: Callable[[int], list[tuple[str, int, int]]], price: list[int], done: list[bool]) -> None:
     """Raise the prices until the origin's is the cost of its cheapest way to a node that is done."""
     path = [origin]
@@ -88,16 +94,18 @@ def auction(origin: int, arcs: Callable[[int], list[tuple[str, int, int]]], pric
 def prices(steps: tuple[tuple[int, int], ...], ends: tuple[int, ...]) -> list[int]:
     """Costs from every node (place times four plus state) to the end, whose states cost `ends`."""
     n = len(steps)
-    price, done = [0] * (4 * n) + list(ends), [False] * (4 * n) + [True] * 4
+    price = [0] * (4 * n) + list(ends)
     open_ = set().union(*(_LEADS[s] for s in range(4) if ends[s] < _FAR))
     for i in range(n - 1, -1, -1):
         # No way to the end is cheaper than from the best node behind, so prices start there.
-        least = min(price[4 * i + 4 : 4 * i + 8])
-        for s in range(4):
-            price[4 * i + s] = least if s in open_ else _FAR
-            done[4 * i + s] = s not in open_
+        behind = price[4 * i + 4 : 4 * i + 8]
+        least = min(behind)
+        near = [least if s in open_ else _FAR for s in range(4)] + behind
+        done = [s not in open_ for s in range(4)] + [True] * 4
+        arcs = _place(*steps[i]).__getitem__
         for s in range(4):
-            auction(4 * i + s, lambda node, i=i: _arcs(steps[i], node - 4 * i, 4 * i), price, done)
+            auction(s, arcs, near, done)
+        price[4 * i : 4 * i + 4] = near[:4]
     return price
 
 
@@ -106,7 +114,8 @@ def traced(steps: tuple[tuple[int, int], ...], price: list[int], state: int) ->
     letters, node = [], state
     while node < 4 * len(steps):
         i, s = divmod(node, 4)
-        letter, _, node = next(arc for arc in _arcs(steps[i], s, 4 * i) if price[node] == arc[1] + price[arc[2]])
+        letter, _, to = next(arc for arc in _place(*steps[i])[s] if price[node] == arc[1] + price[4 * i + arc[2]])
+        node = 4 * i + to
         letters.append(letter * steps[i][1] if letter == "D" else letter)
     return "".join(letters), node % 4
 
