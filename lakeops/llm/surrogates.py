@@ -46,9 +46,11 @@ _WORD = r"\p{Lu}[\p{L}'’-]+"
 _TITLE = "|".join(t for titles in TITLES.values() for t in titles)
 _NAME = "|".join(n for names in GIVEN.values() for n in names)
 SECRET = r"(?i:password|passwd|token|secret|api[_-]?key)[\"']?\s{0,2}[=:]\s{0,2}[\"']?"
+# A mail's user begins where letters and digits begin and has at most 64 characters, a domain at most 126
+# labels: so no start reads far, and the repeated group, which Java matches by recursion, stays shallow.
 PATTERN = "|".join(
     [
-        r"[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
+        r"(?<![A-Za-z0-9])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@(?:[A-Za-z0-9-]{1,63}+\.){1,126}[A-Za-z]{2,63}",
         r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\.?\w)",
         r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
         r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\w)",
@@ -144,10 +146,17 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(F.transform(F.sequence(F.lit(1), n), weighed), F.lit(0), lambda a, x: a + x) % 10
 
 
-def surrogate(kind: Column, value: Column, key: str, trial: int) -> Column:
-    """The trial-th surrogate of an atom: lower-case words, strings and numbers of its own form."""
+def _stream(kind: Column, value: Column, key: str, trial: int) -> Column:
+    """The keyed digits that the trial-th surrogate of an atom is made from."""
     seed = F.concat_ws("\x1f", F.lit(key), kind, value, F.lit(str(trial)))
-    stream = F.concat(*[F.sha2(F.concat(seed, F.lit(f"\x1f{i}")).cast("binary"), 256) for i in range(DIGESTS)])
+    return F.concat(*[F.sha2(F.concat(seed, F.lit(f"\x1f{i}")).cast("binary"), 256) for i in range(DIGESTS)])
+
+
+def surrogate(kind: Column, value: Column, stream: Column, trial: int) -> Column:
+    """The trial-th surrogate of an atom: lower-case words, strings and numbers of its own form.
+
+    `stream` has to be a column of its own: it is read once for every character of the value.
+    """
 
     def byte(i: Column) -> Column:
         at = F.pmod(i, F.lit(DIGESTS * 32)) * 2 + 1
@@ -203,7 +212,8 @@ def surrogates(atoms: DataFrame, key: str) -> DataFrame:
     real = todo.select("kind", F.col("value").alias("surrogate"))
     done: DataFrame | None = None
     for trial in range(GIVES_UP + 1):
-        tried = todo.withColumn("surrogate", surrogate(F.col("kind"), F.col("value"), key, trial))
+        kind, value = F.col("kind"), F.col("value")
+        tried = todo.withColumn("stream", _stream(kind, value, key, trial)).select(kind, value, surrogate(kind, value, F.col("stream"), trial).alias("surrogate"))
         fine = tried.groupBy("kind", "surrogate").agg(F.min("value").alias("value"))
         if trial < MEETS:
             fine = fine.join(real, ["kind", "surrogate"], "left_anti")
@@ -256,7 +266,7 @@ def replaced(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
 
     Found are mail addresses, IPv4 addresses, phone, card and social security numbers, access
     keys, values behind `password=` and the like, and names behind a title or that begin with
-    a frequent given name. `key` is the secret that the surrogates depend on: the same key gives the
+    a frequent given name. A mail's user of more than 64 characters is not found. `key` is the secret that the surrogates depend on: the same key gives the
     same surrogates for the same corpus. What is not found stays as it is, null text too.
     A column named n_entities is replaced. `docs` must be a scan or another frame whose
     partitions are the same when computed again.

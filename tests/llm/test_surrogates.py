@@ -100,3 +100,22 @@ def test_common_forms_are_found(spark):
     assert out[5].text[-12:] == out[7].text[-12:]  # the same number
     digits = [re.sub(r"\D", "", out[i].text) for i in (8, 9)]
     assert digits[0] == digits[1] and luhn(digits[0]) == luhn("378282246310005") == 0
+
+
+def test_long_texts_of_any_kind(spark):
+    """Texts that a pattern could read again and again, or by recursion, and one secret as long as a text."""
+    n = 300_000
+    texts = [
+        ("a" * n, 0), ("x@" + "a." * (n // 2), 0), ("a." * (n // 2), 0), ("a@" * (n // 2), 0), ("7" * n, 0), (" " * n, 0), ("a-" * (n // 2), 0),
+        ("-" * n + "ann@mail.org", 1), ("Mr A" + "b" * n, 1), ("password=" + "b" * 50_000, 1), ("1234 " * (n // 20 * 4), n // 20),
+    ]
+    frame = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string").repartition(4)
+    out = {r.doc_id: r for r in s.replaced(frame.checkpoint(), "key").collect()}
+    assert [out[i].n_entities for i in range(len(texts))] == [k for _, k in texts]
+    assert all((out[i].text == t) == (k == 0) for i, (t, k) in enumerate(texts))
+
+
+def test_mail_behind_other_signs(spark):
+    frame = spark.createDataFrame([(1, "-ann@mail.org. <x.y+z@a-b.co.uk>, %bob@mail.org;" + "u" * 65 + "@mail.org")], "doc_id long, text string")
+    row = s.replaced(frame, "key").first()
+    assert row.n_entities == 3 and re.fullmatch(r"-[a-z]{3}@[a-z]{4}\.org\. <[a-z]\.[a-z]\+[a-z]@[a-z]-[a-z]\.[a-z]{2}\.uk>, %[a-z]{3}@[a-z]{4}\.org;u{65}@mail\.org", row.text)
