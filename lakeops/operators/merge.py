@@ -24,6 +24,8 @@ from lakeops.operators.windows import latest
 from lakeops.session import scratch_root
 
 RANK = "__source_rank"
+#: In a frame of changes: -1 for a version that leaves the table, 1 for one that enters it.
+SIGN = "__sign"
 
 
 @dataclass(frozen=True)
@@ -68,6 +70,7 @@ def merge_partitions(
     key_stays_in_partition: bool = False,
     deleted: Column | None = None,
     before_commit: Callable[[list[dict]], None] | None = None,
+    changes: Callable[[DataFrame], None] | None = None,
 ) -> list[dict]:
     """Merge updates into the table by key, newest version first, and return the partitions touched.
 
@@ -84,6 +87,8 @@ def merge_partitions(
     partitions are replaced by one dynamic overwrite, then those with nothing left are
     removed; running it again with the same updates, after a crash in between as well, gives
     the same table. `before_commit` is told the partitions that are about to be replaced.
+    `changes` gets, before that too, the old and the new versions of the updates' keys with SIGN;
+    a version that stays is in it with both signs.
 
     A table with an index looks its updates' keys up in their buckets instead, and deletes
     leave tombstones: an older version that arrives after its delete stays out.
@@ -91,11 +96,13 @@ def merge_partitions(
     parts = list(table.part_cols)
     with reused(newest(updates, table)) as fresh:
         if table.index:
-            return _merge_indexed(spark, table, fresh, deleted, before_commit)
+            return _merge_indexed(spark, table, fresh, deleted, before_commit, changes)
         target = table.read(spark, fresh.schema)
         if target is None:
             kept = fresh.filter(~F.coalesce(deleted, F.lit(False))) if deleted is not None else fresh
             touched = partition_values(kept, parts)
+            if changes:
+                changes(_signed(None, kept))
             if before_commit:
                 before_commit(touched)
             overwrite_partitions(kept, table.path, parts)
@@ -114,7 +121,9 @@ def merge_partitions(
             was = partition_values(held, parts)
             # Cut off from the table's files, which are about to be replaced.
             winners = merge_versions(held, fresh, table.keys, table.order).checkpoint()
-        kept = winners.filter(~F.coalesce(deleted, F.lit(False))) if deleted is not None else winners
+            kept = winners.filter(~F.coalesce(deleted, F.lit(False))) if deleted is not None else winners
+            if changes:
+                changes(_signed(held, kept))
         now = partition_values(kept, parts)
         touched = now + [v for v in was if v not in now]
         if not touched:
@@ -133,7 +142,12 @@ def merge_partitions(
 
 
 def _merge_indexed(
-    spark: SparkSession, table: Keyed, fresh: DataFrame, deleted: Column | None, before_commit: Callable[[list[dict]], None] | None
+    spark: SparkSession,
+    table: Keyed,
+    fresh: DataFrame,
+    deleted: Column | None,
+    before_commit: Callable[[list[dict]], None] | None,
+    changes: Callable[[DataFrame], None] | None,
 ) -> list[dict]:
     """`merge_partitions` by the index: reads the buckets of the updates' keys and the partitions
     that these name, with the table's schema from the index and so without looking into its files."""
@@ -161,7 +175,9 @@ def _merge_indexed(
             was = partition_values(was_held, parts)
             # Cut off from the table's and the index's files, which are about to be replaced.
             winners = merge_versions(was_held.unionByName(tombs, allowMissingColumns=True), marked, keys, table.order).checkpoint()
-    kept, dead = winners.filter(~F.col(GONE)).drop(GONE), winners.filter(GONE)
+            kept, dead = winners.filter(~F.col(GONE)).drop(GONE), winners.filter(GONE)
+            if changes:
+                changes(_signed(was_held.drop(GONE), kept))
     now = partition_values(kept, parts)
     touched = now + [v for v in was if v not in now]
     noted = index.note(spark, state, kept, dead.drop(AT), schema)
@@ -179,6 +195,11 @@ def _merge_indexed(
     return touched
 
 
+def _signed(old: DataFrame | None, new: DataFrame) -> DataFrame:
+    entering = new.withColumn(SIGN, F.lit(1))
+    return entering if old is None else old.withColumn(SIGN, F.lit(-1)).unionByName(entering, allowMissingColumns=True)
+
+
 def _key_range(fresh: DataFrame, keys: Sequence[str]) -> Column:
     """The span of the updates' keys as literals, which lets the scan skip row groups."""
     ends = fresh.agg(*[f(k).alias(f"{f.__name__}_{k}") for k in keys for f in (F.min, F.max)]).first()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from lakeops.operators.merge import Keyed, merge_partitions
 from lakeops.operators.quality import reconcile
 from lakeops.operators.skew import salted_totals
 from lakeops.operators.windows import top_n
+from lakeops.streaming.gold import ChangeGold
 
 
 def enrich(fact: DataFrame, dims: Sequence[Dim], ts: str, amount: str) -> DataFrame:
@@ -82,6 +84,21 @@ def late_data(
     return touched
 
 
+def late_data_changes(spark: SparkSession, silver: Keyed, updates: DataFrame, gold: ChangeGold, batch_id: int) -> list[dict]:
+    """Merge a late batch into Silver and add its changes to Gold, without reading the touched partitions again.
+
+    A run that is repeated, after a crash too, has to come with the same batch id.
+    """
+
+    def whole() -> DataFrame | None:
+        return silver.read(spark, updates.schema)
+
+    gold.start(spark, whole, batch_id)
+    touched = merge_partitions(spark, silver, updates, changes=partial(gold.keep, batch_id=batch_id))
+    gold.apply(spark, batch_id, whole)
+    return touched
+
+
 def skewed_segment_kpi(
     fact: DataFrame, dim: DataFrame, key: str, segment: str, amount: str, row_key: Sequence[str], n: int | None = None
 ) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lakeops.functions.conditional import banded
 from lakeops.operators.aggregate import kpi
 from lakeops.operators.governance import runs
-from lakeops.operators.joins import Dim
+from lakeops.operators.joins import Dim, star_join
 from lakeops.operators.layout import overwrite_partitions
 from lakeops.plans import kpi as jobs
 from lakeops.queries.merges import MERGED_SQL, late_batch, silver_orders
@@ -15,6 +15,7 @@ from lakeops.queries.registry import HOT_SQL, Tables, avg_sql, decimal_sum_sql,
 from lakeops.queries.streams import WIRE_SQL, feed, opened, wire
 from lakeops.operators.merge import Keyed
 from lakeops.operators.quality import not_null_rules, positive_rule
+from lakeops.streaming.gold import ChangeGold
 from lakeops.streaming.silver import Upsert, gold_refresh
 from lakeops.streaming.sinks import append_stream, batch_stream
 
@@ -131,6 +132,20 @@ def _(t):
     return t.spark.read.parquet(gold)
 
 
+@query(
+    "pip05_late_data_by_changes",
+    f"""SELECT month, c_mktsegment, count(*) AS txns, {sum_sql('o_totalprice')} AS total_amount, {avg_sql('o_totalprice')} AS avg_amount, min(o_totalprice) AS min_amount,
+        max(o_totalprice) AS max_amount FROM ({MERGED_SQL}) LEFT JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2""",
+)
+def _(t):
+    """The same late batch, run twice as after a crash: Gold gets the differences, once."""
+    silver = silver_orders(t, indexed=True)
+    gold = ChangeGold(t.scratch("gold"), ["month", "c_mktsegment"], ["month"], "o_totalprice", prepare=lambda rows: star_join(rows, [customer_dim(t)]))
+    for _ in range(2):
+        jobs.late_data_changes(t.spark, silver, late_batch(t), gold, 1)
+    return gold.read(t.spark)
+
+
 @query(
     "pip06_stream_to_gold",
     f"SELECT dt, channel, count(*) AS txns, {sum_sql('amount')} AS total_amount, {avg_sql('amount')} AS avg_amount FROM ({WIRE_SQL}) WHERE order_id IS NOT NULL AND event_ts IS NOT NULL AND amount > 0 GROUP BY 1, 2",

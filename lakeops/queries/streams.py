@@ -13,6 +13,7 @@ from lakeops.schemas import ORDER_EVENT
 from lakeops.sources import streams
 from lakeops.streaming import dedup
 from lakeops.streaming.envelope import CORRUPT, clean, parse_envelope, to_envelope
+from lakeops.streaming.gold import ChangeGold
 from lakeops.streaming.silver import Upsert, gold_refresh, raw_and_clean
 from lakeops.streaming.sinks import append_stream, batch_stream, drain
 
@@ -373,3 +374,16 @@ def _(t):
     sink = Upsert(silver_table(t), rules(), run_log=t.scratch("runs"), gold=refresh)
     feed(t, [dirty(t), corrected(t)], lambda s, ck: batch_stream(s, sink, ck))
     return t.spark.read.parquet(gold)
+
+
+@query(
+    "str16_gold_by_changes",
+    f"""SELECT dt, event_type, count(*) AS txns, {sum_sql('value')} AS total_amount, {avg_sql('value')} AS avg_amount, min(value) AS min_amount,
+        max(value) AS max_amount FROM ({SILVER_SQL}) GROUP BY dt, event_type""",
+)
+def _(t):
+    """Old versions are taken off Gold and new ones added; Silver is read again only where a least or greatest amount left."""
+    gold = ChangeGold(t.scratch("gold"), ["dt", "event_type"], ["dt"], "value")
+    sink = Upsert(silver_table(t, indexed=True), rules(), run_log=t.scratch("runs"), change_gold=gold)
+    feed(t, [dirty(t), corrected(t)], lambda s, ck: batch_stream(s, sink, ck))
+    return gold.read(t.spark)

@@ -15,6 +15,7 @@ from lakeops.operators.governance import Run, batch_done, job_run, snapshot_sche
 from lakeops.operators.layout import in_partitions, partition_values, refresh_partitions, reused
 from lakeops.operators.merge import Keyed, merge_partitions
 from lakeops.operators.quality import quarantine, rule_metrics, split_rules
+from lakeops.streaming.gold import ChangeGold
 
 
 @dataclass(frozen=True)
@@ -25,7 +26,7 @@ class Upsert:
     values after the merge. `deleted` marks rows that remove their key. With a `run_log`,
     the partitions a batch is about to touch are noted beside it: a batch that is run
     again after a crash finds its keys already moved, and Gold has to be refreshed where
-    they came from as well.
+    they came from as well. `change_gold` is kept up to date from the changes of each batch instead.
     """
 
     table: Keyed
@@ -39,6 +40,7 @@ class Upsert:
     key_stays_in_partition: bool = False
     deleted: Column | None = None
     gold: Callable[[DataFrame, Sequence[dict]], None] | None = None
+    change_gold: ChangeGold | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -74,12 +76,18 @@ class Upsert:
             if self.gold and self.run_log:
                 parts = StructType([good.schema[c] for c in self.table.part_cols])
                 note = partial(_note_touched, spark, notes, parts)
-            touched = merge_partitions(spark, self.table, good, self.key_stays_in_partition, self.deleted, note)
+            changes = None
+            if self.change_gold:
+                self.change_gold.start(spark, lambda: self.table.read(spark, df.schema), batch_id)
+                changes = partial(self.change_gold.keep, batch_id=batch_id)
+            touched = merge_partitions(spark, self.table, good, self.key_stays_in_partition, self.deleted, note, changes)
             if note:
                 noted = partition_values(spark.read.parquet(notes), self.table.part_cols)
                 touched += [v for v in noted if v not in touched]
             if self.registry:
                 snapshot_schema(spark, good.schema, self.job_name, self.table.path, self.registry)
+        if self.change_gold:
+            self.change_gold.apply(spark, batch_id, lambda: self.table.read(spark, df.schema))
         if self.gold and touched:
             self.gold(self.table.read(spark, df.schema).filter(in_partitions(touched)), touched)
 
