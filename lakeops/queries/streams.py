@@ -1,12 +1,17 @@
 """Streaming (STR). Sources are fed file by file and drained, so every query ends."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from lakeops.functions.nested import row_hash
 from lakeops.operators.aggregate import kpi
-from lakeops.operators.layout import read_if_any
-from lakeops.operators.merge import Keyed, apply_changes
-from lakeops.operators.quality import not_null_rules, positive_rule
+from lakeops.operators.key_index import same_key
+from lakeops.operators.layout import in_partitions, partition_values, read_if_any
+from lakeops.operators.merge import Keyed, apply_changes, merge_versions
+from lakeops.operators.quality import not_null_rules, positive_rule, split_rules
+from lakeops.operators.staged import StagedTable
+from lakeops.operators.windows import latest
 from lakeops.queries.registry import Tables, avg_sql, query, sum_sql
 from lakeops.queries.scans import BATCH
 from lakeops.schemas import ORDER_EVENT
@@ -250,6 +255,25 @@ def _(t):
     return t.spark.read.parquet(table.path).select(*SILVER_COLUMNS)
 
 
+@query("str10_staged_swap", SILVER_SQL)
+def _(t):
+    """Days are published by switching the catalog to rows written beside the table; a wrong batch is switched back to its backup."""
+    good = split_rules(dirty(t), rules())[0]
+    schema = good.schema
+    table = StagedTable(f"staged_{uuid.uuid4().hex}", t.scratch("staged"), schema, ["dt"]).create(t.spark)
+    first = latest(good, ["event_id"], ["ts", "ingest_rank"])
+    table.publish(first, partition_values(first, ["dt"]))
+    update = split_rules(corrected(t), rules())[0]
+    # A correction may move an event to the next day: the days that hold its key are rewritten with the days of the update.
+    held = same_key(table.read(t.spark), update, ["event_id"], "left_semi").select("dt")
+    days = partition_values(held.unionByName(update.select("dt")), ["dt"])
+    merged = merge_versions(table.read(t.spark).filter(in_partitions(days)), update, ["event_id"], ["ts", "ingest_rank"])
+    table.publish(merged, days)
+    table.publish(table.read(t.spark).withColumn("value", -F.col("value")), days)
+    table.restore(t.spark, days)
+    return table.read(t.spark).select(*SILVER_COLUMNS)
+
+
 @query(
     "str11_clean_stream",
     "SELECT event_id, user_id, value, ts, CAST(ts AS DATE) AS dt FROM (" + DIRTY_SQL + ") WHERE user_id IS NOT NULL AND ts IS NOT NULL",
