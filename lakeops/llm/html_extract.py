@@ -50,8 +50,15 @@ NAMES = frozenset(
 #: Of these, what a part of an article may be about: inside an article they leave nothing out.
 TOPICS = frozenset(
     "discussion related legal notice notices reactions replies respond search disclaimer copyright alert consent cookie cookies "
-    "recommended recommendations advertising promotion navigation social menu comment skip".split()
+    "recommended recommendations advertising promotion navigation social menu skip".split()
 )
+#: What leaves a section inside an article out; other names may be what the section is about.
+SECTIONS = frozenset(
+    "ad ads adv advert adverts advertisement adsbox sponsor sponsored promo comment comments disqus newsletter gdpr breadcrumb breadcrumbs "
+    "sidebar sidebars navbar topbar masthead footer pagination pager subscribe share toc".split()
+)
+#: Elements that text flows through: they go with the element around them.
+FLOW = frozenset("p ul ol li dl dt dd pre blockquote table caption thead tbody tfoot tr td th figcaption".split()) | HEADINGS
 #: The same, but for those in front of an article only.
 HEAD_NAMES = frozenset(["header"])
 ARTICLE = frozenset("article main".split())
@@ -91,10 +98,13 @@ def _role(tag: str, attributes: str, in_article: bool) -> int:
     names = " ".join(found.get(k, "") for k in ("class", "id", "role")).split()
     words = {w for n in names if not re.match(r"(no|has|with|without|is|not)[-_]", n) for w in WORD.findall(n)}
     plain = NAMES
-    if tag in HEADINGS or in_article and tag == "section":
+    if tag in HEADINGS:
         plain = frozenset()
     elif in_article:
-        plain = NAMES - TOPICS
+        plain = SECTIONS if tag == "section" else NAMES - TOPICS
+        # "discussion" and "related-work" may be topics, "cookie-notice" is none.
+        if any(len(ws) > 1 and NAMES.issuperset(ws) for ws in map(WORD.findall, names)):
+            return -1
     if words & plain or "hidden" in names:
         return -1
     if words & HEAD_NAMES and not (in_article or tag in HEADINGS or words & ARTICLE_NAMES):
@@ -110,8 +120,12 @@ class _Page:
     def __init__(self, page: str):
         self.blocks: list[tuple[str, int, int, bool, bool]] = []
         self.paths: dict[tuple[int, str], int] = {}
+        # By path number: the path of the nearest element that is not one of FLOW.
+        self.around: list[int] = [0]
         # Open elements: tag, path number, article?, left out?
         self.open: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]
+        # Where elements of a tag are open, innermost last.
+        self.depths: dict[str, list[int]] = {}
         self.text: list[str] = []
         self.links = self.linked = 0
         at, end = 0, len(page)
@@ -151,8 +165,13 @@ class _Page:
 
     def _pop(self, depth: int) -> None:
         self._flush()
+        for tag, *_ in self.open[depth:]:
+            self.depths[tag].pop()
         del self.open[depth:]
 
+    def _innermost(self, tags: set[str]) -> int:
+        return max((self.depths[t][-1] for t in tags if self.depths.get(t)), default=0)
+
     def _start(self, tag: str, attributes: str) -> None:
         if tag in RAW:
             self.text.append(" ")
@@ -167,17 +186,17 @@ class _Page:
         if tag in VOID:
             return
         kinds, stops = ENDS.get(tag, ({"p"}, {"button", "table", "td", "th"}))
-        for depth in range(len(self.open) - 1, max(0, len(self.open) - 64), -1):
-            if self.open[depth][0] in stops:
-                break
-            if self.open[depth][0] in kinds:
-                self._pop(depth)
-                break
+        depth = self._innermost(kinds)
+        if depth > self._innermost(stops):
+            self._pop(depth)
         _, path, article, out = self.open[-1]
         role = _role(tag, attributes, article)
         names = " ".join(sorted(re.findall(r"class\s*=\s*[\"']?([A-Za-z_-]+)", attributes))) if attributes else ""
         number = self.paths.setdefault((path, f"{tag} {names}"), len(self.paths) + 1)
+        if number == len(self.around):
+            self.around.append(self.around[path] if tag in FLOW else number)
         if not attributes.rstrip().endswith("/"):
+            self.depths.setdefault(tag, []).append(len(self.open))
             self.open.append((tag, number, article or role > 0, out or role < 0))
         self.links = 0
 
@@ -187,11 +206,9 @@ class _Page:
                 self.links = 0
             return
         self._flush()
-        for depth in range(len(self.open) - 1, 0, -1):
-            if self.open[depth][0] == tag:
-                self._pop(depth)
-                self.links = 0
-                return
+        if depth := self._innermost({tag}):
+            self._pop(depth)
+            self.links = 0
 
 
 def _smoothed(x: np.ndarray) -> np.ndarray:
@@ -207,9 +224,12 @@ def main_text(page: str) -> str:
     page's blocks. If an article element holds half of these characters or more, membership
     is a factor of the score: blocks outside weigh OUTSIDE, and links inside take only half
     of their part away, so that lists of references may stay. The threshold is the same,
-    inside too. A heading goes with the block behind it.
+    inside too, but that an element of the article which holds content keeps its lists, code,
+    quotations, tables and short paragraphs, unless links are half of their path. A heading
+    goes with the block behind it.
     """
-    blocks = _Page(page).blocks
+    read = _Page(page)
+    blocks = read.blocks
     if not blocks:
         return ""
     path = np.array([b[1] for b in blocks])
@@ -232,6 +252,8 @@ def main_text(page: str) -> str:
     if chars[article].sum() >= 0.5 * chars[content].sum() and article.any():
         fused, mean = scores(np.where(article, 0.5, 1.0), np.where(article, 1.0, OUTSIDE))
         content = mean >= min(limit, fused.max())
+        around = np.array(read.around)[path]
+        content |= article & ~heading & (link_share < 0.5) & np.isin(around, around[content & article])
     for i in np.flatnonzero(heading[:-1])[::-1].tolist():
         content[i] = content[i] or content[i + 1] and link_share[i] < 0.8
     return "\n".join(b[0] for b, c in zip(blocks, content) if c)

@@ -73,3 +73,33 @@ def test_the_threshold_decides_inside_an_article():
 def test_headings_with_such_names_without_an_article_element():
     text = main_text(AROUND.format(f"<div>{LONG * 4}<h2 id='related-work'>Related work</h2>{LONG}<h2 class='notice'>Notice</h2>{LONG}</div>"))
     assert text.count("A paragraph") == 6 and "Related work" in text and "Notice" in text and "side bar" not in text
+
+
+def test_all_kinds_of_blocks_stay_in_an_article():
+    kinds = (
+        "<ul><li>one</li><li>two</li></ul><pre>x = 1</pre><blockquote><p>Said so</p></blockquote>"
+        "<table><tr><th>a</th><td>1</td></tr></table><dl><dt>term</dt><dd>its meaning</dd></dl>"
+    )
+    text = main_text(AROUND.format(f"<article>{LONG}{kinds}{LONG}</article>"))
+    want = ["one", "two", "x = 1", "Said so", "a", "1", "term", "its meaning"]
+    assert text.split("\n")[1:-1] == want and text.count("A paragraph") == 2
+
+
+@pytest.mark.parametrize(
+    "open_tag", ["section class='comments'", "div class='comment'", "div class='cookie-notice'", "section class='advert'", "div id='social-share'", "section class='cookie-consent'"]
+)
+def test_what_stands_in_an_article_and_is_no_part_of_it(open_tag):
+    tag = open_tag.split()[0]
+    other = f"<{open_tag}><p>I like it, so much, and would say so again. Great, thanks; until next time.</p></{tag}>"
+    text = main_text(AROUND.format(f"<article>{LONG * 3}{other}{LONG}</article>"))
+    assert text.count("A paragraph") == 4 and "like it" not in text
+
+
+def test_deep_pages_are_read_in_one_pass():
+    """Many open elements, with end tags of other names, end tags left out, and a paragraph far out that a block ends."""
+    n = 30_000
+    assert main_text("<div>" * n + "</section>" * n + "deep") == "deep"
+    assert main_text("<p><button>" + "<div>" * n + "x" * 50 + "</button>") == ""
+    inside = "<div>" * n
+    assert main_text(f"<ul><li>{'<span>a</span>' * 5}<ul>{'<li>b, c.' * n}</ul></ul>").count("b, c.") == n
+    assert main_text(f"<table><tr><td>a, b.{inside}<td>c, d.</table>") == "a, b.\nc, d."
