@@ -1,4 +1,4 @@
-"""Hierarchy walks: level, path and closure by breadth-first joins."""
+"""Hierarchies: walks level by level, forests by pointer doubling, closure of graphs."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeops.operators.skew import partial_salted_join
 from lakeops.session import scratch_root
 
 
@@ -54,22 +55,64 @@ def walk(
         found = found.unionAll(frontier)
 
 
+def forest(edges: DataFrame, child: str = "id", parent: str = "parent_id", sep: str = "/", paths: bool = True) -> DataFrame:
+    """(node, root, level, path) of every node of trees, in as many rounds as the depth has binary digits.
+
+    Every node points to an ancestor, and a round replaces that by the ancestor's own one, so
+    the distance doubles. Nodes named as parents only, without a parent, or their own
+    parent are roots of level 1. Nodes on a cycle longer than that, or below one, have a null root,
+    level and path. A node with two parents is refused: `walk` follows those. Paths take space by the
+    square of the depth; without `paths` there is no such column. Ancestors that many nodes point to are
+    salted, as they get hotter from round to round.
+    """
+    scratch_root(edges.sparkSession)
+    c, p = F.col(child), F.col(parent)
+    links = edges.filter(c.isNotNull()).select(c.alias("node"), F.when(c != p, p).alias("anc")).distinct().checkpoint()
+    up = links.filter("anc is not null")
+    twice = up.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("node").take(1)
+    if twice:
+        raise ValueError(f"{twice[0]['node']!r} has more than one parent")
+    # A null parent beside a real one says nothing.
+    ends = links.select("node").unionAll(up.select("anc")).distinct().join(up.select("node"), "node", "left_anti")
+    text = [F.col("node").cast("string").alias("path")] if paths else []
+    known = ends.select("node", F.col("node").alias("anc"), F.lit(1).cast("long").alias("steps"), F.lit(True).alias("done"), *text).checkpoint()
+    open_ = up.select("node", "anc", F.lit(1).cast("long").alias("steps"), F.lit(False).alias("done"), *text)
+    path = [F.concat_ws(sep, "__path", "path").alias("path")] if paths else []
+    while True:
+        there = known.unionAll(open_).select(
+            F.col("node").alias("anc"), F.col("anc").alias("__anc"), F.col("steps").alias("__steps"), F.col("done").alias("__done"),
+            *([F.col("path").alias("__path")] if paths else []),
+        )
+        moved = partial_salted_join(open_, there, "anc", ["node"], how="inner").select(
+            "node", F.col("__anc").alias("anc"), (F.col("steps") + F.col("__steps")).alias("steps"), F.col("__done").alias("done"), *path
+        )
+        moved = moved.checkpoint()
+        came, open_ = moved.filter("done"), moved.filter("not done")
+        # A tree has nodes at every distance up to its depth: where none came in, none is left in a tree.
+        if came.isEmpty():
+            break
+        known = known.unionAll(came)
+    lost = open_.select("node", F.lit(None), F.lit(None), *([F.lit(None)] if paths else []))
+    kept = ["path"] if paths else []
+    return known.select("node", F.col("anc").alias("root"), F.col("steps").alias("level"), *kept).unionAll(lost)
+
+
 def closure(edges: DataFrame, source: str, target: str, sources: Sequence[str] | None = None) -> DataFrame:
     """(source, target, hops) reachable pairs of a graph of tables, with the fewest hops.
 
-    From all sources, or those given. A round adds the pairs that are new, and the walk
-    ends when there are none.
+    From all sources, or those given. A round goes on from the pairs that are new only, and the
+    walk ends when there are none. Nodes that many of these pairs lead to are salted.
     """
     scratch_root(edges.sparkSession)
     step = edges.select(F.col(source).alias("source"), F.col(target).alias("target")).distinct().checkpoint()
-    hop = step.select(F.col("source").alias("__s"), F.col("target").alias("__t"))
+    hop = step.select(F.col("source").alias("target"), F.col("target").alias("__t"))
     frontier = step.withColumn("hops", F.lit(1).cast("long"))
     if sources is not None:
         frontier = frontier.filter(F.col("source").isin(list(sources)))
     known = frontier
     while True:
         reached = (
-            frontier.join(hop, F.col("target") == F.col("__s"))
+            partial_salted_join(frontier, hop, "target", ["source"], how="inner")
             .select("source", F.col("__t").alias("target"), (F.col("hops") + 1).alias("hops"))
             .distinct()
         )

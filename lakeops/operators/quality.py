@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lakeops.functions.nested import stable_hash
+
 FAILED = "failed_rules"
 
 
@@ -41,14 +43,28 @@ def split_rules(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, Dat
     return df.filter(_all_hold(rules)), bad
 
 
-def rule_metrics(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
-    """One row: input, good and failed rows and the failures of each rule, in one pass."""
-    return df.agg(
+def _metrics(rules: dict[str, Column]) -> list[Column]:
+    return [
         F.count(F.lit(1)).alias("input_rows"),
         F.count_if(_all_hold(rules)).alias("good_rows"),
         F.count_if(_fails(_all_hold(rules))).alias("dq_failed_rows"),
         *[F.count_if(_fails(ok)).alias(f"failed_{name}") for name, ok in rules.items()],
-    )
+    ]
+
+
+def rule_metrics(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """One row: input, good and failed rows and the failures of each rule, in one pass."""
+    return df.agg(*_metrics(rules))
+
+
+def observed_rules(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, Observation]:
+    """The frame, and the metrics of `rule_metrics` taken by the first action that reads all of it.
+
+    A task that runs again after a lost executor is counted again, so observed counts are a
+    report; to decide by them, compare them with what was written and count once more if they differ.
+    """
+    seen = Observation()
+    return df.observe(seen, *_metrics(rules)), seen
 
 
 def quarantine(bad: DataFrame, path: str, run_id: str, mode: str = "append") -> str:
@@ -101,6 +117,53 @@ def reconcile(source: DataFrame, target: DataFrame, keys: Sequence[str], measure
     return both.unionByName(keyed_rows).withColumn("ok", F.col("source_value").eqNullSafe(F.col("target_value")))
 
 
+def _signed(source: DataFrame, target: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Rows of both sides as (keys, __bucket, __side, __high, __low), the halves of a row's hash being positive or negative by side."""
+
+    def side(df: DataFrame, sign: int) -> DataFrame:
+        df = df.select(*source.columns)
+        # Hashes pass over nulls, so which columns are null is hashed as well.
+        row = F.xxhash64(stable_hash(df), *[F.col(f"`{c}`").isNull() for c in df.columns])
+        bucket = F.pmod(F.xxhash64(*keys, *[F.col(f"`{k}`").isNull() for k in keys]), F.lit(buckets))
+        high, low = F.shiftrightunsigned("__hash", 32) * sign, F.col("__hash").bitwiseAND(F.lit(0xFFFFFFFF)) * sign
+        marked = df.select(*keys, bucket.alias("__bucket"), row.alias("__hash"), F.lit(sign).alias("__side"))
+        return marked.select(*keys, "__bucket", "__side", high.alias("__high"), low.alias("__low"))
+
+    return side(source, 1).unionByName(side(target, -1))
+
+
+def _differs() -> Column:
+    return (F.sum("__side") != 0) | (F.sum("__high") != 0) | (F.sum("__low") != 0)
+
+
+def changed_rows(source: DataFrame, target: DataFrame, keys: Sequence[str], buckets: int = 65_536) -> DataFrame:
+    """(keys, change, source_rows, target_rows): the keys whose rows are not the same on both sides.
+
+    A key is missing, unexpected, there another number of times (count), or there with other values
+    (changed). Row hashes are summed per bucket of the key first, in any order: one row a bucket leaves
+    each task. Only rows of buckets whose sums differ are grouped by key, so equal tables cost two
+    scans and no shuffle of rows. Null keys are keys; copies of a row count. Columns are matched by
+    name and have to be of equal types. Different rows pass as equal with a chance of 2^-64 a key.
+    """
+    if {f.name: f.dataType for f in source.schema} != {f.name: f.dataType for f in target.schema}:
+        raise ValueError("the two sides have different columns or types")
+    rows = _signed(source, target, keys, buckets)
+    # At most one row a bucket.
+    open_ = rows.groupBy("__bucket").agg(_differs().alias("__open")).filter("__open").select("__bucket")
+    per_key = (
+        rows.join(F.broadcast(open_), "__bucket", "left_semi")
+        .groupBy(*keys)
+        .agg(_differs().alias("__open"), F.count_if(F.col("__side") > 0).alias("source_rows"), F.count_if(F.col("__side") < 0).alias("target_rows"))
+    )
+    change = (
+        F.when(F.col("target_rows") == 0, "missing")
+        .when(F.col("source_rows") == 0, "unexpected")
+        .when(F.col("source_rows") != F.col("target_rows"), "count")
+        .otherwise("changed")
+    )
+    return per_key.filter("__open").select(*keys, change.alias("change"), "source_rows", "target_rows")
+
+
 def schema_rows(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in schema], "column_name string, type string")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.functions.conditional import amount_bucket
@@ -18,6 +18,7 @@ from lakeops.operators.merge import Keyed, merge_partitions
 from lakeops.operators.quality import reconcile
 from lakeops.operators.skew import salted_totals
 from lakeops.operators.windows import top_n
+from lakeops.session import scratch_path
 from lakeops.streaming.gold import ChangeGold
 
 
@@ -52,20 +53,30 @@ def governed_day(
 ) -> DataFrame:
     """Read one day of Silver, compute its KPI, publish it, log the run, check what was written.
 
-    Returns the reconciliation; a disagreement fails the run and is logged as such.
+    Returns the reconciliation; a disagreement fails the run and is logged as such. The day is read
+    once: its rows and total are observed in the pass that computes the KPI, which is kept
+    in a scratch table. Only where they disagree with what was published, which a task that ran
+    twice may cause as well, is the day counted again.
     """
     # The partition column is of the day's own type, whatever the folders' names look like.
     types = spark.range(1).select(F.lit(day).alias(part_col)).schema
     with job_run(spark, log_path, "gold_kpi_daily", silver_path, gold_path) as run:
         fact = read_if_any(spark, silver_path, [part_col], types).filter(F.col(part_col) == F.lit(day))
-        result = star_kpi(fact, dims, [part_col, *keys], amount)
+        totals = [F.count(F.lit(1)).alias("t"), exact_sum(amount).alias("a")]
+        needed = {part_col, amount, *keys, *[d.fact_key for d in dims]}
+        seen, kept = Observation(), scratch_path(spark, "governed-day")
+        watched = fact.select(*[c for c in fact.columns if c in needed]).observe(seen, *totals)
+        star_kpi(watched, dims, [part_col, *keys], amount).write.parquet(kept)
+        result = spark.read.parquet(kept)
         publish_day(result, gold_path, part_col, day)
         published = read_if_any(spark, gold_path, [part_col], types).filter(F.col(part_col) == F.lit(day))
         snapshot_schema(spark, published.schema, "gold.kpi_daily", gold_path, registry)
         counts = published.agg(F.count(F.lit(1)).alias("n"), F.sum("txns").alias("t"), exact_sum("total_amount").alias("a")).first()
-        source = fact.agg(F.count(F.lit(1)).alias("t"), exact_sum(amount).alias("a")).first()
+        source, target = seen.get, (counts["t"] or 0, counts["a"])
+        if (source["t"], source["a"]) != target:
+            source = fact.agg(*totals).first()
         run.input_rows, run.output_rows = source["t"], counts["n"]
-        if (source["t"], source["a"]) != (counts["t"] or 0, counts["a"]):
+        if (source["t"], source["a"]) != target:
             raise RuntimeError(f"published totals differ: {source} and {counts}")
     return reconcile(
         result, published, [part_col, *keys], {"txns": F.sum("txns"), "total_amount": exact_sum("total_amount")}

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from lakeops.functions.money import exact_sum
 from lakeops.operators import skew
 from lakeops.operators.aggregate import kpi
-from lakeops.operators.hierarchy import walk
+from lakeops.operators.hierarchy import forest, walk
 from lakeops.operators.joins import Dim, bucketed_join, exists_in, fan_out, join_as, not_exists_in, prefixed, star_join
 from lakeops.operators.layout import buckets_for, write_bucketed
 from lakeops.queries.registry import HOT_SQL, Tables, avg_sql, hot_orders, query, sum_sql
@@ -215,3 +215,27 @@ def _(t):
     )
     found = walk(edges, region.select("r_name"))
     return found.groupBy(F.col("level").cast("int").alias("level")).agg(F.count(F.lit(1)).alias("n_nodes"))
+
+
+@query(
+    "jon21_forest",
+    """WITH o AS (SELECT o_orderkey AS node, CASE WHEN min(o_orderkey) OVER (PARTITION BY o_orderkey % 4) = o_orderkey THEN NULL ELSE o_orderkey - 4 END AS parent_id FROM orders)
+       SELECT node, CASE WHEN node % 4 <> 3 THEN first_value(node) OVER w END AS root, CASE WHEN node % 4 <> 3 THEN row_number() OVER w END AS level
+       FROM o WINDOW w AS (PARTITION BY node % 4 ORDER BY node)""",
+)
+def _(t):
+    """Four chains through all orders, each a quarter of them deep; one ends in a cycle."""
+    k = F.col("o_orderkey")
+    first = t.orders.agg(F.min("o_orderkey")).first()[0]
+    up = F.when(k - 4 >= first, k - 4).when(k % 4 == 3, k + 4)
+    return forest(t.orders.select(k.alias("id"), up.alias("parent_id")), paths=False)
+
+
+@query(
+    "jon21_forest_paths",
+    """SELECT c_custkey AS node, CAST(0 AS BIGINT) AS root, len(up) + 1 AS level, '0' || array_to_string(['/' || CAST(x AS VARCHAR) for x in list_reverse(up)], '') AS path
+       FROM (SELECT c_custkey, [c_custkey >> i for i in range(40) if c_custkey >> i > 0] AS up FROM customer)""",
+)
+def _(t):
+    """The customers of `jon21_hierarchy`, with their paths, by doubling."""
+    return forest(t.customer.select(F.col("c_custkey").alias("id"), F.floor(F.col("c_custkey") / 2).alias("parent_id")))

@@ -6,7 +6,7 @@ from lakeops.functions.money import exact_sum
 from lakeops.operators import governance as gov
 from lakeops.operators import quality as dq
 from lakeops.operators import skew
-from lakeops.queries.registry import HOT_SQL, hot_orders, query, sum_sql
+from lakeops.queries.registry import HOT_SQL, ORACLES, hot_orders, query, sum_sql
 from lakeops.queries.streams import DIRTY_SQL, dirty, rules
 
 FAILED_SQL = """concat_ws(',', CASE WHEN user_id IS NULL THEN 'user_id_not_null' END, CASE WHEN ts IS NULL THEN 'ts_not_null' END,
@@ -33,6 +33,15 @@ def _(t):
     return dq.rule_metrics(dirty(t), rules())
 
 
+@query("dq02_observed_by_the_write", ORACLES["dq02_metrics"])
+def _(t):
+    """The same metrics, taken by the pass that writes the good rows and the others."""
+    rows, seen = dq.observed_rules(dirty(t), rules())
+    good = dq._all_hold(rules())
+    rows.withColumn("good", F.coalesce(good, F.lit(False))).write.partitionBy("good").parquet(t.scratch("observed"))
+    return t.spark.createDataFrame([seen.get])
+
+
 @query("dq03_quarantine", f"SELECT event_id, {FAILED_SQL} AS failed, 'run-1' AS run_id FROM ({DIRTY_SQL}) WHERE {FAILED_SQL} <> ''")
 def _(t):
     _, bad = dq.split_rules(dirty(t), rules())
@@ -60,6 +69,23 @@ def _(t):
     return dq.reconcile(source, target, ["o_orderkey"], {"amount": exact_sum("o_totalprice")})
 
 
+@query(
+    "dq04_changed_rows",
+    """SELECT o_orderkey, 'missing' AS change, CAST(1 AS BIGINT) AS source_rows, CAST(0 AS BIGINT) AS target_rows FROM orders WHERE o_orderkey % 100 = 3
+       UNION ALL SELECT o_orderkey, 'changed', 1, 1 FROM orders WHERE o_orderkey % 500 IN (7, 9)
+       UNION ALL SELECT o_orderkey, 'count', 1, 2 FROM orders WHERE o_orderkey % 50 = 0
+       UNION ALL SELECT -1 - o_orderkey, 'unexpected', 0, 1 FROM orders WHERE o_orderkey % 200 = 0""",
+)
+def _(t):
+    """A copy of the orders with rows lost, doubled and added, prices changed and statuses lost."""
+    k = F.col("o_orderkey")
+    source = t.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    price = F.when(k % 500 == 7, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    kept = source.withColumns({"o_totalprice": price, "o_orderstatus": F.when(k % 500 != 9, F.col("o_orderstatus"))}).filter(k % 100 != 3)
+    added = source.filter(k % 200 == 0).withColumn("o_orderkey", -1 - k)
+    return dq.changed_rows(source, kept.unionByName(source.filter(k % 50 == 0)).unionByName(added), ["o_orderkey"])
+
+
 @query(
     "dq05_schema_drift",
     """SELECT * FROM (VALUES ('o_orderpriority', 'string', NULL, 'removed'), ('o_custkey', 'bigint', 'string', 'retyped'), ('channel', NULL, 'string', 'added')) v(column_name, old_type, new_type, change)
@@ -165,6 +191,23 @@ def _(t):
 )
 def _(t):
     """Runs logged per event: raw by type, bronze by user, silver by group of users, gold. Failed runs make no edge."""
+    return gov.lineage(event_runs(t))
+
+
+@query(
+    "gov04_lineage_from_tables",
+    """WITH RECURSIVE e AS (SELECT DISTINCT * FROM (
+         SELECT 'raw_' || event_type AS s, 'bronze_' || user_id AS t FROM events WHERE event_id % 13 <> 0 UNION ALL SELECT 'bronze_' || user_id, 'silver_' || user_id % 10 FROM events WHERE event_id % 13 <> 0
+         UNION ALL SELECT 'silver_' || user_id % 10, 'gold' FROM events WHERE event_id % 13 <> 0)),
+       w AS (SELECT s, t, CAST(1 AS BIGINT) AS hops FROM e WHERE s IN ('raw_click', 'bronze_7', 'no such table') UNION SELECT w.s, e.t, hops + 1 FROM w JOIN e ON w.t = e.s)
+       SELECT s AS source, t AS target, min(hops) AS hops FROM w GROUP BY s, t""",
+)
+def _(t):
+    """What depends on the named tables, by the runs of `gov04_lineage`; the walk starts at these tables only."""
+    return gov.lineage(event_runs(t), ["raw_click", "bronze_7", "no such table"])
+
+
+def event_runs(t):
     u = F.col("user_id")
     status = F.when(F.col("event_id") % 13 == 0, "FAILED").otherwise("SUCCESS").alias("status")
 
@@ -173,5 +216,4 @@ def _(t):
 
     bronze = F.concat(F.lit("bronze_"), u.cast("string"))
     silver = F.concat(F.lit("silver_"), (u % 10).cast("string"))
-    runs = edge(F.concat(F.lit("raw_"), "event_type"), bronze).unionAll(edge(bronze, silver)).unionAll(edge(silver, F.lit("gold")))
-    return gov.lineage(runs)
+    return edge(F.concat(F.lit("raw_"), "event_type"), bronze).unionAll(edge(bronze, silver)).unionAll(edge(silver, F.lit("gold")))

@@ -221,3 +221,42 @@ def test_totals_without_salts_need_one_exchange(spark):
     df = spark.range(1000).select("id", (F.col("id") % 3).alias("k"), F.lit(0.25).alias("x"))
     text = plan(skew.salted_totals(df, ["k"], "x", ["id"]))
     assert text.count("hashpartitioning") == 1
+
+
+def test_forest_doubles_its_pointers(spark, monkeypatch):
+    from lakeops.operators import hierarchy
+
+    rounds = []
+
+    def counted(*args, **kwargs):
+        rounds.append(1)
+        return skew.partial_salted_join(*args, **kwargs)
+
+    monkeypatch.setattr(hierarchy, "partial_salted_join", counted)
+    n = 100_000
+    chain = spark.range(1, n).select("id", (F.col("id") - 1).alias("parent_id"))
+    got = hierarchy.forest(chain, paths=False)
+    assert got.agg(F.count(F.lit(1)), F.max("level"), F.max("root"), F.count_if(F.col("level") != F.col("node") + 1)).first() == (n, n, 0, 0)
+    assert len(rounds) < 20
+
+
+def test_forest_of_roots_stars_cycles_and_repeated_rows(spark):
+    from lakeops.operators.hierarchy import forest
+
+    edges = [("b", "a"), ("b", "a"), ("c", "b"), ("r", None), ("s", "s"), ("t", "s"), ("x", "y"), ("y", "z"), ("z", "x"), ("w", "x"), (None, "a"), ("b", None)]
+    edges += [(f"leaf{i}", "c") for i in range(300)]
+    got = {r["node"]: tuple(r)[1:] for r in forest(spark.createDataFrame(edges, "id string, parent_id string")).collect()}
+    want = {"a": ("a", 1, "a"), "b": ("a", 2, "a/b"), "c": ("a", 3, "a/b/c"), "r": ("r", 1, "r"), "s": ("s", 1, "s"), "t": ("s", 2, "s/t")}
+    want |= {k: (None, None, None) for k in "wxyz"} | {f"leaf{i}": ("a", 4, f"a/b/c/leaf{i}") for i in range(300)}
+    assert got == want
+    assert forest(spark.createDataFrame([], "id string, parent_id string")).count() == 0
+    with pytest.raises(ValueError, match="more than one parent"):
+        forest(spark.createDataFrame([("b", "a"), ("b", "c")], "id string, parent_id string"))
+
+
+def test_closure_from_named_nodes_with_a_hot_one(spark):
+    edges = [(f"s{i}", "hub") for i in range(400)] + [("hub", f"t{i}") for i in range(5)] + [("t0", "s0"), ("s0", "hub")]
+    got = rows(closure(spark.createDataFrame(edges, "a string, b string"), "a", "b", ["s0", "s1", "none"]))
+    want = {("s0", "hub", 1), ("s1", "hub", 1), ("s0", "s0", 3), ("s1", "s0", 3)}
+    want |= {(s, f"t{i}", 2) for s in ("s0", "s1") for i in range(5)}
+    assert got == sorted(want, key=repr)

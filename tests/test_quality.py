@@ -141,3 +141,56 @@ def test_error_text_is_logged_whole(spark, folder):
     with gov.job_run(spark, log, "a b/c", "s", "t", 7):
         pass
     assert gov.batch_done(spark, log, "a b/c", 7) and not gov.batch_done(spark, log, "a b/c", 8)
+
+
+def test_observed_rules_are_those_of_the_write(dirty, folder):
+    watched, seen = dq.observed_rules(dirty, rules())
+    watched.write.parquet(folder())
+    assert seen.get == dq.rule_metrics(dirty, rules()).first().asDict()
+    none, seen = dq.observed_rules(dirty.limit(0), rules())
+    none.write.parquet(folder())
+    assert set(seen.get.values()) == {0}
+
+
+def test_changed_rows_names_what_differs(spark):
+    kind = "k int, a string, b string"
+    source = [(1, "x", None), (2, None, "y"), (3, "z", "z"), (3, "z", "z"), (4, "q", "q"), (None, "n", "n"), (5, "p", "r"), (5, "s", "t"), (6, "same", None)]
+    # Key 1 has its value in the other column, 5 has the same rows in another order.
+    target = [(1, None, "x"), (2, None, "y"), (3, "z", "z"), (None, "n", None), (5, "s", "t"), (5, "p", "r"), (7, "new", "n"), (6, "same", None)]
+    a, b = spark.createDataFrame(source, kind), spark.createDataFrame(target, kind)
+    want = [(1, "changed", 1, 1), (3, "count", 2, 1), (4, "missing", 1, 0), (7, "unexpected", 0, 1), (None, "changed", 1, 1)]
+    for buckets in (1, 7, 65_536):
+        assert rows(dq.changed_rows(a, b.select("b", "k", "a"), ["k"], buckets)) == sorted(want, key=repr)
+    assert dq.changed_rows(a, a.repartition(3), ["k"]).count() == 0 and dq.changed_rows(a.limit(0), a.limit(0), ["k"]).count() == 0
+    with pytest.raises(ValueError):
+        dq.changed_rows(a, b.drop("b"), ["k"])
+    with pytest.raises(ValueError):
+        dq.changed_rows(a, b.withColumn("k", F.col("k").cast("long")), ["k"])
+
+
+def test_changed_rows_shuffles_rows_of_open_buckets_only(spark):
+    text = plan(dq.changed_rows(spark.range(1000).selectExpr("id", "id * 2 AS v"), spark.range(1000).selectExpr("id", "id * 2 AS v"), ["id"]))
+    # Rows meet the few open buckets before the exchange by key.
+    assert "BroadcastHashJoin LeftSemi" in text and "SortMergeJoin" not in text
+
+
+def test_governed_day_reads_its_day_once(spark, folder, monkeypatch):
+    from pyspark.sql import Observation
+
+    from lakeops.plans.kpi import governed_day
+
+    silver, registry, log = folder("silver"), folder("registry"), folder("log")
+    day = spark.range(100).selectExpr("'d1' AS dt", "id % 3 AS k", "CAST(id AS DOUBLE) AS amount", "id AS other")
+    day.write.partitionBy("dt").parquet(silver)
+
+    def run(gold):
+        return governed_day(spark, silver, gold, "d1", [], ["k"], "amount", log, registry)
+
+    again = []
+    count = type(day).agg
+    monkeypatch.setattr(type(day), "agg", lambda df, *a: (again.append(1) if "other" in df.columns else None, count(df, *a))[1])
+    assert all(r["ok"] for r in run(folder("gold")).collect()) and not again
+    # What tasks that ran twice would report: the day is counted again, and the run succeeds.
+    monkeypatch.setattr(Observation, "get", property(lambda _: {"t": 101, "a": 1.0}))
+    assert all(r["ok"] for r in run(folder("gold")).collect()) and len(again) == 1
+    assert [r["input_rows"] for r in gov.runs(spark, log).collect()] == [100, 100]
