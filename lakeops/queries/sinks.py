@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lakeops.functions.money import exact_sum
 from lakeops.operators import layout
+from lakeops.operators.compaction import compact_small, files_of
 from lakeops.queries.registry import MONTH_SQL, Tables, by_month, query, sum_sql
 from lakeops.queries.scans import BATCH, drained, write_events
 from lakeops.session import shuffle_partitions
@@ -125,6 +126,25 @@ def _(t):
     return audit.select("n_rows", (F.col("n_files") <= 2 * planned).alias("as_planned"))
 
 
+@query(
+    "snk09_selective_compaction",
+    f"SELECT month, count(*) AS n_rows, CAST(1 AS BIGINT) AS n_files, month < DATE '1996-01-01' OR count(DISTINCT odd) = 1 AS same_file FROM (SELECT {MONTH_SQL} AS month, o_orderkey % 2 AS odd FROM orders) GROUP BY month",
+)
+def _(t):
+    """Months before 1996 in one file each, later ones in two, by odd and even keys: these are written together, the others stay as they are."""
+    rows, path = by_month(t.orders), t.scratch("selective")
+    old = F.col("month") < F.lit("1996-01-01").cast("date")
+    rows.filter(old).repartition("month").write.partitionBy("month").parquet(path)
+    for odd in (0, 1):
+        rows.filter(~old & (F.col("o_orderkey") % 2 == odd)).repartition("month").write.mode("append").partitionBy("month").parquet(path)
+    before = files_of(t.spark, path).select("file").checkpoint()
+    compact_small(t.spark, path)
+    folder = F.to_date(F.regexp_extract("folder", "month=([0-9-]+)", 1)).alias("month")
+    after = files_of(t.spark, path).join(before.withColumn("__was", F.lit(True)), "file", "left")
+    per_month = after.groupBy(folder).agg(F.count(F.lit(1)).alias("n_files"), F.bool_and(F.col("__was").isNotNull()).alias("same_file"))
+    return t.spark.read.parquet(path).groupBy("month").agg(F.count(F.lit(1)).alias("n_rows")).join(per_month, "month")
+
+
 @query(
     "snk10_dynamic_overwrite",
     f"""SELECT o_orderkey, {MONTH_SQL} AS month,

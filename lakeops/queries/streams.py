@@ -19,6 +19,7 @@ from lakeops.sources import streams
 from lakeops.streaming import dedup
 from lakeops.streaming.envelope import CORRUPT, clean, parse_envelope, to_envelope
 from lakeops.streaming.gold import ChangeGold
+from lakeops.streaming.late import DELAY, LateSplit
 from lakeops.streaming.silver import Upsert, gold_refresh, raw_and_clean
 from lakeops.streaming.sinks import append_stream, batch_stream, drain
 
@@ -199,6 +200,25 @@ def _(t):
     return t.spark.read.parquet(path).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
+@query(
+    "str06_late_kept_aside",
+    """SELECT event_id, ts, event_id % 6 = 0 AND ts < mark AS late,
+        CASE WHEN event_id % 6 = 0 AND ts < mark THEN CAST(epoch_us(mark) - epoch_us(ts) AS DOUBLE) / CAST(1000000 AS DOUBLE) END AS late_by_seconds
+       FROM events, (SELECT max(ts) - INTERVAL 3 DAY AS mark FROM events WHERE event_id % 6 <> 0)""",
+)
+def _(t):
+    """Every sixth event comes last, as in `str06_late_data`; what is behind the watermark is kept aside with its delay."""
+    rows, accepted = t.events.select("event_id", "ts"), t.scratch("accepted")
+
+    def sink(df, batch_id):
+        df.write.mode("overwrite").parquet(f"{accepted}/batch_id={batch_id}")
+
+    split = LateSplit("ts", 3 * 86_400, t.scratch("notes"), t.scratch("aside"), sink)
+    feed(t, [rows.filter("event_id % 6 <> 0"), rows.filter("event_id % 6 = 0")], lambda s, ck: batch_stream(s, split, ck))
+    kept = t.spark.read.parquet(accepted).select("event_id", "ts", F.lit(False).alias("late"), F.lit(None).cast("double").alias(DELAY))
+    return kept.unionByName(split.late_rows(t.spark).select("event_id", "ts", F.lit(True).alias("late"), DELAY))
+
+
 @query("str07_silver_upsert", SILVER_SQL)
 def _(t):
     """Bad rows split off, newest version per key; a correction past midnight moves its key to the next day."""

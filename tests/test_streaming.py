@@ -177,3 +177,60 @@ def test_rows_do_not_depend_on_micro_batches(spark, monkeypatch, name):
     monkeypatch.setattr(streams, "BATCH", 1)  # a file a batch
     verdict = compare(QUERIES[name](spark, SF).toArrow(), duck(SF).sql(ORACLES[name]).to_arrow_table())
     assert verdict.startswith("ok"), verdict
+
+
+def test_late_rows_are_kept_aside_for_any_micro_batches(spark, folder):
+    """Accepted and late rows together are the input, by the greatest time of earlier batches."""
+    from datetime import datetime, timedelta, timezone
+
+    from lakeops.streaming.late import DELAY, LateSplit
+
+    zero = datetime(2026, 1, 1, tzinfo=timezone.utc)
+    # Seconds after zero; a null, and times exactly at the watermark and just behind it.
+    times = [0, 100, 95, 90, 89, None, 300, 10, 290, 289, 100, 300, 299]
+    data = [(i, None if s is None else zero + timedelta(seconds=s)) for i, s in enumerate(times)]
+    for size in (1, 3, 13):
+        out, notes, aside = folder("out"), folder("notes"), folder("aside")
+
+        def sink(df, batch_id, out=out):
+            df.write.mode("overwrite").parquet(f"{out}/b={batch_id}")
+
+        split = LateSplit("ts", 10, notes, aside, sink)
+        want, greatest = {}, None
+        for n, at in enumerate(range(0, len(data), size)):
+            part = data[at : at + size]
+            for i, _ in part:
+                s = times[i]
+                late = greatest is not None and s is not None and s < greatest - 10
+                want[i] = float(greatest - 10 - s) if late else None
+            greatest = max([s for s in times[: at + size] if s is not None], default=None)
+            batch = spark.createDataFrame(part, "id int, ts timestamp")
+            for _ in range(2 if n in (1, 2) else 1):
+                split(batch, n)
+        late = {r["id"]: r[DELAY] for r in split.late_rows(spark).collect()}
+        kept = [r["id"] for r in spark.read.parquet(out).collect()]
+        assert sorted([*kept, *late]) == list(range(len(data)))
+        assert late == {i: d for i, d in want.items() if d is not None}
+
+
+def test_late_split_forgets_old_notes_and_a_batch_cut_off(spark, folder, monkeypatch):
+    from lakeops.streaming import late as module
+
+    monkeypatch.setattr(module, "_KEPT", 1)
+    calls = []
+
+    def sink(df, batch_id):
+        calls.append(df.count())
+        if calls == [1, 1, 0]:
+            raise OSError("cut off")
+
+    split = module.LateSplit("ts", 0, folder("notes"), folder("aside"), sink)
+    days = [spark.sql(f"SELECT TIMESTAMP'2026-01-0{d} 00:00:00' AS ts") for d in (1, 3, 2, 4)]
+    split(days[0], 0)
+    split(days[1], 1)
+    with pytest.raises(OSError):
+        split(days[2], 2)
+    split(days[2], 2)
+    split(days[3], 3)
+    assert calls == [1, 1, 0, 0, 1] and [r[module.DELAY] for r in split.late_rows(spark).collect()] == [86400.0]
+    assert sorted(split._batches(spark)) == [2, 3]
