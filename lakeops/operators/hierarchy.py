@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.operators.skew import partial_salted_join
-from lakeops.session import scratch_root
+from lakeops.session import scratch_path, scratch_root, sibling_session
 
 
 def walk(
@@ -64,8 +64,15 @@ def forest(edges: DataFrame, child: str = "id", parent: str = "parent_id", sep:
     level and path. A node with two parents is refused: `walk` follows those. Paths take space by the
     square of the depth; without `paths` there is no such column. Ancestors that many nodes point to are
     salted, as they get hotter from round to round.
+
+    The rounds are partitions of one table in the shared folder, read anew by each: a plan is as long
+    as one round's, and its sizes are those of files. Of a checkpoint Spark keeps the size estimated by the plan
+    that made it, for a join the product of both sides': a number whose digits double with every round.
     """
-    scratch_root(edges.sparkSession)
+    spark = edges.sparkSession
+    table = scratch_path(spark, "forest")
+    # Estimated by its files a side would be broadcast through the driver, though its rows are many times longer there.
+    tuned = sibling_session(spark, spark__sql__autoBroadcastJoinThreshold="-1")
     c, p = F.col(child), F.col(parent)
     links = edges.filter(c.isNotNull()).select(c.alias("node"), F.when(c != p, p).alias("anc")).distinct().checkpoint()
     up = links.filter("anc is not null")
@@ -75,26 +82,40 @@ def forest(edges: DataFrame, child: str = "id", parent: str = "parent_id", sep:
     # A null parent beside a real one says nothing.
     ends = links.select("node").unionAll(up.select("anc")).distinct().join(up.select("node"), "node", "left_anti")
     text = [F.col("node").cast("string").alias("path")] if paths else []
-    known = ends.select("node", F.col("node").alias("anc"), F.lit(1).cast("long").alias("steps"), F.lit(True).alias("done"), *text).checkpoint()
-    open_ = up.select("node", "anc", F.lit(1).cast("long").alias("steps"), F.lit(False).alias("done"), *text)
+    state = ["node", "anc", "steps", *(["path"] if paths else [])]
+    known = ends.select("node", F.col("node").alias("anc"), F.lit(1).cast("long").alias("steps"), *text, F.lit(True).alias("done"))
+    open_ = up.select("node", "anc", F.lit(1).cast("long").alias("steps"), *text, F.lit(False).alias("done"))
+    # A side without rows still gives the table its types.
+    schema = known.unionAll(open_).withColumn("round", F.lit(0)).schema
     path = [F.concat_ws(sep, "__path", "path").alias("path")] if paths else []
+
+    def keep(moved: DataFrame, number: int) -> None:
+        moved.select(*state, "done", F.lit(number).alias("round")).write.mode("append").partitionBy("round", "done").parquet(table)
+
+    def read(session: SparkSession) -> DataFrame:
+        return session.read.schema(schema).parquet(table)
+
+    keep(known.unionAll(open_), 0)
+    number = 0
     while True:
-        there = known.unionAll(open_).select(
+        now = read(tuned)
+        there = now.filter(F.col("done") | (F.col("round") == number)).select(
             F.col("node").alias("anc"), F.col("anc").alias("__anc"), F.col("steps").alias("__steps"), F.col("done").alias("__done"),
             *([F.col("path").alias("__path")] if paths else []),
         )
+        open_ = now.filter((F.col("round") == number) & ~F.col("done")).select(*state)
         moved = partial_salted_join(open_, there, "anc", ["node"], how="inner").select(
-            "node", F.col("__anc").alias("anc"), (F.col("steps") + F.col("__steps")).alias("steps"), F.col("__done").alias("done"), *path
+            "node", F.col("__anc").alias("anc"), (F.col("steps") + F.col("__steps")).alias("steps"), *path, F.col("__done").alias("done")
         )
-        moved = moved.checkpoint()
-        came, open_ = moved.filter("done"), moved.filter("not done")
+        number += 1
+        keep(moved, number)
         # A tree has nodes at every distance up to its depth: where none came in, none is left in a tree.
-        if came.isEmpty():
+        if read(tuned).filter((F.col("round") == number) & F.col("done")).isEmpty():
             break
-        known = known.unionAll(came)
-    lost = open_.select("node", F.lit(None), F.lit(None), *([F.lit(None)] if paths else []))
+    found = read(spark)
+    lost = found.filter((F.col("round") == number) & ~F.col("done")).select("node", F.lit(None), F.lit(None), *([F.lit(None)] if paths else []))
     kept = ["path"] if paths else []
-    return known.select("node", F.col("anc").alias("root"), F.col("steps").alias("level"), *kept).unionAll(lost)
+    return found.filter("done").select("node", F.col("anc").alias("root"), F.col("steps").alias("level"), *kept).unionAll(lost)
 
 
 def closure(edges: DataFrame, source: str, target: str, sources: Sequence[str] | None = None) -> DataFrame:

@@ -261,3 +261,21 @@ def test_closure_from_named_nodes_with_a_hot_one(spark):
     want = {("s0", "hub", 1), ("s1", "hub", 1), ("s0", "s0", 3), ("s1", "s0", 3)}
     want |= {(s, f"t{i}", 2) for s in ("s0", "s1") for i in range(5)}
     assert got == sorted(want, key=repr)
+
+
+def test_forest_reads_each_round_with_the_sizes_of_its_files(spark, monkeypatch):
+    """Estimates of one round must not be factors of the next one's: they had twice the digits every round."""
+    from lakeops.operators import hierarchy
+
+    seen = []
+
+    def measured(fact, dim, *args, **kwargs):
+        seen.append([(q.stats().sizeInBytes().bit_length(), q.collectLeaves().size()) for q in (x._jdf.queryExecution().optimizedPlan() for x in (fact, dim))])
+        return skew.partial_salted_join(fact, dim, *args, **kwargs)
+
+    monkeypatch.setattr(hierarchy, "partial_salted_join", measured)
+    chain = spark.range(1, 600).select("id", (F.col("id") - 1).alias("parent_id"))
+    got = hierarchy.forest(chain)
+    assert got.filter("level = node + 1 AND root = 0 AND size(split(path, '/')) = level").count() == 600
+    assert len(seen) == 11 and all(bits < 64 and leaves == 1 for round_ in seen for bits, leaves in round_)
+    assert got.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold") == spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
