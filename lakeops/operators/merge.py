@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lakeops.functions.nested import stable_hash
 from lakeops.operators.joins import broadcast_checked
 from lakeops.operators.key_index import AT, GONE, KeyIndex, same_key
 from lakeops.operators.layout import (
@@ -24,6 +25,8 @@ from lakeops.operators.windows import latest
 from lakeops.session import scratch_root
 
 RANK = "__source_rank"
+#: True for rows whose key is among the updates.
+UPDATED = "__updated"
 #: In a frame of changes: -1 for a version that leaves the table, 1 for one that enters it.
 SIGN = "__sign"
 
@@ -81,7 +84,8 @@ def merge_partitions(
 
     Rows of touched partitions whose key is not in the updates pass through an anti join
     against the updates' keys and are not shuffled when those keys are few: the tasks that
-    scan them write them. Columns that either side lacks are null there, and none is
+    scan them write them. With many keys whole rows are shuffled by key once, for the newest
+    versions and the other rows together. Columns that either side lacks are null there, and none is
     dropped. `deleted` marks change rows that remove their key (no trace of the key is
     kept, so an older version that arrives after its delete counts as new). Touched
     partitions are replaced by one dynamic overwrite, then those with nothing left are
@@ -108,13 +112,16 @@ def merge_partitions(
             overwrite_partitions(kept, table.path, parts)
             return touched
         columns = target.columns + [c for c in fresh.columns if c not in target.columns]
-        keys_side = broadcast_checked(fresh.select(*table.keys))
+        slim = fresh.select(*table.keys)
+        keys_side = broadcast_checked(slim)
         if key_stays_in_partition:
             candidates = partition_values(fresh, parts)
         else:
             # Keys only, and only their range: whole rows are read from the partitions found.
             probe = target.filter(_key_range(fresh, table.keys)).select(*table.keys, *parts)
             candidates = partition_values(same_key(probe, keys_side, table.keys, "left_semi"), parts)
+            if keys_side is slim and changes is None:
+                return _merge_shuffled(table, target, fresh, candidates, deleted, before_commit)
         scope = target.filter(in_partitions(candidates))
         scratch_root(spark)
         with reused(same_key(scope, keys_side, table.keys, "left_semi")) as held:
@@ -141,6 +148,46 @@ def merge_partitions(
     return touched
 
 
+def _merge_shuffled(
+    table: Keyed,
+    target: DataFrame,
+    fresh: DataFrame,
+    was: list[dict],
+    deleted: Column | None,
+    before_commit: Callable[[list[dict]], None] | None,
+) -> list[dict]:
+    """`merge_partitions` for updates that are too many to broadcast; `was` are all partitions that hold one of their keys.
+
+    One window by key over those partitions and the updates finds the newest versions, and lets the rows of
+    other keys through as they are. Its rows are read before the table's files are replaced, and not
+    afterwards, so they need no checkpoint.
+    """
+    parts = list(table.part_cols)
+    columns = target.columns + [c for c in fresh.columns if c not in target.columns]
+    old, new = target.filter(in_partitions(was)).withColumn(RANK, F.lit(0)), fresh.withColumn(RANK, F.lit(1))
+    both = old.unionByName(new, allowMissingColumns=True)
+    # The order of `merge_versions`.
+    by_key = Window.partitionBy(*table.keys).orderBy(*[F.col(c).desc_nulls_last() for c in table.order], F.col(RANK).desc(), stable_hash(both).desc())
+    whole = by_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    numbered = both.withColumns({UPDATED: F.max(RANK).over(whole) == 1, "__n": F.row_number().over(by_key)})
+    with reused(numbered.filter(~F.col(UPDATED) | (F.col("__n") == 1)).drop(RANK, "__n")) as rows:
+        left = rows.filter(~F.col(UPDATED) | ~F.coalesce(deleted, F.lit(False))) if deleted is not None else rows
+        now = partition_values(left.filter(UPDATED), parts)
+        touched = now + [v for v in was if v not in now]
+        if not touched:
+            return []
+        if before_commit:
+            before_commit(touched)
+        at_risk = [v for v in was if v not in now]
+        alive = partition_values(left.filter(in_partitions(at_risk)), parts) if at_risk else []
+        # No key of the updates is there yet.
+        others = target.filter(in_partitions([v for v in now if v not in was]))
+        merged = left.drop(UPDATED).unionByName(others, allowMissingColumns=True).select(*columns)
+        overwrite_partitions(merged, table.path, parts)
+    empty_partitions(target, table.path, [v for v in at_risk if v not in alive])
+    return touched
+
+
 def _merge_indexed(
     spark: SparkSession,
     table: Keyed,

@@ -137,3 +137,39 @@ def test_columns_once_added_stay(spark, folder):
     merge_partitions(spark, t, spark.createDataFrame([(1, 3, "01"), (3, 2, "02")], plain))
     got = t.read(spark, spark.createDataFrame([], plain).schema)
     assert rows(got.select("id", "seq", "p", "extra")) == [(1, 3, "01", None), (2, 2, "01", "new"), (3, 2, "02", None)]
+
+
+def test_many_updates_shuffle_whole_rows_once_with_the_same_result(spark, folder, monkeypatch):
+    """Updates that are not broadcast: one join, of keys only, then one window; the table and the touched days are those of the other way."""
+    from lakeops.operators import merge
+
+    few, joined = merge.broadcast_checked, []
+
+    def counted(*args):
+        joined.append(1)
+        return same_key(*args)
+
+    same_key = merge.same_key
+    monkeypatch.setattr(merge, "same_key", counted)
+    base = [(i, f"a{i}", f"2024-01-{i % 9 + 1:02}", 1, f"d{i % 5}") for i in range(40)] + [(None, "a", "2024-01-01", 1, "d1"), (90, "alone", "2024-01-01", 1, "d8")]
+    # Newer, equal and older versions, moves to another and to a new day, a day that empties, deletes, new keys, a null key.
+    changes = [(i, f"b{i}", f"2024-01-{(i * 7) % 12 + 1:02}", i % 3, f"d{(i % 5 + (i % 4 == 0) * 2) if i % 11 else 7}") for i in range(0, 60, 2)]
+    changes += [(None, "b", "2024-01-02", 1, "d2"), (90, "gone", "2024-02-01", 1, "d8"), (3, "gone", "2024-02-01", 1, "d3"), (77, "gone", "2024-02-01", 1, "d3")]
+    found, told = [], []
+    for way in (few, lambda df: df):
+        monkeypatch.setattr(merge, "broadcast_checked", way)
+        t = Keyed(folder("silver"), ["id"], ["event_ts", "ingest_ts"], ["dt"])
+        merge_partitions(spark, t, spark.createDataFrame(base, SCHEMA))
+        # A row that came in twice by another way: its key is not in the updates, so both stay.
+        twice = [(91, "x", "2024-01-01", 1), (91, "x", "2024-01-01", 1)]
+        spark.createDataFrame(twice, "id long, v string, event_ts string, ingest_ts int").write.mode("append").parquet(f"{t.path}/dt=d2")
+        joined.clear()
+        update = spark.createDataFrame([(*r, len(r)) for r in changes], SCHEMA + ", extra int")
+        for _ in range(2):
+            touched = merge_partitions(spark, t, update, deleted=F.col("v") == "gone", before_commit=told.append)
+            found.append((rows(t.read(spark, update.schema).select(*update.columns)), sorted(v["dt"] for v in touched), sorted(v["dt"] for v in told[-1])))
+        calls = len(joined)
+    assert found[:2] == found[2:] and calls == 2
+    got = {r[0]: r for r in found[0][0]}
+    assert 90 not in got and 3 not in got and got[None][1] == "b" and sum(r[0] == 91 for r in found[0][0]) == 2
+    assert {"d7", "d8"} <= set(found[0][1]) and not os.path.exists(f"{t.path}/dt=d8")
