@@ -31,6 +31,9 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: Signs that the pattern never parts from each other.
 SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
+#: White space but for the blank and the newline.
+OTHER_SPACE = [c for c in map(chr, range(1 << 16)) if c.isspace() and c not in " \n"]
+
 
 def byte_letters() -> dict[str, int]:
     """The letter that stands for each byte in a vocabulary file: printable bytes stand for
@@ -203,6 +206,17 @@ def _merge_block(v: Vocabulary, flat: np.ndarray, starts: np.ndarray, lengths: n
     return symbols[alive], alive.sum(1)
 
 
+def appended(values: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """The values with more behind them, as the head of an array with room for as many again: it is
+    copied when that is full. Only the longest such head may be appended to."""
+    room, n = values if values.base is None else values.base, len(values) + len(more)
+    if n > len(room):
+        room = np.empty(2 * n, values.dtype)
+        room[: len(values)] = values
+    room[len(values) : n] = more
+    return room[:n]
+
+
 class Encoder:
     """Encodes texts; remembers the ids of the words it has met. With more than `most` it
     forgets those that came only once since it last did so.
@@ -250,6 +264,8 @@ class Encoder:
         """Words behind blanks. Letters with signs behind them are the letters' ids, then the signs'."""
         whole, cores, tails = [], [], []
         for c in chunks:
+            if c.isalpha():
+                continue
             core = c.rstrip(SIGNS)
             if len(core) < len(c) and core.isalpha():
                 whole.append(c)
@@ -271,23 +287,24 @@ class Encoder:
 
     def _put(self, known: dict[str, int], chunks: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
         known.update(zip(chunks, range(len(self.counts), len(self.counts) + len(chunks))))
-        self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(counts) - counts])
-        self.counts = np.concatenate([self.counts, counts])
-        self.pool = np.concatenate([self.pool, ids])
+        self.starts = appended(self.starts, len(self.pool) + np.cumsum(counts) - counts)
+        self.counts = appended(self.counts, counts)
+        self.pool = appended(self.pool, ids)
 
     def _chunks(self, text: str, out: list[tuple[bool, list[str]]]) -> None:
         """Append (behind blanks?, chunks) runs of the text."""
-        words = text.split()
-        between = text.count(" ") + text.count("\n")
-        # So many words and no other white space: each gap is one blank or one newline.
-        if len(words) == between + 1 and sum(map(len, words)) + between == len(text):
-            for n, line in enumerate(text.split("\n")):
-                parts = line.split(" ")
-                out.append((False, ["\n", parts[0]] if n else parts[:1]))
-                if len(parts) > 1:
-                    out.append((True, parts[1:]))
-        elif text:
-            out.append((False, self.pattern.findall(text)))
+        if not text:
+            return
+        if not any(map(text.__contains__, OTHER_SPACE)):
+            lines = [line.split(" ") for line in text.split("\n")]
+            # No word is empty: each gap is one blank or one newline.
+            if all(map(all, lines)):
+                for n, parts in enumerate(lines):
+                    out.append((False, ["\n", parts[0]] if n else parts[:1]))
+                    if len(parts) > 1:
+                        out.append((True, parts[1:]))
+                return
+        out.append((False, self.pattern.findall(text)))
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in order, and how many each has."""

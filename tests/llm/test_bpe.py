@@ -111,3 +111,20 @@ def test_query_on_the_whole_table(spark, library):
         ids = library.encode(d.text or "", add_special_tokens=False).ids
         assert (got[d.doc_id].n_tokens, got[d.doc_id].ids_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
         assert got[d.doc_id].decoded_sha256 == hashlib.sha256((d.text or "").encode()).hexdigest()
+
+
+def test_new_words_do_not_copy_the_known_ones(vocabulary):
+    """Their ids are kept with room for more: an array is copied each time its length doubles, not for every slice of text."""
+    encoder, pools = Encoder(vocabulary), []
+    for i in range(60):
+        encoder([f"new{i} word{i}x {i}th"])
+        pools.append((encoder.pool, encoder.starts, encoder.counts))
+    for kept in zip(*pools):
+        assert sum(not np.shares_memory(a, b) for a, b in zip(kept, kept[1:])) <= 8
+    assert all(np.array_equal(now[: len(then)], then) for then, now in zip(pools[0], pools[-1]))
+
+
+def test_every_kind_of_white_space(library, vocabulary):
+    blanks = [c for c in map(chr, range(1 << 16)) if c.isspace()]
+    texts = [t for c in blanks for t in (f"ab{c}cd ef", f"ab cd{c}", f"{c}ab cd", f"ab{c}{c}cd\nef", f"ab {c}cd", f"a\n{c}b c", f"é {c} ü")]
+    assert split(*Encoder(vocabulary)(texts)) == [library.encode(t, add_special_tokens=False).ids for t in texts]
