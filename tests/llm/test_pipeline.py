@@ -51,6 +51,6 @@ def test_the_rest_works_without_the_package(tmp_path):
     code = "import __spark_entry__ as e; q = e.queries(); assert 'pipeline' not in q and not any(k.startswith('op') for k in q); print(len(q), len(e.oracle_sql()))"
     ran = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120)
     assert ran.returncode == 0, ran.stderr
-    code = "import __spark_entry__ as e; q = e.queries(); assert 'pipeline' in q and sum(k.startswith('op') for k in q) == 10"
+    code = "import __spark_entry__ as e; q = e.queries(); assert 'pipeline' in q and sum(k.startswith('op') for k in q) == 13"
     ran = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=120)
     assert ran.returncode == 0, ran.stderr
