@@ -176,7 +176,7 @@ def write_shards(
         part = TaskContext.get().partitionId()
         name = f"{folder.rstrip('/')}/shard-{part:06d}-{uuid.uuid4().hex}"
         schema = pa.schema([("key", pa.int64()), ("offset", pa.int64()), ("n", pa.int64())])
-        for some in slices(batches, "text", 1 << 20):
+        for some in slices(batches, "text"):
             if shard is None:
                 size = encoder.library.get_vocab_size(with_added_tokens=True)
                 shard = ShardWriter(f"{name}.arrow", length, batch, pa.uint16() if max(size, end + 1) <= 1 << 16 else pa.uint32())

@@ -35,6 +35,23 @@ SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 OTHER_SPACE = [c for c in map(chr, range(1 << 16)) if c.isspace() and c not in " \n"]
 
 
+def _utf8(text: str) -> bytes:
+    return text.encode("utf-8", "surrogatepass")
+
+
+def _marked(codes: list[int]) -> np.ndarray:
+    return np.isin(np.arange(256), codes)
+
+
+#: Bytes that are white space, and by their number of bytes the first bytes and the codes of wider white space.
+SPACE_BYTES = _marked([*b" \n", *(ord(c) for c in OTHER_SPACE if ord(c) < 128)])
+WIDE_SPACE = {
+    n: (_marked([c[0] for c in some]), np.array([int.from_bytes(c, "big") for c in some], np.int64))
+    for n in (2, 3)
+    if (some := [c for c in map(_utf8, OTHER_SPACE) if len(c) == n])
+}
+
+
 def byte_letters() -> dict[str, int]:
     """The letter that stands for each byte in a vocabulary file: printable bytes stand for
     themselves, the others follow from 256 on, in order."""
@@ -217,13 +234,25 @@ def appended(values: np.ndarray, more: np.ndarray) -> np.ndarray:
     return room[:n]
 
 
+def spaces(data: np.ndarray) -> np.ndarray:
+    """Which bytes of UTF-8 are white space or part of it."""
+    out = SPACE_BYTES[data]
+    for n, (leads, codes) in WIDE_SPACE.items():
+        at = np.flatnonzero(leads[data[: max(0, len(data) - n + 1)]])
+        code = sum(data[at + i].astype(np.int64) << 8 * (n - 1 - i) for i in range(n))
+        at = at[np.isin(code, codes)]
+        for i in range(n):
+            out[at + i] = True
+    return out
+
+
 class Encoder:
     """Encodes texts; remembers the ids of the words it has met. With more than `most` it
     forgets those that came only once since it last did so.
 
-    A single blank or newline between two words always begins a new piece, so the words
-    between them can be encoded one by one. Texts with other white space are cut by the
-    pattern itself.
+    A blank or newline behind anything but white space always begins a new piece, so what lies
+    between two of them can be encoded alone. Where it has other white space, the pattern
+    itself cuts it. Equal pieces of the texts are looked up once for all of them.
     """
 
     def __init__(self, vocabulary: Vocabulary, most: int = 500_000):
@@ -232,8 +261,7 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.blank: dict[str, int] = {}  # words behind a blank
-        self.plain: dict[str, int] = {}  # words without, and whatever else
+        self.known: dict[bytes, int] = {}  # pieces, with the blank before them
         self.starts, self.counts = np.empty(0, np.int64), np.empty(0, np.int64)
         self.pool = np.empty(0, np.int32)
         self.hits = np.empty(0, np.int64)
@@ -243,11 +271,8 @@ class Encoder:
         if keep.sum() > self.most // 2:
             self._forget()
             return
-        number = np.cumsum(keep) - 1
-        for known in (self.blank, self.plain):
-            left = {w: int(number[i]) for w, i in known.items() if keep[i]}
-            known.clear()
-            known.update(left)
+        number, kept = (np.cumsum(keep) - 1).tolist(), keep.tolist()
+        self.known = {w: number[i] for w, i in self.known.items() if kept[i]}
         self.pool = gather(self.pool, self.starts[keep], self.counts[keep])
         self.counts = self.counts[keep]
         self.starts = np.cumsum(self.counts) - self.counts
@@ -257,102 +282,104 @@ class Encoder:
         """Ids of the chunks behind the prefix, and the number of them in each."""
         whole = [self.pattern.findall(prefix + c) if not c.isalpha() else (prefix + c,) for c in chunks]
         per = np.fromiter(map(len, whole), np.int64, len(whole))
-        ids, n = merge_all(self.v, [p.encode("utf-8", "surrogatepass") for w in whole for p in w])
+        ids, n = merge_all(self.v, [_utf8(p) for w in whole for p in w])
         return ids, np.diff(np.concatenate([[0], np.cumsum(n)])[np.cumsum(per)], prepend=0)
 
-    def _learn_words(self, chunks: list[str]) -> None:
-        """Words behind blanks. Letters with signs behind them are the letters' ids, then the signs'."""
-        whole, cores, tails = [], [], []
-        for c in chunks:
-            if c.isalpha():
-                continue
-            core = c.rstrip(SIGNS)
-            if len(core) < len(c) and core.isalpha():
-                whole.append(c)
-                cores.append(core)
-                tails.append(c[len(core) :])
-        composed = set(whole)
-        new = dict.fromkeys(c for c in chunks if c not in composed) | dict.fromkeys(c for c in cores if c not in self.blank)
-        if new:
-            self._learn(self.blank, list(new), " ")
-        if signs := [t for t in dict.fromkeys(tails) if t not in self.plain]:
-            self._learn(self.plain, signs, "")
+    def _learn(self, keys: list[bytes]) -> None:
+        """New pieces. Of words behind blanks, letters with signs behind them are the letters' ids, then the signs'."""
+        words: dict[str, bytes] = {}  # words behind blanks
+        others: dict[str, bytes] = {}
+        whole, parts = [], []
+        for key in keys:
+            text = key.decode("utf-8", "surrogatepass")
+            word = text[1:]
+            if text[0] != " ":
+                others[text] = key
+            elif word.isalpha():
+                words[word] = key
+            elif text.split() != [word]:
+                others[text] = key
+            elif len(core := word.rstrip(SIGNS)) == len(word) or not core.isalpha():
+                words[word] = key
+            else:
+                tail = word[len(core) :]
+                two = key[: len(key) - len(tail)], key[len(key) - len(tail) :]  # a sign is one byte
+                whole.append(key)
+                parts += two
+                for known, chunk, part in ((words, core, two[0]), (others, tail, two[1])):
+                    if part not in self.known:
+                        known[chunk] = part
+        for known, prefix in ((words, " "), (others, "")):
+            if known:
+                self._put(list(known.values()), *self._encoded(list(known), prefix))
         if whole:
-            parts = np.stack([[self.blank[c] for c in cores], [self.plain[t] for t in tails]], 1).ravel()
-            counts = self.counts[parts]
-            self._put(self.blank, whole, gather(self.pool, self.starts[parts], counts), counts.reshape(-1, 2).sum(1))
+            numbers = np.array([self.known[p] for p in parts], np.int64)
+            counts = self.counts[numbers]
+            self._put(whole, gather(self.pool, self.starts[numbers], counts), counts.reshape(-1, 2).sum(1))
 
-    def _learn(self, known: dict[str, int], chunks: list[str], prefix: str) -> None:
-        self._put(known, chunks, *self._encoded(chunks, prefix))
-
-    def _put(self, known: dict[str, int], chunks: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
-        known.update(zip(chunks, range(len(self.counts), len(self.counts) + len(chunks))))
+    def _put(self, keys: list[bytes], ids: np.ndarray, counts: np.ndarray) -> None:
+        self.known.update(zip(keys, range(len(self.counts), len(self.counts) + len(keys))))
         self.starts = appended(self.starts, len(self.pool) + np.cumsum(counts) - counts)
         self.counts = appended(self.counts, counts)
+        self.hits = appended(self.hits, np.zeros(len(keys), np.int64))
         self.pool = appended(self.pool, ids)
 
-    def _chunks(self, text: str, out: list[tuple[bool, list[str]]]) -> None:
-        """Append (behind blanks?, chunks) runs of the text."""
-        if not text:
-            return
-        if not any(map(text.__contains__, OTHER_SPACE)):
-            lines = [line.split(" ") for line in text.split("\n")]
-            # No word is empty: each gap is one blank or one newline.
-            if all(map(all, lines)):
-                for n, parts in enumerate(lines):
-                    out.append((False, ["\n", parts[0]] if n else parts[:1]))
-                    if len(parts) > 1:
-                        out.append((True, parts[1:]))
-                return
-        out.append((False, self.pattern.findall(text)))
+    def _cuts(self, data: bytes, places: np.ndarray) -> np.ndarray:
+        """Where pieces begin, of texts that lie one behind the other at these places, and where the last one ends."""
+        codes = np.frombuffer(data, np.uint8)
+        space = spaces(codes)
+        gap = (codes == 0x20) | (codes == 0x0A)
+        cut = np.zeros(len(codes) + 1, bool)
+        cut[1:-1] = gap[1:] & ~space[:-1]
+        cut[places] = True
+        other = np.flatnonzero(space & ~(gap & cut[:-1]))
+        # A newline is a piece of its own, but for other white space behind it.
+        cut[1 + np.flatnonzero((codes[:-1] == 0x0A) & cut[:-2] & ~space[1:])] = True
+        at = np.flatnonzero(cut)
+        if len(other):
+            run = np.unique(np.searchsorted(at, other, "right") - 1)
+            for a, b in zip(at[run].tolist(), at[run + 1].tolist()):
+                for piece in self.pattern.findall(data[a:b].decode("utf-8", "surrogatepass")):
+                    cut[a] = True
+                    a += len(_utf8(piece))
+            at = np.flatnonzero(cut)
+        return at
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in order, and how many each has."""
         if len(self.counts) > self.most:
             self._thin()
-        runs: list[tuple[bool, list[str]]] = []
-        ends, specials = [], {}
+        parts: list[bytes] = []
+        ends, specials = [0], {}
         for text in texts:
-            if self.v.cut and (marks := list(self.v.cut.finditer(text))):
-                last = 0
-                for m in marks:
-                    self._chunks(text[last : m.start()], runs)
-                    specials[len(runs)] = self.v.special[m[0]]
-                    runs.append((False, []))
-                    last = m.end()
-                self._chunks(text[last:], runs)
-            else:
-                self._chunks(text, runs)
-            ends.append(len(runs))
-        sizes = np.fromiter((len(c) for _, c in runs), np.int64, len(runs))
-        found: list[int] = []
-        words: list[str] = []
-        for b, c in runs:
-            words += c
-            found.extend(map((self.blank if b else self.plain).get, c, repeat(-1)))
-        index = np.array(found, np.int64)
-        behind = np.repeat(np.fromiter((b for b, _ in runs), bool, len(runs)), sizes)
-        for known, kind, prefix in ((self.blank, True, " "), (self.plain, False, "")):
-            missing = np.flatnonzero((index < 0) & (behind == kind)).tolist()
-            if missing:
-                new = [words[i] for i in missing]
-                distinct = list(dict.fromkeys(new))
-                if prefix:
-                    self._learn_words(distinct)
-                else:
-                    self._learn(known, distinct, prefix)
-                index[missing] = [known[w] for w in new]
-        hits = np.bincount(index, minlength=len(self.counts))
-        hits[: len(self.hits)] += self.hits
-        self.hits = hits
+            last = 0
+            for m in self.v.cut.finditer(text) if self.v.cut else ():
+                parts.append(_utf8(text[last : m.start()]))
+                specials[len(parts)] = self.v.special[m[0]]
+                last = m.end()
+            parts.append(_utf8(text[last:]))
+            ends.append(len(parts))
+        places = np.zeros(len(parts) + 1, np.int64)
+        np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)), out=places[1:])
+        data = b"".join(parts)
+        at = self._cuts(data, places)
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(data)]).dictionary_encode()
+        keys, which = pieces.dictionary.to_numpy(zero_copy_only=False).tolist(), pieces.indices.to_numpy()
+        index = np.fromiter(map(self.known.get, keys, repeat(-1)), np.int64, len(keys))
+        if missing := np.flatnonzero(index < 0).tolist():
+            new = [keys[i] for i in missing]
+            self._learn(new)
+            index[missing] = [self.known[k] for k in new]
+        self.hits[index] += np.bincount(which, minlength=len(keys))
+        index = index[which]
         counts = self.counts[index]
         ids = gather(self.pool, self.starts[index], counts)
-        upto = np.concatenate([[0], np.cumsum(counts)])[np.concatenate([[0], np.cumsum(sizes)])]
+        upto = np.concatenate([[0], np.cumsum(counts)])[np.searchsorted(at, places)]
         if specials:
-            where = np.array(sorted(specials))
-            ids = np.insert(ids, upto[where], [specials[w] for w in where.tolist()])
-            upto = upto + np.concatenate([[0], np.cumsum(np.isin(np.arange(len(runs)), where))])
-        return ids, np.diff(upto[np.array([0, *ends])])
+            where = np.array(list(specials))
+            ids = np.insert(ids, upto[where], list(specials.values()))
+            upto += np.searchsorted(where, np.arange(len(upto)), "left")
+        return ids, np.diff(upto[ends])
 
 
 def decode_all(v: Vocabulary, ids: np.ndarray, counts: np.ndarray) -> list[str] | pa.Array:

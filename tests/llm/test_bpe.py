@@ -128,3 +128,29 @@ def test_every_kind_of_white_space(library, vocabulary):
     blanks = [c for c in map(chr, range(1 << 16)) if c.isspace()]
     texts = [t for c in blanks for t in (f"ab{c}cd ef", f"ab cd{c}", f"{c}ab cd", f"ab{c}{c}cd\nef", f"ab {c}cd", f"a\n{c}b c", f"é {c} ü")]
     assert split(*Encoder(vocabulary)(texts)) == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_equal_pieces_of_a_slice_are_looked_up_once(library, vocabulary):
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *args):
+            Counted.asked += 1
+            return super().get(*args)
+
+    encoder, texts = Encoder(vocabulary), ["low lower\nlow  newest, low"] * 500 + ["low lower"]
+    encoder.known = Counted()
+    found = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    for _ in range(2):
+        assert split(*encoder(texts)) == found
+    # "low", " lower", "\n", " ", " newest", ",", " low"
+    assert Counted.asked == 2 * 7
+
+
+def test_white_space_and_special_tokens_anywhere(library, vocabulary):
+    rng = random.Random(6)
+    alphabet = [*"abc \n\t\r\x1c\x85\xa0    　​.é日🙂", "'s", "  ", "\n\n", " word", "...", "<|endoftext|>"]
+    encoder = Encoder(vocabulary, most=200)
+    for _ in range(10):
+        texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 40))) for _ in range(150)]
+        assert split(*encoder(texts)) == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
